@@ -23,7 +23,7 @@ def _c(c) -> Column:
 
 def file_no(log_file) -> Column:
     """Number at the end of a log file name (``mysql-bin.000021`` -> 21)."""
-    return F.try_cast(F.regexp_extract(_c(log_file), r"(\d+)$", 1), "int")
+    return F.regexp_extract(_c(log_file), r"(\d+)$", 1).try_cast("int")
 
 
 def pos_key(file_number, offset) -> Column:
@@ -44,7 +44,7 @@ def parse_position(label) -> Column:
     """``file:offset`` -> struct(log_file, file_no, pos, pos_key); null when invalid."""
     lab = _c(label)
     f = F.regexp_extract(lab, r"^(.*):[^:]*$", 1)
-    p = F.try_cast(F.regexp_extract(lab, r":([^:]*)$", 1), "long")
+    p = F.regexp_extract(lab, r":([^:]*)$", 1).try_cast("long")
     ok = is_valid_position(lab)
     n = file_no(f)
     return F.when(ok, F.struct(f.alias("log_file"), n.alias("file_no"), p.alias("pos"),

@@ -79,3 +79,96 @@ from ranked where rn = 1 and event_type <> 'delete'"""
 SQL["change_rollup"] = with_(CHANGELOG) + """
 select db, tbl, event_type, count(*) as n_changes, grouping_id(db, tbl, event_type) as gid
 from cl group by rollup (db, tbl, event_type)"""
+
+PACKED = """
+pk_p as (
+  select o_orderkey, o_orderdate,
+         cast(extract(year from o_orderdate) as bigint) y, cast(extract(month from o_orderdate) as bigint) m,
+         cast(extract(day from o_orderdate) as bigint) dd, cast(extract(hour from o_orderdate) as bigint) h,
+         cast(extract(minute from o_orderdate) as bigint) mi,
+         cast(floor(extract(second from o_orderdate)) as bigint) se from orders),
+pk as (
+  select o_orderkey, (549755813888 | ((y*13+m) << 22) | (dd << 17) | (h << 12) | (mi << 6) | se) as dt2,
+         ((y << 9) | (m << 5) | dd) as d3, o_orderdate, y, m, dd, h, mi, se
+  from pk_p)"""
+
+CELLS = """
+ce as (
+  select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate,
+         (o_orderkey * 7919) % 3020400 as secs,
+         case when o_orderkey % 5 = 0 then -1 else 1 end as sgn,
+         case when o_orderkey % 50 = 0 then 0 else
+           cast(extract(year from o_orderdate) as bigint) * 10000000000 + cast(extract(month from o_orderdate) as bigint) * 100000000
+           + cast(extract(day from o_orderdate) as bigint) * 1000000 + cast(extract(hour from o_orderdate) as bigint) * 10000
+           + cast(extract(minute from o_orderdate) as bigint) * 100 + cast(floor(extract(second from o_orderdate)) as bigint)
+         end as dt_int,
+         case when o_orderkey % 97 = 0 then 0 when o_orderstatus = 'F' then 1 when o_orderstatus = 'O' then 2
+              when o_orderstatus = 'P' then 3 end as enum_idx,
+         o_orderkey % 8 as set_mask
+  from orders)"""
+
+SQL["decode_unsigned"] = """
+select o_orderkey,
+       256 - ((o_orderkey % 128) + 1) as u_tiny,
+       65536 - ((o_orderkey % 32768) + 1) as u_small,
+       16777216 - ((o_orderkey % 8388608) + 1) as u_medium,
+       case when (o_orderkey * 40503) % 16777216 >= 8388608 then (o_orderkey * 40503) % 16777216 - 16777216
+            else (o_orderkey * 40503) % 16777216 end as s_medium24,
+       4294967296 - ((o_orderkey % 2147483648) + 1) as u_int,
+       cast(case when o_orderkey = 0 then 0 else cast('18446744073709551616' as hugeint) - o_orderkey end as decimal(20,0)) as u_bigint
+from orders"""
+
+SQL["decode_bool"] = """
+select o_orderkey, o_orderkey % 3 as tiny1,
+       case o_orderkey % 3 when 1 then true when 0 then false end as as_bool
+from orders"""
+
+SQL["decode_year"] = """
+select o_orderkey, case when o_orderkey % 256 = 0 then null else 1900 + o_orderkey % 256 end as yr
+from orders"""
+
+SQL["decode_decimal"] = """
+select o_orderkey,
+       cast(concat(cast(o_custkey % 100000 as varchar), '.', lpad(cast(o_orderkey % 100 as varchar), 2, '0'))
+            as decimal(12,2)) as dec_value
+from orders"""
+
+SQL["decode_date"] = with_(PACKED) + """
+select o_orderkey, cast(o_orderdate as date) as decoded_date from pk"""
+
+SQL["decode_time"] = with_(CELLS) + """
+select o_orderkey, sgn * secs as time_secs, sgn * secs as time2_secs,
+       concat(case when sgn * secs < 0 then '-' else '' end,
+              format('{:d}:{:02d}:{:02d}', secs // 3600, (secs // 60) % 60, secs % 60)) as time_text
+from ce"""
+
+SQL["decode_timestamp"] = """
+select o_orderkey, make_timestamp((1500000000 + o_orderkey * 37) * 1000000) as ts_value from orders"""
+
+SQL["decode_datetime_int"] = with_(CELLS) + """
+select o_orderkey, dt_int,
+       case when dt_int = 0 then null else date_trunc('second', o_orderdate) end as dt_value
+from ce"""
+
+SQL["decode_datetime_packed"] = with_(PACKED) + """
+select o_orderkey, dt2,
+       make_timestamp(cast(((dt2 >> 22) & 131071) // 13 as bigint), cast(((dt2 >> 22) & 131071) % 13 as bigint),
+                      cast((dt2 >> 17) & 31 as bigint), cast((dt2 >> 12) & 31 as bigint),
+                      cast((dt2 >> 6) & 63 as bigint), cast(dt2 & 63 as double)) as dt_value
+from pk"""
+
+SQL["decode_enum"] = with_(CELLS) + """
+select o_orderkey, enum_idx,
+       case enum_idx when 0 then '' when 1 then 'F' when 2 then 'O' when 3 then 'P' end as enum_value
+from ce"""
+
+SQL["decode_set"] = with_(CELLS) + """
+select o_orderkey, set_mask,
+       array_to_string(list_filter(['s0', 's1', 's2'], lambda v, i: (set_mask & (1 << (i - 1))) <> 0), ',') as set_value
+from ce"""
+
+SQL["decode_bit"] = """
+select o_orderkey, cast(o_orderkey as decimal(20,0)) as bit_value from orders"""
+
+SQL["decode_text"] = """
+select c_custkey, c_name as name_text, length(c_name) as n_chars from customer"""

@@ -47,3 +47,95 @@ def q_latest_state(spark, sf):
 @query("change_rollup")
 def q_change_rollup(spark, sf):
     return consume.change_rollup(feeds.changelog(spark, sf))
+
+
+# -- D*: stored-value decode over cells derived from orders ------------------
+from ..functions import decode as D  # noqa: E402
+
+
+@query("decode_unsigned")
+def q_decode_unsigned(spark, sf):
+    c = feeds.cells(spark, sf)
+    return c.select("o_orderkey", D.unsigned("s_tiny", 8).alias("u_tiny"),
+                    D.unsigned("s_small", 16).alias("u_small"), D.unsigned("s_medium", 24).alias("u_medium"),
+                    D.signed24("raw24").alias("s_medium24"), D.unsigned("s_int", 32).alias("u_int"),
+                    D.unsigned("s_bigint", 64).alias("u_bigint"))
+
+
+@query("decode_bool")
+def q_decode_bool(spark, sf):
+    c = feeds.cells(spark, sf)
+    return c.select("o_orderkey", "tiny1", D.tinyint_bool("tiny1").alias("as_bool"))
+
+
+@query("decode_year")
+def q_decode_year(spark, sf):
+    return feeds.cells(spark, sf).select("o_orderkey", D.year("year_byte").alias("yr"))
+
+
+@query("decode_decimal")
+def q_decode_decimal(spark, sf):
+    return feeds.cells(spark, sf).select("o_orderkey", D.exact_decimal("dec_text", 12, 2).alias("dec_value"))
+
+
+@query("decode_date")
+def q_decode_date(spark, sf):
+    return feeds.packed(spark, sf).select("o_orderkey", D.packed_date("d3").alias("decoded_date"))
+
+
+@query("decode_time")
+def q_decode_time(spark, sf):
+    c = feeds.cells(spark, sf).select("o_orderkey", D.time_hhmmss("time_int").alias("t1"),
+                                      D.time2("time2_raw").alias("t2"))
+    return c.select("o_orderkey", D.interval_seconds("t1").cast("long").alias("time_secs"),
+                    D.interval_seconds("t2").cast("long").alias("time2_secs"),
+                    D.interval_text("t1").alias("time_text"))
+
+
+@query("decode_timestamp")
+def q_decode_timestamp(spark, sf):
+    c = feeds.cells(spark, sf)
+    return c.select("o_orderkey", D.timestamp_from_seconds("ts_secs").cast("timestamp_ntz").alias("ts_value"))
+
+
+@query("decode_datetime_int")
+def q_decode_datetime_int(spark, sf):
+    c = feeds.cells(spark, sf)
+    return c.select("o_orderkey", "dt_int", D.datetime_from_int("dt_int").alias("dt_value"))
+
+
+@query("decode_datetime_packed")
+def q_decode_datetime_packed(spark, sf):
+    return feeds.packed(spark, sf).select("o_orderkey", "dt2", D.datetime2("dt2").alias("dt_value"))
+
+
+ORDER_STATUS_LABELS = ["F", "O", "P"]
+SET_LABELS = ["s0", "s1", "s2"]
+
+
+@query("decode_enum")
+def q_decode_enum(spark, sf):
+    c = feeds.cells(spark, sf)
+    labels = F.array(*[F.lit(x) for x in ORDER_STATUS_LABELS])
+    return c.select("o_orderkey", "enum_idx", D.enum_label("enum_idx", labels).alias("enum_value"))
+
+
+@query("decode_set")
+def q_decode_set(spark, sf):
+    c = feeds.cells(spark, sf)
+    labels = F.array(*[F.lit(x) for x in SET_LABELS])
+    return c.select("o_orderkey", "set_mask",
+                    F.array_join(D.set_labels("set_mask", labels), ",").alias("set_value"))
+
+
+@query("decode_bit")
+def q_decode_bit(spark, sf):
+    return feeds.cells(spark, sf).select("o_orderkey", D.bit_value("bit_bytes").alias("bit_value"))
+
+
+@query("decode_text")
+def q_decode_text(spark, sf):
+    from ..sources.tables import read_table
+    cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
+    t = D.text_value("raw", "utf8mb4")
+    return cu.select("c_custkey", t.alias("name_text"), F.length(t).alias("n_chars"))

@@ -103,7 +103,49 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     y, m, dd = [F.extract(F.lit(p), d).cast("long") for p in ("YEAR", "MONTH", "DAY")]
     h, mi = [F.extract(F.lit(p), d).cast("long") for p in ("HOUR", "MINUTE")]
     se = F.floor(F.extract(F.lit("SECOND"), d)).cast("long")
-    dt2 = (F.lit(549755813888) | F.shiftleft(y * 13 + m, 22) | F.shiftleft(dd, 17)
-           | F.shiftleft(h, 12) | F.shiftleft(mi, 6) | se)
-    d3 = F.shiftleft(y, 9) | F.shiftleft(m, 5) | dd
+    dt2 = (F.lit(549755813888).bitwiseOR(F.shiftleft(y * 13 + m, 22)).bitwiseOR(F.shiftleft(dd, 17))
+           .bitwiseOR(F.shiftleft(h, 12)).bitwiseOR(F.shiftleft(mi, 6)).bitwiseOR(se))
+    d3 = F.shiftleft(y, 9).bitwiseOR(F.shiftleft(m, 5)).bitwiseOR(dd)
     return o.select("o_orderkey", dt2.alias("dt2"), d3.alias("d3"), "o_orderdate")
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored cells of a wide MySQL row, derived per ``orders`` row.
+
+    Each column holds what a row image stores for one MySQL type; the values
+    are functions of the order, so every decoder can be checked against a value
+    computed independently from the same order.
+    """
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate")
+    secs = (k * 7919) % 3020400
+    hh, mm, ss = (secs / 3600).cast("long"), (secs / 60).cast("long") % 60, secs % 60
+    neg = k % 5 == 0
+    sign = F.when(neg, F.lit(-1)).otherwise(F.lit(1))
+    y, mo, dd = [F.extract(F.lit(p), d).cast("long") for p in ("YEAR", "MONTH", "DAY")]
+    h, mi = [F.extract(F.lit(p), d).cast("long") for p in ("HOUR", "MINUTE")]
+    se = F.floor(F.extract(F.lit("SECOND"), d)).cast("long")
+    dt_int = y * 10000000000 + mo * 100000000 + dd * 1000000 + h * 10000 + mi * 100 + se
+    return o.select(
+        k.alias("o_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
+        (-((k % 128) + 1)).alias("s_tiny"),
+        (-((k % 32768) + 1)).alias("s_small"),
+        (-((k % 8388608) + 1)).alias("s_medium"),
+        ((k * 40503) % 16777216).alias("raw24"),
+        (-((k % 2147483648) + 1)).alias("s_int"),
+        (-k).alias("s_bigint"),
+        (k % 3).alias("tiny1"),
+        (k % 256).alias("year_byte"),
+        F.concat((F.col("o_custkey") % 100000).cast("string"), F.lit("."),
+                 F.lpad((k % 100).cast("string"), 2, "0")).alias("dec_text"),
+        (sign * (hh * 10000 + mm * 100 + ss)).alias("time_int"),
+        (F.lit(8388608) + sign * (F.shiftleft(hh, 12) + F.shiftleft(mm, 6) + ss)).alias("time2_raw"),
+        (F.lit(1500000000) + k * 37).alias("ts_secs"),
+        F.when(k % 50 == 0, F.lit(0).cast("long")).otherwise(dt_int).alias("dt_int"),
+        F.when(k % 97 == 0, F.lit(0))
+         .otherwise(F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2)
+                    .when(F.col("o_orderstatus") == "P", 3)).alias("enum_idx"),
+        (k % 8).alias("set_mask"),
+        F.unhex(F.lpad(F.hex(k), 16, "0")).alias("bit_bytes"),
+    )

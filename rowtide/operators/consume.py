@@ -124,3 +124,38 @@ def lookup_current(changes: DataFrame, current: DataFrame, keys: Sequence[str])
     """Current row of every changed key; deleted keys come back with nulls."""
     changed = changes.select(*keys).distinct()
     return changed.join(current, list(keys), "left")
+
+
+def change_rate(df: DataFrame, width: str, slide: str | None = None, by: Sequence[str] = ("db",),
+                ts: str = "ev_ts") -> DataFrame:
+    """A7 (batch): changes per tumbling / sliding event-time window.
+
+    ``window`` + ``groupBy`` aggregates partially on the map side, so a busy
+    window or database costs one row per task in the shuffle.
+    """
+    w = F.window(F.col(ts), width, slide) if slide else F.window(F.col(ts), width)
+    agg = df.groupBy(w.alias("w"), *by).agg(F.count(F.lit(1)).alias("n_changes"))
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
+                      "n_changes")
+
+
+def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str = "ev_ts") -> DataFrame:
+    """A7 (batch): activity sessions per group; a gap of ``gap_seconds`` or more starts a new one.
+
+    Same sessions as ``session_window`` (a session ends ``gap`` after its last
+    change), computed with two skew-safe keyed windows (previous time, then a
+    forward fill of the session start) and one partial aggregate, so a hot
+    group is spread over time buckets instead of one task.
+    """
+    by = list(by)
+    order = [ts, "pos_key", "row_no"]
+    bucket = F.shiftright(F.unix_micros(F.col(ts).cast("timestamp")), 32)
+    d = df.select(*by, *order)
+    d = keyed_window(d, by, order, bucket, lag=[ts])
+    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
+    start = F.col("prev_" + ts).isNull() | (F.col(ts) >= F.col("prev_" + ts) + gap)
+    d = d.withColumn("__start", F.when(start, F.col(ts)))
+    d = keyed_window(d, by, order, bucket, fill=["__start"])
+    s = d.groupBy(*by, F.col("fill___start").alias("session_start")).agg(
+        F.max(ts).alias("__last"), F.count(F.lit(1)).alias("n_changes"))
+    return s.select(*by, "session_start", (F.col("__last") + gap).alias("session_end"), "n_changes")

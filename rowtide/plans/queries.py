@@ -139,3 +139,258 @@ def q_decode_text(spark, sf):
     cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
     t = D.text_value("raw", "utf8mb4")
     return cu.select("c_custkey", t.alias("name_text"), F.length(t).alias("n_chars"))
+
+
+# -- positions (S3, S4, P2, P4, P6, F7) -------------------------------------
+from ..functions.position import is_valid_position, parse_position, position_label  # noqa: E402
+from ..operators import filters, positions, schema, shape  # noqa: E402
+
+SCAN_START = "mysql-bin.000003:40084"
+SCAN_STOP = "mysql-bin.000007:60004"
+RESUME_AT = "mysql-bin.000005:60004"
+REPLAYED_FILE_NO = 5
+LOG_COLS = ["seq", "log_file", "log_pos", "event_type"]
+
+
+@query("bounded_scan")
+def q_bounded_scan(spark, sf):
+    return positions.bounded_scan(feeds.changelog(spark, sf), SCAN_START, SCAN_STOP).select(*LOG_COLS)
+
+
+@query("latest_position")
+def q_latest_position(spark, sf):
+    return positions.latest_position(feeds.changelog(spark, sf))
+
+
+@query("newest_position")
+def q_newest_position(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    cand = cl.select("db", position_label("log_file", "log_pos").alias("label"))
+    return positions.newest_position(cand, ["db"])
+
+
+@query("resume_after")
+def q_resume_after(spark, sf):
+    return positions.resume_after(feeds.changelog(spark, sf), RESUME_AT).select(*LOG_COLS)
+
+
+@query("dedup_replay")
+def q_dedup_replay(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    replay = cl.filter(F.col("file_no") == REPLAYED_FILE_NO)
+    return positions.dedup_replay(cl.unionByName(replay)).select(*LOG_COLS)
+
+
+@query("valid_position")
+def q_valid_position(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    cands = F.array(position_label("log_file", "log_pos"), F.concat("log_file", F.lit(":")), F.col("log_file"))
+    c = cl.select("seq", F.posexplode(cands).alias("variant", "candidate"))
+    return c.select("seq", "variant", "candidate", is_valid_position("candidate").alias("valid"),
+                    parse_position("candidate")["pos_key"].alias("pos_key"))
+
+
+# -- filters (F1-F4) ---------------------------------------------------------
+FILTER_COLS = ["seq", "db", "tbl", "event_type"]
+INCLUDE = [("app", "t0"), ("audit", "t3")]
+EXCLUDE = [("app", "t0")]
+
+
+@query("type_subscription")
+def q_type_subscription(spark, sf):
+    return filters.subscribe(feeds.changelog(spark, sf), ["insert", "delete"]).select(*FILTER_COLS)
+
+
+@query("db_allow")
+def q_db_allow(spark, sf):
+    return filters.allow_databases(feeds.changelog(spark, sf), ["app"]).select(*FILTER_COLS)
+
+
+@query("table_include")
+def q_table_include(spark, sf):
+    return filters.include_tables(feeds.changelog(spark, sf), INCLUDE).select(*FILTER_COLS)
+
+
+@query("table_exclude")
+def q_table_exclude(spark, sf):
+    return filters.exclude_tables(feeds.changelog(spark, sf), EXCLUDE).select(*FILTER_COLS)
+
+
+# -- row shaping (R1-R7) -----------------------------------------------------
+IMG = ["row_no", "l_partkey", "l_quantity", "l_extendedprice"]
+
+
+@query("flatten_insert")
+def q_flatten_insert(spark, sf):
+    f = shape.flatten_inserts(feeds.row_events(spark, sf))
+    return f.select("l_orderkey", *[F.col(f"after.{c}").alias(c) for c in IMG])
+
+
+@query("flatten_delete")
+def q_flatten_delete(spark, sf):
+    f = shape.flatten_deletes(feeds.row_events(spark, sf))
+    return f.select("l_orderkey", *[F.col(f"before.{c}").alias(c) for c in IMG])
+
+
+@query("pair_update")
+def q_pair_update(spark, sf):
+    p = shape.pair_updates(feeds.row_events(spark, sf))
+    per_event = feeds.ROWS_PER_EVENT // 2
+    return p.select("l_orderkey", (F.col("chunk") * per_event + F.col("pair_no")).alias("pair_no"),
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after") for c in IMG[:3]],
+                    "status")
+
+
+@query("drop_empty")
+def q_drop_empty(spark, sf):
+    ev = shape.drop_empty(shape.change_events(feeds.changelog(spark, sf)))
+    return ev.select("log_file", "log_pos", "event_type", F.size("rows").alias("n_rows"))
+
+
+@query("query_passthrough")
+def q_query_passthrough(spark, sf):
+    e = shape.query_passthrough(feeds.changelog(spark, sf))
+    return e.select("binlog", "db", F.col("table").alias("tbl"), "query", "event_type", "primary", "timestamp",
+                    F.col("before").isNull().alias("before_empty"), F.col("after").isNull().alias("after_empty"))
+
+
+@query("envelope_json")
+def q_envelope_json(spark, sf):
+    js = shape.envelope_json(shape.envelope(feeds.changelog(spark, sf)))
+    back = js.select(F.from_json("value", shape_json_schema()).alias("e"),
+                     F.size(F.json_object_keys(F.get_json_object("value", "$.before"))).alias("before_keys"),
+                     F.size(F.json_object_keys(F.get_json_object("value", "$.after"))).alias("after_keys"))
+    return back.select("e.binlog", "e.db", F.col("e.table").alias("tbl"), "e.event_type", "e.query", "e.primary",
+                       *[F.col(f"e.{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after")
+                         for c in ("id", "value", "props")],
+                       F.col("e.timestamp").alias("timestamp"), "before_keys", "after_keys")
+
+
+def shape_json_schema():
+    from ..model import JSON_ENVELOPE
+    return JSON_ENVELOPE
+
+
+# -- schema tracking (C1, C3-C5, R8, D17-D19) --------------------------------
+@query("ddl_table")
+def q_ddl_table(spark, sf):
+    return schema.ddl_changes(feeds.changelog(spark, sf)).select("seq", "ddl_kind", "db", "tbl")
+
+
+@query("schema_intervals")
+def q_schema_intervals(spark, sf):
+    return schema.schema_versions(feeds.changelog(spark, sf))
+
+
+@query("schema_asof")
+def q_schema_asof(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    rows = cl.filter(F.col("event_type") != "query")
+    return schema.schema_asof(rows, schema.schema_versions(cl)).select("seq", "db", "tbl", "version", "n_columns")
+
+
+@query("primary_keys")
+def q_primary_keys(spark, sf):
+    return schema.primary_keys(schema.catalogue(feeds.changelog(spark, sf)))
+
+
+@query("enum_labels")
+def q_enum_labels(spark, sf):
+    ct = feeds.column_types(spark, sf)
+    labels = D.type_labels("column_type")
+    return ct.select("o_orderkey", "column_type", F.array_join(labels, "|").alias("labels"),
+                     F.size(labels).alias("n_labels"))
+
+
+@query("column_flags")
+def q_column_flags(spark, sf):
+    ct = feeds.column_types(spark, sf)
+    return ct.select("o_orderkey", "flag_type", "column_key", "extra",
+                     D.column_flags("flag_type", "column_key", "extra").alias("f")).select(
+        "o_orderkey", "flag_type", "column_key", "extra", "f.*")
+
+
+@query("quarantine")
+def q_quarantine(spark, sf):
+    ct = feeds.column_types(spark, sf)
+    err = D.decode_error("type_code")
+    return ct.select("o_orderkey", "type_code", D.field_type_name("type_code").alias("type_name"),
+                     err.alias("decode_error"),
+                     F.when(err.isNull(), "ok").otherwise("quarantine").alias("route"))
+
+
+# -- consumers (A2-A11, J4) --------------------------------------------------
+KEY = ["db", "tbl", "id"]
+
+
+@query("key_history")
+def q_key_history(spark, sf):
+    h = consume.key_history(feeds.changelog(spark, sf))
+    return h.select(*KEY, "seq", "event_type", "version", "valid_from", "valid_to")
+
+
+@query("key_order")
+def q_key_order(spark, sf):
+    return consume.key_order(feeds.changelog(spark, sf)).select(*KEY, "seq", "key_seq")
+
+
+@query("changed_columns")
+def q_changed_columns(spark, sf):
+    c = consume.changed_columns(feeds.changelog(spark, sf), ["id", "value", "props"])
+    return c.select("db", "tbl", F.col("after.id").alias("id"), "seq", "changed", "n_changed")
+
+
+@query("continuity")
+def q_continuity(spark, sf):
+    return consume.continuity(feeds.changelog(spark, sf)).select(*KEY, "seq", "event_type", "status")
+
+
+@query("last_changes")
+def q_last_changes(spark, sf):
+    return consume.last_changes(feeds.changelog(spark, sf), 20, "app", "t0").select(*LOG_COLS)
+
+
+MERGE_A_TO = "mysql-bin.000007:119884"
+MERGE_B_FROM = "mysql-bin.000004:4"
+
+
+def _two_feeds(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    a = cl.filter(F.col("pos_key") <= F.lit(positions.label_key(MERGE_A_TO)))
+    b = cl.filter(F.col("pos_key") >= F.lit(positions.label_key(MERGE_B_FROM)))
+    return a, b
+
+
+@query("merge_feeds")
+def q_merge_feeds(spark, sf):
+    a, b = _two_feeds(spark, sf)
+    return consume.merge_feeds(a, b).select(*LOG_COLS)
+
+
+@query("feed_difference")
+def q_feed_difference(spark, sf):
+    a, b = _two_feeds(spark, sf)
+    return consume.feed_difference(a, b).select(*LOG_COLS)
+
+
+@query("lookup_current")
+def q_lookup_current(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    current = consume.latest_state(cl).select(*KEY, "value", "props", F.lit(True).alias("found"))
+    out = consume.lookup_current(consume.keyed_changes(cl), current, KEY)
+    return out.withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+@query("rate_tumbling")
+def q_rate_tumbling(spark, sf):
+    return consume.change_rate(feeds.changelog(spark, sf), "10 minutes")
+
+
+@query("rate_sliding")
+def q_rate_sliding(spark, sf):
+    return consume.change_rate(feeds.changelog(spark, sf), "10 minutes", "5 minutes")
+
+
+@query("rate_session")
+def q_rate_session(spark, sf):
+    return consume.change_sessions(feeds.changelog(spark, sf), ["db", "tbl"], 30 * 60)

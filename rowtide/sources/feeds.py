@@ -149,3 +149,27 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 8).alias("set_mask"),
         F.unhex(F.lpad(F.hex(k), 16, "0")).alias("bit_bytes"),
     )
+
+
+# FIXED VALUES: catalogue type texts, key kinds and field type codes cycled over orders.
+FLAG_TYPES = ["tinyint(1)", "int(10) unsigned", "bigint", "tinyint(4)", "int", "bigint(20) unsigned"]
+KEY_KINDS = ["PRI", "", "UNI", "MUL"]
+TYPE_CODES = [1, 2, 3, 8, 9, 10, 0, 245, 255, 19, 18, 247, 248, 100]
+
+
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue cells per ``orders`` row: an ENUM/SET type text whose labels
+    carry commas, quotes and brackets, a type text with flags, a key kind, an
+    EXTRA text and a field type code."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    kind = F.when(k % 2 == 0, F.lit("enum")).otherwise(F.lit("set"))
+    ctype = F.concat(kind, F.lit("('"), F.col("o_orderstatus"), F.lit(","), F.col("o_orderpriority"),
+                     F.lit("','it''s "), (F.col("o_custkey") % 10).cast("string"), F.lit(")')"))
+
+    def pick(values):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (k % len(values) + 1).cast("int"))
+    return o.select(k.alias("o_orderkey"), ctype.alias("column_type"), pick(FLAG_TYPES).alias("flag_type"),
+                    pick(KEY_KINDS).alias("column_key"),
+                    F.when(k % 5 == 0, F.lit("auto_increment")).otherwise(F.lit("")).alias("extra"),
+                    pick(TYPE_CODES).alias("type_code"))

@@ -172,3 +172,251 @@ select o_orderkey, cast(o_orderkey as decimal(20,0)) as bit_value from orders"""
 
 SQL["decode_text"] = """
 select c_custkey, c_name as name_text, length(c_name) as n_chars from customer"""
+
+
+def lit(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _fixed():
+    # Patterns and code tables are shared spec values; the oracle applies them with DuckDB's own functions.
+    from ..functions.decode import LABEL_PATTERN
+    from ..functions.position import VALID_POSITION
+    from ..model import FIELD_TYPE_NAMES, UNSUPPORTED_FIELD_CODES
+    from ..operators.schema import ADD_COLUMN_PATTERN, DDL_PATTERN
+    from ..sources.feeds import FLAG_TYPES, KEY_KINDS, TYPE_CODES
+    return dict(LABEL=lit(LABEL_PATTERN), VALID=lit(VALID_POSITION), DDL=lit(DDL_PATTERN),
+                ADD=lit(ADD_COLUMN_PATTERN), NAMES=FIELD_TYPE_NAMES, UNSUP=UNSUPPORTED_FIELD_CODES,
+                FLAG_TYPES=FLAG_TYPES, KEY_KINDS=KEY_KINDS, TYPE_CODES=TYPE_CODES)
+
+
+X = _fixed()
+P2 = "4294967296"
+LOG = "select seq, log_file, log_pos, event_type from cl"
+
+SQL["bounded_scan"] = with_(CHANGELOG) + LOG + f"""
+where pos_key > 3 * {P2} + 40084 and pos_key < 7 * {P2} + 60004"""
+
+SQL["latest_position"] = with_(CHANGELOG) + """
+select arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,
+       arg_max(concat(log_file, ':', cast(log_pos as varchar)), pos_key) as binlog
+from cl"""
+
+SQL["newest_position"] = with_(CHANGELOG) + """
+select db, arg_max(label, pos_key) as newest, max(label) as newest_by_text
+from (select db, concat(log_file, ':', cast(log_pos as varchar)) as label, pos_key from cl)
+group by db"""
+
+SQL["resume_after"] = with_(CHANGELOG) + LOG + f"""
+where pos_key > 5 * {P2} + 60004"""
+
+SQL["dedup_replay"] = with_(CHANGELOG) + """
+select distinct seq, log_file, log_pos, event_type
+from (select * from cl union all select * from cl where file_no = 5)"""
+
+SQL["valid_position"] = with_(CHANGELOG) + f""",
+cand as (
+  select seq, 0 as variant, concat(log_file, ':', cast(log_pos as varchar)) as candidate from cl
+  union all select seq, 1, concat(log_file, ':') from cl
+  union all select seq, 2, log_file from cl)
+select seq, variant, candidate, coalesce(regexp_full_match(candidate, {X['VALID']}), false) as valid,
+       case when regexp_full_match(candidate, {X['VALID']})
+            then cast(regexp_extract(candidate, '(\\d+):', 1) as bigint) * {P2}
+                 + cast(regexp_extract(candidate, ':(\\d+)$', 1) as bigint) end as pos_key
+from cand"""
+
+FILT = "select seq, db, tbl, event_type from cl"
+SQL["type_subscription"] = with_(CHANGELOG) + FILT + " where event_type in ('insert', 'delete')"
+SQL["db_allow"] = with_(CHANGELOG) + FILT + " where db in ('app')"
+SQL["table_include"] = with_(CHANGELOG) + FILT + \
+    " where (db = 'app' and tbl = 't0') or (db = 'audit' and tbl = 't3')"
+SQL["table_exclude"] = with_(CHANGELOG) + FILT + " where not (db = 'app' and tbl = 't0')"
+
+SQL["flatten_insert"] = with_(ROW_IMAGES) + """
+select l_orderkey, row_no, l_partkey, l_quantity, l_extendedprice from ri where op = 'insert'"""
+
+SQL["flatten_delete"] = with_(ROW_IMAGES) + """
+select l_orderkey, row_no, l_partkey, l_quantity, l_extendedprice from ri where op = 'delete'"""
+
+SQL["pair_update"] = with_(ROW_IMAGES) + """
+select l_orderkey, row_no // 2 as pair_no,
+       max(case when row_no % 2 = 0 then row_no end) as before_row_no,
+       max(case when row_no % 2 = 0 then l_partkey end) as before_l_partkey,
+       max(case when row_no % 2 = 0 then l_quantity end) as before_l_quantity,
+       max(case when row_no % 2 = 1 then row_no end) as after_row_no,
+       max(case when row_no % 2 = 1 then l_partkey end) as after_l_partkey,
+       max(case when row_no % 2 = 1 then l_quantity end) as after_l_quantity,
+       case when count(*) = 2 then 'paired' else 'odd_tail' end as status
+from ri where op = 'update' group by l_orderkey, row_no // 2"""
+
+SQL["drop_empty"] = with_(CHANGELOG) + """
+select log_file, log_pos, event_type,
+       case event_type when 'update' then 2 when 'query' then 0 else 1 end as n_rows
+from cl"""
+
+SQL["query_passthrough"] = with_(CHANGELOG) + """
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, query, event_type, "primary",
+       cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as "timestamp", true as before_empty, true as after_empty
+from cl where event_type = 'query'"""
+
+SQL["envelope_json"] = with_(CHANGELOG) + """
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, query, "primary",
+       b_id as before_id, b_value as before_value, b_props as before_props,
+       a_id as after_id, a_value as after_value, a_props as after_props,
+       cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as "timestamp",
+       case when b_id is null then 0 else 3 end as before_keys,
+       case when a_id is null then 0 else 3 end as after_keys
+from cl"""
+
+DDL = f"""
+ddl as (
+  select seq, pos_key, row_no, query, upper(regexp_extract(query, {X['DDL']}, 1)) as ddl_kind,
+         coalesce(nullif(regexp_extract(query, {X['DDL']}, 2), ''), db) as db,
+         regexp_extract(query, {X['DDL']}, 3) as tbl
+  from cl where event_type = 'query' and regexp_extract(query, {X['DDL']}, 3) <> '')"""
+
+VERSIONS = f"""
+dv as (
+  select db, tbl, row_number() over w as version, pos_key as valid_from, lead(pos_key) over w as valid_to,
+         3 + sum(case when regexp_matches(query, {X['ADD']}) then 1 else 0 end)
+               over (partition by db, tbl order by pos_key, row_no rows unbounded preceding) as n_columns
+  from ddl window w as (partition by db, tbl order by pos_key, row_no)),
+tb as (select distinct db, tbl from cl),
+vall as (
+  select tb.db, tb.tbl, 0 as version, 0 as valid_from, min(dv.valid_from) as valid_to, 3 as n_columns
+  from tb left join dv on tb.db = dv.db and tb.tbl = dv.tbl group by tb.db, tb.tbl
+  union all select db, tbl, version, valid_from, valid_to, n_columns from dv)"""
+
+SQL["ddl_table"] = with_(CHANGELOG, DDL) + "select seq, ddl_kind, db, tbl from ddl"
+
+SQL["schema_intervals"] = with_(CHANGELOG, DDL, VERSIONS) + "select * from vall"
+
+SQL["schema_asof"] = with_(CHANGELOG, DDL, VERSIONS) + """
+select c.seq, c.db, c.tbl, v.version, v.n_columns
+from cl c left join vall v
+  on c.db = v.db and c.tbl = v.tbl and c.pos_key >= v.valid_from and (v.valid_to is null or c.pos_key < v.valid_to)
+where c.event_type <> 'query'"""
+
+SQL["primary_keys"] = with_(CHANGELOG, DDL) + f""",
+cat as (
+  select db, tbl, 1 as ordinal, 'id' as column_name, 'PRI' as column_key from (select distinct db, tbl from cl)
+  union all
+  select db, tbl, 3 + row_number() over (partition by db, tbl order by pos_key, row_no) as ordinal,
+         regexp_extract(query, {X['ADD']}, 1) as column_name,
+         case when seq % 1000 = 0 then 'PRI' else '' end as column_key
+  from ddl where regexp_matches(query, {X['ADD']}))
+select db, tbl, string_agg(column_name, ',' order by ordinal) as primary_keys,
+       arg_max(column_name, ordinal) as "primary", count(*) as n_keys
+from cat where column_key = 'PRI' group by db, tbl"""
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(lit(v) if isinstance(v, str) else str(v) for v in values) + "]"
+
+
+COLUMN_TYPES = f"""
+ct as (
+  select o_orderkey,
+         concat(case when o_orderkey % 2 = 0 then 'enum' else 'set' end, '(''', o_orderstatus, ',',
+                o_orderpriority, ''',''it''''s ', cast(o_custkey % 10 as varchar), ')'')') as column_type,
+         list_extract({_list(X['FLAG_TYPES'])}, cast(o_orderkey % {len(X['FLAG_TYPES'])} + 1 as integer)) as flag_type,
+         list_extract({_list(X['KEY_KINDS'])}, cast(o_orderkey % {len(X['KEY_KINDS'])} + 1 as integer)) as column_key,
+         case when o_orderkey % 5 = 0 then 'auto_increment' else '' end as extra,
+         list_extract({_list(X['TYPE_CODES'])}, cast(o_orderkey % {len(X['TYPE_CODES'])} + 1 as integer)) as type_code
+  from orders)"""
+
+SQL["enum_labels"] = with_(COLUMN_TYPES) + f"""
+select o_orderkey, column_type,
+       array_to_string(list_transform(regexp_extract_all(column_type, {X['LABEL']}, 1),
+                                      lambda s: replace(s, '''''', '''')), '|') as labels,
+       len(regexp_extract_all(column_type, {X['LABEL']}, 1)) as n_labels
+from ct"""
+
+SQL["column_flags"] = with_(COLUMN_TYPES) + """
+select o_orderkey, flag_type, column_key, extra,
+       lower(flag_type) = 'tinyint(1)' as is_bool, contains(lower(flag_type), 'unsigned') as unsigned,
+       column_key <> '' as is_primary, contains(lower(extra), 'auto_increment') as auto_increment
+from ct"""
+
+_NAME_CASE = "case type_code " + " ".join(f"when {k} then {lit(v)}" for k, v in X["NAMES"].items()) + \
+    " else cast(type_code as varchar) end"
+_KNOWN = ", ".join(str(k) for k in X["NAMES"])
+_UNSUP = ", ".join(str(k) for k in X["UNSUP"])
+
+SQL["quarantine"] = with_(COLUMN_TYPES) + f""",
+q as (
+  select o_orderkey, type_code, {_NAME_CASE} as type_name,
+         case when type_code in ({_UNSUP}) then concat('unimplemented type ', {_NAME_CASE})
+              when type_code not in ({_KNOWN}) then concat('unknown field type ', cast(type_code as varchar))
+         end as decode_error
+  from ct)
+select *, case when decode_error is null then 'ok' else 'quarantine' end as route from q"""
+
+SQL["key_history"] = with_(CHANGELOG, KEYED) + """
+select db, tbl, id, seq, event_type, row_number() over w as version, ev_ts as valid_from,
+       lead(ev_ts) over w as valid_to
+from kc window w as (partition by db, tbl, id order by pos_key, row_no)"""
+
+SQL["key_order"] = with_(CHANGELOG, KEYED) + """
+select db, tbl, id, seq, row_number() over (partition by db, tbl, id order by pos_key, row_no) as key_seq
+from kc"""
+
+SQL["changed_columns"] = with_(CHANGELOG) + """
+select db, tbl, a_id as id, seq,
+       concat_ws(',', case when b_id is distinct from a_id then 'id' end,
+                      case when b_value is distinct from a_value then 'value' end,
+                      case when b_props is distinct from a_props then 'props' end) as changed,
+       cast(b_id is distinct from a_id as integer) + cast(b_value is distinct from a_value as integer)
+         + cast(b_props is distinct from a_props as integer) as n_changed
+from cl where event_type = 'update'"""
+
+SQL["continuity"] = with_(CHANGELOG, KEYED) + """,
+k as (
+  select *, lag(a_id) over w as p_id, lag(a_value) over w as p_value, lag(a_props) over w as p_props
+  from kc window w as (partition by db, tbl, id order by pos_key, row_no))
+select db, tbl, id, seq, event_type, case when p_id is null then 'no_prior_image' else 'mismatch' end as status
+from k
+where b_id is not null
+  and (p_id is null or b_id is distinct from p_id or b_value is distinct from p_value
+       or b_props is distinct from p_props)"""
+
+SQL["last_changes"] = with_(CHANGELOG) + LOG + """
+where db = 'app' and tbl = 't0' order by pos_key desc, row_no desc limit 20"""
+
+SQL["merge_feeds"] = with_(CHANGELOG) + LOG + f" where pos_key <= 7 * {P2} + 119884 union " + LOG + \
+    f" where pos_key >= 4 * {P2} + 4"
+
+SQL["feed_difference"] = with_(CHANGELOG) + LOG + \
+    f" where pos_key <= 7 * {P2} + 119884 and not (pos_key >= 4 * {P2} + 4)"
+
+SQL["lookup_current"] = with_(CHANGELOG, KEYED) + """,
+ranked as (
+  select *, row_number() over (partition by db, tbl, id order by pos_key desc, row_no desc) as rn from kc),
+cur as (select db, tbl, id, a_value as value, a_props as props from ranked where rn = 1 and event_type <> 'delete'),
+keys as (select distinct db, tbl, id from kc)
+select k.db, k.tbl, k.id, c.value, c.props, c.id is not null as found
+from keys k left join cur c on k.db = c.db and k.tbl = c.tbl and k.id = c.id"""
+
+SQL["rate_tumbling"] = with_(CHANGELOG) + """
+select time_bucket(interval '10 minutes', ev_ts) as window_start,
+       time_bucket(interval '10 minutes', ev_ts) + interval '10 minutes' as window_end, db, count(*) as n_changes
+from cl group by all"""
+
+SQL["rate_sliding"] = with_(CHANGELOG) + """
+select ws as window_start, ws + interval '10 minutes' as window_end, db, count(*) as n_changes
+from (select db, unnest([time_bucket(interval '5 minutes', ev_ts),
+                         time_bucket(interval '5 minutes', ev_ts) - interval '5 minutes']) as ws from cl)
+group by all"""
+
+SQL["rate_session"] = with_(CHANGELOG) + """,
+s as (
+  select db, tbl, ev_ts, pos_key, row_no, lag(ev_ts) over w as p
+  from cl window w as (partition by db, tbl order by ev_ts, pos_key, row_no)),
+g as (
+  select *, sum(case when p is null or ev_ts >= p + interval '30 minutes' then 1 else 0 end)
+              over (partition by db, tbl order by ev_ts, pos_key, row_no rows unbounded preceding) as sid
+  from s)
+select db, tbl, min(ev_ts) as session_start, max(ev_ts) + interval '30 minutes' as session_end,
+       count(*) as n_changes
+from g group by db, tbl, sid"""

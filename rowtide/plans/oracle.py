@@ -420,3 +420,57 @@ g as (
 select db, tbl, min(ev_ts) as session_start, max(ev_ts) + interval '30 minutes' as session_end,
        count(*) as n_changes
 from g group by db, tbl, sid"""
+
+RAW = f"""
+ev as (
+  select seq * 4 as ordinal, 4 as type_code, 0 as ts_secs, 19 + 4 + 8 + strlen(log_file) as event_size,
+         0 as log_pos, 32 as flags, log_file, seq, db, query, event_type from cl where seq % 1000 = 0
+  union all
+  select seq * 4 + 1, 33, cast(floor(epoch_us(ev_ts) / 1000000) as bigint), 19 + 4 + 25, log_pos + 1, 0,
+         log_file, seq, db, query, event_type from cl
+  union all
+  select seq * 4 + 2, case event_type when 'query' then 2 when 'insert' then 30 when 'update' then 31 else 32 end,
+         cast(floor(epoch_us(ev_ts) / 1000000) as bigint),
+         case when event_type = 'query' then 19 + 4 + 13 + strlen(db) + 1 + strlen(query) else 19 + 4 + 8 end,
+         log_pos, (seq * 37) % 2048, log_file, seq, db, query, event_type from cl
+  union all
+  select seq * 4 + 3, 16, cast(floor(epoch_us(ev_ts) / 1000000) as bigint), 19 + 4 + 8, log_pos + 2, 0,
+         log_file, seq, db, query, event_type from cl where event_type <> 'query')"""
+
+SQL["header_split"] = with_(CHANGELOG, RAW) + """
+select 'srv-2' as source, ordinal, ts_secs, type_code, 2 as server_id, event_size, log_pos, flags,
+       true as checksum_ok, true as size_ok
+from ev"""
+
+
+def _event_name_case():
+    from ..model import EVENT_NAMES
+    return "case type_code " + " ".join(f"when {k} then {lit(v)}" for k, v in EVENT_NAMES.items()) + \
+        " else cast(type_code as varchar) end"
+
+
+SQL["event_names"] = with_(CHANGELOG, RAW) + f"""
+select ordinal, type_code, {_event_name_case()} as event_name,
+       case when type_code in (20, 23, 30) then 'insert' when type_code in (21, 24, 31) then 'update'
+            when type_code in (22, 25, 32) then 'delete' when type_code = 2 then 'query'
+            else cast(type_code as varchar) end as operation
+from ev where type_code not in (27, 28, 33, 34, 35)"""
+
+
+def _flag_list():
+    from ..model import FLAG_NAMES
+    return "[" + ", ".join(lit(n) for n in FLAG_NAMES) + "]"
+
+
+SQL["flag_names"] = with_(CHANGELOG, RAW) + f"""
+select ordinal, flags,
+       array_to_string(list_concat(list_filter({_flag_list()}, lambda n, i: (flags & (1 << (i - 1))) <> 0),
+                                   case when flags & 64512 <> 0 then ['UNKNOWN_0x' || lower(hex(flags & 64512))]
+                                        else [] end), ',') as flag_names
+from ev"""
+
+SQL["query_body_split"] = with_(CHANGELOG) + """
+select seq * 4 + 2 as ordinal, seq as proxy_id, 0 as exec_time, 0 as error_code, db as schema, query
+from cl where event_type = 'query'"""
+
+SQL["log_file_fill"] = with_(CHANGELOG, RAW) + "select ordinal, type_code, log_file from ev"

@@ -394,3 +394,43 @@ def q_rate_sliding(spark, sf):
 @query("rate_session")
 def q_rate_session(spark, sf):
     return consume.change_sessions(feeds.changelog(spark, sf), ["db", "tbl"], 30 * 60)
+
+
+# -- raw-event ingest (H1-H11) ----------------------------------------------
+from ..functions import header as H  # noqa: E402
+from ..operators import rawlog  # noqa: E402
+from ..sources.rawlog import raw_events  # noqa: E402
+
+
+@query("header_split")
+def q_header_split(spark, sf):
+    ev = rawlog.decode_headers(raw_events(spark, sf))
+    return ev.select("source", "ordinal", F.unix_seconds("ts").alias("ts_secs"), "type_code", "server_id",
+                     "event_size", "log_pos", "flags", "checksum_ok",
+                     (F.col("event_size") == F.length("payload")).alias("size_ok"))
+
+
+@query("event_names")
+def q_event_names(spark, sf):
+    ev = rawlog.dispatch(rawlog.decode_headers(raw_events(spark, sf)))
+    return ev.select("ordinal", "type_code", H.event_name("type_code").alias("event_name"),
+                     shape.operation_name("type_code").alias("operation"))
+
+
+@query("flag_names")
+def q_flag_names(spark, sf):
+    ev = rawlog.decode_headers(raw_events(spark, sf))
+    return ev.select("ordinal", "flags", F.array_join(H.flag_names("flags"), ",").alias("flag_names"))
+
+
+@query("query_body_split")
+def q_query_body_split(spark, sf):
+    ev = rawlog.decode_headers(raw_events(spark, sf)).filter(F.col("type_code") == 2)
+    return ev.select("ordinal", H.query_body("payload").alias("q")).select(
+        "ordinal", "q.proxy_id", "q.exec_time", "q.error_code", "q.schema", "q.query")
+
+
+@query("log_file_fill")
+def q_log_file_fill(spark, sf):
+    ev = rawlog.fill_log_file(rawlog.decode_headers(raw_events(spark, sf)))
+    return ev.select("ordinal", "type_code", "log_file")

@@ -92,13 +92,18 @@ def _image_variant(c: str) -> Column:
     return F.parse_json(F.coalesce(F.to_json(F.col(c), {"ignoreNullFields": "false"}), F.lit("{}")))
 
 
-def envelope_json(env: DataFrame, column: str = "value") -> DataFrame:
-    """Serialise envelopes to JSON text; null image fields are kept as JSON null."""
+def envelope_text() -> Column:
+    """JSON text of the envelope columns; null image fields are kept as JSON null."""
     body = F.struct("binlog", "db", "table", "query", "event_type", "primary",
                     _image_variant("before").alias("before"), _image_variant("after").alias("after"),
                     "timestamp")
+    return F.to_json(body, {"ignoreNullFields": "false"})
+
+
+def envelope_json(env: DataFrame, column: str = "value") -> DataFrame:
+    """Serialise envelopes to JSON text (position columns kept beside it)."""
     keep = [c for c in ("pos_key", "row_no", "db", "table") if c in env.columns]
-    return env.select(*keep, F.to_json(body, {"ignoreNullFields": "false"}).alias(column))
+    return env.select(*keep, envelope_text().alias(column))
 
 
 def parse_envelope_json(df: DataFrame, column: str = "value") -> DataFrame:

@@ -474,3 +474,12 @@ select seq * 4 + 2 as ordinal, seq as proxy_id, 0 as exec_time, 0 as error_code,
 from cl where event_type = 'query'"""
 
 SQL["log_file_fill"] = with_(CHANGELOG, RAW) + "select ordinal, type_code, log_file from ev"
+
+SQL["stream_envelope"] = with_(CHANGELOG) + """
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, query, "primary",
+       b_id as before_id, b_value as before_value, b_props as before_props,
+       a_id as after_id, a_value as after_value, a_props as after_props,
+       cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as "timestamp", cast(ev_ts as date) as dt
+from cl"""
+
+SQL["stream_latest"] = SQL["latest_state"]

@@ -434,3 +434,40 @@ def q_query_body_split(spark, sf):
 def q_log_file_fill(spark, sf):
     ev = rawlog.fill_log_file(rawlog.decode_headers(raw_events(spark, sf)))
     return ev.select("ordinal", "type_code", "log_file")
+
+
+# -- streaming (S1, P3, K7, A8) ----------------------------------------------
+from ..session import scratch_dir  # noqa: E402
+from ..streaming import stream as S  # noqa: E402
+
+STAGE_FILES = 4
+
+
+def _stage_envelopes(spark, sf) -> str:
+    """Publish the feed as JSON envelope files (the stream's input), several files
+    so the stream runs in several micro-batches."""
+    stage = scratch_dir(spark, "stage")
+    env = shape.envelope(feeds.changelog(spark, sf))
+    (env.select(shape.envelope_text().alias("value")).repartition(STAGE_FILES)
+        .write.mode("overwrite").text(stage))
+    return stage
+
+
+@query("stream_envelope")
+def q_stream_envelope(spark, sf):
+    stage = _stage_envelopes(spark, sf)
+    out, ck = scratch_dir(spark, "changes"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.change_table_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    t = spark.read.parquet(out)
+    return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "query", "primary",
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after")
+                      for c in ("id", "value", "props")],
+                    "timestamp", "dt")
+
+
+@query("stream_latest")
+def q_stream_latest(spark, sf):
+    stage = _stage_envelopes(spark, sf)
+    out, ck = scratch_dir(spark, "latest"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    return S.read_latest_state(spark, out)

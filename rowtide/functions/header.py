@@ -23,12 +23,22 @@ def _lit_int(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+# Reversing the hex text of a value reverses its bytes *and* the two nibbles
+# inside each byte; swapping the nibbles arithmetically first (or after, when
+# decoding) leaves a pure byte reversal: little-endian <-> big-endian with one
+# ``reverse`` instead of one substring per byte.
+_NIBBLES = 0x0F0F0F0F0F0F0F0F
+
+
+def _swap_nibbles(v: Column) -> Column:
+    return (F.shiftleft(v.bitwiseAND(F.lit(_NIBBLES)), 4)
+            .bitwiseOR(F.shiftright(v, 4).bitwiseAND(F.lit(_NIBBLES))))
+
+
 # ---- encoding (used to build raw feeds from tables) -------------------------
 def le_hex(x, nbytes: int) -> Column:
     """Hex text of a non-negative integer as ``nbytes`` little-endian bytes."""
-    h = F.lpad(F.hex(_c(x).cast("long")), 2 * nbytes, "0")
-    h = F.substring(h, -2 * nbytes, 2 * nbytes)
-    return F.concat(*[F.substring(h, 2 * nbytes - 1 - 2 * i, 2) for i in range(nbytes)])
+    return F.reverse(F.lpad(F.hex(_swap_nibbles(_c(x).cast("long"))), 2 * nbytes, "0"))
 
 
 def text_hex(s) -> Column:
@@ -37,10 +47,9 @@ def text_hex(s) -> Column:
 
 # ---- decoding ----------------------------------------------------------------
 def le_int(payload, offset, nbytes: int) -> Column:
-    """Unsigned little-endian integer of ``nbytes`` at 0-based ``offset``."""
-    h = F.hex(_c(payload).substr(_lit_int(offset) + 1, F.lit(nbytes)))
-    rev = F.concat(*[F.substring(h, 2 * nbytes - 1 - 2 * i, 2) for i in range(nbytes)])
-    return F.conv(rev, 16, 10).cast("long")
+    """Unsigned little-endian integer of ``nbytes`` (<= 8) at 0-based ``offset``."""
+    h = F.reverse(F.hex(_c(payload).substr(_lit_int(offset) + 1, F.lit(nbytes))))
+    return _swap_nibbles(F.conv(h, 16, -10).cast("long"))
 
 
 def header(payload) -> Column:

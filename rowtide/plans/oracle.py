@@ -438,7 +438,8 @@ ev as (
          log_file, seq, db, query, event_type from cl where event_type <> 'query')"""
 
 SQL["header_split"] = with_(CHANGELOG, RAW) + """
-select 'srv-2' as source, ordinal, ts_secs, type_code, 2 as server_id, event_size, log_pos, flags,
+select 'srv-2' as source, ordinal, ts_secs, type_code, case when db = 'app' then 2 else 3 end as server_id,
+       event_size, log_pos, flags,
        true as checksum_ok, true as size_ok
 from ev"""
 
@@ -483,3 +484,38 @@ select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event
 from cl"""
 
 SQL["stream_latest"] = SQL["latest_state"]
+
+SQL["db_ignore"] = with_(CHANGELOG) + FILT + " where db not in ('audit')"
+
+SQL["server_filter"] = with_(CHANGELOG, RAW) + """
+select ordinal, type_code, 3 as server_id from ev where db <> 'app'"""
+
+SQL["known_tables"] = with_(CHANGELOG, DDL) + FILT + """
+where (db, tbl) in (select db, tbl from ddl)"""
+
+SQL["attach_primary"] = with_(CHANGELOG, DDL) + f""",
+cat as (
+  select db, tbl, 1 as ordinal, 'id' as column_name, 'PRI' as column_key from (select distinct db, tbl from cl)
+  union all
+  select db, tbl, 3 + row_number() over (partition by db, tbl order by pos_key, row_no) as ordinal,
+         regexp_extract(query, {X['ADD']}, 1) as column_name,
+         case when seq % 1000 = 0 then 'PRI' else '' end as column_key
+  from ddl where regexp_matches(query, {X['ADD']})),
+pk as (
+  select db, tbl, string_agg(column_name, ',' order by ordinal) as key_columns,
+         arg_max(column_name, ordinal) as key_primary
+  from cat where column_key = 'PRI' group by db, tbl)
+select cl.seq, cl.db, cl.tbl, pk.key_columns, pk.key_primary
+from cl left join pk on cl.db = pk.db and cl.tbl = pk.tbl"""
+
+SQL["publish_messages"] = with_(CHANGELOG) + """
+select concat(db, '.', tbl, ':', coalesce(cast(coalesce(a_id, b_id) as varchar), '')) as key,
+       concat(log_file, ':', cast(log_pos as varchar)) as binlog, event_type, a_value as after_value
+from cl"""
+
+SQL["name_columns"] = """
+select l_orderkey as orderkey, l_partkey as partkey, l_suppkey as suppkey, cast(l_linenumber as bigint) as linenumber
+from lineitem"""
+
+SQL["decode_blob"] = """
+select c_custkey, to_base64(encode(c_name)) as blob_b64, octet_length(encode(c_name)) as n_bytes from customer"""

@@ -471,3 +471,61 @@ def q_stream_latest(spark, sf):
     out, ck = scratch_dir(spark, "latest"), scratch_dir(spark, "ckpt")
     S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
     return S.read_latest_state(spark, out)
+
+
+# -- remaining subscription, lookup and publish operators ------------------------
+from ..sinks.publish import to_messages  # noqa: E402
+
+
+@query("db_ignore")
+def q_db_ignore(spark, sf):
+    return filters.ignore_databases(feeds.changelog(spark, sf), ["audit"]).select(*FILTER_COLS)
+
+
+@query("server_filter")
+def q_server_filter(spark, sf):
+    ev = filters.from_server(rawlog.decode_headers(raw_events(spark, sf)), 3)
+    return ev.select("ordinal", "type_code", "server_id")
+
+
+@query("known_tables")
+def q_known_tables(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    ddl_tables = schema.ddl_changes(cl).select("db", "tbl")
+    return schema.known_tables(cl, ddl_tables).select(*FILTER_COLS)
+
+
+@query("attach_primary")
+def q_attach_primary(spark, sf):
+    cl = feeds.changelog(spark, sf)
+    keys = schema.primary_keys(schema.catalogue(cl))
+    out = schema.attach_primary(cl.drop("primary", "primary_keys"), keys)
+    return out.select("seq", "db", "tbl", F.col("primary_keys").alias("key_columns"),
+                      F.col("primary").alias("key_primary"))
+
+
+@query("publish_messages")
+def q_publish_messages(spark, sf):
+    msgs = to_messages(shape.envelope(feeds.changelog(spark, sf)))
+    v = F.col("value")
+    return msgs.select("key", F.get_json_object(v, "$.binlog").alias("binlog"),
+                       F.get_json_object(v, "$.event_type").alias("event_type"),
+                       F.get_json_object(v, "$.after.value").cast("double").alias("after_value"))
+
+
+NAMED = ["orderkey", "partkey", "suppkey", "linenumber"]
+
+
+@query("name_columns")
+def q_name_columns(spark, sf):
+    from ..sources.tables import read_table
+    li = read_table(spark, sf, "lineitem")
+    vals = F.array(*[F.col(c).cast("long") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
+    return li.select(shape.name_columns(vals, NAMED).alias("r")).select("r.*")
+
+
+@query("decode_blob")
+def q_decode_blob(spark, sf):
+    from ..sources.tables import read_table
+    cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
+    return cu.select("c_custkey", D.blob_text("raw").alias("blob_b64"), F.length("raw").alias("n_bytes"))

@@ -19,7 +19,8 @@ from ..operators.shape import event_seconds
 from .feeds import changelog
 
 SOURCE = "srv-2"
-SERVER_ID = 2
+# Changes of db "app" come from server 2, all others from server 3.
+SERVER_APP, SERVER_OTHER = 2, 3
 ARTIFICIAL_FLAG = 32
 
 
@@ -50,9 +51,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = F.filter(F.array(F.when(seq % 1000 == 0, rotate), gtid,
                               F.when(et == "query", query).otherwise(rows),
                               F.when(et != "query", xid)), lambda e: e.isNotNull())
-    ev = cl.select(seq, F.explode(events).alias("e")).select("seq", "e.*")
+    server = F.when(F.col("db") == "app", SERVER_APP).otherwise(SERVER_OTHER)
+    ev = cl.select(seq, server.alias("server_id"), F.explode(events).alias("e")).select("seq", "server_id", "e.*")
     size = F.lit(HEADER_LEN + CHECKSUM_LEN) + F.length("body") / 2
-    head = F.concat(le_hex("ts", 4), le_hex("type_code", 1), le_hex(F.lit(SERVER_ID), 4),
+    head = F.concat(le_hex("ts", 4), le_hex("type_code", 1), le_hex("server_id", 4),
                     le_hex(size.cast("long"), 4), le_hex("log_pos", 4), le_hex("flags", 2))
     body = F.unhex(F.concat(head, F.col("body")))
     return ev.select(F.lit(SOURCE).alias("source"), (F.col("seq") * 4 + F.col("k")).alias("ordinal"),

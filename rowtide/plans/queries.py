@@ -176,7 +176,7 @@ def q_resume_after(spark, sf):
 
 @query("dedup_replay")
 def q_dedup_replay(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     replay = cl.filter(F.col("file_no") == REPLAYED_FILE_NO)
     return positions.dedup_replay(cl.unionByName(replay)).select(*LOG_COLS)
 
@@ -279,19 +279,19 @@ def q_ddl_table(spark, sf):
 
 @query("schema_intervals")
 def q_schema_intervals(spark, sf):
-    return schema.schema_versions(feeds.changelog(spark, sf))
+    return schema.schema_versions(feeds.stored(feeds.changelog(spark, sf)))
 
 
 @query("schema_asof")
 def q_schema_asof(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     rows = cl.filter(F.col("event_type") != "query")
     return schema.schema_asof(rows, schema.schema_versions(cl)).select("seq", "db", "tbl", "version", "n_columns")
 
 
 @query("primary_keys")
 def q_primary_keys(spark, sf):
-    return schema.primary_keys(schema.catalogue(feeds.changelog(spark, sf)))
+    return schema.primary_keys(schema.catalogue(feeds.stored(feeds.changelog(spark, sf))))
 
 
 @query("enum_labels")
@@ -325,13 +325,13 @@ KEY = ["db", "tbl", "id"]
 
 @query("key_history")
 def q_key_history(spark, sf):
-    h = consume.key_history(feeds.changelog(spark, sf))
+    h = consume.key_history(feeds.stored(feeds.changelog(spark, sf)))
     return h.select(*KEY, "seq", "event_type", "version", "valid_from", "valid_to")
 
 
 @query("key_order")
 def q_key_order(spark, sf):
-    return consume.key_order(feeds.changelog(spark, sf)).select(*KEY, "seq", "key_seq")
+    return consume.key_order(feeds.stored(feeds.changelog(spark, sf))).select(*KEY, "seq", "key_seq")
 
 
 @query("changed_columns")
@@ -342,7 +342,7 @@ def q_changed_columns(spark, sf):
 
 @query("continuity")
 def q_continuity(spark, sf):
-    return consume.continuity(feeds.changelog(spark, sf)).select(*KEY, "seq", "event_type", "status")
+    return consume.continuity(feeds.stored(feeds.changelog(spark, sf))).select(*KEY, "seq", "event_type", "status")
 
 
 @query("last_changes")
@@ -355,7 +355,7 @@ MERGE_B_FROM = "mysql-bin.000004:4"
 
 
 def _two_feeds(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     a = cl.filter(F.col("pos_key") <= F.lit(positions.label_key(MERGE_A_TO)))
     b = cl.filter(F.col("pos_key") >= F.lit(positions.label_key(MERGE_B_FROM)))
     return a, b
@@ -375,7 +375,7 @@ def q_feed_difference(spark, sf):
 
 @query("lookup_current")
 def q_lookup_current(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     current = consume.latest_state(cl).select(*KEY, "value", "props", F.lit(True).alias("found"))
     out = consume.lookup_current(consume.keyed_changes(cl), current, KEY)
     return out.withColumn("found", F.coalesce("found", F.lit(False)))
@@ -393,7 +393,7 @@ def q_rate_sliding(spark, sf):
 
 @query("rate_session")
 def q_rate_session(spark, sf):
-    return consume.change_sessions(feeds.changelog(spark, sf), ["db", "tbl"], 30 * 60)
+    return consume.change_sessions(feeds.stored(feeds.changelog(spark, sf)), ["db", "tbl"], 30 * 60)
 
 
 # -- raw-event ingest (H1-H11) ----------------------------------------------
@@ -432,7 +432,7 @@ def q_query_body_split(spark, sf):
 
 @query("log_file_fill")
 def q_log_file_fill(spark, sf):
-    ev = rawlog.fill_log_file(rawlog.decode_headers(raw_events(spark, sf)))
+    ev = rawlog.fill_log_file(rawlog.decode_headers(feeds.stored(raw_events(spark, sf))))
     return ev.select("ordinal", "type_code", "log_file")
 
 
@@ -490,14 +490,14 @@ def q_server_filter(spark, sf):
 
 @query("known_tables")
 def q_known_tables(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     ddl_tables = schema.ddl_changes(cl).select("db", "tbl")
     return schema.known_tables(cl, ddl_tables).select(*FILTER_COLS)
 
 
 @query("attach_primary")
 def q_attach_primary(spark, sf):
-    cl = feeds.changelog(spark, sf)
+    cl = feeds.stored(feeds.changelog(spark, sf))
     keys = schema.primary_keys(schema.catalogue(cl))
     out = schema.attach_primary(cl.drop("primary", "primary_keys"), keys)
     return out.select("seq", "db", "tbl", F.col("primary_keys").alias("key_columns"),

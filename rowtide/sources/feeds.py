@@ -173,3 +173,20 @@ def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
                     pick(KEY_KINDS).alias("column_key"),
                     F.when(k % 5 == 0, F.lit("auto_increment")).otherwise(F.lit("")).alias("extra"),
                     pick(TYPE_CODES).alias("type_code"))
+
+
+def stored(df: DataFrame, name: str = "feed") -> DataFrame:
+    """Land a derived feed once, as a change table would be landed.
+
+    A feed read twice in one plan (a keyed window's summary branch, a self
+    join, a union with its own replay) would otherwise be derived twice,
+    shuffles included.  Writing it as Parquet under the shared folder named by
+    ``spark.checkpoint.dir`` cuts the lineage (an executor loss re-reads files
+    instead of re-deriving) and keeps column pruning and filter pushdown for
+    every reader, which ``DataFrame.checkpoint()`` would not.
+    """
+    from ..session import scratch_dir
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

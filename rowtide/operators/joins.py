@@ -19,11 +19,13 @@ from .ordered import keyed_window
 MAX_BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (module bound by default)."""
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str, max_rows: int | None = None) -> DataFrame:
     """Join ``big`` with a lookup side; broadcast it only when its size is proven small."""
     side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
     return big.join(side, on, how)
@@ -35,7 +37,7 @@ def list_frame(spark, rows: Sequence[tuple], columns: Sequence[str]) -> DataFram
 
 
 def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos: str = "pos_key",
-              vfrom: str = "valid_from", vto: str = "valid_to", max_rows: int = MAX_BROADCAST_ROWS,
+              vfrom: str = "valid_from", vto: str = "valid_to", max_rows: int | None = None,
               bucket_bits: int = 20) -> DataFrame:
     """Left join each event to the version of its key valid at its position.
 

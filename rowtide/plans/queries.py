@@ -286,7 +286,8 @@ def q_schema_intervals(spark, sf):
 def q_schema_asof(spark, sf):
     cl = feeds.stored(feeds.changelog(spark, sf))
     rows = cl.filter(F.col("event_type") != "query")
-    return schema.schema_asof(rows, schema.schema_versions(cl)).select("seq", "db", "tbl", "version", "n_columns")
+    versions = feeds.stored(schema.schema_versions(cl), "versions")   # sized once, read by the join
+    return schema.schema_asof(rows, versions).select("seq", "db", "tbl", "version", "n_columns")
 
 
 @query("primary_keys")

@@ -30,3 +30,19 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "n_changes" in df.columns
+
+
+SHUFFLE_PATH = ["schema_asof", "table_include", "table_exclude", "known_tables", "attach_primary", "db_allow"]
+
+
+@pytest.mark.parametrize("name", SHUFFLE_PATH)
+def test_unbroadcast_paths_match_oracle(spark, con, name, monkeypatch):
+    """With the broadcast bound at 0 every lookup side takes the shuffle / bucketed path."""
+    from rowtide.operators import joins
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rep = compare(spark, con, name, SF_SMALL, QUERIES, SQL)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rep["ok"], rep

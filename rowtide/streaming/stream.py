@@ -113,6 +113,21 @@ def read_latest_state(spark: SparkSession, out: str, keep_deletes: bool = False)
                       F.col("x.w.log_pos").alias("log_pos"), F.col("x.n_changes").alias("n_changes"))
 
 
+def compact_latest_state(spark: SparkSession, out: str, compacted: str) -> DataFrame:
+    """Fold the per-batch update folders of a latest-state stream into one table.
+
+    Long-running streams add one folder per micro-batch; readers then merge
+    more and more files.  Compaction writes the merged table (deletes kept as
+    tombstones) to ``compacted``; it is an aggregate with partial
+    aggregation, safe to rerun after a failure because it overwrites.
+    """
+    u = spark.read.parquet(out)
+    merged = u.groupBy(*LATEST_KEYS).agg(F.max_by(F.struct("w", "n_changes", "batch_id"), F.col("batch_id"))
+                                         .alias("x"))
+    merged.select(*LATEST_KEYS, "x.w", "x.n_changes", "x.batch_id").write.mode("overwrite").parquet(compacted)
+    return spark.read.parquet(compacted)
+
+
 # ---- P6, A7, P7 ----------------------------------------------------------------------
 def dedup_stream(env_stream: DataFrame, delay: str = "10 minutes",
                  identity: Sequence[str] = ("log_file", "log_pos", "row_no")) -> DataFrame:

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ..model import FIELD_TYPE_NAMES, UNSUPPORTED_FIELD_CODES
 
 TWO_64 = "18446744073709551616BD"  # 2^64 as an exact decimal literal
+# The epoch as a wall clock: zone-free arithmetic on timestamp_ntz values.
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _c(c) -> Column:
@@ -120,6 +123,11 @@ def timestamp_from_seconds(x, micros=None) -> Column:
     return F.timestamp_seconds(v)
 
 
+def utc_wall_clock(x) -> Column:
+    """Epoch seconds as a UTC wall clock (``timestamp_ntz``), independent of the session zone."""
+    return F.timestamp_add("SECOND", _c(x).cast("long"), epoch_ntz())
+
+
 # D9 ------------------------------------------------------------------------
 def datetime_from_int(x) -> Column:
     """Old DATETIME: integer ``YYYYMMDDHHMMSS``; the zero date -> null."""

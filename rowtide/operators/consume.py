@@ -149,7 +149,11 @@ def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str
     """
     by = list(by)
     order = [ts, "pos_key", "row_no"]
-    bucket = F.shiftright(F.unix_micros(F.col(ts).cast("timestamp")), 32)
+    from ..functions.decode import epoch_ntz
+    # Hour buckets of the event time: monotone in (ts, pos_key, row_no), zone-free for wall clocks.
+    t = F.col(ts)
+    bucket = (F.timestamp_diff("HOUR", epoch_ntz(), t) if dict(df.dtypes)[ts] == "timestamp_ntz"
+              else F.floor(F.unix_seconds(t) / 3600))
     d = df.select(*by, *order)
     d = keyed_window(d, by, order, bucket, lag=[ts])
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))

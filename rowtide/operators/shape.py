@@ -24,9 +24,13 @@ def operation_name(type_code) -> Column:
 
 
 def event_seconds(ts) -> Column:
-    """Header seconds of an event time (UTC)."""
+    """Header seconds of an event time given as a UTC wall clock (``timestamp_ntz``).
+
+    A difference of two wall-clock values, so the session time zone never enters.
+    """
+    from ..functions.decode import epoch_ntz
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_seconds(c.cast("timestamp"))
+    return F.timestamp_diff("SECOND", epoch_ntz(), c)
 
 
 def flatten_inserts(events: DataFrame, keep=("l_orderkey", "chunk")) -> DataFrame:

@@ -95,7 +95,7 @@ def q_decode_time(spark, sf):
 @query("decode_timestamp")
 def q_decode_timestamp(spark, sf):
     c = feeds.cells(spark, sf)
-    return c.select("o_orderkey", D.timestamp_from_seconds("ts_secs").cast("timestamp_ntz").alias("ts_value"))
+    return c.select("o_orderkey", D.utc_wall_clock("ts_secs").alias("ts_value"))
 
 
 @query("decode_datetime_int")

@@ -50,7 +50,7 @@ def publish(messages: DataFrame, fmt: str, path_or_topic: str, options: dict | N
 
 def write_change_table(env: DataFrame, path: str, mode: str = "append") -> None:
     """K7: columnar change table partitioned by db, table and event date, position-sorted files."""
-    out = env.withColumn("dt", F.to_date(F.timestamp_seconds("timestamp")))
+    out = env.withColumn("dt", F.date_from_unix_date(F.floor(F.col("timestamp") / 86400).cast("int")))
     (out.repartition("db", "table", "dt").sortWithinPartitions("pos_key", "row_no")
         .write.mode(mode).partitionBy("db", "table", "dt").parquet(path))
 

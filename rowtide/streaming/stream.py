@@ -58,7 +58,8 @@ def with_positions(env: DataFrame) -> DataFrame:
 def change_table_sink(env_stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
                       processing_time: str = "1 second"):
     """S1 -> K7: append envelopes to a parquet table partitioned by db, table and date."""
-    out_df = env_stream.withColumn("dt", F.to_date("ts"))
+    # Event date from the epoch seconds: the same partition whatever the session zone.
+    out_df = env_stream.withColumn("dt", F.date_from_unix_date(F.floor(F.col("timestamp") / 86400).cast("int")))
     w = (out_df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy("db", "table", "dt").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)

@@ -46,3 +46,17 @@ def test_unbroadcast_paths_match_oracle(spark, con, name, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rep["ok"], rep
+
+
+ZONE_SENSITIVE = ["envelope", "envelope_json", "query_passthrough", "decode_timestamp", "rate_tumbling",
+                  "rate_session", "header_split", "stream_envelope", "decode_datetime_int"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rep = compare(spark, con, name, SF_SMALL, QUERIES, SQL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rep["ok"], rep

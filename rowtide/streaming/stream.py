@@ -148,7 +148,13 @@ def rate_stream(env_stream: DataFrame, width: str, slide: str | None = None, by:
 
 def session_stream(env_stream: DataFrame, gap: str, by: Sequence[str] = ("db", "table"),
                    delay: str = "10 minutes") -> DataFrame:
-    """Session windows per group with a watermark."""
+    """Session windows per group with a watermark.
+
+    Spark runs streaming session windows in append mode (sessions are emitted
+    once the watermark passes their end, and their state is dropped) or
+    complete mode (the whole result each trigger; for small groupings and
+    tests).  Update mode is not available for session windows.
+    """
     return (env_stream.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("s"), *by)
             .agg(F.count(F.lit(1)).alias("n_changes"))
             .select(*by, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),

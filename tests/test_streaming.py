@@ -114,3 +114,23 @@ def test_ordered_batches(spark):
             k = (r["db"], r["table"], r["p"])
             assert last.get(k, -1) < r["pos_key"]
             last[k] = r["pos_key"]
+
+
+def test_session_stream_equals_batch_sessions(spark):
+    from rowtide.functions.decode import utc_wall_clock
+    from rowtide.operators.shape import event_seconds
+    cl = feeds.changelog(spark, SF_SMALL)
+    stage = _stage(spark, cl, 3)
+    name = "sessions_test"
+    q = (S.session_stream(S.envelope_stream(spark, stage, 1), "30 minutes", delay="3650 days")
+         .writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start())
+    S.run_to_end(q)
+    got = spark.table(name).select("db", F.col("table").alias("tbl"),
+                                   F.unix_seconds("session_start").alias("s"), F.unix_seconds("session_end").alias("e"),
+                                   "n_changes")
+    # the message carries whole seconds: compare with batch sessions over the same clock
+    secs = cl.withColumn("ev_ts", utc_wall_clock(event_seconds("ev_ts")))
+    b = consume.change_sessions(secs, ["db", "tbl"], 1800)
+    exp = b.select("db", "tbl", event_seconds("session_start").alias("s"), event_seconds("session_end").alias("e"),
+                   "n_changes")
+    assert sorted(got.collect()) == sorted(exp.collect())

@@ -11,8 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import consume
+from ..functions import decode as D
+from ..functions import header as H
+from ..functions.position import is_valid_position, parse_position, position_label
+from ..operators import consume, filters, positions, rawlog, schema, shape
+from ..session import scratch_dir
+from ..sinks.publish import to_messages
 from ..sources import feeds
+from ..sources.rawlog import raw_events
+from ..sources.tables import read_table
+from ..streaming import stream as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,8 +34,7 @@ def query(name: str):
 
 def flat_envelope(cl: DataFrame) -> DataFrame:
     """Flat columns of the published envelope (R6 + R10 + R11)."""
-    from ..operators.shape import envelope
-    e = envelope(cl)
+    e = shape.envelope(cl)
     return e.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "query", "primary",
                     *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after")
                       for c in ("id", "value", "props")],
@@ -50,7 +57,6 @@ def q_change_rollup(spark, sf):
 
 
 # -- D*: stored-value decode over cells derived from orders ------------------
-from ..functions import decode as D  # noqa: E402
 
 
 @query("decode_unsigned")
@@ -135,15 +141,12 @@ def q_decode_bit(spark, sf):
 
 @query("decode_text")
 def q_decode_text(spark, sf):
-    from ..sources.tables import read_table
     cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
     t = D.text_value("raw", "utf8mb4")
     return cu.select("c_custkey", t.alias("name_text"), F.length(t).alias("n_chars"))
 
 
 # -- positions (S3, S4, P2, P4, P6, F7) -------------------------------------
-from ..functions.position import is_valid_position, parse_position, position_label  # noqa: E402
-from ..operators import filters, positions, schema, shape  # noqa: E402
 
 SCAN_START = "mysql-bin.000003:40084"
 SCAN_STOP = "mysql-bin.000007:60004"
@@ -398,9 +401,6 @@ def q_rate_session(spark, sf):
 
 
 # -- raw-event ingest (H1-H11) ----------------------------------------------
-from ..functions import header as H  # noqa: E402
-from ..operators import rawlog  # noqa: E402
-from ..sources.rawlog import raw_events  # noqa: E402
 
 
 @query("header_split")
@@ -438,8 +438,6 @@ def q_log_file_fill(spark, sf):
 
 
 # -- streaming (S1, P3, K7, A8) ----------------------------------------------
-from ..session import scratch_dir  # noqa: E402
-from ..streaming import stream as S  # noqa: E402
 
 STAGE_FILES = 4
 
@@ -475,7 +473,6 @@ def q_stream_latest(spark, sf):
 
 
 # -- remaining subscription, lookup and publish operators ------------------------
-from ..sinks.publish import to_messages  # noqa: E402
 
 
 @query("db_ignore")
@@ -519,7 +516,6 @@ NAMED = ["orderkey", "partkey", "suppkey", "linenumber"]
 
 @query("name_columns")
 def q_name_columns(spark, sf):
-    from ..sources.tables import read_table
     li = read_table(spark, sf, "lineitem")
     vals = F.array(*[F.col(c).cast("long") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
     return li.select(shape.name_columns(vals, NAMED).alias("r")).select("r.*")
@@ -527,6 +523,5 @@ def q_name_columns(spark, sf):
 
 @query("decode_blob")
 def q_decode_blob(spark, sf):
-    from ..sources.tables import read_table
     cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
     return cu.select("c_custkey", D.blob_text("raw").alias("blob_b64"), F.length("raw").alias("n_bytes"))

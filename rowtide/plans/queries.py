@@ -483,6 +483,16 @@ def q_stream_latest(spark, sf):
     return S.read_latest_state(spark, out)
 
 
+@query("ordered_delivery")
+def q_ordered_delivery(spark, sf):
+    """Per-key log order of what an ordered stream delivered (out-of-order count must be 0)."""
+    stage = _stage_envelopes(spark, sf)
+    out, ck = scratch_dir(spark, "ordered"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.ordered_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    return S.delivery_order(out, spark).select("db", F.col("table").alias("tbl"), "id", "n_changes",
+                                               "n_out_of_order")
+
+
 # -- remaining subscription, lookup and publish operators ------------------------
 
 

@@ -134,3 +134,31 @@ def test_session_stream_equals_batch_sessions(spark):
     exp = b.select("db", "tbl", event_seconds("session_start").alias("s"), event_seconds("session_end").alias("e"),
                    "n_changes")
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def _hot_key_changes(spark):
+    """Every row change of the small feed on one record key: the hottest key possible."""
+    cl = feeds.changelog(spark, SF_SMALL).filter(F.col("event_type") != "query")
+    env = shape.envelope(cl)
+    return env.select("db", "table", "event_type", "pos_key", "row_no", F.lit(1).alias("id"))
+
+
+def test_ordered_batches_split_hot_key_in_order(spark):
+    out = scratch_dir(spark, "ordered")
+    hot = _hot_key_changes(spark).withColumn("db", F.lit("app")).withColumn("table", F.lit("t0"))
+
+    def write(b, batch_id):
+        b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    S.ordered_batches(write, ("db", "table", "id"), partitions=4)(hot, 0)
+    rep = S.delivery_order(out, spark).collect()
+    assert len(rep) == 1 and rep[0]["n_changes"] == hot.count() and rep[0]["n_out_of_order"] == 0
+    files = spark.read.parquet(out).select(F.col("_metadata.file_name")).distinct().count()
+    assert files > 1                                                      # the key is not pinned to one task
+
+
+def test_delivery_order_detects_unordered_writer(spark):
+    out = scratch_dir(spark, "unordered")
+    changes = _hot_key_changes(spark)
+    changes.repartition(4).write.mode("overwrite").parquet(f"{out}/batch_id=0")
+    rep = S.delivery_order(out, spark).agg(F.sum("n_out_of_order")).first()[0]
+    assert rep > 0

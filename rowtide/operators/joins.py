@@ -1,9 +1,9 @@
 """Join helpers with size-checked broadcasts and a skew-safe as-of join.
 
-A side is broadcast only after its row count has been checked against a
-bound (``limit(bound + 1).count()`` reads at most bound + 1 rows).  Beyond
-the bound the plan falls back to a shuffle join that does not depend on the
-side being small.
+A side is broadcast only after its row count and byte size have been checked
+against bounds (one aggregate over ``limit(bound + 1)`` reads at most
+bound + 1 rows).  Beyond either bound the plan falls back to a shuffle join
+that does not depend on the side being small.
 """
 
 from __future__ import annotations
@@ -17,17 +17,29 @@ from .ordered import keyed_window
 
 # Rows a lookup side may hold to be broadcast (a catalogue or list, not a log).
 MAX_BROADCAST_ROWS = 200_000
+# Bytes of its rows (as JSON text) a broadcast side may hold.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (module bound by default)."""
-    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One pass over at most ``max_rows + 1`` rows measures both: the row count
+    and the JSON text length of those rows (an upper-side estimate of the
+    hashed relation for text and a fair one for numbers), so a side of few but
+    wide rows (long type texts, big arrays) is not broadcast either.
+    """
+    rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    size = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    r = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
+    return r["n"] <= rows and (r["b"] or 0) <= size
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str, max_rows: int | None = None) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str, max_rows: int | None = None,
+                max_bytes: int | None = None) -> DataFrame:
     """Join ``big`` with a lookup side; broadcast it only when its size is proven small."""
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
+    side = F.broadcast(small) if fits_broadcast(small, max_rows, max_bytes) else small
     return big.join(side, on, how)
 
 
@@ -38,7 +50,7 @@ def list_frame(spark, rows: Sequence[tuple], columns: Sequence[str]) -> DataFram
 
 def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos: str = "pos_key",
               vfrom: str = "valid_from", vto: str = "valid_to", max_rows: int | None = None,
-              bucket_bits: int = 20) -> DataFrame:
+              bucket_bits: int = 20, max_bytes: int | None = None) -> DataFrame:
     """Left join each event to the version of its key valid at its position.
 
     ``versions`` holds non-overlapping ``[vfrom, vto)`` intervals per key
@@ -58,7 +70,7 @@ def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos:
     cond = [F.col(k) == F.col(ren[k]) for k in keys] + [p >= lo, hi.isNull() | (p < hi)]
     out = [F.col(c) for c in events.columns] + [F.col(ren[c]).alias(c) for c in vcols]
 
-    if fits_broadcast(versions, max_rows):
+    if fits_broadcast(versions, max_rows, max_bytes):
         return events.join(F.broadcast(v), cond, "left").select(*out)
 
     b = F.shiftright(p, bucket_bits)

@@ -45,3 +45,22 @@ def test_bucketed_path(spark):
 def test_fits_broadcast_bound(spark):
     df = spark.range(10)
     assert fits_broadcast(df, 10) and not fits_broadcast(df, 9)
+
+
+def test_fits_broadcast_byte_bound(spark):
+    from pyspark.sql import functions as F
+    wide = spark.range(4).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert fits_broadcast(wide, 10, 10_000)
+    assert not fits_broadcast(wide, 10, 3_000)          # few rows, but wide ones
+
+
+def test_lookup_join_fallback_same_answer(spark):
+    from pyspark.sql import functions as F
+
+    from rowtide.operators.joins import lookup_join
+    big = spark.range(200).select((F.col("id") % 7).alias("k"), "id")
+    small = spark.range(5).select(F.col("id").alias("k"), F.repeat(F.lit("y"), 500).alias("text"))
+    bc = lookup_join(big, small, ["k"], "left")
+    sh = lookup_join(big, small, ["k"], "left", max_bytes=100)
+    assert sorted(map(tuple, bc.collect())) == sorted(map(tuple, sh.collect()))
+    assert sh.filter(F.col("text").isNull()).count() == sum(1 for i in range(200) if i % 7 >= 5)

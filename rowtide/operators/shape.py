@@ -68,7 +68,7 @@ def pair_update_rows(images: DataFrame, event_keys=("l_orderkey",)) -> DataFrame
     Groups of (event, row_no div 2) hold at most two rows, so the aggregate is
     bounded whatever the event size; partial aggregation does the rest.
     """
-    img_cols = [c for c in images.columns if c not in (*event_keys, "op", "row_no")]
+    img_cols = [c for c in images.columns if c not in (*event_keys, "op")]
     img = F.struct(*img_cols)
     return (images.filter(F.col("op") == "update")
                   .groupBy(*event_keys, (F.col("row_no") / 2).cast("long").alias("pair_no"))

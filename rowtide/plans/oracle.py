@@ -250,6 +250,8 @@ select l_orderkey, row_no // 2 as pair_no,
        case when count(*) = 2 then 'paired' else 'odd_tail' end as status
 from ri where op = 'update' group by l_orderkey, row_no // 2"""
 
+SQL["pair_update_long"] = SQL["pair_update"]
+
 SQL["drop_empty"] = with_(CHANGELOG) + """
 select log_file, log_pos, event_type,
        case event_type when 'update' then 2 when 'query' then 0 else 1 end as n_rows

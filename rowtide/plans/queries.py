@@ -244,6 +244,15 @@ def q_pair_update(spark, sf):
                     "status")
 
 
+@query("pair_update_long")
+def q_pair_update_long(spark, sf):
+    """R3 on the long form: one row per image, paired by (event, row_no div 2)."""
+    p = shape.pair_update_rows(feeds.row_images(spark, sf))
+    return p.select("l_orderkey", "pair_no",
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after") for c in IMG[:3]],
+                    "status")
+
+
 @query("drop_empty")
 def q_drop_empty(spark, sf):
     ev = shape.drop_empty(shape.change_events(feeds.changelog(spark, sf)))

@@ -47,26 +47,24 @@ def schema_versions(changes: DataFrame) -> DataFrame:
     """C4: per table, version 0 from the log start, then one version per DDL.
 
     ``n_columns`` counts base columns plus the columns added up to the version.
-    Both the version number and the running count of ADD COLUMN statements
-    come from ``keyed_window``, so a table with a long DDL history is not
-    pinned to one task.
+    Version number, end position and the running count of ADD COLUMN
+    statements come from one ``keyed_window`` (so a table with a long DDL
+    history is not pinned to one task); version 0 of every table that has
+    changes comes from one hash aggregate over changes and DDL positions.
     """
-    ddl = ddl_changes(changes).select("db", "tbl", "pos_key", "row_no", "query")
-    adds = keyed_window(ddl.filter(F.col("query").rlike(ADD_COLUMN_PATTERN)), ["db", "tbl"], ORDER,
-                        pos_bucket(), seq="add_no").select("db", "tbl", "pos_key", "row_no", "add_no")
-    ddl = ddl.join(adds, ["db", "tbl", "pos_key", "row_no"], "left")
-    ddl = keyed_window(ddl, ["db", "tbl"], ORDER, pos_bucket(), lead=["pos_key"], fill=["add_no"],
-                       seq="version")
+    d0 = ddl_changes(changes).select("db", "tbl", "pos_key", "row_no",
+                                     F.col("query").rlike(ADD_COLUMN_PATTERN).cast("long").alias("__add"))
+    ddl = keyed_window(d0, ["db", "tbl"], ORDER, pos_bucket(), lead=["pos_key"], sums=["__add"], seq="version")
     versions = ddl.select("db", "tbl", "version", F.col("pos_key").alias("valid_from"),
                           F.col("next_pos_key").alias("valid_to"),
-                          (F.lit(len(BASE_COLUMNS)) + F.coalesce(F.col("fill_add_no"), F.lit(0)))
-                          .cast("long").alias("n_columns"))
-    first = versions.groupBy("db", "tbl").agg(F.min("valid_from").alias("__first"))
-    tables = changes.select("db", "tbl").distinct()
-    initial = (tables.join(first, ["db", "tbl"], "left")
-                     .select("db", "tbl", F.lit(0).cast("long").alias("version"),
-                             F.lit(0).cast("long").alias("valid_from"), F.col("__first").alias("valid_to"),
-                             F.lit(len(BASE_COLUMNS)).cast("long").alias("n_columns")))
+                          (F.lit(len(BASE_COLUMNS)) + F.col("sum___add")).cast("long").alias("n_columns"))
+    marks = (changes.select("db", "tbl", F.lit(True).alias("__chg"), F.lit(None).cast("long").alias("__ddl"))
+             .unionByName(d0.select("db", "tbl", F.lit(False).alias("__chg"), F.col("pos_key").alias("__ddl"))))
+    first = (marks.groupBy("db", "tbl").agg(F.max("__chg").alias("__chg"), F.min("__ddl").alias("__first"))
+                  .filter(F.col("__chg")))
+    initial = first.select("db", "tbl", F.lit(0).cast("long").alias("version"),
+                           F.lit(0).cast("long").alias("valid_from"), F.col("__first").alias("valid_to"),
+                           F.lit(len(BASE_COLUMNS)).cast("long").alias("n_columns"))
     return initial.unionByName(versions)
 
 

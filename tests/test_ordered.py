@@ -42,3 +42,12 @@ def test_multi_column_bucket(spark):
     w = Window.partitionBy("k", "k2").orderBy("pos")
     exp = df.select("*", F.row_number().over(w).cast("long").alias("n"))
     assert sorted(got.select("k", "pos", "n").collect()) == sorted(exp.select("k", "pos", "n").collect())
+
+
+def test_running_sum(spark):
+    df = _frame(spark)
+    got = keyed_window(df, ["k"], ["pos"], shift_bucket("pos", 6), sums=["v"], lag=["v"])
+    w = Window.partitionBy("k").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("*", F.sum(F.coalesce("v", F.lit(0))).over(w).alias("sum_v"))
+    cols = ["k", "pos", "sum_v"]
+    assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())

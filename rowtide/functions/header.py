@@ -85,8 +85,8 @@ def event_name(type_code) -> Column:
 def flag_names(flags) -> Column:
     """H4: names of the set header flag bits; bits above the known ten as one hex item."""
     f = _c(flags).cast("int")
-    names = F.filter(F.array(*[F.lit(n) for n in FLAG_NAMES]),
-                     lambda n, i: f.bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0)
+    names = F.array_compact(F.array(*[F.when(f.bitwiseAND(F.lit(1 << i)) != 0, F.lit(n))
+                                      for i, n in enumerate(FLAG_NAMES)]))
     unknown = f.bitwiseAND(F.lit(~((1 << len(FLAG_NAMES)) - 1) & 0xFFFF))
     extra = F.when(unknown != 0, F.array(F.concat(F.lit("UNKNOWN_0x"), F.lower(F.hex(unknown)))))
     return F.concat(names, F.coalesce(extra, F.array().cast("array<string>")))

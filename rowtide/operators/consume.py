@@ -75,7 +75,7 @@ def changed_columns(df: DataFrame, fields: Sequence[str], sep: str = ",") -> Dat
     """A4: names of the columns an update changed (null-safe compare)."""
     names = F.array(*[F.when(~(F.col("before")[c].eqNullSafe(F.col("after")[c])), F.lit(c))
                       for c in fields])
-    changed = F.filter(names, lambda x: x.isNotNull())
+    changed = F.array_compact(names)
     return (df.filter(F.col("event_type") == "update")
               .select("*", F.array_join(changed, sep).alias("changed"), F.size(changed).alias("n_changed")))
 

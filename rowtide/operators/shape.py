@@ -91,17 +91,26 @@ def envelope(changes: DataFrame) -> DataFrame:
         *[c for c in ("pos_key", "row_no") if c in changes.columns])
 
 
-def _image_variant(c: str) -> Column:
-    # An absent image is an empty object, not null.
-    return F.parse_json(F.coalesce(F.to_json(F.col(c), {"ignoreNullFields": "false"}), F.lit("{}")))
+_KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
+def _image_json(c: str) -> Column:
+    # An absent image is an empty object, not null; null fields inside an image stay JSON null.
+    return F.coalesce(F.to_json(F.col(c), _KEEP_NULLS), F.lit("{}"))
 
 
 def envelope_text() -> Column:
-    """JSON text of the envelope columns; null image fields are kept as JSON null."""
-    body = F.struct("binlog", "db", "table", "query", "event_type", "primary",
-                    _image_variant("before").alias("before"), _image_variant("after").alias("after"),
-                    "timestamp")
-    return F.to_json(body, {"ignoreNullFields": "false"})
+    """JSON text of the envelope columns, keys in envelope order.
+
+    The scalar head is one ``to_json`` of a struct (it always ends in ``}``);
+    the two images are spliced in as their own ``to_json`` text, so no value
+    is serialised twice.
+    """
+    head = F.to_json(F.struct("binlog", "db", "table", "query", "event_type", "primary"), _KEEP_NULLS)
+    return F.concat(head.substr(F.lit(1), F.length(head) - 1),
+                    F.lit(',"before":'), _image_json("before"), F.lit(',"after":'), _image_json("after"),
+                    F.lit(',"timestamp":'), F.coalesce(F.col("timestamp").cast("string"), F.lit("null")),
+                    F.lit("}"))
 
 
 def envelope_json(env: DataFrame, column: str = "value") -> DataFrame:

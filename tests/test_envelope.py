@@ -84,3 +84,22 @@ def test_pair_updates_keeps_odd_tail(spark):
     assert got[0]["before"]["v"] == 10 and got[0]["after"]["v"] == 11 and got[1]["after"] is None
     empty = spark.createDataFrame([(2, 0, "update", [])], f"l_orderkey long, chunk long, op string, rows array<{img}>")
     assert shape.pair_updates(empty).count() == 0
+
+
+def test_envelope_text_is_valid_json_for_awkward_values(spark):
+    import json
+
+    from rowtide.operators.shape import envelope_text
+    rows = [("f.000001:4", "d", 't"1', "ALTER TABLE `t` ADD `c` INT -- \"q\"\n", "query", "", None, None, None),
+            ("f.000001:9", "d", "t", "", "insert", "id", None, (1, 'a\\b"c\n', None), 1542886275),
+            ("f.000001:12", "d", "t", "", "delete", "id", (2, None, 1.5), None, 0)]
+    img = "struct<id:bigint,s:string,x:double>"
+    df = spark.createDataFrame(rows, f"binlog string, db string, table string, query string, event_type string, "
+                                     f"primary string, before {img}, after {img}, timestamp bigint")
+    got = [json.loads(r[0]) for r in df.select(envelope_text()).collect()]
+    assert list(got[0]) == ["binlog", "db", "table", "query", "event_type", "primary", "before", "after",
+                            "timestamp"]
+    assert got[0]["table"] == 't"1' and got[0]["query"].endswith('"q"\n')
+    assert got[0]["before"] == {} and got[0]["after"] == {} and got[0]["timestamp"] is None
+    assert got[1]["after"] == {"id": 1, "s": 'a\\b"c\n', "x": None} and got[1]["before"] == {}
+    assert got[2]["before"] == {"id": 2, "s": None, "x": 1.5} and got[2]["timestamp"] == 0

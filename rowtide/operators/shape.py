@@ -125,6 +125,38 @@ def parse_envelope_json(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(column), JSON_ENVELOPE).alias("e")).select("e.*")
 
 
+# Header fields of the published envelope and their types.
+ENVELOPE_HEAD = (("binlog", "string"), ("db", "string"), ("table", "string"), ("query", "string"),
+                 ("event_type", "string"), ("primary", "string"), ("timestamp", "bigint"))
+
+
+def parse_envelope_variant(df: DataFrame, column: str = "value") -> DataFrame:
+    """S2 for a feed that mixes tables: typed header fields, images kept as ``variant``.
+
+    One queue carries every table, so no single struct schema fits the images;
+    route on the header first, then type each table's images (``typed_images``).
+    Text that is not JSON gives ``malformed = true`` and null fields instead of
+    failing the job (route it to the dead letters).
+    """
+    v = F.try_parse_json(F.col(column))
+    head = [F.try_variant_get(v, f"$.{n}", t).alias(n) for n, t in ENVELOPE_HEAD]
+    images = [F.try_variant_get(v, f"$.{side}", "variant").alias(side) for side in ("before", "after")]
+    keep = [c for c in df.columns if c != column]
+    return df.select(*keep, *head, *images, v.isNull().alias("malformed"))
+
+
+def image_size(col: str) -> Column:
+    """Number of fields of a variant image (0 for ``{}``, null when absent)."""
+    return F.size(F.try_variant_get(F.col(col), "$", "map<string,variant>"))
+
+
+def typed_images(env: DataFrame, schema: str) -> DataFrame:
+    """Images of one routed table as its struct (DDL ``schema``); an empty image ``{}`` becomes null."""
+    def typed(side: str) -> Column:
+        return F.when(image_size(side) > 0, F.try_variant_get(F.col(side), "$", schema))
+    return env.withColumn("before", typed("before")).withColumn("after", typed("after"))
+
+
 def query_passthrough(changes: DataFrame) -> DataFrame:
     """Query events keep their SQL text and empty images."""
     return envelope(changes.filter(F.col("event_type") == "query"))

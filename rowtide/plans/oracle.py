@@ -526,3 +526,17 @@ from lineitem"""
 
 SQL["decode_blob"] = """
 select c_custkey, to_base64(encode(c_name)) as blob_b64, octet_length(encode(c_name)) as n_bytes from customer"""
+
+SQL["envelope_variant"] = with_(CHANGELOG) + """
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type,
+       coalesce(a_id, b_id) as "key", a_value as amount,
+       case when event_type in ('insert', 'update') then 3 else 0 end as n_after_fields,
+       cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as "timestamp", false as malformed
+from cl
+union all
+select case when torn then null else concat('shop-bin.000001:', cast(l_orderkey * 8 + l_linenumber as varchar)) end,
+       case when torn then null else 'shop' end, case when torn then null else 'lineitem' end,
+       case when torn then null else 'insert' end, case when torn then null else l_orderkey end,
+       case when torn then null else l_quantity end, case when torn then null else 4 end,
+       case when torn then null else cast(floor(epoch_us(l_shipdate) / 1000000) as bigint) end, torn
+from (select *, l_linenumber = 7 as torn from lineitem)"""

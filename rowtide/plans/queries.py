@@ -16,7 +16,7 @@ from ..functions import header as H
 from ..functions.position import is_valid_position, parse_position, position_label
 from ..operators import consume, filters, positions, rawlog, schema, shape
 from ..session import scratch_dir
-from ..sinks.publish import to_messages, write_change_table
+from ..sinks.publish import to_messages, write_change_table, write_routed
 from ..sources import feeds
 from ..sources.rawlog import raw_events
 from ..sources.tables import read_table
@@ -278,6 +278,33 @@ def q_envelope_json(spark, sf):
                        F.col("e.timestamp").alias("timestamp"), "before_keys", "after_keys")
 
 
+# Image structs of the two tables on the mixed queue.
+CHANGE_IMAGE = "struct<id:bigint,value:double,props:string>"
+SHOP_IMAGE = "struct<l_orderkey:bigint,l_linenumber:int,l_partkey:bigint,l_quantity:double>"
+MIXED_COLS = ["binlog", "db", "tbl", "event_type", "key", "amount", "n_after_fields", "timestamp", "malformed"]
+
+
+@query("envelope_variant")
+def q_envelope_variant(spark, sf):
+    """S2 on one queue carrying two tables: parse with variant images, land by table,
+    type each table's images from its own folder; torn messages come out malformed."""
+    changes = shape.envelope(feeds.changelog(spark, sf)).select(shape.envelope_text().alias("value"))
+    parsed = shape.parse_envelope_variant(changes.unionByName(feeds.shop_envelopes(spark, sf)))
+    path = scratch_dir(spark, "routed")
+    write_routed(parsed.withColumn("n_after_fields", shape.image_size("after")), path)
+    routed = spark.read.parquet(path)
+
+    def common(df, key, amount):
+        return df.select("binlog", "db", F.col("table").alias("tbl"), "event_type", key.alias("key"),
+                         amount.alias("amount"), "n_after_fields", "timestamp", "malformed")
+    shop = shape.typed_images(routed.filter((F.col("db") == "shop") & (F.col("table") == "lineitem")), SHOP_IMAGE)
+    rest = shape.typed_images(routed.filter(F.col("db").isin("app", "audit")), CHANGE_IMAGE)
+    torn = routed.filter(F.col("db").isNull())
+    return (common(shop, F.coalesce(F.col("after.l_orderkey"), F.col("before.l_orderkey")), F.col("after.l_quantity"))
+            .unionByName(common(rest, F.coalesce(F.col("after.id"), F.col("before.id")), F.col("after.value")))
+            .unionByName(common(torn, F.lit(None).cast("bigint"), F.lit(None).cast("double"))))
+
+
 def shape_json_schema():
     from ..model import JSON_ENVELOPE
     return JSON_ENVELOPE

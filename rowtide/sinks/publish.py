@@ -69,6 +69,18 @@ def write_change_table(env: DataFrame, path: str, mode: str = "append",
         .write.mode(mode).partitionBy("db", "table", "dt").parquet(path))
 
 
+def write_routed(parsed: DataFrame, path: str, mode: str = "append") -> None:
+    """Land parsed mixed-table envelopes (``variant`` images) once, one folder per db and table.
+
+    Each table's typed reader then reads only its folder (partition pruning),
+    so the feed is parsed once however many tables are routed.  No shuffle:
+    every task writes its own rows to the folders they belong to, so a table
+    holding a third of the feed is written by all tasks.  Malformed rows land
+    in the null-partition folder.
+    """
+    parsed.write.mode(mode).partitionBy("db", "table").parquet(path)
+
+
 def split_dead_letters(df: DataFrame, error_col: str = "decode_error") -> tuple[DataFrame, DataFrame]:
     """(good rows, dead letters) by an error column."""
     return df.filter(F.col(error_col).isNull()), df.filter(F.col(error_col).isNotNull())

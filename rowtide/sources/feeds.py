@@ -96,6 +96,31 @@ def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.array_sort(F.collect_list(img)).alias("rows")))
 
 
+SHOP_FILE = "shop-bin.000001"
+# Every lineitem with this line number is published torn in half (a partial write).
+TORN_LINE = 7
+
+
+def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second table on the same queue: each ``lineitem`` row as an insert envelope
+    of ``shop.lineitem`` (key ``l_orderkey``), JSON text in ``value``; lines numbered
+    TORN_LINE are cut in half, as a torn write would leave them."""
+    from ..operators.shape import envelope_text, event_seconds
+    li = read_table(spark, sf_dir, "lineitem")
+    env = li.select(
+        F.concat(F.lit(SHOP_FILE + ":"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string"))
+         .alias("binlog"),
+        F.lit("shop").alias("db"), F.lit("lineitem").alias("table"), F.lit("").alias("query"),
+        F.lit("insert").alias("event_type"), F.lit("l_orderkey").alias("primary"),
+        F.lit(None).cast("struct<l_orderkey:bigint,l_linenumber:int,l_partkey:bigint,l_quantity:double>")
+         .alias("before"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").alias("after"),
+        event_seconds("l_shipdate").alias("timestamp"), "l_linenumber")
+    text = env.select(envelope_text().alias("t"), "l_linenumber")
+    torn = F.col("t").substr(F.lit(1), (F.length("t") / 2).cast("int"))
+    return text.select(F.when(F.col("l_linenumber") == TORN_LINE, torn).otherwise(F.col("t")).alias("value"))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, dt2, d3, o_orderdate): DATETIME2 (40-bit) and DATE (24-bit) cells."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")

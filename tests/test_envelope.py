@@ -103,3 +103,27 @@ def test_envelope_text_is_valid_json_for_awkward_values(spark):
     assert got[0]["before"] == {} and got[0]["after"] == {} and got[0]["timestamp"] is None
     assert got[1]["after"] == {"id": 1, "s": 'a\\b"c\n', "x": None} and got[1]["before"] == {}
     assert got[2]["before"] == {"id": 2, "s": None, "x": 1.5} and got[2]["timestamp"] == 0
+
+
+def test_variant_route_types_each_table(spark):
+    from pyspark.sql import functions as F
+
+    from rowtide.operators.shape import envelope, envelope_text, parse_envelope_variant, typed_images
+    from rowtide.sources import feeds
+    from tests.conftest import SF_SMALL
+    env = envelope(feeds.changelog(spark, SF_SMALL))
+    parsed = parse_envelope_variant(env.select(envelope_text().alias("value"))
+                                    .unionByName(feeds.shop_envelopes(spark, SF_SMALL)))
+    img = "struct<id:bigint,value:double,props:string>"
+    back = typed_images(parsed.filter(F.col("db").isin("app", "audit")), img)
+    cols = ["binlog", "event_type", "before", "after"]
+    assert sorted(back.select(cols).collect()) == sorted(env.select(cols).collect())
+    shop = typed_images(parsed.filter(F.col("db") == "shop"),
+                        "struct<l_orderkey:bigint,l_linenumber:int,l_partkey:bigint,l_quantity:double>")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(F.col("l_linenumber") != feeds.TORN_LINE)
+    assert shop.count() == li.count() and shop.filter(F.col("before").isNotNull()).count() == 0
+    assert shop.agg(F.sum("after.l_quantity")).first()[0] == li.agg(F.sum("l_quantity")).first()[0]
+    torn = parsed.filter("malformed")
+    assert torn.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(
+        F.col("l_linenumber") == feeds.TORN_LINE).count()
+    assert torn.filter(F.col("db").isNotNull()).count() == 0

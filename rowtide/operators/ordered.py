@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -47,14 +48,26 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     ``order`` must be a total order within a key; ``bucket`` must be
     non-decreasing in ``order`` (e.g. a right shift of the first order column).
-    Key columns must be non-null (callers build record keys with ``coalesce``);
-    plain equality on ``(key, bucket)`` lets the join reuse the window's hash
-    partitioning of the big side instead of shuffling it a second time.
+    A null key is a group of its own, as in ``Window.partitionBy``: nullable
+    key columns are replaced inside by the non-null pair ``(coalesce(k, zero),
+    isnull(k))``, so plain equality on ``(key, bucket)`` still matches every
+    row and the join reuses the window's hash partitioning of the big side
+    instead of shuffling it a second time (a null-safe join would not).
     """
     keys, order = list(keys), list(order)
     buckets = [bucket] if isinstance(bucket, Column) else list(bucket)
     bnames = [f"__b{i}" for i in range(len(buckets))]
-    d = df.select("*", *[b.alias(n) for b, n in zip(buckets, bnames)])
+    kcols, knames = [], []
+    for i, k in enumerate(keys):
+        field = df.schema[k]
+        if not field.nullable:
+            knames.append(k)
+            continue
+        kcols += [F.coalesce(F.col(k), _zero(field.dataType)).alias(f"__kz{i}"),
+                  F.col(k).isNull().alias(f"__kn{i}")]
+        knames += [f"__kz{i}", f"__kn{i}"]
+    d = df.select("*", *kcols, *[b.alias(n) for b, n in zip(buckets, bnames)])
+    keys = knames
     part = keys + bnames
     okey = F.struct(*[F.col(c) for c in order])
 
@@ -102,6 +115,21 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return j.select(*out)
 
 
+def _zero(t: T.DataType) -> Column:
+    """A non-null stand-in value of type ``t`` (its ``isnull`` flag keeps nulls apart)."""
+    if isinstance(t, T.StringType):
+        return F.lit("")
+    if isinstance(t, T.BooleanType):
+        return F.lit(False)
+    if isinstance(t, T.NumericType):
+        return F.lit(0).cast(t)
+    if isinstance(t, T.BinaryType):
+        return F.lit(b"")
+    if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(t)
+    raise TypeError(f"keyed_window key of type {t.simpleString()} is not supported")
+
+
 def shift_bucket(col: str | Column, bits: int) -> Column:
     """Monotone bucket of a non-negative integer order column."""
     return F.shiftright(_col(col).cast("long"), bits)

@@ -51,3 +51,19 @@ def test_running_sum(spark):
     exp = df.select("*", F.sum(F.coalesce("v", F.lit(0))).over(w).alias("sum_v"))
     cols = ["k", "pos", "sum_v"]
     assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
+
+
+def test_null_keys_form_their_own_group(spark):
+    rnd = random.Random(11)
+    rows = [(None if i % 4 == 0 else rnd.choice(["a", "b"]), None if i % 9 == 0 else i % 3, i * 5, i)
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "k string, k2 long, pos long, v long")
+    got = keyed_window(df, ["k", "k2"], ["pos"], shift_bucket("pos", 5), lag=["v"], lead=["v"], fill=["v"],
+                       sums=["v"], seq="n")
+    w = Window.partitionBy("k", "k2").orderBy("pos")
+    exp = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v"),
+                    F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("fill_v"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sum_v"),
+                    F.row_number().over(w).cast("long").alias("n"))
+    cols = ["k", "k2", "pos", "prev_v", "next_v", "fill_v", "sum_v", "n"]
+    assert sorted(got.select(cols).collect(), key=str) == sorted(exp.select(cols).collect(), key=str)

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from .ordered import keyed_window, shift_bucket
 
 ORDER = ["pos_key", "row_no"]
-# One window bucket per 2^20 bytes of one log file (pos_key's low 32 bits are the offset).
-POS_BUCKET_BITS = 20
+# One window bucket per 2^26 bytes (64 MiB) of one log file (pos_key's low 32 bits are
+# the offset): a few hundred thousand changes, so neither a bucket's window nor a hot
+# key's bucket summary outgrows one task at 10^12 changes (see operators.ordered).
+POS_BUCKET_BITS = 26
 
 
 def pos_bucket(col: str = "pos_key") -> Column:
@@ -139,7 +141,8 @@ def change_rate(df: DataFrame, width: str, slide: str | None = None, by: Sequenc
                       "n_changes")
 
 
-def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str = "ev_ts") -> DataFrame:
+def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str = "ev_ts",
+                    bucket_seconds: int = 60) -> DataFrame:
     """A7 (batch): activity sessions per group; a gap of ``gap_seconds`` or more starts a new one.
 
     Same sessions as ``session_window`` (a session ends ``gap`` after its last
@@ -150,10 +153,12 @@ def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str
     by = list(by)
     order = [ts, "pos_key", "row_no"]
     from ..functions.decode import epoch_ntz
-    # Hour buckets of the event time: monotone in (ts, pos_key, row_no), zone-free for wall clocks.
+    # Event-time buckets of ``bucket_seconds``: monotone in (ts, pos_key, row_no), zone-free
+    # for wall clocks.  Short buckets bound the rows of a burst of one group in one window task.
     t = F.col(ts)
-    bucket = (F.timestamp_diff("HOUR", epoch_ntz(), t) if dict(df.dtypes)[ts] == "timestamp_ntz"
-              else F.floor(F.unix_seconds(t) / 3600))
+    secs = (F.timestamp_diff("SECOND", epoch_ntz(), t) if dict(df.dtypes)[ts] == "timestamp_ntz"
+            else F.unix_seconds(t))
+    bucket = F.floor(secs / bucket_seconds)
     d = df.select(*by, *order)
     d = keyed_window(d, by, order, bucket, lag=[ts])
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))

@@ -9,8 +9,9 @@ from ..functions.header import checksum_ok, header, rotate_body, strip_checksum
 from ..model import ROTATE_CODE, SKIPPED_EVENT_CODES
 from .ordered import keyed_window, shift_bucket
 
-# Window bucket over event ordinals within a source: 2^16 events.
-ORDINAL_BUCKET_BITS = 16
+# Window bucket over event ordinals within a source: 2^20 events (a whole server log is
+# one key, so this is the width that keeps both levels of the keyed window small).
+ORDINAL_BUCKET_BITS = 20
 
 
 def decode_headers(raw: DataFrame, checksum: bool = True) -> DataFrame:

@@ -23,8 +23,8 @@ from ..functions.position import pos_key
 from ..operators.ordered import keyed_window, shift_bucket
 from .tables import read_table
 
-# Window bucket for per-user neighbours: 2^16 consecutive event ids.
-EVENT_BUCKET_BITS = 16
+# Window bucket for per-user neighbours: 2^20 consecutive event ids.
+EVENT_BUCKET_BITS = 20
 # Images per row event (even, so update pairs never straddle two events).
 ROWS_PER_EVENT = 8
 

@@ -540,3 +540,7 @@ select case when torn then null else concat('shop-bin.000001:', cast(l_orderkey
        case when torn then null else l_quantity end, case when torn then null else 4 end,
        case when torn then null else cast(floor(epoch_us(l_shipdate) / 1000000) as bigint) end, torn
 from (select *, l_linenumber = 7 as torn from lineitem)"""
+
+SQL["table_scan"] = with_(CHANGELOG) + f"""
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, pos_key from cl
+where db = 'app' and tbl = 't0' and pos_key > 3 * {P2} + 40084 and pos_key < 7 * {P2} + 60004"""

@@ -511,6 +511,17 @@ def q_change_table(spark, sf):
     return _change_table_columns(spark.read.parquet(out))
 
 
+@query("table_scan")
+def q_table_scan(spark, sf):
+    """S3 + F3 over the landed change table: the table filter prunes folders, the
+    position bounds reach the Parquet scan as pushed filters on ``pos_key``."""
+    out = scratch_dir(spark, "change-table")
+    write_change_table(shape.envelope(feeds.changelog(spark, sf)), out)
+    t = spark.read.parquet(out).filter((F.col("db") == "app") & (F.col("table") == "t0"))
+    t = positions.bounded_scan(t, SCAN_START, SCAN_STOP)
+    return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "pos_key")
+
+
 @query("stream_latest")
 def q_stream_latest(spark, sf):
     stage = _stage_envelopes(spark, sf)

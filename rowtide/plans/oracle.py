@@ -544,3 +544,8 @@ from (select *, l_linenumber = 7 as torn from lineitem)"""
 SQL["table_scan"] = with_(CHANGELOG) + f"""
 select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, pos_key from cl
 where db = 'app' and tbl = 't0' and pos_key > 3 * {P2} + 40084 and pos_key < 7 * {P2} + 60004"""
+
+SQL["stream_progress"] = with_(CHANGELOG) + """
+select 'stream' as source, arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,
+       arg_max(concat(log_file, ':', cast(log_pos as varchar)), pos_key) as binlog
+from cl where event_type <> 'query'"""

@@ -530,6 +530,17 @@ def q_stream_latest(spark, sf):
     return S.read_latest_state(spark, out)
 
 
+@query("stream_progress")
+def q_stream_progress(spark, sf):
+    """P3 + P5: the progress rows a latest-state stream writes after its sink, read back
+    as the newest saved position per source."""
+    stage = _stage_envelopes(spark, sf)
+    out, ck, prog = scratch_dir(spark, "latest"), scratch_dir(spark, "ckpt"), scratch_dir(spark, "progress")
+    S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck,
+                                     progress=prog))
+    return S.read_progress(spark, prog)
+
+
 @query("ordered_delivery")
 def q_ordered_delivery(spark, sf):
     """Per-key log order of what an ordered stream delivered (out-of-order count must be 0)."""

@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.position import parse_position
+from ..functions.position import file_no, parse_position, pos_key
 from ..model import JSON_ENVELOPE
 
 LATEST_KEYS = ("db", "table", "id")
@@ -97,6 +97,19 @@ def latest_state_sink(env_stream: DataFrame, out: str, checkpoint: str, availabl
     return w.start()
 
 
+def read_progress(spark: SparkSession, progress: str) -> DataFrame:
+    """P5: newest saved position per source from the progress rows (one per micro-batch).
+
+    Positions compare by number (``pos_key``), so batches that arrived out of
+    log order cannot move the saved position backwards.
+    """
+    p = spark.read.parquet(progress)
+    k = pos_key(file_no(F.col("log_file")), F.col("pos"))
+    return p.groupBy("source").agg(F.max_by(F.struct("log_file", "pos"), k).alias("p")).select(
+        "source", "p.log_file", F.col("p.pos").alias("log_pos"),
+        F.concat_ws(":", "p.log_file", F.col("p.pos").cast("string")).alias("binlog"))
+
+
 def read_latest_state(spark: SparkSession, out: str, keep_deletes: bool = False) -> DataFrame:
     """Current table from the per-batch update files.
 

@@ -475,17 +475,24 @@ def q_log_file_fill(spark, sf):
 
 # -- streaming (S1, P3, K7, A8) ----------------------------------------------
 
-STAGE_FILES = 4
+# Micro-batches the staged feed is replayed in.
+STAGE_BATCHES = 4
 
 
-def _stage_envelopes(spark, sf) -> str:
-    """Publish the feed as JSON envelope files (the stream's input), several files
-    so the stream runs in several micro-batches."""
+def _stage_envelopes(spark, sf) -> tuple[str, int]:
+    """Publish the feed as JSON envelope files (the stream's input).
+
+    One file per core of the cluster (at least STAGE_BATCHES), so the write is
+    as parallel as the cluster and never funnels the feed through a few tasks;
+    returns the folder and the files per trigger that replay it in about
+    STAGE_BATCHES micro-batches.
+    """
+    files = max(STAGE_BATCHES, spark.sparkContext.defaultParallelism)
     stage = scratch_dir(spark, "stage")
     env = shape.envelope(feeds.changelog(spark, sf))
-    (env.select(shape.envelope_text().alias("value")).repartition(STAGE_FILES)
+    (env.select(shape.envelope_text().alias("value")).repartition(files)
         .write.mode("overwrite").text(stage))
-    return stage
+    return stage, max(1, files // STAGE_BATCHES)
 
 
 def _change_table_columns(t: DataFrame) -> DataFrame:
@@ -497,9 +504,9 @@ def _change_table_columns(t: DataFrame) -> DataFrame:
 
 @query("stream_envelope")
 def q_stream_envelope(spark, sf):
-    stage = _stage_envelopes(spark, sf)
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
     out, ck = scratch_dir(spark, "changes"), scratch_dir(spark, "ckpt")
-    S.run_to_end(S.change_table_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    S.run_to_end(S.change_table_sink(src, out, ck))
     return _change_table_columns(spark.read.parquet(out))
 
 
@@ -524,9 +531,9 @@ def q_table_scan(spark, sf):
 
 @query("stream_latest")
 def q_stream_latest(spark, sf):
-    stage = _stage_envelopes(spark, sf)
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
     out, ck = scratch_dir(spark, "latest"), scratch_dir(spark, "ckpt")
-    S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    S.run_to_end(S.latest_state_sink(src, out, ck))
     return S.read_latest_state(spark, out)
 
 
@@ -534,19 +541,18 @@ def q_stream_latest(spark, sf):
 def q_stream_progress(spark, sf):
     """P3 + P5: the progress rows a latest-state stream writes after its sink, read back
     as the newest saved position per source."""
-    stage = _stage_envelopes(spark, sf)
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
     out, ck, prog = scratch_dir(spark, "latest"), scratch_dir(spark, "ckpt"), scratch_dir(spark, "progress")
-    S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck,
-                                     progress=prog))
+    S.run_to_end(S.latest_state_sink(src, out, ck, progress=prog))
     return S.read_progress(spark, prog)
 
 
 @query("ordered_delivery")
 def q_ordered_delivery(spark, sf):
     """Per-key log order of what an ordered stream delivered (out-of-order count must be 0)."""
-    stage = _stage_envelopes(spark, sf)
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
     out, ck = scratch_dir(spark, "ordered"), scratch_dir(spark, "ckpt")
-    S.run_to_end(S.ordered_sink(S.envelope_stream(spark, stage, max_files_per_trigger=1), out, ck))
+    S.run_to_end(S.ordered_sink(src, out, ck))
     return S.delivery_order(out, spark).select("db", F.col("table").alias("tbl"), "id", "n_changes",
                                                "n_out_of_order")
 

@@ -49,7 +49,8 @@ def test_unbroadcast_paths_match_oracle(spark, con, name, monkeypatch):
 
 
 ZONE_SENSITIVE = ["envelope", "envelope_json", "query_passthrough", "decode_timestamp", "rate_tumbling",
-                  "rate_session", "header_split", "stream_envelope", "decode_datetime_int"]
+                  "rate_session", "header_split", "stream_envelope", "decode_datetime_int", "change_table",
+                  "table_scan", "envelope_variant"]
 
 
 @pytest.mark.parametrize("name", ZONE_SENSITIVE)

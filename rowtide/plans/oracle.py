@@ -549,3 +549,7 @@ SQL["stream_progress"] = with_(CHANGELOG) + """
 select 'stream' as source, arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,
        arg_max(concat(log_file, ':', cast(log_pos as varchar)), pos_key) as binlog
 from cl where event_type <> 'query'"""
+
+SQL["stream_rate"] = SQL["rate_tumbling"]
+
+SQL["stream_dedup"] = with_(CHANGELOG) + "select log_file, log_pos, event_type from cl"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import decode as D
 from ..functions import header as H
 from ..functions.position import is_valid_position, parse_position, position_label
+from ..model import POS_SHIFT
 from ..operators import consume, filters, positions, rawlog, schema, shape
 from ..session import scratch_dir
 from ..sinks.publish import to_messages, write_change_table, write_routed
@@ -495,6 +496,30 @@ def _stage_envelopes(spark, sf) -> tuple[str, int]:
     return stage, max(1, files // STAGE_BATCHES)
 
 
+def _stage_in_log_order(spark, sf, replay_last_file: bool = False) -> tuple[str, int]:
+    """Publish the feed in STAGE_BATCHES position ranges, one write per range in log
+    order, so the file source (oldest files first) replays it in log order, one range
+    per micro-batch -- the arrival a watermark assumes.  With ``replay_last_file`` the
+    last log file of each range is written again right after it: a resend after a
+    restart (P6).  Every write has the same number of files (one per core per range)."""
+    files = max(1, spark.sparkContext.defaultParallelism // STAGE_BATCHES)
+    cl = feeds.stored(feeds.changelog(spark, sf))
+    last = cl.agg(F.max("file_no")).first()[0]                 # one scalar: the range bounds
+    bounds = [1 + (last * k) // STAGE_BATCHES for k in range(STAGE_BATCHES + 1)]
+    bounds[-1] = last + 1
+    stage = scratch_dir(spark, "stage")
+    text = shape.envelope(cl).select(shape.envelope_text().alias("value"), "pos_key")
+
+    def write(rows):
+        rows.select("value").repartition(files).write.mode("append").text(stage)
+    for lo, hi in zip(bounds, bounds[1:]):
+        write(text.filter((F.col("pos_key") >= F.lit(lo * POS_SHIFT)) & (F.col("pos_key") < F.lit(hi * POS_SHIFT))))
+        if replay_last_file:
+            write(text.filter((F.col("pos_key") >= F.lit((hi - 1) * POS_SHIFT))
+                              & (F.col("pos_key") < F.lit(hi * POS_SHIFT))))
+    return stage, files
+
+
 def _change_table_columns(t: DataFrame) -> DataFrame:
     return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "query", "primary",
                     *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after")
@@ -547,6 +572,30 @@ def q_stream_progress(spark, sf):
     return S.read_progress(spark, prog)
 
 
+@query("stream_rate")
+def q_stream_rate(spark, sf):
+    """A7 on a stream: 10-minute change counts per db with a 10-minute watermark, input
+    arriving in log order; update-mode batches read back per window."""
+    src = S.envelope_stream(spark, *_stage_in_log_order(spark, sf))
+    out, ck = scratch_dir(spark, "rates"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.update_sink(S.rate_stream(src, "10 minutes", delay="10 minutes"), out, ck))
+    return S.read_updates(spark, out, ["window_start", "window_end", "db"])
+
+
+# Event-time horizon of a resend: one log file of the derived feed spans at most a few days.
+REPLAY_DELAY = "7 days"
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """P6 on a stream: every range's last log file is resent; copies inside the watermark
+    are dropped by dropDuplicatesWithinWatermark, each change comes out once."""
+    src = S.envelope_stream(spark, *_stage_in_log_order(spark, sf, replay_last_file=True))
+    out, ck = scratch_dir(spark, "dedup"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.append_sink(S.dedup_stream(src, REPLAY_DELAY).drop("before", "after"), out, ck))
+    return spark.read.parquet(out).select("log_file", "log_pos", "event_type")
+
+
 @query("ordered_delivery")
 def q_ordered_delivery(spark, sf):
     """Per-key log order of what an ordered stream delivered (out-of-order count must be 0)."""

@@ -174,6 +174,35 @@ def session_stream(env_stream: DataFrame, gap: str, by: Sequence[str] = ("db", "
                     "n_changes"))
 
 
+def update_sink(agg_stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
+                processing_time: str = "1 second"):
+    """Update-mode aggregate (e.g. windowed rates): each micro-batch's changed groups land in ``out/batch_id=N``, overwritten on replay (exactly once)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    w = (agg_stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(write))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_updates(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
+    """Current value of every group written by ``update_sink``: the row from its newest batch
+    (``max_by`` on the batch id, partial aggregation, no per-group sort)."""
+    u = spark.read.parquet(out)
+    vals = [c for c in u.columns if c not in (*keys, "batch_id")]
+    return (u.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("x"))
+             .select(*keys, "x.*"))
+
+
+def append_sink(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
+                processing_time: str = "1 second"):
+    """Append a stateless or watermarked stream to a Parquet folder (file sink: exactly once)."""
+    w = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start(out)
+
+
 def ordered_batches(fn: Callable[[DataFrame, int], None], key: Sequence[str] = ("db", "table"),
                     partitions: int | None = None) -> Callable[[DataFrame, int], None]:
     """Wrap a ``foreachBatch`` writer so each key's changes reach it in log order.

@@ -162,3 +162,22 @@ def test_delivery_order_detects_unordered_writer(spark):
     changes.repartition(4).write.mode("overwrite").parquet(f"{out}/batch_id=0")
     rep = S.delivery_order(out, spark).agg(F.sum("n_out_of_order")).first()[0]
     assert rep > 0
+
+
+def test_log_ordered_replay_is_deduplicated_by_state(spark):
+    from rowtide.plans import queries as Q
+    stage, per = Q._stage_in_log_order(spark, SF_SMALL, replay_last_file=True)
+    q = S.append_sink(S.dedup_stream(S.envelope_stream(spark, stage, per), Q.REPLAY_DELAY).drop("before", "after"),
+                      scratch_dir(spark, "dd"), scratch_dir(spark, "ck"))
+    S.run_to_end(q)
+    ops = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    dropped = sum(int(o["customMetrics"]["numDroppedDuplicateRows"]) for o in ops)
+    late = sum(int(o["numRowsDroppedByWatermark"]) for o in ops)
+    copies = spark.read.text(stage).count() - feeds.changelog(spark, SF_SMALL).count()
+    assert late == 0 and copies > 0 and dropped == copies        # every resent copy caught by the state
+    rate = S.rate_stream(S.envelope_stream(spark, *Q._stage_in_log_order(spark, SF_SMALL)), "10 minutes",
+                         delay="10 minutes")
+    q2 = S.update_sink(rate, scratch_dir(spark, "rt"), scratch_dir(spark, "ck"))
+    S.run_to_end(q2)
+    assert sum(int(p["stateOperators"][0]["numRowsDroppedByWatermark"]) for p in q2.recentProgress
+               if p["stateOperators"]) == 0

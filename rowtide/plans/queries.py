@@ -598,12 +598,13 @@ def q_stream_dedup(spark, sf):
 
 @query("ordered_delivery")
 def q_ordered_delivery(spark, sf):
-    """Per-key log order of what an ordered stream delivered (out-of-order count must be 0)."""
-    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
+    """Per-key log order of everything an ordered stream delivered, across micro-batches
+    (input arriving in log order, as a binlog does); the out-of-order count must be 0."""
+    src = S.envelope_stream(spark, *_stage_in_log_order(spark, sf))
     out, ck = scratch_dir(spark, "ordered"), scratch_dir(spark, "ckpt")
     S.run_to_end(S.ordered_sink(src, out, ck))
-    return S.delivery_order(out, spark).select("db", F.col("table").alias("tbl"), "id", "n_changes",
-                                               "n_out_of_order")
+    return S.delivery_order(out, spark, across_batches=True).select(
+        "db", F.col("table").alias("tbl"), "id", "n_changes", "n_out_of_order")
 
 
 # -- remaining subscription, lookup and publish operators ------------------------

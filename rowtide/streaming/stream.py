@@ -222,21 +222,26 @@ def ordered_batches(fn: Callable[[DataFrame, int], None], key: Sequence[str] = (
     return run
 
 
-def delivery_order(path: str, spark: SparkSession, key: Sequence[str] = ("db", "table", "id")) -> DataFrame:
+def delivery_order(path: str, spark: SparkSession, key: Sequence[str] = ("db", "table", "id"),
+                   across_batches: bool = False) -> DataFrame:
     """Check P7 on the part files written by an ``ordered_batches`` writer under ``path/batch_id=N``.
 
-    Delivery order within a batch is (part number, row index in the file).
+    Delivery order is (batch, part number, row index in the file).  Within a
+    batch the writer guarantees log order per key; across batches it holds when
+    the source delivers in log order (``across_batches=True`` checks that too).
     Returns one row per key: its change count and how many of its changes were
-    delivered after a change with a later log position in the same batch.
-    The neighbour comparison runs through ``keyed_window`` bucketed by part
-    number, so a key spread over many parts is spread over many tasks.
+    delivered after a change with a later log position.  The neighbour
+    comparison runs through ``keyed_window`` bucketed by (batch, part), so a key
+    spread over many parts is spread over many tasks.
     """
     from ..operators.ordered import keyed_window
     d = spark.read.parquet(path).select(
         *key, "batch_id", "pos_key", "row_no",
         F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int").alias("part_no"),
         F.col("_metadata.row_index").alias("row_index"))
-    d = keyed_window(d, [*key, "batch_id"], ["part_no", "row_index"], F.col("part_no"), lag=["pos_key", "row_no"])
+    group = [*key] if across_batches else [*key, "batch_id"]
+    d = keyed_window(d, group, ["batch_id", "part_no", "row_index"], [F.col("batch_id"), F.col("part_no")],
+                     lag=["pos_key", "row_no"])
     late = F.col("prev_pos_key").isNotNull() & (F.struct("prev_pos_key", "prev_row_no")
                                                  > F.struct("pos_key", "row_no"))
     return d.groupBy(*key).agg(F.count(F.lit(1)).alias("n_changes"),

@@ -181,3 +181,13 @@ def test_log_ordered_replay_is_deduplicated_by_state(spark):
     S.run_to_end(q2)
     assert sum(int(p["stateOperators"][0]["numRowsDroppedByWatermark"]) for p in q2.recentProgress
                if p["stateOperators"]) == 0
+
+
+def test_delivery_order_across_batches_needs_ordered_arrival(spark):
+    from rowtide.plans import queries as Q
+    stage, per = Q._stage_envelopes(spark, SF_SMALL)                   # files are random mixes of the log
+    out = scratch_dir(spark, "ord")
+    S.run_to_end(S.ordered_sink(S.envelope_stream(spark, stage, per), out, scratch_dir(spark, "ck")))
+    within = S.delivery_order(out, spark).agg(F.sum("n_out_of_order")).first()[0]
+    across = S.delivery_order(out, spark, across_batches=True).agg(F.sum("n_out_of_order")).first()[0]
+    assert within == 0 and across > 0

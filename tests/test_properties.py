@@ -94,3 +94,21 @@ def test_set_and_bit(spark):
     arr = F.array(*[F.lit(x) for x in labels])
     got = df.select("i", D.set_labels("mask", arr).alias("s"), D.bit_value("b").alias("v")).collect()
     assert {r["i"]: (list(r["s"]), int(r["v"])) for r in got} == want
+
+
+def test_time_and_time2(spark):
+    """TIME (signed HHMMSS integer) and TIME2 (0x800000 + sign * hour<<12|minute<<6|second),
+    range -838:59:59 .. 838:59:59, against seconds and [-]H:MM:SS text."""
+    rnd = _rnd(5)
+    rows, want = [], {}
+    for i in range(N):
+        h, m, s = rnd.choice([0, 838, rnd.randint(0, 838)]), rnd.randint(0, 59), rnd.randint(0, 59)
+        sign = -1 if rnd.random() < 0.4 and (h, m, s) != (0, 0, 0) else 1
+        rows.append((i, sign * (h * 10000 + m * 100 + s), 0x800000 + sign * ((h << 12) | (m << 6) | s)))
+        secs = sign * (h * 3600 + m * 60 + s)
+        want[i] = (secs, secs, f"{'-' if sign < 0 else ''}{h}:{m:02d}:{s:02d}")
+    df = spark.createDataFrame(rows, "i long, hhmmss long, t2 long")
+    t1, t2 = D.time_hhmmss("hhmmss"), D.time2("t2")
+    got = df.select("i", D.interval_seconds(t1).cast("long").alias("a"), D.interval_seconds(t2).cast("long").alias("b"),
+                    D.interval_text(t1).alias("c")).collect()
+    assert {r["i"]: (r["a"], r["b"], r["c"]) for r in got} == want

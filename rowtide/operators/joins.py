@@ -19,6 +19,9 @@ from .ordered import keyed_window
 MAX_BROADCAST_ROWS = 200_000
 # Bytes of its rows (as JSON text) a broadcast side may hold.
 MAX_BROADCAST_BYTES = 64 << 20
+# Versions one key may have for the broadcast as-of join: each event probes all
+# versions of its key, so this bounds the range checks per event.
+MAX_VERSIONS_PER_KEY = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
@@ -50,13 +53,16 @@ def list_frame(spark, rows: Sequence[tuple], columns: Sequence[str]) -> DataFram
 
 def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos: str = "pos_key",
               vfrom: str = "valid_from", vto: str = "valid_to", max_rows: int | None = None,
-              bucket_bits: int = 20, max_bytes: int | None = None) -> DataFrame:
+              bucket_bits: int = 20, max_bytes: int | None = None,
+              max_per_key: int | None = None) -> DataFrame:
     """Left join each event to the version of its key valid at its position.
 
     ``versions`` holds non-overlapping ``[vfrom, vto)`` intervals per key
     (``vto`` null = open), so at most one version matches an event.  Small
-    version tables are broadcast and the range is checked inside the
-    broadcast hash join.  Large ones are joined on ``(keys, pos >> bucket_bits)``:
+    version tables with few versions per key are broadcast and the range is
+    checked inside the broadcast hash join (each event probes the versions of
+    its key, at most MAX_VERSIONS_PER_KEY).  Others are joined on
+    ``(keys, pos >> bucket_bits)``:
     each bucket gets the version in effect at its start plus the versions that
     start inside it, so a busy key is spread over its buckets instead of
     landing in one sort-merge partition.
@@ -70,7 +76,9 @@ def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos:
     cond = [F.col(k) == F.col(ren[k]) for k in keys] + [p >= lo, hi.isNull() | (p < hi)]
     out = [F.col(c) for c in events.columns] + [F.col(ren[c]).alias(c) for c in vcols]
 
-    if fits_broadcast(versions, max_rows, max_bytes):
+    per_key = MAX_VERSIONS_PER_KEY if max_per_key is None else max_per_key
+    if fits_broadcast(versions, max_rows, max_bytes) and \
+            (versions.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= per_key:
         return events.join(F.broadcast(v), cond, "left").select(*out)
 
     b = F.shiftright(p, bucket_bits)

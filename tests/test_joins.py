@@ -64,3 +64,12 @@ def test_lookup_join_fallback_same_answer(spark):
     sh = lookup_join(big, small, ["k"], "left", max_bytes=100)
     assert sorted(map(tuple, bc.collect())) == sorted(map(tuple, sh.collect()))
     assert sh.filter(F.col("text").isNull()).count() == sum(1 for i in range(200) if i % 7 >= 5)
+
+
+def test_many_versions_per_key_take_bucketed_path(spark):
+    e, v, versions, events = _data(spark)
+    plan_small = asof_join(e, v, ["tbl"])._jdf.queryExecution().executedPlan().toString()
+    forced = asof_join(e, v, ["tbl"], max_per_key=2, bucket_bits=6)
+    plan_forced = forced._jdf.queryExecution().executedPlan().toString()
+    assert "__cb" not in plan_small and "__cb" in plan_forced           # bucketed candidates only when forced
+    assert sorted(map(tuple, forced.select("seq", "version").collect())) == _brute(versions, events)

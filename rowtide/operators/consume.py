@@ -143,7 +143,7 @@ def change_rate(df: DataFrame, width: str, slide: str | None = None, by: Sequenc
 
 def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str = "ev_ts",
                     bucket_seconds: int = 60) -> DataFrame:
-    """A7 (batch): activity sessions per group; a gap of ``gap_seconds`` or more starts a new one.
+    """A7 (batch): activity sessions per group; a gap of more than ``gap_seconds`` starts a new one.
 
     Same sessions as ``session_window`` (a session ends ``gap`` after its last
     change), computed with two skew-safe keyed windows (previous time, then a
@@ -162,7 +162,7 @@ def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str
     d = df.select(*by, *order)
     d = keyed_window(d, by, order, bucket, lag=[ts])
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
-    start = F.col("prev_" + ts).isNull() | (F.col(ts) >= F.col("prev_" + ts) + gap)
+    start = F.col("prev_" + ts).isNull() | (F.col(ts) > F.col("prev_" + ts) + gap)
     d = d.withColumn("__start", F.when(start, F.col(ts)))
     d = keyed_window(d, by, order, bucket, fill=["__start"])
     s = d.groupBy(*by, F.col("fill___start").alias("session_start")).agg(

@@ -416,7 +416,7 @@ s as (
   select db, tbl, ev_ts, pos_key, row_no, lag(ev_ts) over w as p
   from cl window w as (partition by db, tbl order by ev_ts, pos_key, row_no)),
 g as (
-  select *, sum(case when p is null or ev_ts >= p + interval '30 minutes' then 1 else 0 end)
+  select *, sum(case when p is null or ev_ts > p + interval '30 minutes' then 1 else 0 end)
               over (partition by db, tbl order by ev_ts, pos_key, row_no rows unbounded preceding) as sid
   from s)
 select db, tbl, min(ev_ts) as session_start, max(ev_ts) + interval '30 minutes' as session_end,
@@ -553,3 +553,16 @@ from cl where event_type <> 'query'"""
 SQL["stream_rate"] = SQL["rate_tumbling"]
 
 SQL["stream_dedup"] = with_(CHANGELOG) + "select log_file, log_pos, event_type from cl"
+
+# Sessions over the whole seconds a message carries (its ``timestamp`` field).
+SQL["stream_sessions"] = with_(CHANGELOG) + """,
+t as (
+  select db, tbl, cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as s, pos_key, row_no from cl),
+p as (
+  select *, lag(s) over (partition by db, tbl order by s, pos_key, row_no) as ps from t),
+g as (
+  select *, sum(case when ps is null or s > ps + 1800 then 1 else 0 end)
+              over (partition by db, tbl order by s, pos_key, row_no rows unbounded preceding) as sid
+  from p)
+select db, tbl, min(s) as session_start_s, max(s) + 1800 as session_end_s, count(*) as n_changes
+from g group by db, tbl, sid"""

@@ -496,12 +496,16 @@ def _stage_envelopes(spark, sf) -> tuple[str, int]:
     return stage, max(1, files // STAGE_BATCHES)
 
 
-def _stage_in_log_order(spark, sf, replay_last_file: bool = False) -> tuple[str, int]:
+def _stage_in_log_order(spark, sf, replay_last_file: bool = False,
+                        heartbeat_after: int | None = None) -> tuple[str, int]:
     """Publish the feed in STAGE_BATCHES position ranges, one write per range in log
     order, so the file source (oldest files first) replays it in log order, one range
     per micro-batch -- the arrival a watermark assumes.  With ``replay_last_file`` the
     last log file of each range is written again right after it: a resend after a
-    restart (P6).  Every write has the same number of files (one per core per range)."""
+    restart (P6).  With ``heartbeat_after`` a heartbeat envelope follows, that many
+    seconds after the newest change: it advances event time past the last windows
+    and sessions, as a publisher's heartbeat does on a quiet log.  Every range write
+    has the same number of files (one per core per range)."""
     files = max(1, spark.sparkContext.defaultParallelism // STAGE_BATCHES)
     cl = feeds.stored(feeds.changelog(spark, sf))
     last = cl.agg(F.max("file_no")).first()[0]                 # one scalar: the range bounds
@@ -517,6 +521,15 @@ def _stage_in_log_order(spark, sf, replay_last_file: bool = False) -> tuple[str,
         if replay_last_file:
             write(text.filter((F.col("pos_key") >= F.lit((hi - 1) * POS_SHIFT))
                               & (F.col("pos_key") < F.lit(hi * POS_SHIFT))))
+    if heartbeat_after is not None:
+        image = cl.schema["after"].dataType.simpleString()
+        newest = cl.agg(F.max_by(position_label("log_file", "log_pos"), "pos_key").alias("binlog"),
+                        F.max(shape.event_seconds("ev_ts")).alias("secs"))
+        beat = newest.select("binlog", F.lit("").alias("db"), F.lit("").alias("table"), F.lit("").alias("query"),
+                             F.lit(S.HEARTBEAT).alias("event_type"), F.lit("").alias("primary"),
+                             F.lit(None).cast(image).alias("before"), F.lit(None).cast(image).alias("after"),
+                             (F.col("secs") + heartbeat_after).alias("timestamp"))
+        beat.select(shape.envelope_text().alias("value")).write.mode("append").text(stage)
     return stage, files
 
 
@@ -596,6 +609,24 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(out).select("log_file", "log_pos", "event_type")
 
 
+SESSION_GAP_SECONDS, SESSION_DELAY_SECONDS = 30 * 60, 10 * 60
+
+
+@query("stream_sessions")
+def q_stream_sessions(spark, sf):
+    """A7 sessions on a stream: 30-minute gap per table, 10-minute watermark, append mode
+    (a session is emitted once, when the watermark passes its end; the closing heartbeat
+    moves the watermark past the last sessions)."""
+    stage, per = _stage_in_log_order(spark, sf, heartbeat_after=SESSION_GAP_SECONDS + SESSION_DELAY_SECONDS + 1)
+    sessions = S.session_stream(S.envelope_stream(spark, stage, per), f"{SESSION_GAP_SECONDS} seconds",
+                                delay=f"{SESSION_DELAY_SECONDS} seconds")
+    out, ck = scratch_dir(spark, "sessions"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.append_sink(sessions, out, ck))
+    return spark.read.parquet(out).select("db", F.col("table").alias("tbl"),
+                                          F.unix_seconds("session_start").alias("session_start_s"),
+                                          F.unix_seconds("session_end").alias("session_end_s"), "n_changes")
+
+
 @query("ordered_delivery")
 def q_ordered_delivery(spark, sf):
     """Per-key log order of everything an ordered stream delivered, across micro-batches

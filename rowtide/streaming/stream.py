@@ -23,6 +23,20 @@ from ..functions.position import file_no, parse_position, pos_key
 from ..model import JSON_ENVELOPE
 
 LATEST_KEYS = ("db", "table", "id")
+# Envelopes of this type carry time only (a publisher's heartbeat on a quiet log): they
+# advance the watermark, so closed windows and sessions are emitted, and are no change.
+HEARTBEAT = "heartbeat"
+
+
+def watermarked(env_stream: DataFrame, delay: str) -> DataFrame:
+    """Watermark on ``ts``, then drop heartbeats.
+
+    The filter mentions ``ts`` on purpose: Catalyst pushes predicates that do not
+    touch the event-time column below the watermark, and a heartbeat that never
+    reaches the watermark cannot advance it.
+    """
+    return env_stream.withWatermark("ts", delay).filter(
+        (F.col("event_type") != HEARTBEAT) | F.col("ts").isNull())
 
 
 # ---- sources ------------------------------------------------------------------
@@ -69,7 +83,7 @@ def change_table_sink(env_stream: DataFrame, out: str, checkpoint: str, availabl
 # ---- A8: latest state kept by a stream ------------------------------------------------
 def latest_state_updates(env_stream: DataFrame, keys: Sequence[str] = LATEST_KEYS) -> DataFrame:
     """Streaming aggregate: winning change per key so far (a delete wins too: its own tombstone)."""
-    k = env_stream.filter(F.col("event_type") != "query").withColumn(
+    k = env_stream.filter(~F.col("event_type").isin("query", HEARTBEAT)).withColumn(
         "id", F.coalesce(F.col("after.id"), F.col("before.id")))
     win = F.max_by(F.struct("event_type", "after", "log_file", "log_pos", "pos_key", "row_no"),
                    F.struct("pos_key", "row_no")).alias("w")
@@ -146,14 +160,14 @@ def compact_latest_state(spark: SparkSession, out: str, compacted: str) -> DataF
 def dedup_stream(env_stream: DataFrame, delay: str = "10 minutes",
                  identity: Sequence[str] = ("log_file", "log_pos", "row_no")) -> DataFrame:
     """Drop replayed copies of a change within the watermark delay."""
-    return env_stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(identity))
+    return watermarked(env_stream, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
 def rate_stream(env_stream: DataFrame, width: str, slide: str | None = None, by: Sequence[str] = ("db",),
                 delay: str = "10 minutes") -> DataFrame:
     """Windowed change counts with a watermark for late changes."""
     w = F.window("ts", width, slide) if slide else F.window("ts", width)
-    return (env_stream.withWatermark("ts", delay).groupBy(w.alias("w"), *by)
+    return (watermarked(env_stream, delay).groupBy(w.alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("n_changes"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                     "n_changes"))
@@ -168,7 +182,7 @@ def session_stream(env_stream: DataFrame, gap: str, by: Sequence[str] = ("db", "
     complete mode (the whole result each trigger; for small groupings and
     tests).  Update mode is not available for session windows.
     """
-    return (env_stream.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("s"), *by)
+    return (watermarked(env_stream, delay).groupBy(F.session_window("ts", gap).alias("s"), *by)
             .agg(F.count(F.lit(1)).alias("n_changes"))
             .select(*by, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                     "n_changes"))

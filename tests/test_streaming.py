@@ -191,3 +191,18 @@ def test_delivery_order_across_batches_needs_ordered_arrival(spark):
     within = S.delivery_order(out, spark).agg(F.sum("n_out_of_order")).first()[0]
     across = S.delivery_order(out, spark, across_batches=True).agg(F.sum("n_out_of_order")).first()[0]
     assert within == 0 and across > 0
+
+
+def test_session_tie_follows_session_window(spark):
+    """A change exactly ``gap`` after the previous one extends the session (Spark's rule)."""
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    secs = [0, 1800, 3601, 5401, 9000]
+    rows = [("d", "t", base + dt.timedelta(seconds=s), 1, i) for i, s in enumerate(secs)]
+    df = spark.createDataFrame(rows, "db string, tbl string, ev_ts timestamp_ntz, pos_key long, row_no long")
+    got = consume.change_sessions(df, ["db", "tbl"], 1800).select("session_start", "session_end", "n_changes")
+    native = (df.withColumn("t", F.col("ev_ts").cast("timestamp"))
+                .groupBy(F.session_window("t", "1800 seconds").alias("s")).count())
+    # 0 and 1800 tie (one session), 3601 is 1801 s later (new), 5401 ties again, 9000 is new
+    assert sorted(r["count"] for r in native.collect()) == [1, 2, 2]
+    assert sorted(r["n_changes"] for r in got.collect()) == [1, 2, 2]

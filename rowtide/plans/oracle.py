@@ -534,12 +534,12 @@ select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event
        cast(floor(epoch_us(ev_ts) / 1000000) as bigint) as "timestamp", false as malformed
 from cl
 union all
-select case when torn then null else concat('shop-bin.000001:', cast(l_orderkey * 8 + l_linenumber as varchar)) end,
-       case when torn then null else 'shop' end, case when torn then null else 'lineitem' end,
-       case when torn then null else 'insert' end, case when torn then null else l_orderkey end,
-       case when torn then null else l_quantity end, case when torn then null else 4 end,
-       case when torn then null else cast(floor(epoch_us(l_shipdate) / 1000000) as bigint) end, torn
-from (select *, l_linenumber = 7 as torn from lineitem)"""
+select case when garbled then null else concat('shop-bin.000001:', cast(l_orderkey * 8 + l_linenumber as varchar)) end,
+       case when garbled then null else 'shop' end, case when garbled then null else 'lineitem' end,
+       case when garbled then null else 'insert' end, case when garbled then null else l_orderkey end,
+       case when garbled then null else l_quantity end, case when garbled then null else 4 end,
+       case when garbled then null else cast(floor(epoch_us(l_shipdate) / 1000000) as bigint) end, garbled
+from (select *, l_linenumber = 7 as garbled from lineitem)"""
 
 SQL["table_scan"] = with_(CHANGELOG) + f"""
 select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, pos_key from cl

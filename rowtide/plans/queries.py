@@ -288,7 +288,7 @@ MIXED_COLS = ["binlog", "db", "tbl", "event_type", "key", "amount", "n_after_fie
 @query("envelope_variant")
 def q_envelope_variant(spark, sf):
     """S2 on one queue carrying two tables: parse with variant images, land by table,
-    type each table's images from its own folder; torn messages come out malformed."""
+    type each table's images from its own folder; garbled messages come out malformed."""
     changes = shape.envelope(feeds.changelog(spark, sf)).select(shape.envelope_text().alias("value"))
     parsed = shape.parse_envelope_variant(changes.unionByName(feeds.shop_envelopes(spark, sf)))
     path = scratch_dir(spark, "routed")
@@ -300,10 +300,10 @@ def q_envelope_variant(spark, sf):
                          amount.alias("amount"), "n_after_fields", "timestamp", "malformed")
     shop = shape.typed_images(routed.filter((F.col("db") == "shop") & (F.col("table") == "lineitem")), SHOP_IMAGE)
     rest = shape.typed_images(routed.filter(F.col("db").isin("app", "audit")), CHANGE_IMAGE)
-    torn = routed.filter(F.col("db").isNull())
+    garbled = routed.filter(F.col("db").isNull())
     return (common(shop, F.coalesce(F.col("after.l_orderkey"), F.col("before.l_orderkey")), F.col("after.l_quantity"))
             .unionByName(common(rest, F.coalesce(F.col("after.id"), F.col("before.id")), F.col("after.value")))
-            .unionByName(common(torn, F.lit(None).cast("bigint"), F.lit(None).cast("double"))))
+            .unionByName(common(garbled, F.lit(None).cast("bigint"), F.lit(None).cast("double"))))
 
 
 def shape_json_schema():

@@ -97,14 +97,15 @@ def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SHOP_FILE = "shop-bin.000001"
-# Every lineitem with this line number is published torn in half (a partial write).
-TORN_LINE = 7
+# Every lineitem with this line number is published garbled: a stray byte ahead of the
+# whole message (the tail of an interrupted write), so it is not JSON.
+GARBLED_LINE = 7
 
 
 def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second table on the same queue: each ``lineitem`` row as an insert envelope
     of ``shop.lineitem`` (key ``l_orderkey``), JSON text in ``value``; lines numbered
-    TORN_LINE are cut in half, as a torn write would leave them."""
+    GARBLED_LINE carry a stray byte in front of the whole message."""
     from ..operators.shape import envelope_text, event_seconds
     li = read_table(spark, sf_dir, "lineitem")
     env = li.select(
@@ -117,8 +118,8 @@ def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").alias("after"),
         event_seconds("l_shipdate").alias("timestamp"), "l_linenumber")
     text = env.select(envelope_text().alias("t"), "l_linenumber")
-    torn = F.col("t").substr(F.lit(1), (F.length("t") / 2).cast("int"))
-    return text.select(F.when(F.col("l_linenumber") == TORN_LINE, torn).otherwise(F.col("t")).alias("value"))
+    garbled = F.concat(F.lit("#"), F.col("t"))
+    return text.select(F.when(F.col("l_linenumber") == GARBLED_LINE, garbled).otherwise(F.col("t")).alias("value"))
 
 
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:

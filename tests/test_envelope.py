@@ -120,10 +120,10 @@ def test_variant_route_types_each_table(spark):
     assert sorted(back.select(cols).collect()) == sorted(env.select(cols).collect())
     shop = typed_images(parsed.filter(F.col("db") == "shop"),
                         "struct<l_orderkey:bigint,l_linenumber:int,l_partkey:bigint,l_quantity:double>")
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(F.col("l_linenumber") != feeds.TORN_LINE)
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(F.col("l_linenumber") != feeds.GARBLED_LINE)
     assert shop.count() == li.count() and shop.filter(F.col("before").isNotNull()).count() == 0
     assert shop.agg(F.sum("after.l_quantity")).first()[0] == li.agg(F.sum("l_quantity")).first()[0]
-    torn = parsed.filter("malformed")
-    assert torn.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(
-        F.col("l_linenumber") == feeds.TORN_LINE).count()
-    assert torn.filter(F.col("db").isNotNull()).count() == 0
+    garbled = parsed.filter("malformed")
+    assert garbled.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(
+        F.col("l_linenumber") == feeds.GARBLED_LINE).count()
+    assert garbled.filter(F.col("db").isNotNull()).count() == 0

@@ -29,13 +29,18 @@ def to_messages(env: DataFrame, key_fields=("id",)) -> DataFrame:
                       envelope_text().alias("value"))
 
 
+def kafka_frame(messages: DataFrame) -> DataFrame:
+    """K4: the (key, value) columns Spark's Kafka sink writes; records of one key go to one
+    Kafka partition, so a consumer sees each record's changes in publish order."""
+    return messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
 def publish(messages: DataFrame, fmt: str, path_or_topic: str, options: dict | None = None,
             callback: Callable[[DataFrame], None] | None = None) -> None:
     """K2: write a batch of messages with the chosen sink."""
     options = dict(options or {})
     if fmt == "kafka":
-        (messages.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
-                 .write.format("kafka").option("topic", path_or_topic).options(**options).save())
+        kafka_frame(messages).write.format("kafka").option("topic", path_or_topic).options(**options).save()
     elif fmt == "json":
         messages.write.mode("append").options(**options).json(path_or_topic)
     elif fmt == "text":

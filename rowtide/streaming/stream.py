@@ -55,7 +55,11 @@ def kafka_envelope_stream(spark: SparkSession, servers: str, topic: str, startin
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    raw = r.load()
+    return parse_kafka_envelopes(r.load())
+
+
+def parse_kafka_envelopes(raw: DataFrame) -> DataFrame:
+    """Envelopes from Kafka records (binary ``value`` = the JSON text); batch or stream."""
     parsed = raw.select(F.from_json(F.col("value").cast("string"), JSON_ENVELOPE).alias("e")).select("e.*")
     return with_positions(parsed)
 

@@ -26,6 +26,9 @@ DEFAULTS = {
     # Commit each micro-batch as a changelog of its state updates instead of
     # uploading a snapshot: the commit then costs the batch's changes, not the state size.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Merge session windows inside each input partition before the shuffle, so a busy
+    # table's changes reach its state task as a few partial sessions, not row by row.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -50,7 +50,7 @@ def test_unbroadcast_paths_match_oracle(spark, con, name, monkeypatch):
 
 ZONE_SENSITIVE = ["envelope", "envelope_json", "query_passthrough", "decode_timestamp", "rate_tumbling",
                   "rate_session", "header_split", "stream_envelope", "decode_datetime_int", "change_table",
-                  "table_scan", "envelope_variant"]
+                  "table_scan", "envelope_variant", "stream_rate", "stream_sessions"]
 
 
 @pytest.mark.parametrize("name", ZONE_SENSITIVE)

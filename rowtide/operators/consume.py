@@ -60,6 +60,30 @@ def latest_state(df: DataFrame, key_fields: Sequence[str] = ("id",), keep_delete
                       "n_changes")
 
 
+def latest_state_partial(df: DataFrame, key_fields: Sequence[str] = ("id",), mask: str = "after_present",
+                         keep_deletes: bool = False) -> DataFrame:
+    """A1 for logs of partial (MINIMAL) row images.
+
+    Each column of a key takes its value from the newest change in which the
+    column was present (a present NULL counts, an absent column does not); the
+    newest change decides whether the key is deleted.  A row comes back after
+    a delete only through an insert, which carries every column, so values
+    from before the delete are always superseded.  One aggregate: per column
+    ``max_by(value, position if present)``, which ignores absent rows and
+    combines map-side like ``latest_state``.
+    """
+    from ..functions.image import is_present
+    keys = ["db", "tbl", *key_fields]
+    names = df.schema["after"].dataType.fieldNames()
+    fields = [f for f in names if f not in key_fields]
+    order = F.struct(*ORDER)
+    k = keyed_changes(df, key_fields)
+    cols = [F.max_by(F.col("after")[f], F.when(is_present(mask, names.index(f)), order)).alias(f) for f in fields]
+    agg = k.groupBy(*keys).agg(*cols, F.max_by("event_type", order).alias("last_op"),
+                               F.count(F.lit(1)).alias("n_changes"))
+    return agg if keep_deletes else agg.filter(F.col("last_op") != "delete")
+
+
 def key_history(df: DataFrame, key_fields: Sequence[str] = ("id",)) -> DataFrame:
     """A2: every change of a key with its validity interval [valid_from, valid_to)."""
     k = keyed_changes(df, key_fields).withColumn("valid_from", F.col("ev_ts"))

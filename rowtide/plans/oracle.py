@@ -566,3 +566,18 @@ g as (
   from p)
 select db, tbl, min(s) as session_start_s, max(s) + 1800 as session_end_s, count(*) as n_changes
 from g group by db, tbl, sid"""
+
+SQL["latest_state_partial"] = with_(CHANGELOG) + """,
+p as (
+  select *, coalesce(a_id, b_id) as id,
+         case when event_type in ('insert', 'update') then 7
+              - case when event_type = 'update' and seq % 3 = 0 then 4 else 0 end
+              - case when event_type = 'update' and seq % 5 = 0 then 2 else 0 end
+              else 0 end as mask
+  from cl where event_type <> 'query')
+select db, tbl, id,
+       arg_max_null(a_value, case when mask & 2 <> 0 then pos_key end) as value,
+       arg_max_null(a_props, case when mask & 4 <> 0 then pos_key end) as props,
+       arg_max(event_type, pos_key) as last_op, count(*) as n_changes
+from p group by db, tbl, id
+having arg_max(event_type, pos_key) <> 'delete'"""

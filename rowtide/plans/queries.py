@@ -52,6 +52,12 @@ def q_latest_state(spark, sf):
     return consume.latest_state(feeds.changelog(spark, sf))
 
 
+@query("latest_state_partial")
+def q_latest_state_partial(spark, sf):
+    """A1 over MINIMAL row images: per column, the newest present value."""
+    return consume.latest_state_partial(feeds.partial_changelog(spark, sf))
+
+
 @query("change_rollup")
 def q_change_rollup(spark, sf):
     return consume.change_rollup(feeds.changelog(spark, sf))

@@ -69,6 +69,24 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partial_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog as a log of MINIMAL row images, with ``after_present``: a bigint
+    mask over the after-image's fields in order (bit 0 ``id``, bit 1 ``value``, bit 2
+    ``props``).  Inserts carry every column; an update whose ``seq`` is a multiple of 3
+    leaves ``props`` out, one whose ``seq`` is a multiple of 5 leaves ``value`` out (an
+    absent column is null *and* unmarked); deletes have no after-image (mask 0)."""
+    cl = changelog(spark, sf_dir)
+    et, seq = F.col("event_type"), F.col("seq")
+    drop_props = (et == "update") & (seq % 3 == 0)
+    drop_value = (et == "update") & (seq % 5 == 0)
+    mask = F.when(et.isin("insert", "update"),
+                  F.lit(7) - F.when(drop_props, 4).otherwise(0) - F.when(drop_value, 2).otherwise(0)).otherwise(0)
+    after = F.when(F.col("after").isNotNull(), F.struct(
+        F.col("after.id").alias("id"), F.when(~drop_value, F.col("after.value")).alias("value"),
+        F.when(~drop_props, F.col("after.props")).alias("props")))
+    return cl.withColumn("after", after).withColumn("after_present", mask.cast("long"))
+
+
 def row_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form: (l_orderkey, op, row_no, l_partkey, l_quantity, l_extendedprice)."""
     li = read_table(spark, sf_dir, "lineitem")

@@ -112,3 +112,26 @@ def test_time_and_time2(spark):
     got = df.select("i", D.interval_seconds(t1).cast("long").alias("a"), D.interval_seconds(t2).cast("long").alias("b"),
                     D.interval_text(t1).alias("c")).collect()
     assert {r["i"]: (r["a"], r["b"], r["c"]) for r in got} == want
+
+
+def test_fractional_seconds_kept(spark):
+    """DATETIME2 / TIME2 / TIMESTAMP2 with their fraction (already scaled to microseconds)."""
+    rnd = _rnd(6)
+    rows, want = [], {}
+    for i in range(N):
+        d = datetime.datetime(rnd.randint(1970, 2037), rnd.randint(1, 12), rnd.randint(1, 28),
+                              rnd.randint(0, 23), rnd.randint(0, 59), rnd.randint(0, 59))
+        us = rnd.choice([0, 999999, rnd.randint(0, 999999)])
+        dt2 = (1 << 39) | ((d.year * 13 + d.month) << 22) | (d.day << 17) | (d.hour << 12) | (d.minute << 6) | d.second
+        h, m, s = rnd.randint(0, 838), rnd.randint(0, 59), rnd.randint(0, 59)
+        sign = rnd.choice([1, -1])
+        t2 = 0x800000 + sign * ((h << 12) | (m << 6) | s)
+        secs = rnd.randint(0, U32)
+        rows.append((i, dt2, t2, secs, us))
+        want[i] = (d.replace(microsecond=us), sign * ((h * 3600 + m * 60 + s) * 1000000 + us), secs * 1000000 + us)
+    df = spark.createDataFrame(rows, "i long, dt2 long, t2 long, secs long, us long")
+    iv = D.time2("t2", "us")
+    got = df.select("i", D.datetime2("dt2", "us").alias("a"),
+                    (D.interval_seconds(iv) * 1000000).cast("long").alias("b"),
+                    F.unix_micros(D.timestamp_from_seconds("secs", "us")).alias("c")).collect()
+    assert {r["i"]: (r["a"], r["b"], r["c"]) for r in got} == want

@@ -194,7 +194,8 @@ def session_stream(env_stream: DataFrame, gap: str, by: Sequence[str] = ("db", "
 
 def update_sink(agg_stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
                 processing_time: str = "1 second"):
-    """Update-mode aggregate (e.g. windowed rates): each micro-batch's changed groups land in ``out/batch_id=N``, overwritten on replay (exactly once)."""
+    """Update-mode aggregate (e.g. windowed rates): each micro-batch's changed groups
+    land in ``out/batch_id=N``, overwritten on replay (exactly once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 

@@ -32,11 +32,24 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     hashed relation for text and a fair one for numbers), so a side of few but
     wide rows (long type texts, big arrays) is not broadcast either.
     """
+    return _fits(_profile(df, max_rows), max_rows, max_bytes)
+
+
+def _profile(df: DataFrame, max_rows: int | None, keys: Sequence[str] = ()):
+    """Rows, JSON bytes and (with ``keys``) the largest group of at most ``max_rows + 1`` rows: one job."""
     rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    size = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    r = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
-    return r["n"] <= rows and (r["b"] or 0) <= size
+    head = df.limit(rows + 1)
+    if keys:
+        head = head.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b"))
+        return head.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max("n").alias("m")).first()
+    return head.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
+
+
+def _fits(r, max_rows: int | None, max_bytes: int | None) -> bool:
+    rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    size = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return (r["n"] or 0) <= rows and (r["b"] or 0) <= size
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str, max_rows: int | None = None,
@@ -77,8 +90,8 @@ def asof_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], pos:
     out = [F.col(c) for c in events.columns] + [F.col(ren[c]).alias(c) for c in vcols]
 
     per_key = MAX_VERSIONS_PER_KEY if max_per_key is None else max_per_key
-    if fits_broadcast(versions, max_rows, max_bytes) and \
-            (versions.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= per_key:
+    prof = _profile(versions, max_rows, keys)
+    if _fits(prof, max_rows, max_bytes) and (prof["m"] or 0) <= per_key:
         return events.join(F.broadcast(v), cond, "left").select(*out)
 
     b = F.shiftright(p, bucket_bits)

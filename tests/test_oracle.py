@@ -61,3 +61,32 @@ def test_results_do_not_depend_on_session_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert rep["ok"], rep
+
+
+PARTITION_SENSITIVE = ["key_history", "continuity", "log_file_fill", "rate_session", "schema_intervals",
+                       "pair_update", "latest_state_partial", "merge_feeds", "ordered_delivery"]
+
+
+SF_MID = "/root/testdata/sf0.01"        # ten log files: ten position buckets per key
+
+
+@pytest.fixture(scope="module")
+def con_mid():
+    return duck_connection(SF_MID)
+
+
+@pytest.mark.parametrize("name", PARTITION_SENSITIVE)
+def test_results_do_not_depend_on_partitioning(spark, con_mid, name):
+    """No AQE, three shuffle partitions and no broadcast, over several buckets per key:
+    bucket edges and their carried neighbours land in other tasks."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rep = compare(spark, con_mid, name, SF_MID, QUERIES, SQL)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert rep["ok"], rep

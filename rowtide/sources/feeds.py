@@ -25,6 +25,8 @@ from .tables import read_table
 
 # Window bucket for per-user neighbours: 2^20 consecutive event ids.
 EVENT_BUCKET_BITS = 20
+# Window bucket for image numbering inside one multi-row event: 2^16 part keys.
+PARTKEY_BUCKET_BITS = 16
 # Images per row event (even, so update pairs never straddle two events).
 ROWS_PER_EVENT = 8
 
@@ -93,9 +95,10 @@ def row_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus"]
     # Bucket on a monotone prefix of the order, so a huge multi-row event still
-    # spreads over many window partitions.
+    # spreads over many window partitions: 2^16 part keys per line number, which
+    # keeps a hot event's buckets and its bucket summary both near sqrt(rows).
     numbered = keyed_window(li, ["l_orderkey"], order,
-                            [F.col("l_linenumber"), shift_bucket("l_partkey", 12)], seq="__seq")
+                            [F.col("l_linenumber"), shift_bucket("l_partkey", PARTKEY_BUCKET_BITS)], seq="__seq")
     op = (F.when(F.col("l_orderkey") % 3 == 0, "insert")
           .when(F.col("l_orderkey") % 3 == 1, "update").otherwise("delete"))
     return numbered.select("l_orderkey", op.alias("op"), (F.col("__seq") - 1).cast("long").alias("row_no"),

@@ -153,6 +153,8 @@ JSON_ENVELOPE = T.StructType([
     T.StructField("before", IMAGE),
     T.StructField("after", IMAGE),
     T.StructField("timestamp", T.LongType()),
+    # Optional: column-present mask of a partial (MINIMAL) after-image; absent = full image.
+    T.StructField("after_present", T.LongType()),
 ])
 
 SCHEMA_HISTORY = T.StructType([

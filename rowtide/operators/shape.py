@@ -88,7 +88,7 @@ def envelope(changes: DataFrame) -> DataFrame:
         position_label("log_file", "log_pos").alias("binlog"),
         "db", F.col("tbl").alias("table"), "query", "event_type", "primary",
         "before", "after", event_seconds("ev_ts").alias("timestamp"),
-        *[c for c in ("pos_key", "row_no") if c in changes.columns])
+        *[c for c in ("pos_key", "row_no", "after_present") if c in changes.columns])
 
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -99,17 +99,19 @@ def _image_json(c: str) -> Column:
     return F.coalesce(F.to_json(F.col(c), _KEEP_NULLS), F.lit("{}"))
 
 
-def envelope_text() -> Column:
+def envelope_text(with_mask: bool = False) -> Column:
     """JSON text of the envelope columns, keys in envelope order.
 
     The scalar head is one ``to_json`` of a struct (it always ends in ``}``);
     the two images are spliced in as their own ``to_json`` text, so no value
-    is serialised twice.
+    is serialised twice.  ``with_mask`` adds ``after_present`` (partial images).
     """
     head = F.to_json(F.struct("binlog", "db", "table", "query", "event_type", "primary"), _KEEP_NULLS)
     return F.concat(head.substr(F.lit(1), F.length(head) - 1),
                     F.lit(',"before":'), _image_json("before"), F.lit(',"after":'), _image_json("after"),
                     F.lit(',"timestamp":'), F.coalesce(F.col("timestamp").cast("string"), F.lit("null")),
+                    *([F.lit(',"after_present":'), F.coalesce(F.col("after_present").cast("string"), F.lit("null"))]
+                      if with_mask else []),
                     F.lit("}"))
 
 

@@ -581,3 +581,5 @@ select db, tbl, id,
        arg_max(event_type, pos_key) as last_op, count(*) as n_changes
 from p group by db, tbl, id
 having arg_max(event_type, pos_key) <> 'delete'"""
+
+SQL["stream_latest_partial"] = SQL["latest_state_partial"]

@@ -486,18 +486,19 @@ def q_log_file_fill(spark, sf):
 STAGE_BATCHES = 4
 
 
-def _stage_envelopes(spark, sf) -> tuple[str, int]:
+def _stage_envelopes(spark, sf, partial: bool = False) -> tuple[str, int]:
     """Publish the feed as JSON envelope files (the stream's input).
 
     One file per core of the cluster (at least STAGE_BATCHES), so the write is
     as parallel as the cluster and never funnels the feed through a few tasks;
     returns the folder and the files per trigger that replay it in about
-    STAGE_BATCHES micro-batches.
+    STAGE_BATCHES micro-batches.  ``partial`` publishes the MINIMAL-image feed with
+    its column-present masks.
     """
     files = max(STAGE_BATCHES, spark.sparkContext.defaultParallelism)
     stage = scratch_dir(spark, "stage")
-    env = shape.envelope(feeds.changelog(spark, sf))
-    (env.select(shape.envelope_text().alias("value")).repartition(files)
+    env = shape.envelope((feeds.partial_changelog if partial else feeds.changelog)(spark, sf))
+    (env.select(shape.envelope_text(with_mask=partial).alias("value")).repartition(files)
         .write.mode("overwrite").text(stage))
     return stage, max(1, files // STAGE_BATCHES)
 
@@ -581,6 +582,16 @@ def q_stream_latest(spark, sf):
     return S.read_latest_state(spark, out)
 
 
+@query("stream_latest_partial")
+def q_stream_latest_partial(spark, sf):
+    """A8 over MINIMAL images: the stream keeps each column's newest present value."""
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf, partial=True))
+    out, ck = scratch_dir(spark, "latest-partial"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.update_sink(S.latest_state_partial_updates(src), out, ck))
+    cur = S.read_updates(spark, out, list(S.LATEST_KEYS)).filter(F.col("last_op") != "delete")
+    return cur.select("db", F.col("table").alias("tbl"), "id", "value", "props", "last_op", "n_changes")
+
+
 @query("stream_progress")
 def q_stream_progress(spark, sf):
     """P3 + P5: the progress rows a latest-state stream writes after its sink, read back

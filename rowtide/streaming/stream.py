@@ -94,6 +94,24 @@ def latest_state_updates(env_stream: DataFrame, keys: Sequence[str] = LATEST_KEY
     return k.groupBy(*keys).agg(win, F.count(F.lit(1)).alias("n_changes"))
 
 
+def latest_state_partial_updates(env_stream: DataFrame, keys: Sequence[str] = LATEST_KEYS) -> DataFrame:
+    """A8 for partial (MINIMAL) after-images: per key, each column's newest *present* value
+    (``after_present`` mask; a message without it carries a full image), the newest
+    change's type and the change count.  A streaming aggregate: combined map-side,
+    state of one row per key."""
+    from ..functions.image import is_present
+    names = JSON_ENVELOPE["after"].dataType.fieldNames()
+    full = F.lit((1 << len(names)) - 1)
+    mask = F.when(F.col("after").isNotNull(), F.coalesce(F.col("after_present"), full)).otherwise(F.lit(0))
+    k = (env_stream.filter(~F.col("event_type").isin("query", HEARTBEAT))
+         .withColumn("id", F.coalesce(F.col("after.id"), F.col("before.id"))).withColumn("__mask", mask))
+    order = F.struct("pos_key", "row_no")
+    cols = [F.max_by(F.col("after")[f], F.when(is_present(F.col("__mask"), i), order)).alias(f)
+            for i, f in enumerate(names) if f not in keys]
+    return k.groupBy(*keys).agg(*cols, F.max_by("event_type", order).alias("last_op"),
+                                F.count(F.lit(1)).alias("n_changes"))
+
+
 def latest_state_sink(env_stream: DataFrame, out: str, checkpoint: str, available_now: bool = True,
                       processing_time: str = "1 second", progress: str | None = None):
     """A8 + P3 + P5: update-mode aggregate; each micro-batch's changed keys land in

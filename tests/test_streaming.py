@@ -206,3 +206,17 @@ def test_session_tie_follows_session_window(spark):
     # 0 and 1800 tie (one session), 3601 is 1801 s later (new), 5401 ties again, 9000 is new
     assert sorted(r["count"] for r in native.collect()) == [1, 2, 2]
     assert sorted(r["n_changes"] for r in got.collect()) == [1, 2, 2]
+
+
+def test_partial_updates_treat_missing_mask_as_full_image(spark):
+    img = "struct<id:bigint,value:double,props:string>"
+    rows = [(1, "insert", (1, 1.0, "a"), None),       # no mask: a full image
+            (2, "update", (1, None, None), 1),          # only the key present
+            (3, "update", (1, 3.0, None), 3),           # value present, props absent
+            (4, "insert", (2, 5.0, None), None)]        # no mask: props present and NULL
+    df = spark.createDataFrame(
+        [("d", "t", p, 0, op, a, None, m) for p, op, a, m in rows],
+        f"db string, table string, pos_key long, row_no int, event_type string, after {img}, before {img}, "
+        f"after_present long")
+    got = {r["id"]: (r["value"], r["props"], r["n_changes"]) for r in S.latest_state_partial_updates(df).collect()}
+    assert got == {1: (3.0, "a", 3), 2: (5.0, None, 1)}

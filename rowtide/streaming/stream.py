@@ -202,7 +202,9 @@ def session_stream(env_stream: DataFrame, gap: str, by: Sequence[str] = ("db", "
     Spark runs streaming session windows in append mode (sessions are emitted
     once the watermark passes their end, and their state is dropped) or
     complete mode (the whole result each trigger; for small groupings and
-    tests).  Update mode is not available for session windows.
+    tests).  Update mode is not available for session windows.  On a quiet log
+    the watermark only moves with ``heartbeat`` envelopes (counted by no
+    session), so a publisher's heartbeats are what close the last sessions.
     """
     return (watermarked(env_stream, delay).groupBy(F.session_window("ts", gap).alias("s"), *by)
             .agg(F.count(F.lit(1)).alias("n_changes"))

@@ -161,8 +161,15 @@ def enum_label(idx, labels) -> Column:
 
 # D12 -----------------------------------------------------------------------
 def set_labels(mask, labels) -> Column:
-    """SET bitmask -> labels in definition order (up to 64 members)."""
+    """SET bitmask -> labels in definition order (up to 64 members).
+
+    ``labels`` is a column (per-row definitions, e.g. from the catalogue) or a
+    list known when the plan is built; a list needs no lambda.
+    """
     m = _c(mask).cast("long")
+    if isinstance(labels, (list, tuple)):
+        return F.array_compact(F.array(*[
+            F.when(m.bitwiseAND(F.shiftleft(F.lit(1).cast("long"), i)) != 0, F.lit(v)) for i, v in enumerate(labels)]))
     return F.filter(_c(labels),
                     lambda v, i: m.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != 0)
 

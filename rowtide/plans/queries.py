@@ -136,9 +136,8 @@ def q_decode_enum(spark, sf):
 @query("decode_set")
 def q_decode_set(spark, sf):
     c = feeds.cells(spark, sf)
-    labels = F.array(*[F.lit(x) for x in SET_LABELS])
     return c.select("o_orderkey", "set_mask",
-                    F.array_join(D.set_labels("set_mask", labels), ",").alias("set_value"))
+                    F.array_join(D.set_labels("set_mask", SET_LABELS), ",").alias("set_value"))
 
 
 @query("decode_bit")

@@ -85,15 +85,17 @@ def test_set_and_bit(spark):
     labels = [f"m{k}" for k in range(64)]
     rows, want = [], {}
     for i in range(N):
-        mask = rnd.choice([0, (1 << 63) - 1, rnd.getrandbits(63)])
+        mask = rnd.choice([0, (1 << 63) - 1, -1, -(1 << 63), rnd.getrandbits(63)])   # -1, -2^63: bit 63 set
         nbytes = rnd.randint(1, 8)
         b = bytes(rnd.randint(0, 255) for _ in range(nbytes))
         rows.append((i, mask, b))
         want[i] = ([lab for k, lab in enumerate(labels) if mask >> k & 1], int.from_bytes(b, "big"))
     df = spark.createDataFrame(rows, "i long, mask long, b binary")
     arr = F.array(*[F.lit(x) for x in labels])
-    got = df.select("i", D.set_labels("mask", arr).alias("s"), D.bit_value("b").alias("v")).collect()
+    got = df.select("i", D.set_labels("mask", arr).alias("s"), D.bit_value("b").alias("v"),
+                    D.set_labels("mask", labels).alias("s2")).collect()
     assert {r["i"]: (list(r["s"]), int(r["v"])) for r in got} == want
+    assert all(list(r["s"]) == list(r["s2"]) for r in got)             # literal labels: same answer
 
 
 def test_time_and_time2(spark):

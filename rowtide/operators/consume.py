@@ -8,6 +8,7 @@ with map-side partial aggregation (one row per key and task is shuffled).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -165,24 +166,43 @@ def change_rate(df: DataFrame, width: str, slide: str | None = None, by: Sequenc
                       "n_changes")
 
 
+def session_bucket_seconds(df: DataFrame, by: Sequence[str], secs: Column) -> int:
+    """Time-bucket width for per-group windows: span / sqrt(rows) of the busiest group.
+
+    A group of N rows over a span T cut into buckets of width W costs window tasks
+    of about N*W/T rows and a bucket summary of T/W rows; W = T/sqrt(N) balances
+    the two for the group that matters, the largest.  One aggregate with map-side
+    combining; one scalar reaches the driver.
+    """
+    g = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), (F.max(secs) - F.min(secs)).alias("span"))
+    r = g.agg(F.max_by(F.struct("n", "span"), "n").alias("top")).first()
+    if r is None or r["top"] is None:
+        return 60
+    n, span = r["top"]["n"], r["top"]["span"] or 0
+    return max(1, int(span / math.sqrt(n)))
+
+
 def change_sessions(df: DataFrame, by: Sequence[str], gap_seconds: int, ts: str = "ev_ts",
-                    bucket_seconds: int = 60) -> DataFrame:
+                    bucket_seconds: int | None = 60) -> DataFrame:
     """A7 (batch): activity sessions per group; a gap of more than ``gap_seconds`` starts a new one.
 
     Same sessions as ``session_window`` (a session ends ``gap`` after its last
     change), computed with two skew-safe keyed windows (previous time, then a
     forward fill of the session start) and one partial aggregate, so a hot
-    group is spread over time buckets instead of one task.
+    group is spread over time buckets instead of one task.  Buckets are
+    ``bucket_seconds`` wide (a minute: near span / sqrt(rows) for a group holding
+    a third of 10^12 changes over a year); ``None`` sizes them from the busiest
+    group with one extra aggregate (``session_bucket_seconds``).
     """
     by = list(by)
     order = [ts, "pos_key", "row_no"]
     from ..functions.decode import epoch_ntz
-    # Event-time buckets of ``bucket_seconds``: monotone in (ts, pos_key, row_no), zone-free
-    # for wall clocks.  Short buckets bound the rows of a burst of one group in one window task.
+    # Event-time buckets: monotone in (ts, pos_key, row_no), zone-free for wall clocks.
     t = F.col(ts)
     secs = (F.timestamp_diff("SECOND", epoch_ntz(), t) if dict(df.dtypes)[ts] == "timestamp_ntz"
             else F.unix_seconds(t))
-    bucket = F.floor(secs / bucket_seconds)
+    width = bucket_seconds or session_bucket_seconds(df, by, secs)
+    bucket = F.floor(secs / width)
     d = df.select(*by, *order)
     d = keyed_window(d, by, order, bucket, lag=[ts])
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))

@@ -206,6 +206,8 @@ def test_session_tie_follows_session_window(spark):
     # 0 and 1800 tie (one session), 3601 is 1801 s later (new), 5401 ties again, 9000 is new
     assert sorted(r["count"] for r in native.collect()) == [1, 2, 2]
     assert sorted(r["n_changes"] for r in got.collect()) == [1, 2, 2]
+    sized = consume.change_sessions(df, ["db", "tbl"], 1800, bucket_seconds=None)     # width from the data
+    assert sorted(sized.select("session_start", "session_end", "n_changes").collect()) == sorted(got.collect())
 
 
 def test_partial_updates_treat_missing_mask_as_full_image(spark):

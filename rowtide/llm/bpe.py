@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import ship
+
 CACHE_PIECES = 300_000  # distinct pre-tokens remembered by a worker; then it starts anew
 BATCH_CHARS = 4_000_000
 
@@ -88,6 +90,7 @@ def _boundaries(pattern: str):
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            chunk: int = 65_536, overlap: int = 1_024) -> DataFrame:
     """``id_col`` and ``ids`` (array<int>) of every row."""
+    ship()
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     ids = _encoder(ranks_path, pattern)
     short = rows.where(F.length("t") <= chunk).select(id_col, ids("t").alias("ids"))
@@ -126,6 +129,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str = "bytes") -> DataFrame:
     """The rows with one more column: the concatenated bytes of their ids (null ids: empty)."""
+    ship()
 
     @F.arrow_udf("binary")
     def join(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship() -> None:
+    """Give the executors' Python workers this package (once for each Spark context)."""
+    sc = SparkSession.active().sparkContext
+    name = "rowtide-llm.zip"
+    if any(os.path.basename(f) == name for f in sc._python_includes):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="rowtide-ship-"), name)
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("rowtide/__init__.py", "")
+        for f in sorted(os.listdir(here)):
+            if f.endswith(".py"):
+                z.write(os.path.join(here, f), f"rowtide/llm/{f}")
+    sc.addPyFile(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession

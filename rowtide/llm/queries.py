@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, repetition, url_filter
+from . import bpe, html_extract, lang_id, repetition, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -96,3 +96,20 @@ FROM o
 @query("op8_quality_rules", QUALITY_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality(table(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lang_id.predict(docs, lang_id.train(docs))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))

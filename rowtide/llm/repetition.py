@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\f\r"
 BLOCK_WORDS = 200_000  # words sorted at once; a longer text is a block of its own
@@ -115,6 +117,7 @@ def _block(texts: list[str], min_words: int) -> np.ndarray:
 
 def measure(text: Column, min_words: int = 5) -> Column:
     """Struct of the word counts and repetition measures of a text column."""
+    ship()
 
     @F.pandas_udf(MEASURES)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, html_extract, lang_id, repetition, toxicity, url_filter
+from . import bpe, html_extract, lang_id, line_dedup, repetition, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -113,3 +114,38 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_html_extraction")
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+# pairs one edit apart share their first or second half; the edit itself is sought place by place
+LINE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+x AS (SELECT r, doc_id, unnest(range(len(l))) AS no, unnest(l) AS raw FROM d),
+y AS (SELECT *, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM x),
+f AS (SELECT line, min({'d': doc_id, 'n': no}) AS pos FROM y WHERE line <> '' GROUP BY line),
+u AS (SELECT line, pos, length(line) AS n FROM f WHERE length(line) >= 20),
+k AS (SELECT *, unnest([n, n - 1]) AS base FROM u),
+h AS (SELECT *, 'a' || left(line, base // 2) AS half FROM k UNION ALL SELECT *, 'b' || right(line, base - base // 2) FROM k),
+p AS (
+  SELECT DISTINCT a.line AS a, b.line AS b FROM h a JOIN h b USING (base, half)
+  WHERE b.pos < a.pos AND (a.n = base OR b.n = base)),
+e AS (
+  SELECT DISTINCT a FROM p WHERE len([i FOR i IN range(greatest(length(a), length(b)))
+    IF left(a, i) = left(b, i) AND (substr(a, i + 2) = substr(b, i + 2) OR substr(a, i + 2) = substr(b, i + 1)
+                                     OR substr(a, i + 1) = substr(b, i + 2))]) > 0),
+z AS (
+  SELECT y.r, y.no, y.raw, y.line <> '' AS is_line,
+         y.line = '' OR (f.pos = {'d': y.doc_id, 'n': y.no} AND e.a IS NULL) AS stays
+  FROM y LEFT JOIN f USING (line) LEFT JOIN e ON e.a = y.line),
+g AS (
+  SELECT r, string_agg(raw, chr(10) ORDER BY no) FILTER (stays) AS t, count(*) FILTER (is_line) AS n,
+         count(*) FILTER (is_line AND NOT stays) AS gone FROM z GROUP BY r)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN sha256(coalesce(g.t, '')) END AS text_sha256,
+       coalesce(g.n, 0) AS n_lines, coalesce(g.gone, 0) AS n_removed
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@query("op2_line_dedup", LINE_SQL)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "n_lines", "n_removed")

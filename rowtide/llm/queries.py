@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, lang_id, line_dedup, repetition, toxicity, url_filter
+from . import bpe, decontam, html_extract, lang_id, line_dedup, repetition, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -149,3 +149,57 @@ FROM d LEFT JOIN g USING (r)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "n_lines", "n_removed")
+
+
+def _sql_template(text: str) -> str:
+    """The template words of a text expression."""
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    t = f"coalesce({text}, '')"
+    for pattern, to, times in ((decontam.NAMED, rf"\1{decontam.NAME}", 2), (decontam.NUMBERED, rf"\1{decontam.NUMBER}\2", 2),
+                               (None, None, 1), (decontam.MEASURED, rf"{decontam.NUMBER}\1{decontam.UNIT}\2", 1),
+                               (decontam.EDGES, r"\1\2", 2)):
+        for _ in range(times):
+            t = f"regexp_replace({t}, {quoted(pattern)}, {quoted(to)}, 'g')" if pattern else f"lower({t})"
+    return f"[w FOR w IN string_split_regex({t}, '[{decontam.WHITE}]+') IF w <> '']"
+
+
+def _sql_raw(text: str) -> str:
+    edge = decontam.EDGE
+    return (rf"[regexp_replace(regexp_replace(lower(w), '^{edge}+', ''), '(?:[''’]s)?{edge}*$', '') FOR w IN "
+            rf"string_split_regex({text}, '[{decontam.WHITE}]+') IF regexp_matches(w, '[\p{{L}}\p{{N}}%<>]')]")
+
+
+LEAK_SQL = rf"""
+WITH b AS (SELECT item_id, w, v, least(len(w), 8) AS size FROM (
+       SELECT item_id, {_sql_template("text")} AS w, {_sql_raw("text")} AS v FROM benchmark) WHERE len(w) >= 5),
+d AS (SELECT doc_id, {_sql_template("text")} AS w, {_sql_raw("text")} AS v FROM documents),
+bw AS (
+  SELECT item_id, size, i AS at0, array_to_string(w[i + 1:i + size], ' ') AS x
+  FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i FROM b)
+  WHERE 2 * len([s FOR s IN w[i + 1:i + size] IF s IN ('<number>', '<unit>', '<name>')]) <= size),
+n AS (SELECT item_id, count(*) AS n FROM bw GROUP BY item_id),
+dx AS (SELECT doc_id, i, unnest(w) AS x, unnest(range(len(w))) AS p FROM (SELECT *, 0 AS i FROM d)),
+dw AS (
+  SELECT doc_id, p AS at1, size, x FROM (
+    {" UNION ALL ".join(
+        f"SELECT doc_id, p, {k} AS size, x || {' || '.join(f'''' ' || lead(x, {j}) OVER (PARTITION BY doc_id ORDER BY p)''' for j in range(1, k))} AS x FROM dx"
+        for k in range(5, 9))}) WHERE x IS NOT NULL),
+hit AS (SELECT DISTINCT doc_id, item_id, bw.size, at0, at1 - at0 AS diagonal FROM dw JOIN bw USING (size, x)),
+slot AS (
+  SELECT DISTINCT doc_id, item_id, diagonal, q, b.v[q + 1] AS theirs, d.v[q + diagonal + 1] AS ours
+  FROM (SELECT *, unnest(range(at0, at0 + size)) AS q FROM hit) JOIN b USING (item_id) JOIN d USING (doc_id)
+  WHERE b.w[q + 1] IN ('<number>', '<unit>', '<name>')),
+torn AS (
+  SELECT doc_id, item_id, diagonal FROM slot GROUP BY ALL
+  HAVING count(DISTINCT [theirs, ours]) > count(DISTINCT theirs) OR count(DISTINCT [theirs, ours]) > count(DISTINCT ours))
+SELECT doc_id, item_id, n_matched, n_matched / n.n AS share FROM (
+  SELECT doc_id, item_id, count(DISTINCT at0) AS n_matched FROM hit ANTI JOIN torn USING (doc_id, item_id, diagonal) GROUP BY ALL)
+JOIN n USING (item_id) WHERE n_matched >= 0.6 * n.n
+"""
+
+
+@query("op7_benchmark_decontamination", LEAK_SQL)
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

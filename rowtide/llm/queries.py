@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, lang_id, line_dedup, repetition, toxicity, url_filter
+from . import bpe, decontam, html_extract, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -203,3 +203,9 @@ JOIN n USING (item_id) WHERE n_matched >= 0.6 * n.n
 @query("op7_benchmark_decontamination", LEAK_SQL)
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -17,6 +17,7 @@ gives an empty result.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,12 +27,13 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .common import ship
 
-CACHE_PIECES = 300_000  # distinct pre-tokens remembered by a worker; then it starts anew
-BATCH_CHARS = 4_000_000
+CACHE_PIECES = 100_000  # distinct pre-tokens remembered by a worker; then it starts anew
+BATCH_CHARS = 1_000_000  # of text in a batch of results
 
 
 @lru_cache(maxsize=4)
@@ -50,7 +52,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
-        packed = np.array(self.encoding.encode_ordinary(piece), np.int32).tobytes()
+        packed = array("i", self.encoding.encode_ordinary(piece)).tobytes()
         if len(piece) < 100:
             self[piece] = packed
         return packed
@@ -61,17 +63,44 @@ def pieces_of(ranks_path: str, pattern: str) -> tuple[Pieces, regex.Pattern]:
     return Pieces(ranks_path, pattern), regex.compile(pattern)
 
 
-def _encoder(ranks_path: str, pattern: str):
-    @F.arrow_udf("array<int>")
-    def encode_pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _token_table(ranks_path: str) -> list[bytes]:
+    ranks = vocabulary(ranks_path)
+    token = [b""] * (max(ranks.values(), default=-1) + 1)
+    for raw, i in ranks.items():
+        token[i] = raw
+    return token
+
+
+def _encode_rows(rows: DataFrame, ranks_path: str, pattern: str, decoded: str | None) -> DataFrame:
+    """The rows with their text column ``t`` replaced by ``ids`` and, if named, the bytes that these decode to."""
+    names = [c for c in rows.columns if c != "t"]
+    types = [rows.schema[c] for c in names]
+    schema = StructType([*types, StructField("ids", ArrayType(IntegerType()))]
+                        + ([StructField(decoded, BinaryType())] if decoded else []))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, split = pieces_of(ranks_path, pattern)
+        token = _token_table(ranks_path) if decoded else []
         for batch in batches:
-            blobs = [b"".join(map(packed.__getitem__, split.findall(t.as_py() or ""))) for t in batch]
-            ends = np.cumsum([0] + [len(b) // 4 for b in blobs])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(np.frombuffer(b"".join(blobs), np.int32), pa.int32()))
-
-    return encode_pieces
+            texts, start = batch.column("t"), 0
+            while start < len(texts):
+                blobs, chars, stop = [], 0, start
+                while stop < len(texts) and chars < BATCH_CHARS:
+                    t = texts[stop].as_py()
+                    blobs.append(b"".join(map(packed.__getitem__, split.findall(t))))
+                    chars += len(t)
+                    stop += 1
+                ends = np.cumsum([0] + [len(x) // 4 for x in blobs])
+                out = [batch.column(c).slice(start, stop - start) for c in names]
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                                    pa.array(np.frombuffer(b"".join(blobs), np.int32), pa.int32())))
+                if decoded:
+                    out.append(pa.array([b"".join(map(token.__getitem__, np.frombuffer(x, np.int32).tolist())) for x in blobs],
+                                        pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, schema.fieldNames())
+                start = stop
+
+    return rows.mapInArrow(run, schema)
 
 
 def _boundaries(pattern: str):
@@ -88,12 +117,11 @@ def _boundaries(pattern: str):
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk: int = 65_536, overlap: int = 1_024) -> DataFrame:
-    """``id_col`` and ``ids`` (array<int>) of every row."""
+           chunk: int = 65_536, overlap: int = 1_024, decoded: str | None = None) -> DataFrame:
+    """``id_col`` and ``ids`` (array<int>) of every row; ``decoded`` names a column for the bytes these decode to."""
     ship()
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    ids = _encoder(ranks_path, pattern)
-    short = rows.where(F.length("t") <= chunk).select(id_col, ids("t").alias("ids"))
+    short = _encode_rows(rows.where(F.length("t") <= chunk), ranks_path, pattern, decoded)
     # long texts: equal rows are encoded once and given back as often as they came
     long = rows.where(F.length("t") > chunk).groupBy(id_col, "t").agg(F.count("*").alias("copies"))
     last = F.floor((F.length("t") - 1) / F.lit(chunk)).cast("int")
@@ -116,15 +144,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         "from": F.when(F.col("c") == 0, F.lit(0)).otherwise(F.lag("seam").over(by_doc)),
         "torn": F.max((~F.col("is_last") & F.col("seam").isNull()).cast("int")).over(Window.partitionBy(id_col, "k"))})
     end = F.when(F.col("is_last"), F.col("at") + F.length("part")).otherwise(F.col("seam"))
-    whole = (chunks.where("torn = 0")
-             .select(id_col, "k", "copies", "c", ids(F.substring("part", F.col("from") - F.col("at") + 1, end - F.col("from"))).alias("p"))
-             .groupBy(id_col, "k", "copies").agg(F.array_sort(F.collect_list(F.struct("c", "p"))).alias("ps"))
-             .select(id_col, "copies", F.flatten(F.col("ps.p")).alias("ids")))
+    pieces = chunks.where("torn = 0").select(
+        id_col, "k", "copies", "c", F.substring("part", F.col("from") - F.col("at") + 1, end - F.col("from")).alias("t"))
+    whole = (_encode_rows(pieces, ranks_path, pattern, None)
+             .groupBy(id_col, "k", "copies").agg(F.array_sort(F.collect_list(F.struct("c", "ids"))).alias("ps"))
+             .select(id_col, "copies", F.flatten(F.col("ps.ids")).alias("ids")))
     torn = chunks.where("torn = 1 AND c = 0").select(F.col(id_col).alias("i"), F.col("k").alias("j"))
-    whole = whole.unionByName(
-        long.join(torn, F.col(id_col).eqNullSafe(F.col("i")) & (F.xxhash64("t") == F.col("j")), "left_semi")
-        .select(id_col, "copies", ids("t").alias("ids")))
-    return short.unionByName(whole.select(id_col, F.explode(F.array_repeat("ids", F.col("copies").cast("int"))).alias("ids")))
+    rest = long.join(torn, F.col(id_col).eqNullSafe(F.col("i")) & (F.xxhash64("t") == F.col("j")), "left_semi")
+    whole = whole.unionByName(_encode_rows(rest, ranks_path, pattern, None))
+    whole = whole.select(id_col, F.explode(F.array_repeat("ids", F.col("copies").cast("int"))).alias("ids"))
+    return short.unionByName(decode(whole, ranks_path, to=decoded) if decoded else whole)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str = "bytes") -> DataFrame:
@@ -133,10 +162,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str =
 
     @F.arrow_udf("binary")
     def join(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ranks = vocabulary(ranks_path)
-        token = [b""] * (max(ranks.values(), default=-1) + 1)
-        for raw, i in ranks.items():
-            token[i] = raw
+        token = _token_table(ranks_path)
         for batch in batches:
             values = batch.values.to_numpy(zero_copy_only=False)
             ends = batch.offsets.to_numpy()
@@ -148,7 +174,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", to: str =
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", **kw) -> DataFrame:
     """Per row: id, number of tokens, and the digests of its ids and of what they decode to."""
-    both = decode(encode(docs, ranks_path, pattern, id_col, **kw), ranks_path)
+    both = encode(docs, ranks_path, pattern, id_col, decoded="bytes", **kw)
     return both.select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

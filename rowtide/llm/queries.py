@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter
+from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -209,3 +209,8 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_ngram_jaccard_join")
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))

@@ -91,12 +91,30 @@ def time_hhmmss(x) -> Column:
     return _interval(v < 0, (a / 10000).cast("long"), (a / 100).cast("long") % 100, a % 100)
 
 
-def time2(x, micros=None) -> Column:
-    """TIME2: 3 bytes offset by 0x800000; |value| = hour(10) | minute(6) | second(6)."""
+def time2(x, frac=None, fsp: int = 6) -> Column:
+    """TIME2: 3 bytes offset by 0x800000; |value| = hour(10) | minute(6) | second(6).
+
+    ``frac``: the fraction's bytes as an unsigned integer (``fsp`` 1-2: one byte,
+    3-4: two, 5-6: three).  The value is signed as a whole, all its bytes taken
+    together: a negative time with a fraction is stored with the integer part one
+    lower and the fraction as complement.
+    """
     v = _c(x).cast("long") - F.lit(8388608)
-    a = F.abs(v)
-    return _interval(v < 0, F.shiftright(a, 12).bitwiseAND(1023), F.shiftright(a, 6).bitwiseAND(63),
-                     a.bitwiseAND(63), None if micros is None else _c(micros))
+    if frac is None:
+        a, micros = F.abs(v), None
+        neg = v < 0
+    else:
+        bits = 8 * ((fsp + 1) // 2)
+        whole = F.shiftleft(v, bits) + _c(frac).cast("long")
+        neg, a = whole < 0, F.shiftright(F.abs(whole), bits)
+        micros = fraction_micros(F.abs(whole).bitwiseAND(F.lit((1 << bits) - 1)), fsp)
+    return _interval(neg, F.shiftright(a, 12).bitwiseAND(1023), F.shiftright(a, 6).bitwiseAND(63),
+                     a.bitwiseAND(63), micros)
+
+
+def fraction_micros(frac, fsp: int = 6) -> Column:
+    """Fraction bytes of DATETIME2 / TIMESTAMP2 / TIME2 (non-negative) -> microseconds."""
+    return _c(frac).cast("long") * F.lit(10 ** (6 - 2 * ((fsp + 1) // 2)))
 
 
 def interval_seconds(iv) -> Column:
@@ -186,24 +204,47 @@ CHARSETS = {
     "utf8": "UTF-8",
     "utf8mb3": "UTF-8",
     "utf8mb4": "UTF-8",
-    "latin1": "ISO-8859-1",
+    "latin1": "windows-1252",
     "ascii": "US-ASCII",
     "utf16": "UTF-16",
     "utf16le": "UTF-16LE",
 }
 
 
-def charset_java_name(charset) -> Column:
-    m = F.create_map(*[F.lit(x) for kv in CHARSETS.items() for x in kv])
-    return F.try_element_at(m, F.lower(_c(charset)))
+# Bytes 0x80-0x9F of MySQL's latin1 are those of Windows-1252; the five that it leaves open
+# keep their code.
+_C1 = [chr(i) for i in range(0x80, 0xA0)]
+_C1_AS_1252 = [bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)]
+# Well-formed UTF-16, as pairs of hex digits, most significant byte first: no half surrogate pairs.
+_UTF16_HEX = r"^(?:(?!D[89A-F]..)....|D[89AB]..D[C-F]..)*$"
+_UTF16LE_HEX = r"^(?:(?!..D[89A-F])....|..D[89AB]..D[C-F])*$"
 
 
 def text_value(b, charset: str = "utf8mb4") -> Column:
-    """CHAR / VARCHAR / TEXT bytes in a known character set -> string."""
-    java = CHARSETS.get(charset.lower())
+    """CHAR / VARCHAR / TEXT bytes in a known character set -> string.
+
+    Null for bytes that are no text in that character set and for an unknown
+    character set; ``text_error`` has the reason.
+    """
+    java, raw = CHARSETS.get(charset.lower()), _c(b).cast("binary")
     if java is None:
-        raise ValueError(f"unsupported charset {charset}; route to quarantine")
-    return F.decode(_c(b), java)
+        return F.lit(None).cast("string")
+    if java == "UTF-8":
+        return F.try_validate_utf8(raw.cast("string"))
+    if java == "windows-1252":
+        return F.translate(F.decode(raw, "ISO-8859-1"), "".join(_C1), "".join(_C1_AS_1252))
+    if java == "US-ASCII":
+        text = F.decode(raw, "ISO-8859-1")
+        return F.when(~text.rlike(r"[^\x00-\x7F]"), text)
+    pattern = _UTF16LE_HEX if java == "UTF-16LE" else _UTF16_HEX
+    return F.when(F.hex(raw).rlike(pattern), F.decode(raw, java))
+
+
+def text_error(b, charset: str = "utf8mb4") -> Column:
+    """Why ``text_value`` gives null for bytes that are not null; null otherwise."""
+    if charset.lower() not in CHARSETS:
+        return F.when(_c(b).isNotNull(), F.lit(f"unknown charset {charset}"))
+    return F.when(_c(b).isNotNull() & text_value(b, charset).isNull(), F.lit(f"malformed {charset.lower()} text"))
 
 
 def blob_text(b) -> Column:

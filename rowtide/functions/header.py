@@ -93,7 +93,8 @@ def flag_names(flags) -> Column:
 
 
 def query_body(payload, checksum: bool = True) -> Column:
-    """H6: proxy id, exec time, error code, status vars, schema and SQL of a query event."""
+    """H6: proxy id, exec time, error code, status vars, schema and SQL of a query event
+    (schema or SQL null where their bytes are no UTF-8)."""
     p = _c(payload)
     end = F.length(p) - (CHECKSUM_LEN if checksum else 0)
     o = HEADER_LEN
@@ -105,8 +106,8 @@ def query_body(payload, checksum: bool = True) -> Column:
     return F.struct(le_int(p, o, 4).alias("proxy_id"), le_int(p, o + 4, 4).alias("exec_time"),
                     le_int(p, o + 9, 2).cast("int").alias("error_code"),
                     p.substr(vars_at + 1, vlen).alias("status_vars"),
-                    F.decode(p.substr(schema_at + 1, slen), "UTF-8").alias("schema"),
-                    F.decode(p.substr(sql_at + 1, end - sql_at), "UTF-8").alias("query"))
+                    F.try_validate_utf8(p.substr(schema_at + 1, slen).cast("string")).alias("schema"),
+                    F.try_validate_utf8(p.substr(sql_at + 1, end - sql_at).cast("string")).alias("query"))
 
 
 def rotate_body(payload, checksum: bool = True) -> Column:
@@ -115,4 +116,4 @@ def rotate_body(payload, checksum: bool = True) -> Column:
     end = F.length(p) - (CHECKSUM_LEN if checksum else 0)
     o = HEADER_LEN
     return F.struct(le_int(p, o, 8).alias("next_pos"),
-                    F.decode(p.substr(F.lit(o + 9), end - (o + 8)), "UTF-8").alias("next_file"))
+                    F.try_validate_utf8(p.substr(F.lit(o + 9), end - (o + 8)).cast("string")).alias("next_file"))

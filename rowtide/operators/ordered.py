@@ -4,18 +4,22 @@
 ``Window.partitionBy(key)`` put every row of a key into one task, and AQE does
 not split window partitions.  A change feed is exactly the data where one key
 (one hot row, one busy table, the single log of a server) can hold a third of
-all changes.  This module computes the same answers in two levels:
-
-1. the window runs over ``(key, bucket)``, where ``bucket`` is a coarse,
-   monotone function of the order (e.g. ``pos_key >> 20``: one MiB of log), so
-   one window partition is bounded by the bucket width, not by the key;
-2. one summary row per ``(key, bucket)`` (count, first row, last row, last
+all changes.  This module computes the same answers with hot keys split:
+
+1. one map-side-combined count finds the hot keys, those of more than
+   ``hot_rows`` rows: N / ``hot_rows`` of them at most, so they are broadcast;
+2. the window runs over ``(key, bucket)``, where ``bucket`` is null for all other
+   keys and, for a hot key, a coarse, monotone function of the order (e.g.
+   ``pos_key >> 20``: one MiB of log), so no window partition outgrows
+   ``hot_rows`` or the bucket width;
+3. one summary row per hot ``(key, bucket)`` (count, first row, last row, last
    non-null value; built with partial aggregation) is ordered per key with a
    second, small window, and joined back on ``(key, bucket)`` to patch the
    first/last row of each bucket and to offset row numbers.
 
-The big side is shuffled once (for the bucket window); the summary is tiny and
-AQE broadcasts it when its measured size allows.
+The big side is shuffled once, by ``(key, bucket)``, which the join reuses.  Without
+hot keys AQE sees the empty broadcast and drops step 3: what is left is the count
+and a plain window.
 
 Sizing: a key of N rows cut into buckets of B rows costs one window task of at
 most B rows per bucket and one summary window of N / B rows.  Both stay under
@@ -33,6 +37,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+HOT_ROWS = 1 << 20  # rows of a key that one window partition may hold
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -41,7 +48,8 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  bucket: Sequence[Column] | Column, *, lag: Sequence[str] = (),
                  lead: Sequence[str] = (), fill: Sequence[str] = (), sums: Sequence[str] = (),
                  seq: str | None = None, prev_prefix: str = "prev_", next_prefix: str = "next_",
-                 fill_prefix: str = "fill_", sum_prefix: str = "sum_") -> DataFrame:
+                 fill_prefix: str = "fill_", sum_prefix: str = "sum_",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add neighbour columns computed per ``keys`` in ``order``.
 
     * ``lag`` columns c -> ``prev_c``: value on the previous row of the key;
@@ -52,6 +60,8 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
       the summary stays a hash aggregate;
     * ``seq``: 1-based position of the row within its key.
 
+    Keys of more than ``hot_rows`` rows are split into their buckets (0: all keys).
+
     ``order`` must be a total order within a key; ``bucket`` must be
     non-decreasing in ``order`` (e.g. a right shift of the first order column).
     A null key is a group of its own, as in ``Window.partitionBy``: nullable
@@ -72,10 +82,16 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         kcols += [F.coalesce(F.col(k), _zero(field.dataType)).alias(f"__kz{i}"),
                   F.col(k).isNull().alias(f"__kn{i}")]
         knames += [f"__kz{i}", f"__kn{i}"]
-    d = df.select("*", *kcols, *[b.alias(n) for b, n in zip(buckets, bnames)])
+    d = df.select("*", *kcols)
     keys = knames
     part = keys + bnames
     okey = F.struct(*[F.col(c) for c in order])
+    hot = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
+            .select(*keys, F.lit(True).alias("__hot")))
+    d = d.join(F.broadcast(hot), keys, "left").select(
+        *df.columns, *[c for c in keys if c not in df.columns], "__hot",
+        *[F.when(F.col("__hot"), b).alias(n) for b, n in zip(buckets, bnames)])
+    split = d.filter(F.col("__hot"))
 
     w = Window.partitionBy(*part).orderBy(*order)
     local = [F.row_number().over(w).alias("__rn")]
@@ -86,7 +102,7 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     wfill = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local += [F.last(c, ignorenulls=True).over(wfill).alias(f"__f_{c}") for c in fill]
     local += [F.sum(F.coalesce(F.col(c), F.lit(0))).over(wfill).alias(f"__s_{c}") for c in sums]
-    d = d.select("*", *local)
+    d = d.drop("__hot").select("*", *local)
 
     aggs = [F.count(F.lit(1)).alias("__cnt")]
     if lag:
@@ -95,7 +111,7 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         aggs.append(F.min_by(F.struct(*lead), okey).alias("__firstrow"))
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"__bf_{c}") for c in fill]
     aggs += [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"__bs_{c}") for c in sums]
-    summary = d.groupBy(*part).agg(*aggs)
+    summary = split.groupBy(*part).agg(*aggs)
 
     ws = Window.partitionBy(*keys).orderBy(*bnames)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -115,9 +131,9 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out += [F.when(F.col("__is_last"), F.col("__carry_next")[c]).otherwise(F.col(f"__n_{c}"))
             .alias(next_prefix + c) for c in lead]
     out += [F.coalesce(F.col(f"__f_{c}"), F.col(f"__cf_{c}")).alias(fill_prefix + c) for c in fill]
-    out += [(F.col(f"__s_{c}") + F.col(f"__cs_{c}")).alias(sum_prefix + c) for c in sums]
+    out += [(F.col(f"__s_{c}") + F.coalesce(F.col(f"__cs_{c}"), F.lit(0))).alias(sum_prefix + c) for c in sums]
     if seq:
-        out.append((F.col("__before") + F.col("__rn")).cast("long").alias(seq))
+        out.append((F.coalesce(F.col("__before"), F.lit(0)) + F.col("__rn")).cast("long").alias(seq))
     return j.select(*out)
 
 

@@ -25,6 +25,21 @@ def label_key(label: str) -> int:
     return int(re.search(r"(\d+)$", f).group(1)) * POS_SHIFT + int(p)
 
 
+def at_fraction(df: DataFrame, part: int, of: int) -> str:
+    """Position ``part / of`` of the way through a log, so a bound moves as the log grows.
+
+    Files count as long as the longest one; only the log's newest position and that
+    length (one row) come to the driver.
+    """
+    newest = df.agg(F.max("pos_key").alias("k"), F.max("log_pos").alias("w"),
+                    F.max_by("log_file", "pos_key").alias("f")).first()
+    files, last = divmod(newest["k"] or POS_SHIFT, POS_SHIFT)
+    width = newest["w"] or 1
+    at = ((files - 1) * width + last) * part // of
+    name = re.sub(r"\d+$", "", newest["f"] or "mysql-bin.")
+    return f"{name}{1 + at // width:06d}:{at % width}"
+
+
 def bounded_scan(df: DataFrame, start: str | None = None, stop: str | None = None) -> DataFrame:
     """S3: events after ``start`` and ending before ``stop``.
 

@@ -193,10 +193,16 @@ def _fixed():
 
 X = _fixed()
 P2 = "4294967296"
+def _at(part: int, of: int) -> str:
+    """Position key ``part / of`` of the way through the log."""
+    return f"""(select (1 + a // w) * {P2} + a % w from (
+  select max(log_pos) as w, ((max(file_no) - 1) * max(log_pos) + max(pos_key) % {P2}) * {part} // {of} as a from cl))"""
+
+
 LOG = "select seq, log_file, log_pos, event_type from cl"
 
 SQL["bounded_scan"] = with_(CHANGELOG) + LOG + f"""
-where pos_key > 3 * {P2} + 40084 and pos_key < 7 * {P2} + 60004"""
+where pos_key > {_at(3, 10)} and pos_key < {_at(7, 10)}"""
 
 SQL["latest_position"] = with_(CHANGELOG) + """
 select arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,
@@ -209,11 +215,11 @@ from (select db, concat(log_file, ':', cast(log_pos as varchar)) as label, pos_k
 group by db"""
 
 SQL["resume_after"] = with_(CHANGELOG) + LOG + f"""
-where pos_key > 5 * {P2} + 60004"""
+where pos_key > {_at(1, 2)}"""
 
-SQL["dedup_replay"] = with_(CHANGELOG) + """
+SQL["dedup_replay"] = with_(CHANGELOG) + f"""
 select distinct seq, log_file, log_pos, event_type
-from (select * from cl union all select * from cl where file_no = 5)"""
+from (select * from cl union all select * from cl where pos_key > {_at(1, 2)})"""
 
 SQL["valid_position"] = with_(CHANGELOG) + f""",
 cand as (
@@ -386,11 +392,11 @@ where b_id is not null
 SQL["last_changes"] = with_(CHANGELOG) + LOG + """
 where db = 'app' and tbl = 't0' order by pos_key desc, row_no desc limit 20"""
 
-SQL["merge_feeds"] = with_(CHANGELOG) + LOG + f" where pos_key <= 7 * {P2} + 119884 union " + LOG + \
-    f" where pos_key >= 4 * {P2} + 4"
+SQL["merge_feeds"] = with_(CHANGELOG) + LOG + f" where pos_key <= {_at(7, 10)} union " + LOG + \
+    f" where pos_key >= {_at(4, 10)}"
 
 SQL["feed_difference"] = with_(CHANGELOG) + LOG + \
-    f" where pos_key <= 7 * {P2} + 119884 and not (pos_key >= 4 * {P2} + 4)"
+    f" where pos_key <= {_at(7, 10)} and not (pos_key >= {_at(4, 10)})"
 
 SQL["lookup_current"] = with_(CHANGELOG, KEYED) + """,
 ranked as (
@@ -543,7 +549,7 @@ from (select *, l_linenumber = 7 as garbled from lineitem)"""
 
 SQL["table_scan"] = with_(CHANGELOG) + f"""
 select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, pos_key from cl
-where db = 'app' and tbl = 't0' and pos_key > 3 * {P2} + 40084 and pos_key < 7 * {P2} + 60004"""
+where db = 'app' and tbl = 't0' and pos_key > {_at(3, 10)} and pos_key < {_at(7, 10)}"""
 
 SQL["stream_progress"] = with_(CHANGELOG) + """
 select 'stream' as source, arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,

@@ -154,16 +154,17 @@ def q_decode_text(spark, sf):
 
 # -- positions (S3, S4, P2, P4, P6, F7) -------------------------------------
 
-SCAN_START = "mysql-bin.000003:40084"
-SCAN_STOP = "mysql-bin.000007:60004"
-RESUME_AT = "mysql-bin.000005:60004"
-REPLAYED_FILE_NO = 5
+# Bounds as parts of the log, so they move as it grows.
+SCAN_START, SCAN_STOP = (3, 10), (7, 10)
+RESUME_AT = (1, 2)
 LOG_COLS = ["seq", "log_file", "log_pos", "event_type"]
 
 
 @query("bounded_scan")
 def q_bounded_scan(spark, sf):
-    return positions.bounded_scan(feeds.changelog(spark, sf), SCAN_START, SCAN_STOP).select(*LOG_COLS)
+    cl = feeds.changelog(spark, sf)
+    start, stop = positions.at_fraction(cl, *SCAN_START), positions.at_fraction(cl, *SCAN_STOP)
+    return positions.bounded_scan(cl, start, stop).select(*LOG_COLS)
 
 
 @query("latest_position")
@@ -180,13 +181,14 @@ def q_newest_position(spark, sf):
 
 @query("resume_after")
 def q_resume_after(spark, sf):
-    return positions.resume_after(feeds.changelog(spark, sf), RESUME_AT).select(*LOG_COLS)
+    cl = feeds.changelog(spark, sf)
+    return positions.resume_after(cl, positions.at_fraction(cl, *RESUME_AT)).select(*LOG_COLS)
 
 
 @query("dedup_replay")
 def q_dedup_replay(spark, sf):
     cl = feeds.stored(feeds.changelog(spark, sf))
-    replay = cl.filter(F.col("file_no") == REPLAYED_FILE_NO)
+    replay = positions.resume_after(cl, positions.at_fraction(cl, *RESUME_AT))
     return positions.dedup_replay(cl.unionByName(replay)).select(*LOG_COLS)
 
 
@@ -396,14 +398,13 @@ def q_last_changes(spark, sf):
     return consume.last_changes(feeds.changelog(spark, sf), 20, "app", "t0").select(*LOG_COLS)
 
 
-MERGE_A_TO = "mysql-bin.000007:119884"
-MERGE_B_FROM = "mysql-bin.000004:4"
+MERGE_A_TO, MERGE_B_FROM = (7, 10), (4, 10)
 
 
 def _two_feeds(spark, sf):
     cl = feeds.stored(feeds.changelog(spark, sf))
-    a = cl.filter(F.col("pos_key") <= F.lit(positions.label_key(MERGE_A_TO)))
-    b = cl.filter(F.col("pos_key") >= F.lit(positions.label_key(MERGE_B_FROM)))
+    a = cl.filter(F.col("pos_key") <= F.lit(positions.label_key(positions.at_fraction(cl, *MERGE_A_TO))))
+    b = cl.filter(F.col("pos_key") >= F.lit(positions.label_key(positions.at_fraction(cl, *MERGE_B_FROM))))
     return a, b
 
 
@@ -568,8 +569,9 @@ def q_table_scan(spark, sf):
     position bounds reach the Parquet scan as pushed filters on ``pos_key``."""
     out = scratch_dir(spark, "change-table")
     write_change_table(shape.envelope(feeds.changelog(spark, sf)), out)
+    cl = feeds.changelog(spark, sf)
     t = spark.read.parquet(out).filter((F.col("db") == "app") & (F.col("table") == "t0"))
-    t = positions.bounded_scan(t, SCAN_START, SCAN_STOP)
+    t = positions.bounded_scan(t, positions.at_fraction(cl, *SCAN_START), positions.at_fraction(cl, *SCAN_STOP))
     return t.select("binlog", "db", F.col("table").alias("tbl"), "event_type", "pos_key")
 
 

@@ -79,3 +79,24 @@ def test_type_text(spark):
     assert one(spark, D.decode_error("x"), 255) == "unimplemented type FIELD_TYPE_GEOMETRY"
     assert one(spark, D.decode_error("x"), 100) == "unknown field type 100"
     assert one(spark, D.decode_error("x"), 3) is None
+
+
+def test_fraction_widths_of_time2(spark):
+    """-00:00:01.5 at every width: the integer part is one lower, the fraction a complement."""
+    for fsp, bits, unit in ((1, 8, 100), (2, 8, 100), (3, 16, 10_000), (4, 16, 10_000), (5, 24, 1_000_000), (6, 24, 1_000_000)):
+        for sign in (1, -1):
+            stored = (0x800000 << bits) + sign * ((1 << bits) + unit // 2)
+            iv = D.time2(F.lit(stored >> bits), F.lit(stored & ((1 << bits) - 1)), fsp)
+            assert float(spark.range(1).select(D.interval_seconds(iv)).first()[0]) == sign * 1.5
+        assert spark.range(1).select(D.fraction_micros(F.lit(unit // 2), fsp)).first()[0] == 500_000
+
+
+def test_text_in_every_character_set(spark):
+    cases = [("utf8mb4", "caf\u00e9 \U0001f600".encode(), "caf\u00e9 \U0001f600"), ("utf8", b"\xff\xfe", None), ("utf8mb4", b"\xc3", None),
+             ("latin1", b"\x80\x9f\x81\xe9", "\u20ac\u0178\x81\u00e9"), ("ascii", b"abc", "abc"), ("ascii", b"\x80", None),
+             ("utf16", "h\U0001f600".encode("utf-16-be"), "h\U0001f600"), ("utf16", b"\xd8\x00\x00\x41", None), ("utf16", b"\x00", None),
+             ("utf16le", "h\U0001f600".encode("utf-16-le"), "h\U0001f600"), ("utf16le", b"\x00\xdc", None), ("klingon", b"x", None)]
+    for charset, raw, want in cases:
+        r = spark.createDataFrame([(bytearray(raw),)], "x binary").select(D.text_value("x", charset).alias("t"), D.text_error("x", charset).alias("e")).first()
+        assert (r.t, r.e is None) == (want, want is not None), (charset, raw, r)
+    assert spark.createDataFrame([(None,)], "x binary").select(D.text_error("x", "utf8")).first()[0] is None

@@ -117,7 +117,8 @@ def test_time_and_time2(spark):
 
 
 def test_fractional_seconds_kept(spark):
-    """DATETIME2 / TIME2 / TIMESTAMP2 with their fraction (already scaled to microseconds)."""
+    """DATETIME2 / TIMESTAMP2 with their fraction in microseconds, TIME2 with its stored bytes:
+    a negative time is the complement of all its bytes together."""
     rnd = _rnd(6)
     rows, want = [], {}
     for i in range(N):
@@ -127,12 +128,12 @@ def test_fractional_seconds_kept(spark):
         dt2 = (1 << 39) | ((d.year * 13 + d.month) << 22) | (d.day << 17) | (d.hour << 12) | (d.minute << 6) | d.second
         h, m, s = rnd.randint(0, 838), rnd.randint(0, 59), rnd.randint(0, 59)
         sign = rnd.choice([1, -1])
-        t2 = 0x800000 + sign * ((h << 12) | (m << 6) | s)
+        stored = (0x800000 << 24) + sign * ((((h << 12) | (m << 6) | s) << 24) + us)
         secs = rnd.randint(0, U32)
-        rows.append((i, dt2, t2, secs, us))
+        rows.append((i, dt2, stored >> 24, stored & 0xFFFFFF, secs, us))
         want[i] = (d.replace(microsecond=us), sign * ((h * 3600 + m * 60 + s) * 1000000 + us), secs * 1000000 + us)
-    df = spark.createDataFrame(rows, "i long, dt2 long, t2 long, secs long, us long")
-    iv = D.time2("t2", "us")
+    df = spark.createDataFrame(rows, "i long, dt2 long, t2 long, f long, secs long, us long")
+    iv = D.time2("t2", "f")
     got = df.select("i", D.datetime2("dt2", "us").alias("a"),
                     (D.interval_seconds(iv) * 1000000).cast("long").alias("b"),
                     F.unix_micros(D.timestamp_from_seconds("secs", "us")).alias("c")).collect()

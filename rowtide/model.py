@@ -155,6 +155,8 @@ JSON_ENVELOPE = T.StructType([
     T.StructField("timestamp", T.LongType()),
     # Optional: column-present mask of a partial (MINIMAL) after-image; absent = full image.
     T.StructField("after_present", T.LongType()),
+    # Optional: number of the image (or image pair) within its event; absent = 0, its only one.
+    T.StructField("row_no", T.IntegerType()),
 ])
 
 SCHEMA_HISTORY = T.StructType([

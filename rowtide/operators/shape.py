@@ -77,6 +77,27 @@ def pair_update_rows(images: DataFrame, event_keys=("l_orderkey",)) -> DataFrame
                   .withColumn("status", F.when(F.col("after").isNull(), "odd_tail").otherwise("paired")))
 
 
+def event_changes(events: DataFrame, op: str = "event_type", rows: str = "rows") -> DataFrame:
+    """R1-R3 for whatever table: one change per image (insert, delete) or image pair (update).
+
+    Adds ``row_no`` (place within the event, so ``(file, position, row_no)`` names a
+    change), ``before`` and ``after``; all other columns but ``rows`` stay.  An odd last
+    update image has no ``after``; a query keeps one change without images.
+    """
+    r, kind = F.col(rows), F.col(op)
+    none = F.lit(None).cast(events.schema[rows].dataType.elementType)
+    n = F.size(r)
+    pairs = F.transform(F.sequence(F.lit(0), F.ceil(n / 2).cast("int") - 1), lambda k: F.struct(
+        F.get(r, k * 2).alias("before"), F.get(r, k * 2 + 1).alias("after")))
+    changes = (F.when(kind == "query", F.array(F.struct(none.alias("before"), none.alias("after"))))
+                .when(n <= 0, None)
+                .when(kind == "insert", F.transform(r, lambda x: F.struct(none.alias("before"), x.alias("after"))))
+                .when(kind == "delete", F.transform(r, lambda x: F.struct(x.alias("before"), none.alias("after"))))
+                .when(kind == "update", pairs))
+    keep = [c for c in events.columns if c != rows]
+    return events.select(*keep, F.posexplode(changes).alias("row_no", "c")).select(*keep, "row_no", "c.before", "c.after")
+
+
 def drop_empty(events: DataFrame) -> DataFrame:
     """Drop events without images unless they are queries."""
     return events.filter((F.size("rows") > 0) | (F.col("event_type") == "query"))
@@ -99,12 +120,13 @@ def _image_json(c: str) -> Column:
     return F.coalesce(F.to_json(F.col(c), _KEEP_NULLS), F.lit("{}"))
 
 
-def envelope_text(with_mask: bool = False) -> Column:
+def envelope_text(with_mask: bool = False, with_row_no: bool = False) -> Column:
     """JSON text of the envelope columns, keys in envelope order.
 
     The scalar head is one ``to_json`` of a struct (it always ends in ``}``);
     the two images are spliced in as their own ``to_json`` text, so no value
-    is serialised twice.  ``with_mask`` adds ``after_present`` (partial images).
+    is serialised twice.  ``with_mask`` adds ``after_present`` (partial images),
+    ``with_row_no`` the place of the change in a multi-row event.
     """
     head = F.to_json(F.struct("binlog", "db", "table", "query", "event_type", "primary"), _KEEP_NULLS)
     return F.concat(head.substr(F.lit(1), F.length(head) - 1),
@@ -112,6 +134,8 @@ def envelope_text(with_mask: bool = False) -> Column:
                     F.lit(',"timestamp":'), F.coalesce(F.col("timestamp").cast("string"), F.lit("null")),
                     *([F.lit(',"after_present":'), F.coalesce(F.col("after_present").cast("string"), F.lit("null"))]
                       if with_mask else []),
+                    *([F.lit(',"row_no":'), F.coalesce(F.col("row_no").cast("string"), F.lit("0"))]
+                      if with_row_no else []),
                     F.lit("}"))
 
 

@@ -589,3 +589,53 @@ from p group by db, tbl, id
 having arg_max(event_type, pos_key) <> 'delete'"""
 
 SQL["stream_latest_partial"] = SQL["latest_state_partial"]
+
+ROW_CHANGES = f"""
+ev as (
+  select l_orderkey, op, row_no // 8 as chunk, row_no % 8 as i, l_partkey as id, l_extendedprice as value,
+         cast(row_no as varchar) as props from ri),
+rc as (
+  select concat('mysql-bin.', lpad(cast(l_orderkey // 20000 + 1 as varchar), 6, '0'), ':',
+                cast(4 + (l_orderkey % 20000) * 1000 + chunk * 10 as varchar)) as binlog,
+         (l_orderkey // 20000 + 1) * {P2} + 4 + (l_orderkey % 20000) * 1000 + chunk * 10 as pos_key,
+         op as event_type, case when op = 'update' then i // 2 else i end as row_no,
+         max(case when op = 'delete' or op = 'update' and i % 2 = 0 then {{'id': id, 'value': value, 'props': props}} end) as b,
+         max(case when op = 'insert' or op = 'update' and i % 2 = 1 then {{'id': id, 'value': value, 'props': props}} end) as a
+  from ev group by all)"""
+
+SQL["event_envelopes"] = with_(ROW_IMAGES, ROW_CHANGES) + """
+select binlog, row_no, event_type, b.id as before_id, b.props as before_props, a.id as after_id, a.props as after_props
+from rc"""
+
+SQL["stream_dedup_rows"] = with_(ROW_IMAGES, ROW_CHANGES) + "select binlog, row_no, event_type from rc"
+
+SQL["stream_latest_rows"] = with_(ROW_IMAGES, ROW_CHANGES) + """,
+last as (
+  select coalesce(a.id, b.id) as id, arg_max({'op': event_type, 'value': a.value, 'props': a.props}, (pos_key, row_no)) as w,
+         count(*) as n_changes from rc group by 1)
+select id, w.value as value, w.props as props, w.op as last_op, n_changes from last where w.op <> 'delete'"""
+
+SQL["stream_publish"] = with_(CHANGELOG) + """
+select concat(db, '.', tbl, ':', coalesce(cast(coalesce(a_id, b_id) as varchar), '')) as key,
+       concat(log_file, ':', cast(log_pos as varchar)) as binlog, event_type, a_value as after_value
+from cl where seq % 97 <> 0 and seq % 89 <> 0"""
+
+SQL["stream_dead_letters"] = with_(CHANGELOG) + """
+select case when seq % 97 = 0 then 'malformed message' else 'no log position' end as reason, count(*) as n_messages
+from cl where seq % 97 = 0 or seq % 89 = 0 group by 1"""
+
+SQL["stream_publish_progress"] = with_(CHANGELOG) + """
+select 'stream' as source, arg_max(log_file, pos_key) as log_file, arg_max(log_pos, pos_key) as log_pos,
+       arg_max(concat(log_file, ':', cast(log_pos as varchar)), pos_key) as binlog
+from cl where seq % 97 <> 0 and seq % 89 <> 0"""
+
+SQL["decode_text_errors"] = """
+select c_custkey, case when c_custkey % 3 = 2 then c_name end as utf8,
+       case when c_custkey % 3 <> 2 then 'malformed utf8mb4 text' end as utf8_error,
+       case c_custkey % 3 when 0 then 'ÿþ' when 1 then '€' else c_name end as latin1,
+       case when c_custkey % 3 = 2 then c_name end as ascii, 'unknown charset koi9' as koi9_error
+from customer"""
+
+SQL["decode_time2_fraction"] = """
+select o_orderkey, (case when o_orderkey % 2 = 0 then -1 else 1 end)
+       * ((o_orderkey % 3000000) * 1000000 + (o_orderkey * 7919) % 1000000) as time_us from orders"""

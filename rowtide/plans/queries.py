@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode as D
 from ..functions import header as H
+from ..functions.decode import epoch_ntz
 from ..functions.position import is_valid_position, parse_position, position_label
 from ..model import POS_SHIFT
 from ..operators import consume, filters, positions, rawlog, schema, shape
@@ -709,3 +710,131 @@ def q_name_columns(spark, sf):
 def q_decode_blob(spark, sf):
     cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
     return cu.select("c_custkey", D.blob_text("raw").alias("blob_b64"), F.length("raw").alias("n_bytes"))
+
+
+# -- events of several changes, and messages that are none --------------------------
+
+
+def _row_changes(spark, sf):
+    """Envelopes of multi-row events: one event per lineitem chunk, one change per image or image pair."""
+    ev = feeds.row_events(spark, sf)
+    key = F.col("l_orderkey")
+    image = F.transform("rows", lambda r: F.struct(r["l_partkey"].cast("long").alias("id"), r["l_extendedprice"].cast("double").alias("value"),
+                                                   r["row_no"].cast("string").alias("props")))
+    file = (key / ORDERS_PER_FILE).cast("int") + 1
+    log_pos = (4 + (key % ORDERS_PER_FILE) * 1000 + F.col("chunk") * 10).cast("long")
+    ev = ev.select(F.concat(F.lit("mysql-bin."), F.lpad(file.cast("string"), 6, "0")).alias("log_file"), log_pos.alias("log_pos"),
+                   (file.cast("long") * POS_SHIFT + log_pos).alias("pos_key"), F.lit("shop").alias("db"), F.lit("li").alias("tbl"),
+                   F.col("op").alias("event_type"), F.lit("").alias("query"), F.lit("id").alias("primary"),
+                   F.timestamp_add("SECOND", F.lit(1_500_000_000) + (key / 100).cast("long"), epoch_ntz()).alias("ev_ts"), image.alias("rows"))
+    return shape.envelope(shape.event_changes(ev))
+
+
+ORDERS_PER_FILE = 20_000
+
+
+@query("event_envelopes")
+def q_event_envelopes(spark, sf):
+    """R1-R3 -> R6: one envelope per image or image pair, numbered within its event."""
+    return _row_changes(spark, sf).select("binlog", "row_no", "event_type", F.col("before.id").alias("before_id"),
+                                          F.col("before.props").alias("before_props"), F.col("after.id").alias("after_id"),
+                                          F.col("after.props").alias("after_props"))
+
+
+def _stage_row_changes(spark, sf, resend: bool) -> tuple[str, int]:
+    """The multi-row changes as JSON messages; ``resend`` writes them all a second time."""
+    text = _row_changes(spark, sf).select(shape.envelope_text(with_row_no=True).alias("value"))
+    files = max(STAGE_BATCHES, spark.sparkContext.defaultParallelism)
+    stage = scratch_dir(spark, "stage-rows")
+    for _ in range(2 if resend else 1):
+        text.repartition(files).write.mode("append").text(stage)
+    return stage, max(1, files // STAGE_BATCHES)
+
+
+@query("stream_dedup_rows")
+def q_stream_dedup_rows(spark, sf):
+    """P6 over events of several changes: everything is resent, every change comes out once."""
+    src = S.envelope_stream(spark, *_stage_row_changes(spark, sf, resend=True))
+    out, ck = scratch_dir(spark, "dedup-rows"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.append_sink(S.dedup_stream(src, "36500 days").drop("before", "after"), out, ck))
+    return spark.read.parquet(out).select("binlog", "row_no", "event_type")
+
+
+@query("stream_latest_rows")
+def q_stream_latest_rows(spark, sf):
+    """A8 where one event changes a key several times: the last change in the event wins."""
+    src = S.envelope_stream(spark, *_stage_row_changes(spark, sf, resend=False))
+    out, ck = scratch_dir(spark, "latest-rows"), scratch_dir(spark, "ckpt")
+    S.run_to_end(S.latest_state_sink(src, out, ck))
+    return S.read_latest_state(spark, out).select("id", "value", "props", "last_op", "n_changes")
+
+
+def _stage_torn(spark, sf) -> tuple[str, int]:
+    """The feed as messages, of which every 97th change is torn in the middle and every 89th has no position."""
+    files = max(STAGE_BATCHES, spark.sparkContext.defaultParallelism)
+    cl = feeds.changelog(spark, sf)
+    stage = scratch_dir(spark, "stage-torn")
+    env = cl.select("seq", F.struct(F.when(F.col("seq") % 89 == 0, F.lit("mysql-bin")).otherwise(position_label("log_file", "log_pos")).alias("binlog")).alias("p"),
+                    "db", F.col("tbl").alias("table"), "query", "event_type", "primary", "before", "after",
+                    shape.event_seconds("ev_ts").alias("timestamp")).select("seq", "p.binlog", "db", "table", "query", "event_type", "primary",
+                                                                            "before", "after", "timestamp")
+    value = shape.envelope_text()
+    torn = F.when(F.col("seq") % 97 == 0, value.substr(F.lit(1), F.length(value) - 20)).otherwise(value)
+    env.select(torn.alias("value")).repartition(files).write.mode("overwrite").text(stage)
+    return stage, max(1, files // STAGE_BATCHES)
+
+
+def _published(spark, sf) -> tuple[str, str, str]:
+    """Folders of messages, dead letters and progress of a stream over the torn feed."""
+    out, dead, prog = scratch_dir(spark, "published"), scratch_dir(spark, "dead"), scratch_dir(spark, "progress")
+
+    def writer(messages: DataFrame, batch_id: int) -> None:
+        messages.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    S.run_to_end(S.publish_sink(S.message_stream(spark, *_stage_torn(spark, sf)), writer, dead, scratch_dir(spark, "ckpt"), prog))
+    return out, dead, prog
+
+
+@query("stream_publish")
+def q_stream_publish(spark, sf):
+    """K1-K3: follow the log, publish every usable message once."""
+    v = F.col("value")
+    return spark.read.parquet(_published(spark, sf)[0]).select(
+        "key", F.get_json_object(v, "$.binlog").alias("binlog"), F.get_json_object(v, "$.event_type").alias("event_type"),
+        F.get_json_object(v, "$.after.value").cast("double").alias("after_value"))
+
+
+@query("stream_dead_letters")
+def q_stream_dead_letters(spark, sf):
+    """K6: torn messages and messages without a position, each once, with the reason."""
+    return spark.read.parquet(_published(spark, sf)[1]).groupBy("reason").agg(F.count("*").alias("n_messages"))
+
+
+@query("stream_publish_progress")
+def q_stream_publish_progress(spark, sf):
+    """P5 beside a publishing stream: the newest published position, DDL events included."""
+    return S.read_progress(spark, _published(spark, sf)[2])
+
+
+@query("decode_text_errors")
+def q_decode_text_errors(spark, sf):
+    """Customer names in several character sets, some with bytes that are no text there."""
+    cu = read_table(spark, sf, "customer").select("c_custkey", F.encode("c_name", "UTF-8").alias("raw"))
+    k = F.col("c_custkey")
+    odd = F.when(k % 3 == 0, F.unhex(F.lit("FFFE"))).when(k % 3 == 1, F.unhex(F.lit("80"))).otherwise(F.col("raw"))
+    cu = cu.select("c_custkey", odd.alias("raw"))
+    return cu.select("c_custkey", D.text_value("raw", "utf8mb4").alias("utf8"), D.text_error("raw", "utf8mb4").alias("utf8_error"),
+                     D.text_value("raw", "latin1").alias("latin1"), D.text_value("raw", "ascii").alias("ascii"),
+                     D.text_error("raw", "koi9").alias("koi9_error"))
+
+
+@query("decode_time2_fraction")
+def q_decode_time2_fraction(spark, sf):
+    """Signed TIME2 with three bytes of fraction, in microseconds."""
+    k = F.col("o_orderkey")
+    secs = k % 3_000_000
+    whole = ((secs / 3600).cast("long") * 4096 + ((secs / 60).cast("long") % 60) * 64 + secs % 60) * 16777216 + (k * 7919) % 1000000
+    stored = F.when(k % 2 == 0, -whole).otherwise(whole) + 8388608 * 16777216
+    o = read_table(spark, sf, "orders").select("o_orderkey", F.shiftright(stored, 24).alias("x"), stored.bitwiseAND(F.lit(16777215)).alias("f"))
+    iv = D.time2("x", "f")
+    return o.select("o_orderkey", (D.interval_seconds(iv) * 1000000).cast("long").alias("time_us"))

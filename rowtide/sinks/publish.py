@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from ..operators.shape import envelope_text
 
 
-def to_messages(env: DataFrame, key_fields=("id",)) -> DataFrame:
+def to_messages(env: DataFrame, key_fields=("id",), with_row_no: bool = False) -> DataFrame:
     """K3: (key, value) messages from envelopes; key = ``db.table:key`` (empty key for queries)."""
     key = F.concat_ws(",", *[F.coalesce(F.col("after")[k], F.col("before")[k]).cast("string")
                              for k in key_fields])
     return env.select(F.concat(F.col("db"), F.lit("."), F.col("table"), F.lit(":"), key).alias("key"),
-                      envelope_text().alias("value"))
+                      envelope_text(with_row_no=with_row_no).alias("value"))
 
 
 def kafka_frame(messages: DataFrame) -> DataFrame:

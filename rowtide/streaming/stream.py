@@ -40,12 +40,43 @@ def watermarked(env_stream: DataFrame, delay: str) -> DataFrame:
 
 
 # ---- sources ------------------------------------------------------------------
-def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Follow a folder of JSON envelope files; adds log_file, pos_key, row_no, ts."""
-    r = spark.readStream.schema(JSON_ENVELOPE)
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Follow a folder of JSON message files, one message (``value``) a line."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return with_positions(r.json(path))
+    return r.text(path)
+
+
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """Envelopes of JSON messages (``value``), none lost: ``reason`` says why a message is
+    no usable envelope (then ``message`` has its text), and is null for the others."""
+    text = F.col("value").cast("string")
+    e = messages.select(F.from_json(text, JSON_ENVELOPE).alias("e"), text.alias("message")).select("e.*", "message")
+    kind = F.col("event_type")
+    row_change = ~kind.isin("query", HEARTBEAT)
+    reason = (F.when(kind.isNull(), "malformed message")
+               .when((kind != HEARTBEAT) & parse_position(F.col("binlog"))["pos_key"].isNull(), "no log position")
+               .when(row_change & F.coalesce("after.id", "before.id").isNull(), "no record key"))
+    return with_positions(e.withColumn("reason", reason).withColumn("message", F.when(F.col("reason").isNotNull(), F.col("message"))))
+
+
+def good(parsed: DataFrame) -> DataFrame:
+    """The usable envelopes of ``parse_messages``."""
+    return parsed.filter(F.col("reason").isNull()).drop("reason", "message")
+
+
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    """K6: the messages that are no usable envelopes, whole, with the reason."""
+    return parsed.filter(F.col("reason").isNotNull()).select("message", "reason")
+
+
+def envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Usable envelopes of a folder of JSON message files; adds log_file, pos_key, row_no, ts.
+
+    The other messages are ``dead_letters`` of the same folder: ``publish_sink`` writes both.
+    """
+    return good(parse_messages(message_stream(spark, path, max_files_per_trigger)))
 
 
 def kafka_envelope_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
@@ -60,15 +91,15 @@ def kafka_envelope_stream(spark: SparkSession, servers: str, topic: str, startin
 
 def parse_kafka_envelopes(raw: DataFrame) -> DataFrame:
     """Envelopes from Kafka records (binary ``value`` = the JSON text); batch or stream."""
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), JSON_ENVELOPE).alias("e")).select("e.*")
-    return with_positions(parsed)
+    return good(parse_messages(raw))
 
 
 def with_positions(env: DataFrame) -> DataFrame:
-    """Position columns of parsed envelopes (the message carries ``file:pos`` only)."""
+    """Position columns of parsed envelopes (the message carries ``file:pos`` and, for an event
+    of several changes, ``row_no``)."""
     p = parse_position(F.col("binlog"))
-    return env.select("*", p["log_file"].alias("log_file"), p["pos"].alias("log_pos"),
-                      p["pos_key"].alias("pos_key"), F.lit(0).alias("row_no"),
+    return env.select(*[c for c in env.columns if c != "row_no"], p["log_file"].alias("log_file"), p["pos"].alias("log_pos"),
+                      p["pos_key"].alias("pos_key"), F.coalesce("row_no", F.lit(0)).alias("row_no"),
                       F.timestamp_seconds("timestamp").alias("ts"))
 
 
@@ -86,9 +117,12 @@ def change_table_sink(env_stream: DataFrame, out: str, checkpoint: str, availabl
 
 # ---- A8: latest state kept by a stream ------------------------------------------------
 def latest_state_updates(env_stream: DataFrame, keys: Sequence[str] = LATEST_KEYS) -> DataFrame:
-    """Streaming aggregate: winning change per key so far (a delete wins too: its own tombstone)."""
+    """Streaming aggregate: winning change per key so far (a delete wins too: its own tombstone).
+
+    Changes without a key are no state of any record (``dead_letters`` has them).
+    """
     k = env_stream.filter(~F.col("event_type").isin("query", HEARTBEAT)).withColumn(
-        "id", F.coalesce(F.col("after.id"), F.col("before.id")))
+        "id", F.coalesce(F.col("after.id"), F.col("before.id"))).filter(F.col("id").isNotNull())
     win = F.max_by(F.struct("event_type", "after", "log_file", "log_pos", "pos_key", "row_no"),
                    F.struct("pos_key", "row_no")).alias("w")
     return k.groupBy(*keys).agg(win, F.count(F.lit(1)).alias("n_changes"))
@@ -104,7 +138,8 @@ def latest_state_partial_updates(env_stream: DataFrame, keys: Sequence[str] = LA
     full = F.lit((1 << len(names)) - 1)
     mask = F.when(F.col("after").isNotNull(), F.coalesce(F.col("after_present"), full)).otherwise(F.lit(0))
     k = (env_stream.filter(~F.col("event_type").isin("query", HEARTBEAT))
-         .withColumn("id", F.coalesce(F.col("after.id"), F.col("before.id"))).withColumn("__mask", mask))
+         .withColumn("id", F.coalesce(F.col("after.id"), F.col("before.id"))).filter(F.col("id").isNotNull())
+         .withColumn("__mask", mask))
     order = F.struct("pos_key", "row_no")
     cols = [F.max_by(F.col("after")[f], F.when(is_present(F.col("__mask"), i), order)).alias(f)
             for i, f in enumerate(names) if f not in keys]
@@ -121,7 +156,8 @@ def latest_state_sink(env_stream: DataFrame, out: str, checkpoint: str, availabl
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         if progress:
-            (batch.agg(F.max_by(F.struct("w.log_file", "w.log_pos"), F.col("w.pos_key")).alias("p"))
+            # from the files just written: the state stage runs once
+            (batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/batch_id={batch_id}").agg(F.max_by(F.struct("w.log_file", "w.log_pos"), F.col("w.pos_key")).alias("p"))
                   .filter(F.col("p").isNotNull())
                   .select(F.lit("stream").alias("source"), "p.log_file", F.col("p.log_pos").alias("pos"),
                           F.lit(batch_id).alias("batch_id"))
@@ -133,6 +169,39 @@ def latest_state_sink(env_stream: DataFrame, out: str, checkpoint: str, availabl
     return w.start()
 
 
+def publish_sink(messages: DataFrame, writer: Callable[[DataFrame, int], None], dead: str, checkpoint: str,
+                 progress: str, available_now: bool = True, processing_time: str = "1 second"):
+    """K1-K3, K6, P5: follow log messages, publish the usable ones, keep the others, then save progress.
+
+    ``writer`` gets each micro-batch's (key, value) messages and its id, ordered by log
+    position within record keys' partitions; it must be idempotent per batch id (overwrite
+    that batch's output), for a batch is handed over again after a failure.  Dead letters go
+    to ``dead/batch_id=N`` with their reason, and the newest position, DDL events included, to
+    ``progress/batch_id=N`` once both are written.
+    """
+    from ..sinks.publish import to_messages
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_messages(batch).persist()
+        try:
+            usable = good(parsed).filter(F.col("event_type") != HEARTBEAT)
+            key = F.coalesce(F.col("after.id"), F.col("before.id"))
+            ordered = usable.repartition("db", "table", key).sortWithinPartitions("pos_key", "row_no")
+            writer(to_messages(ordered, with_row_no=True), batch_id)
+            dead_letters(parsed).write.mode("overwrite").parquet(f"{dead}/batch_id={batch_id}")
+            (usable.agg(F.max_by(F.struct("log_file", "log_pos"), F.col("pos_key")).alias("p"))
+                   .filter(F.col("p").isNotNull())
+                   .select(F.lit("stream").alias("source"), "p.log_file", F.col("p.log_pos").alias("pos"),
+                           F.lit(batch_id).alias("batch_id"))
+                   .write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}"))
+        finally:
+            parsed.unpersist()
+
+    w = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     """P5: newest saved position per source from the progress rows (one per micro-batch).
 

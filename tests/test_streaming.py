@@ -222,3 +222,33 @@ def test_partial_updates_treat_missing_mask_as_full_image(spark):
         f"after_present long")
     got = {r["id"]: (r["value"], r["props"], r["n_changes"]) for r in S.latest_state_partial_updates(df).collect()}
     assert got == {1: (3.0, "a", 3), 2: (5.0, None, 1)}
+
+
+def test_torn_and_keyless_messages_become_dead_letters(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    ok = ('{"binlog":"mysql-bin.000001:500","db":"shop","table":"li","query":"","event_type":"insert","primary":"id",'
+          '"before":{},"after":{"id":%d,"value":1.0,"props":"p"},"timestamp":1500000000,"row_no":%d}')
+    lines = [ok % (1, 0), ok % (2, 1), ok % (1, 2), ok[:40], "", "not json", ok.replace('"id":%d', '"id":null') % 3, ok.replace("000001:500", "x") % (4, 0)]
+    (src / "a.txt").write_text("\n".join(lines) + "\n")
+    got = []
+    q = S.publish_sink(S.message_stream(spark, str(src)), lambda m, i: got.extend(m.collect()), str(tmp_path / "dead"),
+                       str(tmp_path / "ck"), str(tmp_path / "progress"))
+    S.run_to_end(q)
+    assert sorted(r["key"] for r in got) == ["shop.li:1", "shop.li:1", "shop.li:2"]
+    dead = spark.read.parquet(str(tmp_path / "dead")).collect()
+    assert sorted(r["reason"] for r in dead) == ["malformed message"] * 3 + ["no log position", "no record key"]
+    assert {r["message"] for r in dead} == set(lines[3:])
+    assert S.read_progress(spark, str(tmp_path / "progress")).first()["binlog"] == "mysql-bin.000001:500"
+
+
+def test_every_change_of_an_event_counts(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    line = ('{"binlog":"mysql-bin.000001:500","db":"shop","table":"li","query":"","event_type":"update","primary":"id",'
+            '"before":{"id":1},"after":{"id":1,"value":%d.0,"props":"p"},"timestamp":1500000000,"row_no":%d}')
+    (src / "a.txt").write_text("\n".join(line % (n, n) for n in (0, 2, 1, 2, 0)) + "\n")
+    S.run_to_end(S.append_sink(S.dedup_stream(S.envelope_stream(spark, str(src))).drop("before", "after"), str(tmp_path / "out"), str(tmp_path / "ck")))
+    assert sorted(r["row_no"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
+    S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, str(src)), str(tmp_path / "latest"), str(tmp_path / "ck2")))
+    assert S.read_latest_state(spark, str(tmp_path / "latest")).first()["value"] == 2.0

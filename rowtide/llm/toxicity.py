@@ -151,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return fixed
     share = F.when(F.col("y") == 1, per_label / sizes[1]).otherwise(per_label / sizes[0])
     drawn = marks.where(F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(1 << 20)) / float(1 << 20) < share)
-    rows = (docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(drawn, "k").select("t", "y"))
+    # drawn has about 2 * per_label rows of two numbers at most, whatever the size of the tables
+    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(drawn), "k").select("t", "y")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = {0: Counter(), 1: Counter()}

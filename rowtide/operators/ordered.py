@@ -49,7 +49,7 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  lead: Sequence[str] = (), fill: Sequence[str] = (), sums: Sequence[str] = (),
                  seq: str | None = None, prev_prefix: str = "prev_", next_prefix: str = "next_",
                  fill_prefix: str = "fill_", sum_prefix: str = "sum_",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = None) -> DataFrame:
     """Add neighbour columns computed per ``keys`` in ``order``.
 
     * ``lag`` columns c -> ``prev_c``: value on the previous row of the key;
@@ -60,7 +60,8 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
       the summary stays a hash aggregate;
     * ``seq``: 1-based position of the row within its key.
 
-    Keys of more than ``hot_rows`` rows are split into their buckets (0: all keys).
+    Keys of more than ``hot_rows`` rows (``HOT_ROWS`` unless given) are split into their
+    buckets (0: all keys).
 
     ``order`` must be a total order within a key; ``bucket`` must be
     non-decreasing in ``order`` (e.g. a right shift of the first order column).
@@ -86,7 +87,7 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys = knames
     part = keys + bnames
     okey = F.struct(*[F.col(c) for c in order])
-    hot = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
+    hot = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > (HOT_ROWS if hot_rows is None else hot_rows))
             .select(*keys, F.lit(True).alias("__hot")))
     d = d.join(F.broadcast(hot), keys, "left").select(
         *df.columns, *[c for c in keys if c not in df.columns], "__hot",

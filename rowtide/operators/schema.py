@@ -17,54 +17,107 @@ from .ordered import keyed_window
 # FIXED VALUE: statement kinds that name one table, with optional db and back-quotes.
 DDL_PATTERN = (r"(?i)^\s*(ALTER|CREATE|DROP|TRUNCATE|RENAME)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?"
                r"(?:`?([^`\s.]+)`?\.)?`?([^`\s.(;]+)`?")
-ADD_COLUMN_PATTERN = r"(?i)\bADD\s+(?:COLUMN\s+)?`?([^`\s]+)`?\s+([A-Za-z]+(?:\([^)]*\))?(?:\s+unsigned)?)"
-
-# Columns every derived table starts with (name, type, key, extra), ordinal 1..n.
-BASE_COLUMNS = [("id", "bigint", "PRI", "auto_increment"), ("value", "double", "", ""),
-                ("props", "varchar(64)", "", "")]
+# FIXED VALUES: what a statement may begin with, and words after ADD or DROP that name no column.
+COMMENTS = r"^(?:\s+|/\*(?s:.*?)\*/|--[^\n]*(?:\n|$)|#[^\n]*(?:\n|$))+"
+NO_COLUMN = r"(?!(?:INDEX|KEY|PRIMARY|UNIQUE|CONSTRAINT|FULLTEXT|SPATIAL|FOREIGN|CHECK|PARTITION)\b)"
+_NAME, _TYPE = r"`?([^`\s(),]+)`?", r"([A-Za-z]+(?:\s*\([^)]*\))?(?:\s+unsigned)?)"
+# FIXED VALUES: one clause of an ALTER TABLE: action, then (column, type) or (column, new name, type).
+CLAUSES = [("add", rf"(?i)^\s*ADD\s+(?:COLUMN\s+)?{NO_COLUMN}{_NAME}\s+{_TYPE}", 1, None, 2),
+           ("drop", rf"(?i)^\s*DROP\s+(?:COLUMN\s+)?{NO_COLUMN}(?:IF\s+EXISTS\s+)?{_NAME}", 1, None, None),
+           ("modify", rf"(?i)^\s*MODIFY\s+(?:COLUMN\s+)?{_NAME}\s+{_TYPE}", 1, None, 2),
+           ("change", rf"(?i)^\s*CHANGE\s+(?:COLUMN\s+)?{_NAME}\s+{_NAME}\s+{_TYPE}", 1, 2, 3),
+           ("rename", rf"(?i)^\s*RENAME\s+COLUMN\s+{_NAME}\s+TO\s+{_NAME}", 1, 2, None)]
+_TOP_COMMA = r",(?!(?:[^()]++|\([^()]*+\))*+\))"  # commas outside parentheses, which may hold others
 
 
 def ddl_target(query) -> Column:
     """(kind, db named in the SQL or '', table) of a DDL statement."""
-    q = F.col(query) if isinstance(query, str) else query
+    q = statement(query)
     return F.struct(F.upper(F.regexp_extract(q, DDL_PATTERN, 1)).alias("kind"),
                     F.regexp_extract(q, DDL_PATTERN, 2).alias("sql_db"),
                     F.regexp_extract(q, DDL_PATTERN, 3).alias("tbl"))
 
 
+def statement(query) -> Column:
+    """The statement without the comments and white space before it."""
+    return F.regexp_replace(F.col(query) if isinstance(query, str) else query, COMMENTS, "")
+
+
+def ddl_tables(query) -> Column:
+    """Every (db or '', table) that a DDL statement names: all of a ``DROP TABLE a, b`` list."""
+    q = statement(query)
+    one = F.array(F.struct(F.regexp_extract(q, DDL_PATTERN, 2).alias("sql_db"), F.regexp_extract(q, DDL_PATTERN, 3).alias("tbl")))
+    listed = F.regexp_replace(q, r"(?i)^DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?|\s*(?:RESTRICT|CASCADE)?\s*;?\s*$", "")
+    name = r"^\s*(?:`?([^`\s.]+)`?\.)?`?([^`\s.(;]+)`?"
+    many = F.transform(F.split(listed, ","), lambda t: F.struct(F.regexp_extract(t, name, 1).alias("sql_db"), F.regexp_extract(t, name, 2).alias("tbl")))
+    return F.when(q.rlike(r"(?i)^DROP\s+TABLE\s"), many).otherwise(one)
+
+
+def column_clauses(query) -> Column:
+    """What an ALTER TABLE does to columns: array of (action, column, new_name, type), in order.
+
+    Several clauses and ``ADD (a INT, b INT)`` lists count one by one; indexes, keys and
+    constraints are no columns.  Other statements give an empty array.
+    """
+    q = statement(query)
+    body = F.regexp_replace(q, r"(?i)^ALTER\s+TABLE\s+(?:IF\s+EXISTS\s+)?\S+\s*", "")
+    parts = F.transform(F.split(body, _TOP_COMMA), lambda c: F.trim(c))
+    # ADD (a INT, b INT): one clause for each column in the list
+    listed = r"(?is)^ADD\s+(?:COLUMN\s+)?\((.*)\)\s*;?$"
+    parts = F.flatten(F.transform(parts, lambda c: F.when(c.rlike(listed), F.transform(
+        F.split(F.regexp_extract(c, listed, 1), _TOP_COMMA), lambda x: F.concat(F.lit("ADD "), F.trim(x)))).otherwise(F.array(c))))
+
+    def clause(c: Column) -> Column:
+        found = F.lit(None).cast("struct<action:string,column:string,new_name:string,type:string>")
+        for action, pattern, name, new, kind in reversed(CLAUSES):
+            part = [F.regexp_extract(c, pattern, g) if g else F.lit(None).cast("string") for g in (name, new, kind)]
+            found = F.when(c.rlike(pattern), F.struct(F.lit(action).alias("action"), part[0].alias("column"), part[1].alias("new_name"),
+                                                      F.lower(part[2]).alias("type"))).otherwise(found)
+        return found
+
+    none = F.array().cast("array<struct<action:string,column:string,new_name:string,type:string>>")
+    return F.when(q.rlike(r"(?i)^ALTER\s+TABLE\s"), F.filter(F.transform(parts, clause), lambda x: x.isNotNull())).otherwise(none)
+
+
+def columns_added(query) -> Column:
+    """Columns that a statement adds, less those it drops."""
+    c = column_clauses(query)
+    return (F.size(F.filter(c, lambda x: x["action"] == "add")) - F.size(F.filter(c, lambda x: x["action"] == "drop"))).cast("long")
+
+
 def ddl_changes(changes: DataFrame) -> DataFrame:
     """C3 + C5: DDL query events with the table they change; the event's db when the SQL names none."""
-    t = ddl_target("query")
-    q = changes.filter(F.col("event_type") == "query").select("*", t.alias("__t"))
+    q = changes.filter(F.col("event_type") == "query").select(
+        "*", ddl_target("query")["kind"].alias("__kind"), F.explode(ddl_tables("query")).alias("__t"))
     q = q.filter(F.col("__t.tbl") != "")
     return q.select(*[c for c in changes.columns if c not in ("db", "tbl")],
-                    F.col("__t.kind").alias("ddl_kind"),
+                    F.col("__kind").alias("ddl_kind"),
                     F.coalesce(F.nullif(F.col("__t.sql_db"), F.lit("")), F.col("db")).alias("db"),
                     F.col("__t.tbl").alias("tbl"))
 
 
-def schema_versions(changes: DataFrame) -> DataFrame:
+def schema_versions(changes: DataFrame, n_base: int) -> DataFrame:
     """C4: per table, version 0 from the log start, then one version per DDL.
 
-    ``n_columns`` counts base columns plus the columns added up to the version.
-    Version number, end position and the running count of ADD COLUMN
-    statements come from one ``keyed_window`` (so a table with a long DDL
+    ``n_columns`` counts the ``n_base`` columns tables start with, plus the columns added
+    and less those dropped up to the version.  Version number, end position and the
+    running count of columns come from one ``keyed_window`` (so a table with a long DDL
     history is not pinned to one task); version 0 of every table that has
     changes comes from one hash aggregate over changes and DDL positions.
     """
     d0 = ddl_changes(changes).select("db", "tbl", "pos_key", "row_no",
-                                     F.col("query").rlike(ADD_COLUMN_PATTERN).cast("long").alias("__add"))
+                                     columns_added("query").alias("__add"))
     ddl = keyed_window(d0, ["db", "tbl"], ORDER, pos_bucket(), lead=["pos_key"], sums=["__add"], seq="version")
     versions = ddl.select("db", "tbl", "version", F.col("pos_key").alias("valid_from"),
                           F.col("next_pos_key").alias("valid_to"),
-                          (F.lit(len(BASE_COLUMNS)) + F.col("sum___add")).cast("long").alias("n_columns"))
+                          (F.lit(n_base) + F.col("sum___add")).cast("long").alias("n_columns"))
     marks = (changes.select("db", "tbl", F.lit(True).alias("__chg"), F.lit(None).cast("long").alias("__ddl"))
              .unionByName(d0.select("db", "tbl", F.lit(False).alias("__chg"), F.col("pos_key").alias("__ddl"))))
     first = (marks.groupBy("db", "tbl").agg(F.max("__chg").alias("__chg"), F.min("__ddl").alias("__first"))
                   .filter(F.col("__chg")))
     initial = first.select("db", "tbl", F.lit(0).cast("long").alias("version"),
                            F.lit(0).cast("long").alias("valid_from"), F.col("__first").alias("valid_to"),
-                           F.lit(len(BASE_COLUMNS)).cast("long").alias("n_columns"))
+                           F.lit(n_base).cast("long").alias("n_columns"))
     return initial.unionByName(versions)
 
 
@@ -74,26 +127,23 @@ def schema_asof(changes: DataFrame, versions: DataFrame, max_rows: int | None =
     return asof_join(changes, versions, ["db", "tbl"], **kw)
 
 
-def catalogue(changes: DataFrame) -> DataFrame:
-    """SCHEMA_HISTORY rows: base columns from the log start, then one per ADD COLUMN DDL.
+def catalogue(changes: DataFrame, base_columns, added_key: Column) -> DataFrame:
+    """SCHEMA_HISTORY rows: base columns (name, type, key, extra) from the log start, then one per added column.
 
-    Added columns named by a DDL at a position divisible by 1000 events are
-    key columns, so some tables get composite keys.
+    ``added_key``: the key kind of a column added by a DDL, from that event's columns.
     """
     tables = changes.select("db", "tbl").distinct()
     base = tables.select("db", "tbl", F.explode(F.array(*[
         F.struct(F.lit(i + 1).alias("ordinal"), F.lit(n).alias("column_name"), F.lit(t).alias("column_type"),
                  F.lit(k).alias("column_key"), F.lit(e).alias("extra"))
-        for i, (n, t, k, e) in enumerate(BASE_COLUMNS)])).alias("c"))
+        for i, (n, t, k, e) in enumerate(base_columns)])).alias("c"))
     base = base.select("db", "tbl", "c.*", F.lit(0).cast("long").alias("valid_from"))
-    ddl = ddl_changes(changes).filter(F.col("query").rlike(ADD_COLUMN_PATTERN))
-    ddl = keyed_window(ddl.select("db", "tbl", "pos_key", "row_no", "query", "seq"), ["db", "tbl"], ORDER,
-                       pos_bucket(), seq="__k")
-    added = ddl.select("db", "tbl", (F.col("__k") + len(BASE_COLUMNS)).cast("int").alias("ordinal"),
-                       F.regexp_extract("query", ADD_COLUMN_PATTERN, 1).alias("column_name"),
-                       F.lower(F.regexp_extract("query", ADD_COLUMN_PATTERN, 2)).alias("column_type"),
-                       F.when(F.col("seq") % 1000 == 0, "PRI").otherwise("").alias("column_key"),
-                       F.lit("").alias("extra"), F.col("pos_key").alias("valid_from"))
+    adds = F.filter(column_clauses("query"), lambda x: x["action"] == "add")
+    ddl = ddl_changes(changes).select("db", "tbl", "pos_key", "row_no", added_key.alias("__key"), F.posexplode(adds).alias("__i", "__c"))
+    ddl = keyed_window(ddl, ["db", "tbl"], [*ORDER, "__i"], pos_bucket(), seq="__k")
+    added = ddl.select("db", "tbl", (F.col("__k") + len(base_columns)).cast("int").alias("ordinal"),
+                       F.col("__c.column").alias("column_name"), F.col("__c.type").alias("column_type"),
+                       F.col("__key").alias("column_key"), F.lit("").alias("extra"), F.col("pos_key").alias("valid_from"))
     return base.unionByName(added).withColumn("valid_to", F.lit(None).cast("long"))
 
 

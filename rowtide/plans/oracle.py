@@ -28,8 +28,13 @@ cl as (
          case when user_id % 2 = 0 then 'app' else 'audit' end as db,
          concat('t', cast(user_id % 4 as varchar)) as tbl,
          op as event_type,
-         case when op = 'query' then concat('ALTER TABLE `t', cast(user_id % 4 as varchar),
-              '` ADD `c', cast(event_id as varchar), '` INT') else '' end as query,
+         case when op <> 'query' then '' else replace(replace(case (event_id // 250) % 5
+              when 0 then 'ALTER TABLE `tT` ADD `cN` INT'
+              when 1 then '/* note */ ALTER TABLE `tT` ADD COLUMN `cN` INT, ADD INDEX `iN` (`id`)'
+              when 2 then 'ALTER TABLE `tT` ADD (`cN` INT, `dN` DECIMAL(10,2))'
+              when 3 then 'ALTER TABLE `tT` MODIFY `props` TEXT'
+              else 'ALTER TABLE `tT` ADD UNIQUE KEY `uN` (`value`)' end,
+              '`tT`', concat('`t', cast(user_id % 4 as varchar), '`')), 'N`', concat(cast(event_id as varchar), '`')) end as query,
          case when op = 'query' then '' else 'id' end as "primary",
          case when op in ('update','delete') then user_id end as b_id,
          case when op in ('update','delete') then pv end as b_value,
@@ -184,10 +189,8 @@ def _fixed():
     from ..functions.decode import LABEL_PATTERN
     from ..functions.position import VALID_POSITION
     from ..model import FIELD_TYPE_NAMES, UNSUPPORTED_FIELD_CODES
-    from ..operators.schema import ADD_COLUMN_PATTERN, DDL_PATTERN
     from ..sources.feeds import FLAG_TYPES, KEY_KINDS, TYPE_CODES
-    return dict(LABEL=lit(LABEL_PATTERN), VALID=lit(VALID_POSITION), DDL=lit(DDL_PATTERN),
-                ADD=lit(ADD_COLUMN_PATTERN), NAMES=FIELD_TYPE_NAMES, UNSUP=UNSUPPORTED_FIELD_CODES,
+    return dict(LABEL=lit(LABEL_PATTERN), VALID=lit(VALID_POSITION), NAMES=FIELD_TYPE_NAMES, UNSUP=UNSUPPORTED_FIELD_CODES,
                 FLAG_TYPES=FLAG_TYPES, KEY_KINDS=KEY_KINDS, TYPE_CODES=TYPE_CODES)
 
 
@@ -277,17 +280,27 @@ select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event
        case when a_id is null then 0 else 3 end as after_keys
 from cl"""
 
-DDL = f"""
+# What the statements of the feed do, by the rule that makes them (five kinds in turn).
+DDL = """
 ddl as (
-  select seq, pos_key, row_no, query, upper(regexp_extract(query, {X['DDL']}, 1)) as ddl_kind,
-         coalesce(nullif(regexp_extract(query, {X['DDL']}, 2), ''), db) as db,
-         regexp_extract(query, {X['DDL']}, 3) as tbl
-  from cl where event_type = 'query' and regexp_extract(query, {X['DDL']}, 3) <> '')"""
+  select seq, pos_key, row_no, 'ALTER' as ddl_kind, db, tbl,
+         case (seq // 250) % 5 when 0 then ['c'] when 1 then ['c'] when 2 then ['c', 'd'] else [] end as added
+  from cl where event_type = 'query')"""
+
+# The catalogue: ``id`` and the added columns, in order.
+CAT = """
+cat as (
+  select db, tbl, 1 as ordinal, 'id' as column_name, 'PRI' as column_key from (select distinct db, tbl from cl)
+  union all
+  select db, tbl, 3 + row_number() over (partition by db, tbl order by pos_key, row_no, letter) as ordinal,
+         concat(letter, cast(seq as varchar)) as column_name,
+         case when seq % 1000 = 0 then 'PRI' else '' end as column_key
+  from (select *, unnest(added) as letter from ddl))"""
 
 VERSIONS = f"""
 dv as (
   select db, tbl, row_number() over w as version, pos_key as valid_from, lead(pos_key) over w as valid_to,
-         3 + sum(case when regexp_matches(query, {X['ADD']}) then 1 else 0 end)
+         3 + sum(len(added))
                over (partition by db, tbl order by pos_key, row_no rows unbounded preceding) as n_columns
   from ddl window w as (partition by db, tbl order by pos_key, row_no)),
 tb as (select distinct db, tbl from cl),
@@ -306,14 +319,7 @@ from cl c left join vall v
   on c.db = v.db and c.tbl = v.tbl and c.pos_key >= v.valid_from and (v.valid_to is null or c.pos_key < v.valid_to)
 where c.event_type <> 'query'"""
 
-SQL["primary_keys"] = with_(CHANGELOG, DDL) + f""",
-cat as (
-  select db, tbl, 1 as ordinal, 'id' as column_name, 'PRI' as column_key from (select distinct db, tbl from cl)
-  union all
-  select db, tbl, 3 + row_number() over (partition by db, tbl order by pos_key, row_no) as ordinal,
-         regexp_extract(query, {X['ADD']}, 1) as column_name,
-         case when seq % 1000 = 0 then 'PRI' else '' end as column_key
-  from ddl where regexp_matches(query, {X['ADD']}))
+SQL["primary_keys"] = with_(CHANGELOG, DDL, CAT) + """
 select db, tbl, string_agg(column_name, ',' order by ordinal) as primary_keys,
        arg_max(column_name, ordinal) as "primary", count(*) as n_keys
 from cat where column_key = 'PRI' group by db, tbl"""
@@ -506,14 +512,7 @@ select ordinal, type_code, 3 as server_id from ev where db <> 'app'"""
 SQL["known_tables"] = with_(CHANGELOG, DDL) + FILT + """
 where (db, tbl) in (select db, tbl from ddl)"""
 
-SQL["attach_primary"] = with_(CHANGELOG, DDL) + f""",
-cat as (
-  select db, tbl, 1 as ordinal, 'id' as column_name, 'PRI' as column_key from (select distinct db, tbl from cl)
-  union all
-  select db, tbl, 3 + row_number() over (partition by db, tbl order by pos_key, row_no) as ordinal,
-         regexp_extract(query, {X['ADD']}, 1) as column_name,
-         case when seq % 1000 = 0 then 'PRI' else '' end as column_key
-  from ddl where regexp_matches(query, {X['ADD']})),
+SQL["attach_primary"] = with_(CHANGELOG, DDL, CAT) + """,
 pk as (
   select db, tbl, string_agg(column_name, ',' order by ordinal) as key_columns,
          arg_max(column_name, ordinal) as key_primary

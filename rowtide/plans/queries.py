@@ -327,20 +327,20 @@ def q_ddl_table(spark, sf):
 
 @query("schema_intervals")
 def q_schema_intervals(spark, sf):
-    return schema.schema_versions(feeds.stored(feeds.changelog(spark, sf)))
+    return schema.schema_versions(feeds.stored(feeds.changelog(spark, sf)), len(feeds.BASE_COLUMNS))
 
 
 @query("schema_asof")
 def q_schema_asof(spark, sf):
     cl = feeds.stored(feeds.changelog(spark, sf))
     rows = cl.filter(F.col("event_type") != "query")
-    versions = feeds.stored(schema.schema_versions(cl), "versions")   # sized once, read by the join
+    versions = feeds.stored(schema.schema_versions(cl, len(feeds.BASE_COLUMNS)), "versions")   # sized once, read by the join
     return schema.schema_asof(rows, versions).select("seq", "db", "tbl", "version", "n_columns")
 
 
 @query("primary_keys")
 def q_primary_keys(spark, sf):
-    return schema.primary_keys(schema.catalogue(feeds.stored(feeds.changelog(spark, sf))))
+    return schema.primary_keys(schema.catalogue(feeds.stored(feeds.changelog(spark, sf)), feeds.BASE_COLUMNS, feeds.added_key()))
 
 
 @query("enum_labels")
@@ -681,7 +681,7 @@ def q_known_tables(spark, sf):
 @query("attach_primary")
 def q_attach_primary(spark, sf):
     cl = feeds.stored(feeds.changelog(spark, sf))
-    keys = schema.primary_keys(schema.catalogue(cl))
+    keys = schema.primary_keys(schema.catalogue(cl, feeds.BASE_COLUMNS, feeds.added_key()))
     out = schema.attach_primary(cl.drop("primary", "primary_keys"), keys)
     return out.select("seq", "db", "tbl", F.col("primary_keys").alias("key_columns"),
                       F.col("primary").alias("key_primary"))

@@ -16,7 +16,7 @@ Every feed grows with its input table; none is a fixed small sample.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.position import pos_key
@@ -29,6 +29,16 @@ EVENT_BUCKET_BITS = 20
 PARTKEY_BUCKET_BITS = 16
 # Images per row event (even, so update pairs never straddle two events).
 ROWS_PER_EVENT = 8
+# Columns every derived table starts with (name, type, key, extra), ordinal 1..n.
+BASE_COLUMNS = [("id", "bigint", "PRI", "auto_increment"), ("value", "double", "", ""),
+                ("props", "varchar(64)", "", "")]
+
+
+def added_key() -> Column:
+    """Key kind of a column that the derived log adds: some tables get composite keys."""
+    return F.when(F.col("seq") % 1000 == 0, "PRI").otherwise("")
+
+
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +66,7 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "app").otherwise("audit").alias("db"),
         F.concat(F.lit("t"), tno).alias("tbl"),
         et.alias("event_type"),
-        F.when(et == "query", F.concat(F.lit("ALTER TABLE `t"), tno, F.lit("` ADD `c"),
-                                       F.col("event_id").cast("string"), F.lit("` INT")))
-         .otherwise(F.lit("")).alias("query"),
+        F.when(et == "query", _ddl(tno, F.col("event_id").cast("string"))).otherwise(F.lit("")).alias("query"),
         F.when(et == "query", F.lit("")).otherwise(F.lit("id")).alias("primary"),
         F.when(et == "query", F.array().cast("array<string>")).otherwise(F.array(F.lit("id")))
          .alias("primary_keys"),
@@ -71,6 +79,19 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ddl(tno: Column, n: Column) -> Column:
+    """The DDL of the feed, five kinds in turn: a column; a column and an index after a comment;
+    two columns in a list; another type; a key.  They add 1, 1, 2, 0 and 0 columns."""
+    table = F.concat(F.lit("ALTER TABLE `t"), tno, F.lit("` "))
+    col = F.concat(F.lit("`c"), n, F.lit("` INT"))
+    kinds = [F.concat(table, F.lit("ADD "), col),
+             F.concat(F.lit("/* note */ "), table, F.lit("ADD COLUMN "), col, F.lit(", ADD INDEX `i"), n, F.lit("` (`id`)")),
+             F.concat(table, F.lit("ADD ("), col, F.lit(", `d"), n, F.lit("` DECIMAL(10,2))")),
+             F.concat(table, F.lit("MODIFY `props` TEXT")),
+             F.concat(table, F.lit("ADD UNIQUE KEY `u"), n, F.lit("` (`value`)"))]
+    return F.element_at(F.array(*kinds), ((F.col("event_id") / 250).cast("long") % len(kinds) + 1).cast("int"))
+
+
 def partial_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog as a log of MINIMAL row images, with ``after_present``: a bigint
     mask over the after-image's fields in order (bit 0 ``id``, bit 1 ``value``, bit 2

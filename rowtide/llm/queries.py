@@ -89,7 +89,7 @@ o AS (
   FROM d LEFT JOIN dup USING (r) LEFT JOIN cov USING (r) LEFT JOIN h USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_chars,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR covered_chars > 0.2 * word_chars OR long_repeat) AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR covered_chars > 0.25 * word_chars OR long_repeat) AS kept
 FROM o
 """
 

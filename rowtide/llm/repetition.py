@@ -137,7 +137,7 @@ def measure(text: Column, min_words: int = 5) -> Column:
     return run(text)
 
 
-def judge(text: Column, min_words: int = 5, max_covered: float = 0.2, max_longest: int = 100) -> Column:
+def judge(text: Column, min_words: int = 5, max_covered: float = 0.25, max_longest: int = 100) -> Column:
     """Struct: the measures, ``base_failed`` and ``kept`` (false if either rule set rejects the text)."""
     names = [x.split()[0] for x in MEASURES.split(", ")]
 

@@ -23,7 +23,7 @@ def brute(text, longest=100):
     chars = sum(len(w[i]) for i in five)
     total = sum(map(len, w))
     return (len(w), total, sum(map(t.count, R.SYMBOLS)), len(lines) - len(set(lines)), len(five), chars, base,
-            not (base or chars > 0.2 * total or bool(covered(longest + 1))))
+            not (base or chars > 0.25 * total or bool(covered(longest + 1))))
 
 
 def test_suffix_order_against_sorting():

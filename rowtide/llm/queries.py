@@ -72,15 +72,18 @@ l AS (
   SELECT r, line, count(*) AS c FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
 dup AS (SELECT r, sum(c - 1) AS n FROM l GROUP BY r),
-s AS (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d),
-g AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 4], ' ')) AS c FROM s),
+u AS (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS i FROM d),
+s AS (
+  SELECT r, i, x || ' ' || lead(x, 1) OVER v || ' ' || lead(x, 2) OVER v || ' ' || lead(x, 3) OVER v || ' ' || lead(x, 4) OVER v AS five
+  FROM u WINDOW v AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, five) AS c FROM s WHERE five IS NOT NULL),
 p AS (SELECT DISTINCT r, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS i FROM g WHERE c > 1),
-cov AS (SELECT p.r, count(*) AS n, sum(length(d.w[p.i])) AS chars FROM p JOIN d USING (r) GROUP BY p.r),
+cov AS (SELECT r, count(*) AS n, sum(length(x)) AS chars FROM p JOIN u USING (r, i) GROUP BY r),
 h AS (
   SELECT DISTINCT r FROM (
-    SELECT r, md5(array_to_string(w[i:i + 100], ' ')) AS x FROM (
-      SELECT r, w, unnest(range(1, len(w) - 99)) AS i FROM d WHERE r IN (SELECT r FROM cov WHERE n > 101))
-  ) GROUP BY r, x HAVING count(*) > 1),
+    SELECT r, string_agg(x, ' ') OVER v AS t, count(*) OVER v AS n FROM u WHERE r IN (SELECT r FROM cov WHERE n > 101)
+    WINDOW v AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 100 FOLLOWING))
+  WHERE n = 101 GROUP BY r, t HAVING count(*) > 1),
 o AS (
   SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -53,14 +53,21 @@ def le_int(payload, offset, nbytes: int) -> Column:
 
 
 def header(payload) -> Column:
-    """H1: the six header fields as a struct."""
+    """H1: the six header fields as a struct.
+
+    The 19 bytes become reversed hex text once (generated code evaluates a repeated
+    expression once); every field is then a slice of that text.
+    """
     p = _c(payload)
-    return F.struct(F.timestamp_seconds(le_int(p, 0, 4)).alias("ts"),
-                    le_int(p, 4, 1).cast("int").alias("type_code"),
-                    le_int(p, 5, 4).alias("server_id"),
-                    le_int(p, 9, 4).alias("event_size"),
-                    le_int(p, 13, 4).alias("log_pos"),
-                    le_int(p, 17, 2).cast("int").alias("flags"))
+    text = F.when(F.length(p) >= HEADER_LEN, F.reverse(F.hex(p.substr(1, HEADER_LEN))))  # a torn header has no fields
+
+    def field(offset: int, nbytes: int) -> Column:
+        h = F.substring(text, 2 * (HEADER_LEN - offset - nbytes) + 1, 2 * nbytes)
+        return _swap_nibbles(F.conv(h, 16, -10).cast("long"))
+
+    return F.struct(F.timestamp_seconds(field(0, 4)).alias("ts"), field(4, 1).cast("int").alias("type_code"),
+                    field(5, 4).alias("server_id"), field(9, 4).alias("event_size"), field(13, 4).alias("log_pos"),
+                    field(17, 2).cast("int").alias("flags"))
 
 
 def strip_checksum(payload) -> Column:

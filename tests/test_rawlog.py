@@ -47,3 +47,9 @@ def test_fill_log_file_across_buckets(spark, monkeypatch):
     df = rawlog.decode_headers(spark.createDataFrame(rows, "source string, ordinal long, payload binary"))
     got = dict(rawlog.fill_log_file(df).select("ordinal", "log_file").collect())
     assert got[29] == "f.000001" and got[31] == "f.000002" and got[0] == "f.000001"
+
+
+def test_torn_header_has_no_fields(spark):
+    from rowtide.functions import header
+    df = spark.createDataFrame([(bytearray(b"x" * 18),), (bytearray(b""),), (None,)], "p binary")
+    assert {tuple(r["h"]) for r in df.select(header.header("p").alias("h")).collect()} == {(None,) * 6}

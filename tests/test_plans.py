@@ -5,11 +5,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from rowtide.plans.queries import QUERIES
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
 # Queries that run a stream or land a table while being built; their final reads are plain scans.
 RUNS_WHILE_BUILT = {"stream_envelope", "stream_latest", "stream_progress", "ordered_delivery", "change_table",
                     "table_scan", "envelope_variant"}
@@ -18,7 +17,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 
 # Row numbering inside a multi-row event orders by every lineitem column (the fixture's rule).
-ALL_LINEITEM_COLUMNS = {"flatten_insert", "flatten_delete", "pair_update", "pair_update_long"}
+ALL_LINEITEM_COLUMNS = {"flatten_insert", "flatten_delete", "pair_update", "pair_update_long", "event_envelopes"}
 WIDTH = {"lineitem": 11, "orders": 6}
 
 

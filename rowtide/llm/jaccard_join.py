@@ -315,7 +315,7 @@ def runs_for(recall: float, depth: int = DEPTH) -> int:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8, recall: float = 0.9995,
-         small: int = 64, block: int = 2_048, max_broadcast: int = 300_000) -> DataFrame:
+         small: int = 64, block: int = 2_048, max_broadcast: int = 100_000) -> DataFrame:
     """(id, tk, class, keeper, n_links) of every row: its class's least id, whether it is the class's first text, and
     the number of other rows that it is linked with.  Null ids have the least long."""
     ship()

@@ -44,6 +44,7 @@ BLOCK_BITS = 20  # bytes worked on at once: 2 ** 20
 FIRST = -(1 << 63)  # order of null ids
 RECORD = np.dtype([("gram", "i8"), ("what", "i8"), ("id", "i8"), ("rk", "i4"), ("lo", "i4"), ("n", "u1")])
 SPAN = np.dtype([("id", "i8"), ("rk", "i4"), ("lo", "i4"), ("hi", "i4")])
+SORTED_PIECES = 6_000  # stretches in a suffix array, on average
 #: 0: removed [lo, hi); 1: stretch of [lo, hi) whose gram has others; 2: the same, too many of them
 FOUND = "kind byte, id long, rk int, lo int, hi int, gram long"
 
@@ -319,7 +320,7 @@ def hashed_copies(pieces: DataFrame, length: int) -> DataFrame:
 
 
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 24,
-                  bucket_records: int = 300_000, most: int = 20_000, max_broadcast: int = 300_000) -> DataFrame:
+                  bucket_records: int = 300_000, most: int = 10_000, max_broadcast: int = 300_000) -> DataFrame:
     """(id, rk, spans): the removed runs of bytes, [lo, hi), of each row that has any, apart and in order."""
     ship()
     spark = docs.sparkSession
@@ -332,7 +333,7 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = written(find(rows, length, gram, n_buckets, hot, most), "stretches")
     asked = found.where("kind > 0")
     pieces = written(_with_bytes(rows, asked, max_broadcast), "pieces")
-    n_sorted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.where("kind = 1").count() // 20_000 + 1)
+    n_sorted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.where("kind = 1").count() // SORTED_PIECES + 1)
     spans = (found.where("kind = 0").select("id", "rk", "lo", "hi")
              .unionByName(sorted_copies(pieces.where("kind = 1"), length, n_sorted))
              .unionByName(hashed_copies(pieces.where("kind = 2"), length)))

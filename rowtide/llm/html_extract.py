@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, written
 from .url_filter import host_of
 
 TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"""
@@ -248,18 +248,27 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  least: float = 0.2) -> DataFrame:
-    """Per row: id, url, ``text`` and ``n_chars``."""
+                  least: float = 0.2, max_broadcast: int = 200_000, salts: int = 64) -> DataFrame:
+    """Per row: id, url, ``text`` and ``n_chars``.
+
+    Up to ``max_broadcast`` low nodes are broadcast.  More are joined by host and one of
+    ``salts`` slices of the pages, so a hot host's pages are spread.
+    """
     ship()
-    low = (style_tree(pages, url_col, html_col).where(F.col("importance") < least)
-           .groupBy("host").agg(F.collect_list("node").alias("low")))
+    nodes = written(style_tree(pages, url_col, html_col).where(F.col("importance") < least).select("host", "node"), "low-nodes")
+    low = nodes.groupBy("host").agg(F.collect_list("node").alias("low"))
+    rows = pages.select(F.col(id_col).alias("a"), F.col(url_col).alias("b"), F.col(html_col).alias("c"),
+                        host_of(F.col(url_col)).alias("host"))
+    if nodes.count() <= max_broadcast:
+        rows = rows.join(F.broadcast(low), "host", "left")
+    else:
+        low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("a", "c"), F.lit(salts)).cast("int")).join(low, ["host", "salt"], "left")
 
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for htmls, lows in batches:
             yield pd.Series([extract(h, set(x) if x is not None else set()) for h, x in zip(htmls, lows)])
 
-    rows = pages.select(F.col(id_col).alias("a"), F.col(url_col).alias("b"), F.col(html_col).alias("c"),
-                        host_of(F.col(url_col)).alias("host"))
-    return (rows.join(low, "host", "left").select(F.col("a").alias(id_col), F.col("b").alias(url_col), run("c", "low").alias("text"))
+    return (rows.select(F.col("a").alias(id_col), F.col("b").alias(url_col), run("c", "low").alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -26,7 +26,9 @@ def test_site_style_tree_removes_templates_only(spark):
     pages = [(i, f"http://h.org/{i}", f'<body><div class="top">Same on all pages</div><div class="x"><p>Text {i} of its own</p></div></body>') for i in range(6)]
     pages += [(10, "http://one.org/", pages[0][2]), (11, None, "<p>alone</p>"), (12, "http://h.org/12", None)]
     copies = [(i, "http://c.org/", "<body><article><p>Copied text</p></article></body>") for i in range(20, 25)]
-    got = {r.page_id: r for r in H.extract_pages(frame(spark, pages + copies, SCHEMA)).collect()}
+    df = frame(spark, pages + copies, SCHEMA)
+    got = {r.page_id: r for r in H.extract_pages(df).collect()}
+    assert got == {r.page_id: r for r in H.extract_pages(df, max_broadcast=0, salts=3).collect()}  # salted by host
     assert [got[i].text for i in range(6)] == [f"Text {i} of its own" for i in range(6)]
     assert got[10].text == "Same on all pages\nText 0 of its own" and got[11].text == "alone" and (got[12].text, got[12].n_chars) == ("", 0)
     assert {got[i].text for i in range(20, 25)} == {"Copied text"} and got[20].n_chars == 11

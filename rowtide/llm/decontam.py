@@ -11,7 +11,9 @@ An alignment is a re-parameterised copy only if its slots are consistent: what s
 at the item's placeholders maps to what stands at the document's one to one, for
 example the same other name wherever the item repeats a name.  Windows that are mostly
 placeholders don't count.  A document is contaminated by an item if the matched windows
-of its consistent alignments cover at least ``min_share`` of the item's countable windows.
+of its consistent alignments cover at least ``min_share`` of the item's countable windows, or,
+with ``min_run``, if one consistent alignment matches that many words in a row, whatever
+their share of the item (a shorter item then has to match by its share).
 
 Null and empty texts have no windows; items without ``min_words`` words are left out.
 Items with equal text are separate items.  Repeated documents (same id and text) are
@@ -81,7 +83,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int,
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", window: int = 8, min_words: int = 5, min_share: float = 0.6,
-                 max_broadcast: int = 500_000) -> DataFrame:
+                 max_broadcast: int = 500_000, min_run: int | None = None) -> DataFrame:
     """(id, tk, item, n_matched, share): which rows, told apart by id and text hash, hold which items."""
     bench = written(benchmark_windows(items, item_col, item_text_col, window, min_words), "benchmark-windows")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # window many at most
@@ -115,9 +117,27 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             .agg(F.count_distinct("theirs", "ours").alias("pairs"), F.count_distinct("theirs").alias("a"), F.count_distinct("ours").alias("b"))
             .where("pairs > a OR pairs > b").select(*[F.col(x).alias(f"x_{x}") for x in line]))
     good = hits.join(torn, _all_same(line, "x_"), "left_anti")
-    return (good.groupBy("id", "tk", "item").agg(F.count_distinct("b_at").alias("n_matched"), F.first("n").alias("n"))
-            .where(F.col("n_matched") >= min_share * F.col("n"))
-            .select("id", "tk", "item", "n_matched", (F.col("n_matched") / F.col("n")).alias("share")))
+    enough = F.col("n_matched") >= min_share * F.col("n")
+    if min_run is not None:
+        good = (good.groupBy(*line, "n", "b_size").agg(F.sort_array(F.collect_set("b_at")).alias("ats"))
+                .withColumn("run", _longest_run(F.col("ats"), F.col("b_size")))
+                .select("id", "tk", "item", "n", "run", F.explode("ats").alias("b_at")))
+        enough = enough | (F.col("run") >= min_run)
+    else:
+        good = good.withColumn("run", F.lit(0))
+    return (good.groupBy("id", "tk", "item").agg(F.count_distinct("b_at").alias("n_matched"), F.first("n").alias("n"), F.max("run").alias("run"))
+            .where(enough).select("id", "tk", "item", "n_matched", (F.col("n_matched") / F.col("n")).alias("share")))
+
+
+def _longest_run(starts: Column, size: Column) -> Column:
+    """Words of the longest unbroken run of matched words; windows that touch or overlap are of one run."""
+    none = F.lit(None).cast("int")
+
+    def add(s: Column, at: Column) -> Column:
+        first = F.when(at - s["last"] <= size, s["first"]).otherwise(at)
+        return F.struct(first.alias("first"), at.alias("last"), F.greatest(s["run"], at + size - first).alias("run"))
+
+    return F.aggregate(starts, F.struct(none.alias("first"), none.alias("last"), F.lit(0).alias("run")), add, lambda s: s["run"])
 
 
 def _all_same(columns: list[str], prefix: str) -> Column:

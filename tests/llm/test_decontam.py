@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rowtide.llm import decontam as D
 
 from .helpers import awkward, frame, with_clashes
@@ -45,3 +46,17 @@ def test_stage_repeats_clashes_and_empty_tables(spark):
     assert out.columns == df.columns and out.count() == len(awkward())
     assert D.leaks(df, benchmark).count() == 2  # the repeated document once for each of the equal items
     assert D.drop_leaks(df, benchmark.limit(0)).count() == len(rows) and D.leaks(df.limit(0), benchmark).count() == 0
+
+
+def test_long_run_of_a_long_item(spark):
+    item = " ".join(f"word{i}" for i in range(40))
+    cut = lambda a, b: " ".join(f"word{i}" for i in range(a, b))
+    docs = [(1, f"a {cut(0, 20)} b"), (2, f"a {cut(27, 40)} b"), (3, f"a {cut(0, 12)} b {cut(20, 32)}"), (4, item)]
+    assert found(spark, docs, (item,), min_run=13) == [(1, 0), (2, 0), (4, 0)]
+
+
+def test_pipeline_stage_finds_what_line_dedup_left_of_an_item(spark, tmp_path):
+    item = " ".join(f"word{i}" for i in range(40))
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = frame(spark, [(1, "so " + " ".join(item.split()[:20])), (2, "nothing of it")], DOC)
+    assert [r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [2]

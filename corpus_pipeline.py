@@ -31,7 +31,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item and no 13 words of one in a row, re-parameterised ones included."""
-    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"), min_run=13)
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"), min_run=13, meet=True)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

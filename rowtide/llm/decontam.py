@@ -7,9 +7,11 @@ words of a document is hashed and joined with the windows of the benchmark items
 item shorter than that is one window of its own length).  Matches of an item that lie
 on one diagonal (document position minus item position) are one alignment.
 
-An alignment is a re-parameterised copy only if its slots are consistent: what stands
+An alignment is a re-parameterised copy only as far as its slots are consistent: what stands
 at the item's placeholders maps to what stands at the document's one to one, for
-example the same other name wherever the item repeats a name.  Windows that are mostly
+example the same other name wherever the item repeats a name.  Windows that hold a slot
+which breaks the mapping are dropped, the others stay.  With ``meet`` only an item's name
+has to map to one value, and new numbers, units or names may coincide.  Windows that are mostly
 placeholders don't count.  A document is contaminated by an item if the matched windows
 of its consistent alignments cover at least ``min_share`` of the item's countable windows, or,
 with ``min_run``, if one consistent alignment matches that many words in a row, whatever
@@ -83,7 +85,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int,
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", window: int = 8, min_words: int = 5, min_share: float = 0.6,
-                 max_broadcast: int = 500_000, min_run: int | None = None) -> DataFrame:
+                 max_broadcast: int = 500_000, min_run: int | None = None, meet: bool = False) -> DataFrame:
     """(id, tk, item, n_matched, share): which rows, told apart by id and text hash, hold which items."""
     bench = written(benchmark_windows(items, item_col, item_text_col, window, min_words), "benchmark-windows")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # window many at most
@@ -101,9 +103,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     item_words = items.select(F.col(item_col).alias("item"), template(F.col(item_text_col)).alias("w"),
                               raw_words(F.col(item_text_col)).alias("v"))
     slots = (item_words.select("item", F.posexplode(F.arrays_zip("w", "v")).alias("p", "z"))
-             .where(F.col("z.w").isin(NUMBER, UNIT, NAME)).select("item", F.col("p").alias("slot"), F.col("z.v").alias("theirs")))
-    asked = (hits.join(slots, "item").where("slot >= b_at AND slot < b_at + b_size").select(*line, "slot", "theirs").distinct())
-    by_row = asked.groupBy("id", "tk").agg(F.collect_list(F.struct("item", "diagonal", "slot", "theirs")).alias("q"))
+             .where(F.col("z.w").isin(NUMBER, UNIT, NAME)).select("item", F.col("p").alias("slot"), F.col("z.w").alias("kind"), F.col("z.v").alias("theirs")))
+    asked = (hits.join(slots, "item").where("slot >= b_at AND slot < b_at + b_size").select(*line, "slot", "kind", "theirs").distinct())
+    by_row = asked.groupBy("id", "tk").agg(F.collect_list(F.struct("item", "diagonal", "slot", "kind", "theirs")).alias("q"))
     by_row = written(by_row, "benchmark-slots")
     if by_row.select(F.coalesce(F.sum(F.size("q")), F.lit(0))).collect()[0][0] <= max_broadcast:
         by_row = F.broadcast(by_row)
@@ -111,12 +113,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     filled = (texts.join(by_row, F.col("did").eqNullSafe(F.col("id")) & F.col("dtk").eqNullSafe(F.col("tk")))
               .select("id", "tk", "q", raw_words(F.col("t")).alias("v"))
               .select("id", "tk", F.explode(F.transform("q", lambda q: F.struct(
-                  q["item"].alias("item"), q["diagonal"].alias("diagonal"), q["theirs"].alias("theirs"),
+                  q["item"].alias("item"), q["diagonal"].alias("diagonal"), q["slot"].alias("slot"), q["kind"].alias("kind"), q["theirs"].alias("theirs"),
                   F.get("v", q["slot"] + q["diagonal"]).alias("ours")))).alias("s")).select("id", "tk", "s.*"))
-    torn = (filled.groupBy(*line)
-            .agg(F.count_distinct("theirs", "ours").alias("pairs"), F.count_distinct("theirs").alias("a"), F.count_distinct("ours").alias("b"))
-            .where("pairs > a OR pairs > b").select(*[F.col(x).alias(f"x_{x}") for x in line]))
-    good = hits.join(torn, _all_same(line, "x_"), "left_anti")
+    bad = _torn_slots(filled, line, meet).select("item", "diagonal", "slot", "id", "tk")
+    bad = (bad.join(hits.select("item", "b_size").distinct(), "item")
+           .select(*line, F.explode(F.sequence(F.col("slot") - F.col("b_size") + 1, F.col("slot"))).alias("b_at")).distinct())
+    here = [*line, "b_at"]
+    good = hits.join(bad.select(*[F.col(x).alias(f"x_{x}") for x in here]), _all_same(here, "x_"), "left_anti")
     enough = F.col("n_matched") >= min_share * F.col("n")
     if min_run is not None:
         good = (good.groupBy(*line, "n", "b_size").agg(F.sort_array(F.collect_set("b_at")).alias("ats"))
@@ -129,6 +132,27 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             .where(enough).select("id", "tk", "item", "n_matched", (F.col("n_matched") / F.col("n")).alias("share")))
 
 
+def _torn_slots(filled: DataFrame, line: list[str], meet: bool) -> DataFrame:
+    """The rows of ``filled`` whose values break the mapping of their alignment.
+
+    Of the values that stand against one, that which is the same on both sides stays, else
+    the most frequent one; where two are equally frequent none does.
+    """
+    asked = filled.where(F.col("kind") == NAME) if meet else filled
+    same = F.col("theirs").eqNullSafe(F.col("ours"))
+    pairs = asked.groupBy(*line, "theirs", "ours").agg(F.struct(F.max(same.cast("int")), F.count("*")).alias("c"),
+                                                       F.collect_set("slot").alias("slots"))
+
+    def lost(one: str) -> DataFrame:
+        groups = pairs.groupBy(*line, one).agg(F.collect_list(F.struct("c", "slots")).alias("g")).where(F.size("g") > 1)
+        best = F.array_max(F.transform("g", lambda x: x["c"]))
+        winners = F.size(F.filter("g", lambda x: x["c"] == best))
+        out = F.filter("g", lambda x: (x["c"] < best) | (winners > 1))
+        return groups.select(*line, F.explode(F.flatten(F.transform(out, lambda x: x["slots"]))).alias("slot"))
+
+    return lost("theirs") if meet else lost("theirs").union(lost("ours"))
+
+
 def _longest_run(starts: Column, size: Column) -> Column:
     """Words of the longest unbroken run of matched words; windows that touch or overlap are of one run."""
     none = F.lit(None).cast("int")

@@ -60,3 +60,17 @@ def test_pipeline_stage_finds_what_line_dedup_left_of_an_item(spark, tmp_path):
     spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = frame(spark, [(1, "so " + " ".join(item.split()[:20])), (2, "nothing of it")], DOC)
     assert [r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+def test_one_changed_slot_costs_its_windows_only(spark):
+    item = "When Tom came home " + " ".join(f"word{i}" for i in range(30)) + " because Tom was late"
+    docs = [(1, item.replace("because Tom", "because Tim")), (2, item.replace("Tom", "Bob")), (3, "X. " + item)]
+    for limit in (500_000, -1):
+        assert found(spark, docs, (item,), max_broadcast=limit) == [(1, 0), (2, 0), (3, 0)]
+
+
+def test_new_values_may_coincide(spark):
+    nine = "If Bob has 9 apples and gives 9 apples to Eve, how many apples does Bob have left at noon?"
+    item = "There are 3 pears and 3 plums on the table, so what is the sum of them all?"
+    docs = [(1, nine), (2, item.replace("3 pears", "4 pears")), (3, ITEM.replace("does Tom", "does Anna").replace("Tom", "Bob"))]
+    assert found(spark, docs, (ITEM, item), meet=True) == [(1, 0), (2, 1)]

@@ -17,7 +17,11 @@ of its consistent alignments cover at least ``min_share`` of the item's countabl
 with ``min_run``, if one consistent alignment matches that many words in a row, whatever
 their share of the item (a shorter item then has to match by its share).
 
-Null and empty texts have no windows; items without ``min_words`` words are left out.
+An item without countable windows (fewer than ``min_words`` template words, or every window
+mostly placeholders) is sought as it stands: a document is contaminated if it holds all the
+item's words in a row, in lower case without the punctuation at their ends.
+
+Null and blank texts have no words.
 Items with equal text are separate items.  Repeated documents (same id and text) are
 judged as one, and each of their rows is dropped or kept alike.  Other columns don't
 matter; empty tables give an empty result.
@@ -73,16 +77,56 @@ def _windows(words: Column, size: Column | int) -> Column:
         i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h"))))
 
 
+def plain_words(text: Column) -> Column:
+    """The words in lower case without what surrounds them; what has no letter or digit stays as it is."""
+    words = F.filter(F.split(F.lower(text), rf"[{WHITE}]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.when(
+        w.rlike(r"[\p{L}\p{N}%<>]"), F.regexp_replace(w, rf"^{EDGE}+|(?:['’]s)?{EDGE}*$", "")).otherwise(w))
+
+
+def _template_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_words: int) -> DataFrame:
+    """(item, t, size, w, starts): template words of each item row and where its countable windows start."""
+    words = items.select(F.col(id_col).alias("item"), F.col(text_col).alias("t"), template(F.col(text_col)).alias("w"))
+    words = words.withColumn("size", F.least(F.size("w"), F.lit(window)))
+
+    def countable(i: Column) -> Column:
+        return 2 * F.size(F.filter(F.slice("w", i + 1, F.col("size")), lambda x: x.isin(NUMBER, UNIT, NAME))) <= F.col("size")
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("w") - F.col("size")), countable)
+    return words.withColumn("starts", F.when(F.size("w") >= min_words, starts).otherwise(F.array().cast("array<int>")))
+
+
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_words: int) -> DataFrame:
     """(item, size, at, h, n) of the countable windows of each item, n the number of them."""
-    words = items.select(F.col(id_col).alias("item"), template(F.col(text_col)).alias("w")).where(F.size("w") >= min_words)
-    words = words.withColumn("size", F.least(F.size("w"), F.lit(window)))
-    every = words.select("item", "size", "w", F.explode(_windows(F.col("w"), F.col("size"))).alias("x"))
-    slots = F.size(F.filter(F.slice("w", F.col("x.at") + 1, F.col("size")), lambda x: x.isin(NUMBER, UNIT, NAME)))
-    every = every.where(2 * slots <= F.col("size")).select("item", "size", "x.at", "x.h")
+    every = _template_windows(items, id_col, text_col, window, min_words).select("item", "size", "w", F.explode("starts").alias("at"))
+    every = every.select("item", "size", "at", F.xxhash64(F.slice("w", F.col("at") + 1, F.col("size"))).alias("h"))
     return every.join(every.groupBy("item").agg(F.count("*").alias("n")), "item")
 
 
+def plain_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_words: int) -> DataFrame:
+    """(item, k, size, at, h, n) of all plain windows of the items without countable ones; k tells items with the same id apart."""
+    bare = _template_windows(items, id_col, text_col, window, min_words).where(F.size("starts") == 0)
+    words = bare.select("item", F.xxhash64("t").alias("k"), plain_words(F.col("t")).alias("w")).where(F.size("w") > 0)
+    words = words.withColumn("size", F.least(F.size("w"), F.lit(window))).withColumn("n", F.size("w") - F.col("size") + 1)
+    return words.select("item", "k", "size", "n", F.explode(_windows(F.col("w"), F.col("size"))).alias("x")).select(
+        "item", "k", "size", "x.at", "x.h", "n").distinct()
+
+
+def _verbatim(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, max_broadcast: int) -> DataFrame | None:
+    """(id, tk, item, n_matched, share): rows that hold an item of ``bench`` (``plain_windows``) word by word; None if it is empty."""
+    sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # window many at most
+    if not sizes:
+        return None
+    words = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), plain_words(F.col(text_col)).alias("w"))
+    none = F.array().cast("array<struct<at:int,h:bigint>>")
+    seen = words.select("id", "tk", F.explode(F.concat(*[F.coalesce(_windows(F.col("w"), size), none) for size in sizes])).alias("x"))
+    side = bench.select("item", "k", F.col("at").alias("b_at"), "h", "n")
+    hits = seen.select("id", "tk", "x.at", "x.h").join(F.broadcast(side) if bench.count() <= max_broadcast else side, "h")
+    whole = (hits.groupBy("id", "tk", "item", "k", (F.col("at") - F.col("b_at")).alias("diagonal"))
+             .agg(F.count_distinct("b_at").alias("m"), F.first("n").alias("n")).where("m = n"))
+    return whole.groupBy("id", "tk", "item").agg(F.max("m").alias("n_matched")).withColumn("share", F.lit(1.0))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", window: int = 8, min_words: int = 5, min_share: float = 0.6,
                  max_broadcast: int = 500_000, min_run: int | None = None, meet: bool = False) -> DataFrame:
@@ -128,8 +172,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         enough = enough | (F.col("run") >= min_run)
     else:
         good = good.withColumn("run", F.lit(0))
-    return (good.groupBy("id", "tk", "item").agg(F.count_distinct("b_at").alias("n_matched"), F.first("n").alias("n"), F.max("run").alias("run"))
-            .where(enough).select("id", "tk", "item", "n_matched", (F.col("n_matched") / F.col("n")).alias("share")))
+    out = (good.groupBy("id", "tk", "item").agg(F.count_distinct("b_at").alias("n_matched"), F.first("n").alias("n"), F.max("run").alias("run"))
+           .where(enough).select("id", "tk", "item", "n_matched", (F.col("n_matched") / F.col("n")).alias("share")))
+    plain = written(plain_windows(items, item_col, item_text_col, window, min_words), "benchmark-plain")
+    exact = _verbatim(docs, plain, id_col, text_col, max_broadcast)
+    if exact is None:
+        return out
+    # items of one id may be of both kinds
+    return (out.union(exact).groupBy("id", "tk", "item").agg(F.max(F.struct("share", "n_matched")).alias("m"))
+            .select("id", "tk", "item", "m.n_matched", "m.share"))
 
 
 def _torn_slots(filled: DataFrame, line: list[str], meet: bool) -> DataFrame:

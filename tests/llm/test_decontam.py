@@ -74,3 +74,11 @@ def test_new_values_may_coincide(spark):
     item = "There are 3 pears and 3 plums on the table, so what is the sum of them all?"
     docs = [(1, nine), (2, item.replace("3 pears", "4 pears")), (3, ITEM.replace("does Tom", "does Anna").replace("Tom", "Bob"))]
     assert found(spark, docs, (ITEM, item), meet=True) == [(1, 0), (2, 1)]
+
+
+def test_items_without_countable_windows_are_found_verbatim(spark):
+    items = ("What is 12 * 7 + 3?", "THE OLD MAN AND THE SEA STANDS ALONE HERE", "too few words", "* + ?", "", " ", None)
+    docs = [(1, "Quiz: what is 12 * 7 + 3? Yes."), (2, "what is 12 * 7 - 3?"), (3, "the old man and the sea stands alone here."),
+            (4, "the old man and the sea stands alone there"), (5, "(too few words)"), (6, "so * + ? it is"), (7, ""), (8, None)]
+    for limit in (500_000, -1):
+        assert found(spark, docs, items, max_broadcast=limit) == [(1, 0), (3, 1), (5, 2), (6, 3)]

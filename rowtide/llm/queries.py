@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter
+from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter, whitening
 from .common import table
 
 QUERIES = {}
@@ -217,3 +217,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ngram_jaccard_join")
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, repetition, suffix_dedup, toxicity, url_filter, whitening
+from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, packing, repetition, suffix_dedup, toxicity, url_filter, whitening
 from .common import table
 
 QUERIES = {}
@@ -219,6 +219,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return pieces.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
 @query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_extract, jaccard_join, lang_id, line_dedup, packing, repetition, suffix_dedup, toxicity, url_filter, whitening
+from . import bpe, collocations, decontam, html_extract, jaccard_join, lang_id, line_dedup, packing, repetition, suffix_dedup, toxicity, url_filter, whitening
 from .common import table
 
 QUERIES = {}
@@ -229,3 +229,42 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def _sql_sum(k: int) -> str:
+    """Phrases of ``k`` words with their count, from the words ``w`` of pieces."""
+    rest = "".join(f" || ' ' || lead(w, {j}) OVER v" for j in range(1, k))
+    return (f"SELECT lang, {k} AS k, phrase, count(*)::HUGEINT AS f FROM (SELECT lang, w{rest} AS phrase FROM w "
+            "WINDOW v AS (PARTITION BY piece ORDER BY pos)) WHERE phrase IS NOT NULL GROUP BY ALL")
+
+
+PHRASE_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+p AS (SELECT row_number() OVER () AS piece, lang, t FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS t FROM d)),
+x AS (SELECT piece, lang, regexp_extract_all(t, '[^\x20\x09]+') AS ws FROM p),
+w AS (SELECT piece, lang, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM x),
+n AS (SELECT lang, count(*)::HUGEINT AS n FROM w GROUP BY lang),
+f AS ({" UNION ALL ".join(_sql_sum(k) for k in (1, 2, 3))}),
+g AS (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND f >= 10),
+c AS (SELECT *, unnest(range(1, k)) AS cut FROM g),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, l.f AS l, r.f AS r, cut, 1000000::HUGEINT * c.f * c.f // (l.f * r.f) AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.s[:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.s[cut + 1:], ' ')),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (
+  SELECT lang, phrase, max(f) AS most FROM (
+    SELECT lang, f, unnest([array_to_string(s[:2], ' '), array_to_string(s[2:], ' ')]) AS phrase FROM g WHERE k = 3) GROUP BY ALL),
+o AS (
+  SELECT m.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM m LEFT JOIN i USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", PHRASE_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -10,47 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ddl
 from .consume import ORDER, pos_bucket
 from .joins import asof_join, lookup_join
 from .ordered import keyed_window
 
-# FIXED VALUE: statement kinds that name one table, with optional db and back-quotes.
-DDL_PATTERN = (r"(?i)^\s*(ALTER|CREATE|DROP|TRUNCATE|RENAME)\s+TABLE\s+(?:IF\s+(?:NOT\s+)?EXISTS\s+)?"
-               r"(?:`?([^`\s.]+)`?\.)?`?([^`\s.(;]+)`?")
-# FIXED VALUES: what a statement may begin with, and words after ADD or DROP that name no column.
-COMMENTS = r"^(?:\s+|/\*(?s:.*?)\*/|--[^\n]*(?:\n|$)|#[^\n]*(?:\n|$))+"
-NO_COLUMN = r"(?!(?:INDEX|KEY|PRIMARY|UNIQUE|CONSTRAINT|FULLTEXT|SPATIAL|FOREIGN|CHECK|PARTITION)\b)"
-_NAME, _TYPE = r"`?([^`\s(),]+)`?", r"([A-Za-z]+(?:\s*\([^)]*\))?(?:\s+unsigned)?)"
-# FIXED VALUES: one clause of an ALTER TABLE: action, then (column, type) or (column, new name, type).
-CLAUSES = [("add", rf"(?i)^\s*ADD\s+(?:COLUMN\s+)?{NO_COLUMN}{_NAME}\s+{_TYPE}", 1, None, 2),
-           ("drop", rf"(?i)^\s*DROP\s+(?:COLUMN\s+)?{NO_COLUMN}(?:IF\s+EXISTS\s+)?{_NAME}", 1, None, None),
-           ("modify", rf"(?i)^\s*MODIFY\s+(?:COLUMN\s+)?{_NAME}\s+{_TYPE}", 1, None, 2),
-           ("change", rf"(?i)^\s*CHANGE\s+(?:COLUMN\s+)?{_NAME}\s+{_NAME}\s+{_TYPE}", 1, 2, 3),
-           ("rename", rf"(?i)^\s*RENAME\s+COLUMN\s+{_NAME}\s+TO\s+{_NAME}", 1, 2, None)]
-_TOP_COMMA = r",(?!(?:[^()]++|\([^()]*+\))*+\))"  # commas outside parentheses, which may hold others
-
 
 def ddl_target(query) -> Column:
     """(kind, db named in the SQL or '', table) of a DDL statement."""
-    q = statement(query)
-    return F.struct(F.upper(F.regexp_extract(q, DDL_PATTERN, 1)).alias("kind"),
-                    F.regexp_extract(q, DDL_PATTERN, 2).alias("sql_db"),
-                    F.regexp_extract(q, DDL_PATTERN, 3).alias("tbl"))
-
-
-def statement(query) -> Column:
-    """The statement without the comments and white space before it."""
-    return F.regexp_replace(F.col(query) if isinstance(query, str) else query, COMMENTS, "")
+    return ddl.target(ddl.marked(query))
 
 
 def ddl_tables(query) -> Column:
-    """Every (db or '', table) that a DDL statement names: all of a ``DROP TABLE a, b`` list."""
-    q = statement(query)
-    one = F.array(F.struct(F.regexp_extract(q, DDL_PATTERN, 2).alias("sql_db"), F.regexp_extract(q, DDL_PATTERN, 3).alias("tbl")))
-    listed = F.regexp_replace(q, r"(?i)^DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?|\s*(?:RESTRICT|CASCADE)?\s*;?\s*$", "")
-    name = r"^\s*(?:`?([^`\s.]+)`?\.)?`?([^`\s.(;]+)`?"
-    many = F.transform(F.split(listed, ","), lambda t: F.struct(F.regexp_extract(t, name, 1).alias("sql_db"), F.regexp_extract(t, name, 2).alias("tbl")))
-    return F.when(q.rlike(r"(?i)^DROP\s+TABLE\s"), many).otherwise(one)
+    """Every (db or '', table) that a DDL statement names: all of a ``DROP TABLE a, b`` list,
+    the old and the new names of a rename."""
+    def table(m: Column, side: str) -> Column:
+        old = side == "old"
+        return F.struct(m["sql_db" if old else "new_db"].alias("sql_db"), m["tbl" if old else "new_tbl"].alias("tbl"))
+
+    each = F.flatten(F.transform(ddl.table_moves(ddl.marked(query)), lambda m: F.array(table(m, "old"), table(m, "new"))))
+    none = F.array(F.struct(F.lit("").alias("sql_db"), F.lit("").alias("tbl")))
+    return ddl.let(F.array_distinct(F.filter(each, lambda t: t["tbl"] != "")), lambda named: F.when(F.size(named) > 0, named).otherwise(none))
 
 
 def column_clauses(query) -> Column:
@@ -59,24 +39,11 @@ def column_clauses(query) -> Column:
     Several clauses and ``ADD (a INT, b INT)`` lists count one by one; indexes, keys and
     constraints are no columns.  Other statements give an empty array.
     """
-    q = statement(query)
-    body = F.regexp_replace(q, r"(?i)^ALTER\s+TABLE\s+(?:IF\s+EXISTS\s+)?\S+\s*", "")
-    parts = F.transform(F.split(body, _TOP_COMMA), lambda c: F.trim(c))
-    # ADD (a INT, b INT): one clause for each column in the list
-    listed = r"(?is)^ADD\s+(?:COLUMN\s+)?\((.*)\)\s*;?$"
-    parts = F.flatten(F.transform(parts, lambda c: F.when(c.rlike(listed), F.transform(
-        F.split(F.regexp_extract(c, listed, 1), _TOP_COMMA), lambda x: F.concat(F.lit("ADD "), F.trim(x)))).otherwise(F.array(c))))
-
-    def clause(c: Column) -> Column:
-        found = F.lit(None).cast("struct<action:string,column:string,new_name:string,type:string>")
-        for action, pattern, name, new, kind in reversed(CLAUSES):
-            part = [F.regexp_extract(c, pattern, g) if g else F.lit(None).cast("string") for g in (name, new, kind)]
-            found = F.when(c.rlike(pattern), F.struct(F.lit(action).alias("action"), part[0].alias("column"), part[1].alias("new_name"),
-                                                      F.lower(part[2]).alias("type"))).otherwise(found)
-        return found
-
-    none = F.array().cast("array<struct<action:string,column:string,new_name:string,type:string>>")
-    return F.when(q.rlike(r"(?i)^ALTER\s+TABLE\s"), F.filter(F.transform(parts, clause), lambda x: x.isNotNull())).otherwise(none)
+    def of(mark: Column) -> Column:
+        columns = F.filter(ddl.actions(mark), lambda x: x["column"].isNotNull() & mark.rlike(r"(?i)^ALTER "))
+        return F.transform(columns, lambda x: F.struct(*[x[f].alias(f) for f in ("action", "column", "new_name", "type")]))
+
+    return ddl.let(ddl.marked(query), of)
 
 
 def columns_added(query) -> Column:

@@ -133,7 +133,8 @@ def target(mark: Column) -> Column:
 def table_moves(mark: Column) -> Column:
     """What a marked statement does to tables: array of (action, sql_db, tbl, new_db, new_tbl), in order.
 
-    Actions: ``create``, ``drop``, ``rename``, and ``change`` for statements that keep the table's name.
+    Actions: ``create``, ``drop``, ``drop_if`` (IF EXISTS: no sign that the table is there), ``rename``, and
+    ``change`` for statements that keep the table's name.
     """
     return let(mark, lambda m: let(plain(m), lambda text: _moves(m, text)))
 
@@ -142,8 +143,8 @@ def _moves(mark: Column, text: Column) -> Column:
     kind = F.upper(F.regexp_extract(text, STATEMENT, 1))
     none = F.struct(F.lit("").alias("sql_db"), F.lit("").alias("tbl"))
 
-    def move(action: str, t: Column, new: Column) -> Column:
-        return F.struct(F.lit(action).alias("action"), t["sql_db"].alias("sql_db"), t["tbl"].alias("tbl"),
+    def move(action: str | Column, t: Column, new: Column) -> Column:
+        return F.struct((action if isinstance(action, Column) else F.lit(action)).alias("action"), t["sql_db"].alias("sql_db"), t["tbl"].alias("tbl"),
                         new["sql_db"].alias("new_db"), new["tbl"].alias("new_tbl"))
 
     first = _table(text, STATEMENT, 2)
@@ -154,7 +155,7 @@ def _moves(mark: Column, text: Column) -> Column:
     renamed = rf"(?i)^RENAME(?: TO| AS| =)? (?!COLUMN |INDEX |KEY ){_TABLE}(?: ;)?$"
     moved = let(F.get(F.filter(clauses(mark), lambda x: x.rlike(renamed)), F.lit(0)), lambda c: F.when(
         c.isNotNull(), move("rename", first, _table(c, renamed, 1))).otherwise(move("change", first, none)))
-    out = (F.when(kind == "DROP", F.transform(listed, lambda x: move("drop", _table(x, rf"^{_TABLE}", 1), none)))
+    out = (F.when(kind == "DROP", F.transform(listed, lambda x: move(F.when(text.rlike("(?i) IF EXISTS "), "drop_if").otherwise("drop"), _table(x, rf"^{_TABLE}", 1), none)))
            .when(kind == "RENAME", F.transform(F.filter(listed, lambda x: x.rlike(pair)), lambda x: move("rename", _table(x, pair, 1), _table(x, pair, 3))))
            .when(kind == "CREATE", F.array(move("create", first, none)))
            .when(kind.isin("ALTER", "TRUNCATE"), F.array(moved)))

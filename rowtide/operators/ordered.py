@@ -47,14 +47,15 @@ def _col(c) -> Column:
 def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  bucket: Sequence[Column] | Column, *, lag: Sequence[str] = (),
                  lead: Sequence[str] = (), fill: Sequence[str] = (), sums: Sequence[str] = (),
-                 seq: str | None = None, prev_prefix: str = "prev_", next_prefix: str = "next_",
-                 fill_prefix: str = "fill_", sum_prefix: str = "sum_",
+                 before: Sequence[str] = (), seq: str | None = None, prev_prefix: str = "prev_", next_prefix: str = "next_",
+                 fill_prefix: str = "fill_", sum_prefix: str = "sum_", before_prefix: str = "before_",
                  hot_rows: int | None = None) -> DataFrame:
     """Add neighbour columns computed per ``keys`` in ``order``.
 
     * ``lag`` columns c -> ``prev_c``: value on the previous row of the key;
     * ``lead`` columns c -> ``next_c``: value on the next row of the key;
     * ``fill`` columns c -> ``fill_c``: last non-null c up to and including the row;
+    * ``before`` columns c -> ``before_c``: last non-null c of the rows before;
     * ``sums`` columns c -> ``sum_c``: running sum of c (nulls count as 0) up to and
       including the row; the per-bucket totals are plain sums, so that part of
       the summary stays a hash aggregate;
@@ -102,6 +103,8 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     local += [F.lead(c).over(w).alias(f"__n_{c}") for c in lead]
     wfill = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local += [F.last(c, ignorenulls=True).over(wfill).alias(f"__f_{c}") for c in fill]
+    wbefore = w.rowsBetween(Window.unboundedPreceding, -1)
+    local += [F.last(c, ignorenulls=True).over(wbefore).alias(f"__p_{c}") for c in before]
     local += [F.sum(F.coalesce(F.col(c), F.lit(0))).over(wfill).alias(f"__s_{c}") for c in sums]
     d = d.drop("__hot").select("*", *local)
 
@@ -110,19 +113,19 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         aggs.append(F.max_by(F.struct(*lag), okey).alias("__lastrow"))
     if lead:
         aggs.append(F.min_by(F.struct(*lead), okey).alias("__firstrow"))
-    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"__bf_{c}") for c in fill]
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"__bf_{c}") for c in dict.fromkeys([*fill, *before])]
     aggs += [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"__bs_{c}") for c in sums]
     summary = split.groupBy(*part).agg(*aggs)
 
     ws = Window.partitionBy(*keys).orderBy(*bnames)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    carry = [F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__before")]
+    earlier = ws.rowsBetween(Window.unboundedPreceding, -1)
+    carry = [F.coalesce(F.sum("__cnt").over(earlier), F.lit(0)).alias("__before")]
     if lag:
         carry.append(F.lag("__lastrow").over(ws).alias("__carry_prev"))
     if lead:
         carry.append(F.lead("__firstrow").over(ws).alias("__carry_next"))
-    carry += [F.last(f"__bf_{c}", ignorenulls=True).over(before).alias(f"__cf_{c}") for c in fill]
-    carry += [F.coalesce(F.sum(f"__bs_{c}").over(before), F.lit(0)).alias(f"__cs_{c}") for c in sums]
+    carry += [F.last(f"__bf_{c}", ignorenulls=True).over(earlier).alias(f"__cf_{c}") for c in dict.fromkeys([*fill, *before])]
+    carry += [F.coalesce(F.sum(f"__bs_{c}").over(earlier), F.lit(0)).alias(f"__cs_{c}") for c in sums]
     summary = summary.select(*part, *carry)
 
     j = d.join(summary, part, "left")
@@ -132,6 +135,7 @@ def keyed_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out += [F.when(F.col("__is_last"), F.col("__carry_next")[c]).otherwise(F.col(f"__n_{c}"))
             .alias(next_prefix + c) for c in lead]
     out += [F.coalesce(F.col(f"__f_{c}"), F.col(f"__cf_{c}")).alias(fill_prefix + c) for c in fill]
+    out += [F.coalesce(F.col(f"__p_{c}"), F.col(f"__cf_{c}")).alias(before_prefix + c) for c in before]
     out += [(F.col(f"__s_{c}") + F.coalesce(F.col(f"__cs_{c}"), F.lit(0))).alias(sum_prefix + c) for c in sums]
     if seq:
         out.append((F.coalesce(F.col("__before"), F.lit(0)) + F.col("__rn")).cast("long").alias(seq))

@@ -638,3 +638,82 @@ from customer"""
 SQL["decode_time2_fraction"] = """
 select o_orderkey, (case when o_orderkey % 2 = 0 then -1 else 1 end)
        * ((o_orderkey % 3000000) * 1000000 + (o_orderkey * 7919) % 1000000) as time_us from orders"""
+
+
+# ---- the evolving log: statement j (from 1) of a table, by the rules of feeds.evolving_log -------
+EVOLVING = """
+ev_w as (
+  select event_id, user_id, event_type as et, value, user_id % 4 as g, event_id % 50 = 25 as is_ddl,
+         sum(case when event_id % 50 = 25 then 1 else 0 end) over (partition by user_id % 4 order by event_id) as j
+  from events),
+ev as (
+  select event_id as seq, g, j::bigint as j, is_ddl, value,
+         (event_id // 1000 + 1) * 4294967296 + 4 + (event_id % 1000) * 120 as pos_key,
+         case when user_id % 2 = 0 then 'app' else 'audit' end as db,
+         't' || g || case when (case when is_ddl then (j - 1) % 12 else j % 12 end) in (10, 11) then 'r' else '' end as tbl,
+         case when is_ddl then 'query' when et = 'signup' then 'insert' when et = 'error' then 'delete' else 'update' end as event_type
+  from ev_w where is_ddl or j = 0 or j % 36 <> 0)"""
+
+# names of a life: its first, two for each rename away (one of them passing), one for each rename back
+SQL["table_identity"] = f"""
+with {EVOLVING},
+life as (select *, case when j = 0 then 0 else (j - 1) // 36 end as l from ev),
+born as (
+  select g, l, case when l = 0 then 0 else min(pos_key) end as born, max(j) as last_j,
+         1 + 2 * count(*) filter (is_ddl and (j - 1) % 12 = 9) + count(*) filter (is_ddl and (j - 1) % 12 = 11 and j % 36 <> 0) as n
+  from life group by g, l)
+select seq, db, tbl, event_type, born::bigint as born, db as first_db, 't' || g as first_tbl, db as last_db,
+       't' || g || case when last_j % 12 in (10, 11) or last_j > 0 and last_j % 36 = 0 then 'r' else '' end as last_tbl, n::bigint as n_names
+from life join born using (g, l)
+"""
+
+
+def _evolve() -> str:
+    """State ``s`` after statement k (from 0) by list operations; s2 and s3 lack the column that moves or goes."""
+    def place(state: str, at: str, new: str) -> str:
+        p = f"list_position([x.n for x in {state}], {at})"
+        return f"list_concat(list_concat({state}[:{p}], [{new}]), {state}[{p} + 1:])"
+
+    def col(n: str, t: str, k: str = "''") -> str:
+        return f"{{'n': {n}, 't': {t}, 'k': {k}}}"
+
+    def keyed(k: str) -> str:
+        return f"[{{'n': x.n, 't': x.t, 'k': case when x.n = 'value' then {k} else x.k end}} for x in s]"
+
+    enum = "'enum(''new'',''it''''s, so'')'"
+    more = "'enum(''new'',''it''''s, so'',''done'')'"
+    created = ", ".join([col("'id'", "'bigint'", "'PRI'"), col("'a' || c", "'int unsigned'"), col("'value'", "'double'"), col("'props'", "'varchar(64)'")])
+    return f"""case
+      when k > 0 and k % 36 = 0 then [{created}]
+      when k % 36 = 35 then s
+      when k % 12 = 0 then {place("s", "'id'", col("'a' || c", "'int unsigned'"))}
+      when k % 12 = 1 then list_concat([{col("'b' || c", enum)}], {keyed("'MUL'")})
+      when k % 12 = 2 then list_concat(s, [{col("'c' || c", "'varchar(20)'")}, {col("'d' || c", "'decimal(10,2)'")}])
+      when k % 12 = 3 then [{{'n': x.n, 't': case when x.n = 'b' || c then {more} else x.t end, 'k': x.k}} for x in s]
+      when k % 12 = 4 then {place("s2", "'b' || c", col("'cc' || c", "'varchar(40)'"))}
+      when k % 12 = 5 then [{{'n': case when x.n = 'd' || c then 'dd' || c else x.n end, 't': x.t, 'k': x.k}} for x in s]
+      when k % 12 = 6 then {place("s3", "'cc' || c", col("'e' || c", "'bigint unsigned'"))}
+      when k % 12 = 7 then list_concat([{col("'dd' || c", "'decimal(12,4)'")}], [x for x in s if x.n <> 'dd' || c])
+      when k % 12 = 8 then [{{'n': x.n, 't': x.t, 'k': case when x.n = 'e' || c then 'UNI' else x.k end}} for x in s]
+      when k % 12 = 10 then [x for x in {keyed("''")} if x.n <> 'dd' || c]
+      else s end"""
+
+
+COLUMNS = EVOLVING + f""",
+ddl as (select g, j - 1 as k, (j - 1) // 12 as c, pos_key, db from ev where is_ddl),
+st as (
+  select distinct g, -1::bigint as k, [{{'n': 'id', 't': 'bigint', 'k': 'PRI'}}, {{'n': 'value', 't': 'double', 'k': ''}}, {{'n': 'props', 't': 'varchar(64)', 'k': ''}}] as s,
+         0::bigint as pos_key, db from ev
+  union all
+  select g, k, {_evolve()} as s, pos_key::bigint, db
+  from (select ddl.g, ddl.k, ddl.c, ddl.pos_key, ddl.db, st.s, [x for x in st.s if x.n <> 'c' || ddl.c] as s2, [x for x in st.s if x.n <> 'a' || ddl.c] as s3
+        from st join ddl on ddl.g = st.g and ddl.k = st.k + 1)),
+ver as (
+  select g, k, s, db, case when k < 36 then k + 1 else k % 36 end as version, pos_key as valid_from, lead(pos_key) over (partition by g order by k) as valid_to,
+         't' || g || case when k % 12 in (9, 10) then 'r' else '' end as tbl
+  from st),
+cols as (
+  select db, tbl, version::bigint as version, ordinal, s[ordinal].n as name, s[ordinal].t as type, s[ordinal].k as key, valid_from, valid_to
+  from (select *, unnest(range(1, len(s) + 1))::int as ordinal from ver where k < 0 or k % 36 <> 35))"""
+
+SQL["schema_columns"] = f"with recursive {COLUMNS} select * from cols"

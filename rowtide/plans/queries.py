@@ -325,6 +325,21 @@ def q_ddl_table(spark, sf):
     return schema.ddl_changes(feeds.changelog(spark, sf)).select("seq", "ddl_kind", "db", "tbl")
 
 
+@query("table_identity")
+def q_table_identity(spark, sf):
+    """Every change of a log whose tables are renamed, dropped and made anew, with the table it belongs to."""
+    log = feeds.stored(feeds.evolving_log(spark, sf))
+    lives = schema.table_lives(log, schema.ddl_statements(log))
+    return schema.table_identity(log, lives).select("seq", "db", "tbl", "event_type", "born", "first_db", "first_tbl", "last_db", "last_tbl", "n_names")
+
+
+@query("schema_columns")
+def q_schema_columns(spark, sf):
+    """C1 + C4: the ordered columns of every version of every table of the evolving log."""
+    log = feeds.stored(feeds.evolving_log(spark, sf))
+    return schema.schema_columns(log, feeds.BASE_COLUMNS).drop("table")
+
+
 @query("schema_intervals")
 def q_schema_intervals(spark, sf):
     return schema.schema_versions(feeds.stored(feeds.changelog(spark, sf)), len(feeds.BASE_COLUMNS))

@@ -16,6 +16,8 @@ Every feed grows with its input table; none is a fixed small sample.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,66 @@ def _ddl(tno: Column, n: Column) -> Column:
     return F.element_at(F.array(*kinds), ((F.col("event_id") / 250).cast("long") % len(kinds) + 1).cast("int"))
 
 
+# Every so many events of the evolving log, one is a DDL statement.
+DDL_EVERY = 50
+
+
+def evolving_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log whose tables change shape and name: four tables, statements in cycles of twelve.
+
+    A cycle adds, places, retypes, renames and drops columns, adds and drops keys, renames the
+    table and back; every third cycle ends with a DROP and the next begins with a CREATE
+    (no changes lie between).
+    """
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    is_ddl = F.col("event_id") % DDL_EVERY == DDL_EVERY // 2
+    ev = ev.select("*", (F.col("user_id") % 4).alias("g"), is_ddl.cast("int").alias("is_ddl"))
+    # j: statements of the table up to and with the row
+    ev = keyed_window(ev, ["g"], ["event_id"], shift_bucket("event_id", EVENT_BUCKET_BITS), sums=["is_ddl"])
+    j, ddl = F.col("sum_is_ddl").cast("long"), F.col("is_ddl") == 1
+    step = F.when(ddl, (j - 1) % 12).otherwise(j % 12)
+    home = F.concat(F.lit("t"), F.col("g").cast("string"))
+    away = F.concat(home, F.lit("r"))
+    fno = (F.floor(F.col("event_id") / 1000) + 1).cast("int")
+    log = ev.where(ddl | (j == 0) | (j % 36 != 0))
+    return log.select(
+        pos_key(fno, F.lit(4) + (F.col("event_id") % 1000) * 120).alias("pos_key"), F.lit(0).alias("row_no"),
+        F.when(F.col("user_id") % 2 == 0, "app").otherwise("audit").alias("db"), F.when(step.isin(10, 11), away).otherwise(home).alias("tbl"),
+        F.when(ddl, "query").when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete").otherwise("update").alias("event_type"),
+        F.when(ddl, _evolution(j - 1, home, away)).otherwise(F.lit("")).alias("query"), F.col("event_id").alias("seq"))
+
+
+# FIXED VALUES: the statements of a cycle, then the CREATE and the DROP between lives of a table.
+EVOLUTION = [
+    "ALTER TABLE `{t}` ADD COLUMN `a{c}` INT UNSIGNED NOT NULL COMMENT 'x, DROP `y`' AFTER `id`",
+    "alter table {t} add `b{c}` ENUM('new','it''s, so') first, ADD INDEX `i{c}` (`value`)",
+    "/* two, ADD x INT */ ALTER TABLE `{t}` ADD (`c{c}` VARCHAR(20), `d{c}` DECIMAL(10,2) DEFAULT '1,5')",
+    "ALTER TABLE `{t}` MODIFY `b{c}` ENUM('new','it''s, so','done')",
+    "ALTER TABLE `{t}` CHANGE COLUMN `c{c}` `cc{c}` VARCHAR(40) NULL AFTER `b{c}`",
+    "ALTER TABLE `{t}` RENAME COLUMN `d{c}` TO `dd{c}`",
+    "ALTER TABLE `{t}` DROP COLUMN `a{c}`, ADD `e{c}` BIGINT UNSIGNED AFTER `cc{c}` -- later, ADD `z` INT",
+    "ALTER TABLE `{t}` MODIFY COLUMN `dd{c}` DECIMAL(12,4) FIRST",
+    "ALTER TABLE `{t}` ADD UNIQUE KEY `u{c}` (`e{c}`)",
+    "RENAME TABLE `{t}` TO `{t}_tmp`, `{t}_tmp` TO `{r}`",
+    "ALTER TABLE `{r}` DROP `dd{c}`, DROP INDEX `i{c}`, ALTER `value` SET DEFAULT 0",
+    "ALTER TABLE `{r}` RENAME TO `{t}`",
+    "CREATE TABLE IF NOT EXISTS `{t}` (`id` BIGINT NOT NULL AUTO_INCREMENT, `a{c}` INT UNSIGNED COMMENT 'a, b', `value` DOUBLE, "
+    "`props` VARCHAR(64), PRIMARY KEY (`id`)) ENGINE=InnoDB",
+    "DROP TABLE IF EXISTS `other{c}`, `{r}`"]
+
+
+def _evolution(k: Column, home: Column, away: Column) -> Column:
+    """Statement ``k`` (from 0) of a table; {c} is its cycle, {t} and {r} the table's two names."""
+    fill = {"{c}": (k / 12).cast("long").cast("string"), "{t}": home, "{r}": away}
+
+    def sql(template: str) -> Column:
+        return F.concat(*[fill.get(p, F.lit(p)) for p in re.split(r"(\{[ctr]\})", template)])
+
+    steps = [sql(t) for t in EVOLUTION]
+    usual = F.element_at(F.array(*steps[:12]), (k % 12 + 1).cast("int"))
+    return F.when((k > 0) & (k % 36 == 0), steps[12]).when(k % 36 == 35, steps[13]).otherwise(usual)
+
+
 def partial_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog as a log of MINIMAL row images, with ``after_present``: a bigint
     mask over the after-image's fields in order (bit 0 ``id``, bit 1 ``value``, bit 2

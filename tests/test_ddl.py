@@ -63,7 +63,8 @@ def test_keys(spark, sql, want):
     ("RENAME TABLE x.a TO `y`.`b c`", [("rename", "x", "a", "y", "b c")]),
     ("ALTER TABLE t RENAME TO u", [("rename", "", "t", "", "u")]), ("ALTER TABLE t ADD c INT, RENAME AS d.u", [("rename", "", "t", "d", "u")]),
     ("ALTER TABLE t RENAME u;", [("rename", "", "t", "", "u")]), ("ALTER TABLE t RENAME COLUMN a TO b, RENAME INDEX i TO j", [("change", "", "t", "", "")]),
-    ("DROP TABLE IF EXISTS a, `b,c`, d.e CASCADE;", [("drop", "", "a", "", ""), ("drop", "", "b,c", "", ""), ("drop", "d", "e", "", "")]),
+    ("DROP TABLE IF EXISTS a, `b,c`, d.e CASCADE;", [("drop_if", "", "a", "", ""), ("drop_if", "", "b,c", "", ""), ("drop_if", "d", "e", "", "")]),
+    ("DROP TABLE a", [("drop", "", "a", "", "")]),
     ("CREATE TABLE IF NOT EXISTS d.t (a INT)", [("create", "d", "t", "", "")]), ("CREATE OR REPLACE TABLE t (a INT)", [("create", "", "t", "", "")]),
     ("TRUNCATE TABLE t", [("change", "", "t", "", "")]), ("SELECT 1", []), (None, [])])
 def test_tables(spark, sql, want):

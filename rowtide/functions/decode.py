@@ -64,6 +64,62 @@ def exact_decimal(text, precision: int, scale: int) -> Column:
     return t.try_cast(f"decimal({precision},{scale})")
 
 
+# FIXED VALUE: bytes that hold 0 to 9 decimal digits of a stored DECIMAL.
+DIGIT_BYTES = [0, 1, 1, 2, 2, 3, 3, 4, 4, 4]
+_HEX, _INVERTED, _TOP_FLIPPED = "0123456789ABCDEF", "FEDCBA9876543210", "89ABCDEF01234567"
+
+
+def decimal_text(raw, precision, scale) -> Column:
+    """Stored DECIMAL bytes -> its exact text, up to 65 digits.
+
+    ``precision`` and ``scale`` are numbers or columns.  The bytes hold the integer digits and then
+    the fraction, nine digits in four bytes (big-endian), a short group of the other digits first
+    and last; the top bit is set for values of zero or more, and negative ones have every bit
+    inverted.  Null for bytes of another length and groups with more digits than they may hold.
+    """
+    n, s = (x if isinstance(x, Column) else F.lit(x) for x in (precision, scale))
+    n, s, sizes = n.cast("int"), s.cast("int"), F.array(*[F.lit(x) for x in DIGIT_BYTES])
+
+    def parts(v: Column) -> Column:
+        whole, left = v["whole"], v["left"]
+        lead, tail = F.get(sizes, whole % 9), F.get(sizes, left % 9)
+        size = lead + (whole / 9).cast("int") * 4 + (left / 9).cast("int") * 4 + tail
+        hexed = F.hex(v["raw"])
+        top = F.substring(hexed, 1, 1)
+        minus = top < "8"
+        bits = F.concat(F.translate(top, _HEX, _TOP_FLIPPED), F.substr(hexed, F.lit(2)))
+        bits = F.when(minus, F.translate(bits, _HEX, _INVERTED)).otherwise(bits)
+        # (first byte, bytes, digits) of every group
+        def group(at: Column, width: Column, digits: Column) -> Column:
+            return F.struct(at.alias("at"), width.alias("width"), digits.alias("digits"))
+
+        def full(count: Column, start: Column) -> Column:
+            return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: group(start + i * 4, F.lit(4), F.lit(9)))).otherwise(
+                F.array().cast("array<struct<at:int,width:int,digits:int>>"))
+
+        fraction = lead + (whole / 9).cast("int") * 4
+        groups = F.flatten(F.array(F.array(group(F.lit(0), lead, whole % 9)), full((whole / 9).cast("int"), lead), full((left / 9).cast("int"), fraction),
+                                   F.array(group(fraction + (left / 9).cast("int") * 4, tail, left % 9))))
+        texts = F.transform(F.filter(groups, lambda g: g["width"] > 0), lambda g: F.struct(
+            F.conv(F.substr(bits, g["at"] * 2 + 1, g["width"] * 2), 16, 10).alias("t"), g["digits"].alias("d")))
+        digits = F.array_join(F.transform(texts, lambda g: F.lpad(g["t"], g["d"], F.lit("0"))), "")
+        fits = F.forall(texts, lambda g: F.length(g["t"]) <= g["d"])
+        number = F.regexp_replace(F.substr(digits, F.lit(1), whole), "^0+(?=.)", "")
+        text = F.concat(F.when(F.length(number) > 0, number).otherwise("0"), F.when(left > 0, F.concat(F.lit("."), F.substr(digits, whole + 1, left))).otherwise(""))
+        signed = F.when(minus & digits.rlike("[1-9]"), F.concat(F.lit("-"), text)).otherwise(text)
+        return F.when((F.length(v["raw"]) == size) & fits, signed)
+
+    given = F.struct(_c(raw).alias("raw"), (n - s).alias("whole"), s.alias("left"))
+    legal = (n >= 1) & (n <= 65) & (s >= 0) & (s <= n)
+    # computed once for all the mentions of it
+    return F.when(legal, F.element_at(F.transform(F.array(given), parts), 1))
+
+
+def decimal_bytes(raw, precision: int, scale: int) -> Column:
+    """Stored DECIMAL bytes -> decimal(p, s); its text when p exceeds Spark's 38 digits."""
+    return exact_decimal(decimal_text(raw, precision, scale), precision, scale)
+
+
 # D6 ------------------------------------------------------------------------
 def packed_date(x) -> Column:
     """3-byte DATE: year (15 bits) | month (4) | day (5); zero parts -> null."""
@@ -247,6 +303,53 @@ def text_error(b, charset: str = "utf8mb4") -> Column:
     return F.when(_c(b).isNotNull() & text_value(b, charset).isNull(), F.lit(f"malformed {charset.lower()} text"))
 
 
+def text_by_charset(b, charset) -> Column:
+    """``text_value`` with the character set taken from a column, as a catalogue row gives it (null: utf8mb4)."""
+    name = F.lower(F.coalesce(_c(charset), F.lit("utf8mb4")))
+    out = F.lit(None).cast("string")
+    for c in CHARSETS:
+        out = F.when(name == c, text_value(b, c)).otherwise(out)
+    return out
+
+
+def charset_error(b, charset) -> Column:
+    """Why ``text_by_charset`` gives null for bytes that are not null; null otherwise."""
+    name = F.lower(F.coalesce(_c(charset), F.lit("utf8mb4")))
+    return (F.when(_c(b).isNull(), None).when(~name.isin(*CHARSETS), F.concat(F.lit("unknown charset "), name))
+             .when(text_by_charset(b, charset).isNull(), F.concat(F.lit("malformed "), name, F.lit(" text"))))
+
+
+def _ieee(sign: Column, exponent: Column, fraction: Column, bits: int, bias: int) -> Column:
+    """The number of IEEE-754 parts: subnormal, normal, infinite or none."""
+    top = 2 * bias + 1
+    # a power of two is exact, so is its product with a fraction of at most 53 bits
+    normal = (fraction + F.lit(1 << bits)).cast("double") * F.pow(F.lit(2.0), (exponent - (bias + bits)).cast("double"))
+    small = fraction.cast("double") * F.pow(F.lit(2.0), F.lit(float(1 - bias - bits)))
+    size = (F.when(exponent == 0, small).when(exponent < top, normal).when(fraction == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
+    return F.when(sign == 1, -size).otherwise(size)
+
+
+def double_bytes(raw) -> Column:
+    """Stored DOUBLE, eight little-endian bytes; null for another length."""
+    high, low = _le32(raw, 4), _le32(raw, 0)
+    fraction = F.shiftleft(high.bitwiseAND(F.lit(0xFFFFF)), 32).bitwiseOR(low)
+    value = _ieee(F.shiftright(high, 31), F.shiftright(high, 20).bitwiseAND(F.lit(0x7FF)), fraction, 52, 1023)
+    return F.when(F.length(_c(raw)) == 8, value)
+
+
+def float_bytes(raw) -> Column:
+    """Stored FLOAT, four little-endian bytes; null for another length."""
+    bits = _le32(raw, 0)
+    value = _ieee(F.shiftright(bits, 31), F.shiftright(bits, 23).bitwiseAND(F.lit(0xFF)), bits.bitwiseAND(F.lit(0x7FFFFF)), 23, 127)
+    return F.when(F.length(_c(raw)) == 4, value.cast("float"))
+
+
+def _le32(raw, offset: int) -> Column:
+    """Four little-endian bytes as a number without sign."""
+    from .header import le_int
+    return le_int(_c(raw), offset, 4)
+
+
 def blob_text(b) -> Column:
     """BLOB for JSON output: base64 text (bytes stay binary in tables)."""
     return F.base64(_c(b))
@@ -282,10 +385,48 @@ def type_labels(column_type) -> Column:
     return F.when(is_list, F.transform(raw, lambda s: F.replace(s, F.lit("''"), F.lit("'"))))
 
 
+def by_type(stored, column_type) -> Column:
+    """A stored integer by its column's type text -> struct(kind, value, error).
+
+    ``value`` is the text of the decoded value: ``true`` or ``false``, a number, a label, labels
+    joined by commas.  ``error`` says why there is none (no decoder, or a stored value that the type
+    can't hold); a null stored value has neither.
+    """
+    t, v = F.lower(_c(column_type)), _c(stored).cast("long")
+
+    def of(x: Column) -> Column:
+        kind, labels, v = x["kind"], x["labels"], x["v"]
+        bits = F.when(kind == "tinyint", 8).when(kind == "smallint", 16).when(kind == "mediumint", 24).when(kind.isin("int", "integer"), 32).when(kind == "bigint", 64)
+        is_unsigned = x["type"].rlike(r"\bunsigned\b")
+        one = F.lit(1).cast("long")
+        top = F.call_function("shiftleft", one, bits - 1)
+        fits = F.when(bits == 64, F.lit(True)).otherwise((v >= -top) & (v < top * 2))
+        low = F.when(bits == 64, v).otherwise(v.bitwiseAND(top * 2 - 1))
+        big = F.when((bits == 64) & (low < 0), low.cast("decimal(20,0)") + F.expr(TWO_64)).otherwise(low.cast("decimal(20,0)"))
+        signed = F.when(bits == 64, v).otherwise(F.when(low >= top, low - top * 2).otherwise(low))
+        number = F.when(is_unsigned, big.cast("string")).otherwise(signed.cast("string"))
+        chosen = F.transform(labels, lambda l, i: F.when(F.call_function("shiftright", v, i).bitwiseAND(F.lit(1)) == 1, l))
+        value = (F.when(x["type"] == "tinyint(1)", F.when(v == 1, "true").when(v == 0, "false"))
+                  .when(bits.isNotNull(), F.when(fits, number))
+                  .when(kind == "enum", F.when(v == 0, "").when(v > 0, F.get(labels, (v - 1).cast("int"))))
+                  .when(kind == "set", F.when((F.size(labels) >= 64) | ((v >= 0) & (v < F.call_function("shiftleft", one, F.size(labels)))),
+                                              F.array_join(F.array_compact(chosen), ",")))
+                  .when(kind == "year", F.when(v == 0, "0").when((v > 0) & (v < 256), (v + 1900).cast("string")))
+                  .when(kind == "bit", F.when(v >= 0, v.cast("string"))))
+        known = bits.isNotNull() | kind.isin("enum", "set", "year", "bit")
+        error = (F.when(v.isNull(), None).when(kind.isNull(), "no such column").when(~known, F.concat(F.lit("no decoder for "), kind))
+                  .when(value.isNull(), F.concat(F.lit("no value of "), kind, F.lit(": "), v.cast("string"))))
+        return F.struct(kind.alias("kind"), F.when(error.isNull(), value).alias("value"), error.alias("error"))
+
+    given = F.struct(F.nullif(F.regexp_extract(t, r"^\s*([a-z]+)", 1), F.lit("")).alias("kind"), type_labels(column_type).alias("labels"),
+                     t.alias("type"), v.alias("v"))
+    return F.element_at(F.transform(F.array(given), of), 1)
+
+
 def column_flags(column_type, column_key, extra) -> Column:
     """is_bool, unsigned, is_primary (any key kind), auto_increment from catalogue text."""
     t, k, e = _c(column_type), _c(column_key), _c(extra)
     return F.struct((F.lower(t) == "tinyint(1)").alias("is_bool"),
-                    F.lower(t).contains("unsigned").alias("unsigned"),
+                    F.regexp_replace(F.lower(t), LABEL_PATTERN, "").rlike(r"\bunsigned\b").alias("unsigned"),
                     (F.coalesce(k, F.lit("")) != "").alias("is_primary"),
                     F.lower(F.coalesce(e, F.lit(""))).contains("auto_increment").alias("auto_increment"))

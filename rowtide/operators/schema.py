@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import decode as D
 from . import ddl
 from .consume import ORDER, pos_bucket
 from .joins import asof_join, lookup_join
@@ -249,6 +250,20 @@ def schema_columns(changes: DataFrame, base_columns: Sequence[tuple], statements
     return out.select(*NAME, "version", ordinal.alias("ordinal"), "name", "type", F.coalesce("key", F.lit("")).alias("key"), "valid_from", "valid_to", "table")
 
 
+def decode_by_schema(cells: DataFrame, columns: DataFrame) -> DataFrame:
+    """C1 with D1-D3, D11-D13, D17-D19: stored cells in long form, each decoded by the column its table had at its position.
+
+    ``cells`` hold db, tbl, pos_key, ordinal and ``stored`` (the integer of the row image); ``columns`` are
+    ``schema_columns``.  Adds ``name``, ``type``, ``key``, the flags of ``column_flags`` and of ``by_type``
+    ``kind``, ``value`` and ``error``; cells with an error are the quarantine (``sinks.publish.split_dead_letters``).
+    """
+    spans = columns.select(*NAME, "ordinal", "name", "type", "key", "valid_from", "valid_to")
+    found = asof_join(cells, spans, [*NAME, "ordinal"])
+    decoded = found.withColumns({"d": D.by_type("stored", "type"), "f": D.column_flags("type", "key", F.lit(""))})
+    return decoded.select(*cells.columns, "name", "type", "key", F.col("f.is_bool").alias("is_bool"), F.col("f.unsigned").alias("unsigned"), "d.kind", "d.value",
+                          F.col("d.error").alias("error"))
+
+
 def _table_actions(statements: DataFrame, lives: DataFrame, base_columns: Sequence[tuple]) -> DataFrame:
     """(table, pos_key, row_no, part, n, act): column and key actions by table, numbered in log order."""
     move = F.col("moves")[0]

@@ -717,3 +717,50 @@ cols as (
   from (select *, unnest(range(1, len(s) + 1))::int as ordinal from ver where k < 0 or k % 36 <> 35))"""
 
 SQL["schema_columns"] = f"with recursive {COLUMNS} select * from cols"
+
+SQL["decode_by_schema"] = f"""
+with recursive {COLUMNS},
+cell as (
+  select seq, db, tbl, pos_key, o as ordinal, case when seq % 11 <> 0 then (seq * 7 + o) % 5 - 1 end as stored
+  from (select *, unnest(range(1, 9))::int as o from ev where not is_ddl)),
+j as (
+  select seq, cell.tbl, cell.ordinal, stored, name, type,
+         case when type like 'enum%' then [replace(x, '''''', '''') for x in regexp_extract_all(type, '''((?:[^'']|'''')*)''', 1)] end as labels
+  from cell left join cols on cols.db = cell.db and cols.tbl = cell.tbl and cols.ordinal = cell.ordinal
+       and pos_key >= valid_from and (valid_to is null or pos_key < valid_to)),
+d as (
+  select *, case when type in ('bigint') then cast(stored as varchar)
+                 when type = 'int unsigned' then cast(case when stored < 0 then stored + 4294967296 else stored end as varchar)
+                 when type = 'bigint unsigned' then cast(case when stored < 0 then stored + 18446744073709551616::hugeint else stored end as varchar)
+                 when labels is not null then case when stored = 0 then '' when stored > 0 then labels[stored] end end as v
+  from j)
+select seq, tbl, ordinal, stored, name, type, type like '% unsigned' as unsigned, v as value,
+       case when stored is null then null when type is null then 'no such column'
+            when type not like 'bigint%' and type <> 'int unsigned' and labels is null then 'no decoder for ' || regexp_extract(type, '^[a-z]+')
+            when v is null then 'no value of enum: ' || stored end as error
+from d
+"""
+
+SQL["decode_decimal_bytes"] = """
+with a as (
+  select o_orderkey, (o_orderkey % 65 + 1)::int as p, least((o_orderkey // 65) % 31, o_orderkey % 65 + 1)::int as s, (o_orderkey * 40503)::varchar as t from orders),
+b as (select *, lpad(right(t || reverse(t) || t, p), p, '0') as g from a),
+c as (select *, regexp_replace(left(g, p - s), '^0+', '') as w, right(g, s) as f from b)
+select o_orderkey, p, s,
+       (((p - s) // 9) * 4 + ((p - s) % 9 + 1) // 2 + (s // 9) * 4 + (s % 9 + 1) // 2)::int as n_bytes,
+       case when o_orderkey % 3 = 0 and regexp_matches(g, '[1-9]') then '-' else '' end || case when w = '' then '0' else w end
+       || case when s > 0 then '.' || f else '' end as value
+from c
+"""
+
+SQL["decode_float"] = """
+with a as (
+  select o_orderkey as k, case when o_orderkey % 2 = 1 then -1.0::double else 1.0::double end as sign from orders),
+b as (
+  select k, case when k % 150 = 0 then sign * 0.0 when k % 50 <> 0 then sign * (1.0::double + (k * 7919 % 8388608) / 8388608.0::double) * pow(2.0::double, 117 + k % 30 - 127) end as f_value,
+         case when k % 150 = 0 then sign * 0.0
+              when k % 50 <> 0 then sign * (1.0::double + (k * 2654435761 % 4503599627370496) / 4503599627370496.0::double) * pow(2.0::double, 1003 + k % 60 - 1023) end as d_value,
+         case when k % 150 = 50 then 'nan' when k % 150 = 100 then case when sign < 0 then '-inf' else 'inf' end end as odd
+  from a)
+select k as o_orderkey, f_value, d_value, odd as f_odd, odd as d_odd from b
+"""

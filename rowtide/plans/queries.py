@@ -340,6 +340,29 @@ def q_schema_columns(spark, sf):
     return schema.schema_columns(log, feeds.BASE_COLUMNS).drop("table")
 
 
+@query("decode_by_schema")
+def q_decode_by_schema(spark, sf):
+    """Stored integers of the evolving log, each decoded by the column its table had at its position."""
+    log = feeds.stored(feeds.evolving_log(spark, sf))
+    columns = feeds.stored(schema.schema_columns(log, feeds.BASE_COLUMNS), "columns")
+    return schema.decode_by_schema(feeds.schema_cells(log), columns).select("seq", "tbl", "ordinal", "stored", "name", "type", "unsigned", "value", "error")
+
+
+@query("decode_decimal_bytes")
+def q_decode_decimal_bytes(spark, sf):
+    """Stored DECIMAL bytes of every precision and scale."""
+    return feeds.stored_decimals(spark, sf).select("o_orderkey", "p", "s", F.length("raw").alias("n_bytes"), D.decimal_text("raw", F.col("p"), F.col("s")).alias("value"))
+
+
+@query("decode_float")
+def q_decode_float(spark, sf):
+    """Stored FLOAT and DOUBLE bytes; infinities and NaN come as text."""
+    c = feeds.stored_floats(spark, sf).select("o_orderkey", D.float_bytes("f").cast("double").alias("f"), D.double_bytes("d").alias("d"))
+    finite = {n: F.when(F.abs(n) < float("inf"), F.col(n)).alias(f"{n}_value") for n in ("f", "d")}
+    odd = {n: F.when(F.isnan(n), "nan").when(F.col(n) == float("inf"), "inf").when(F.col(n) == float("-inf"), "-inf").alias(f"{n}_odd") for n in ("f", "d")}
+    return c.select("o_orderkey", *finite.values(), *odd.values())
+
+
 @query("schema_intervals")
 def q_schema_intervals(spark, sf):
     return schema.schema_versions(feeds.stored(feeds.changelog(spark, sf)), len(feeds.BASE_COLUMNS))

@@ -21,6 +21,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decode import DIGIT_BYTES
+from ..functions.header import le_hex
 from ..functions.position import pos_key
 from ..operators.ordered import keyed_window, shift_bucket
 from .tables import read_table
@@ -320,3 +322,55 @@ def stored(df: DataFrame, name: str = "feed") -> DataFrame:
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stored_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, p, s, raw): a stored DECIMAL per ``orders`` row, every precision to 65 and scale to 30 in turn.
+
+    The digits are the last ``p`` of the order key times 40503, doubled up with its reverse; every third is negative.
+    """
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    p = (k % 65 + 1).cast("int")
+    s = F.least((k / 65).cast("int") % 31, p).cast("int")
+    text = (k * 40503).cast("string")
+    digits = F.lpad(F.right(F.concat(text, F.reverse(text), text), p), p, F.lit("0"))
+    o = o.select("o_orderkey", p.alias("p"), s.alias("s"), digits.alias("digits"))
+    whole = F.col("p") - F.col("s")
+    head = whole % 9
+    groups = F.concat(
+        F.array(F.substr("digits", F.lit(1), head)),
+        F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.when(i < (whole / 9).cast("int"), F.substr("digits", head + i * 9 + 1, F.lit(9))).otherwise("")),
+        F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i < (F.col("s") / 9).cast("int"), F.substr("digits", whole + i * 9 + 1, F.lit(9))).otherwise("")),
+        F.array(F.right("digits", F.col("s") % 9)))
+    sizes = F.array(*[F.lit(x) for x in DIGIT_BYTES])
+    hexed = F.array_join(F.transform(groups, lambda g: F.when(F.length(g) == 0, "").otherwise(
+        F.lpad(F.hex(g.cast("long")), F.get(sizes, F.length(g)) * 2, F.lit("0")))), "")
+    minus = F.col("o_orderkey") % 3 == 0
+    hexed = F.when(minus, F.translate(hexed, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(hexed)
+    return o.select("o_orderkey", "p", "s", F.unhex(F.concat(F.translate(F.substring(hexed, 1, 1), "0123456789ABCDEF", "89ABCDEF01234567"),
+                                                             F.substr(hexed, F.lit(2)))).alias("raw"))
+
+
+def stored_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, f, d): a stored FLOAT and DOUBLE per ``orders`` row, put together from sign, exponent and fraction."""
+    k = F.col("o_orderkey")
+    sign = k % 2
+    e32, e64 = 117 + k % 30, 1003 + k % 60
+    f32, f64 = k * 7919 % (1 << 23), k * 2654435761 % (1 << 52)
+    special = k % 50 == 0  # infinite, not a number, zero
+    e32 = F.when(special, F.when(k % 150 == 0, 0).otherwise(255)).otherwise(e32)
+    e64 = F.when(special, F.when(k % 150 == 0, 0).otherwise(2047)).otherwise(e64)
+    f32 = F.when(special, F.when(k % 150 == 50, 1).otherwise(0)).otherwise(f32)
+    f64 = F.when(special, F.when(k % 150 == 50, 1).otherwise(0)).otherwise(f64)
+    bits32 = F.shiftleft(sign, 31).bitwiseOR(F.shiftleft(e32, 23)).bitwiseOR(f32)
+    bits64 = F.shiftleft(sign, 63).bitwiseOR(F.shiftleft(e64, 52)).bitwiseOR(f64)
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    swapped = F.concat(le_hex(bits64.bitwiseAND(F.lit(0xFFFFFFFF)), 4), le_hex(F.shiftrightunsigned(bits64, 32), 4))
+    return o.select("o_orderkey", F.unhex(le_hex(bits32, 4)).alias("f"), F.unhex(swapped).alias("d"))
+
+
+def schema_cells(log: DataFrame) -> DataFrame:
+    """Stored cells of the evolving log's row changes: the first eight ordinals, whether the table has them or not."""
+    cells = log.where(F.col("event_type") != "query").select("seq", "db", "tbl", "pos_key", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("ordinal"))
+    return cells.withColumn("stored", F.when(F.col("seq") % 11 != 0, (F.col("seq") * 7 + F.col("ordinal")) % 5 - 1))

@@ -60,9 +60,13 @@ def test_documents_longer_than_a_block(spark, monkeypatch):
 
 
 def test_repeated_rows_nulls_clashes_and_empty_table(spark):
-    t = "".join(random.Random(1).choice("abcdef") for _ in range(300))
+    rng = random.Random(1)
+    t = "".join(rng.choice("abcdef") for _ in range(300))
     df = frame(spark, [(1, t), (1, t), (2, t), (None, t[:150]), (None, None)], SCHEMA)
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans) for r in S.dedup(with_clashes(df)).collect())
     assert got == [("1", 300, 150, 1), ("1", 300, 150, 1), ("2", 300, 300, 1), ("None", 0, 0, 0), ("None", 150, 0, 0)]
+    one = frame(spark, [(1, "c" * 300), (1, "c" * 300), (2, "c" * 300), (None, "c" * 150)], SCHEMA)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans) for r in S.dedup(one).collect())
+    assert got == [("1", 300, 300, 1), ("1", 300, 300, 1), ("2", 300, 300, 1), ("None", 150, 149, 1)]  # one byte of the first copy stays
     assert S.dedup(df.limit(0)).count() == 0
     assert S.dedup(with_clashes(frame(spark, awkward()))).count() == len(awkward())

@@ -11,14 +11,15 @@ as important as soon as something in it is.
 
 Tags and class names set bounds to that: navigation, header, footer, side bars, forms,
 notices, adverts, comments, scripts and the like have no importance at all; an
-article (or main) element is important however alike the pages of its host are, copies
-included, and on a page that has one nothing outside it is.  Elsewhere branches whose
-importance is under ``least`` are removed from each page of the host.
+article (or main) element is important however alike the pages of its host are, and on a page where
+such elements hold a quarter of the text or more, noise aside, nothing outside them is.  Elsewhere
+branches whose importance is under ``least`` are removed from each page of the host; the page as a whole, html
+and body are never removed.  Equal pages of a host are one page of the tree.
 
 Text: character references decoded, white space inside a block made one space, blocks
 in page order joined by a line feed.  Null or empty html gives empty text.  The host
-is the url's (null urls share one empty host).  Rows are extracted one by one, so ties,
-repeated rows and further columns don't matter; an empty table gives an empty result.
+is the url's (null urls share one empty host).  Each row is extracted, repeated rows as often as they
+come, all alike; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,6 +59,9 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
 
 
+MAIN_SHARE = 0.25  # of a page's text, noise aside, that makes its articles the page
+
+
 @dataclass
 class Node:
     tag: str
@@ -211,26 +215,28 @@ def style_rows(page: str | None) -> list[tuple[int, int, int]]:
 
 def extract(page: str | None, low: set[int]) -> str:
     """Text of a page without noise and without the branches in ``low``."""
-    blocks, nodes = parse(page)
-    has_main = any(n.main and not n.noise for n in nodes)
-    out = []
-    for b in blocks:
-        if b.noise or has_main and not b.main:
-            continue
-        if not b.main and low:
-            steps = b.path.split("/")
-            if any(_hash("/".join(steps[:k])) in low for k in range(2, len(steps) + 1)):
-                continue
-        text = " ".join("".join(b.parts).split())
+    shown = []
+    for b in parse(page)[0]:
+        text = "" if b.noise else " ".join("".join(b.parts).split())
         if text:
-            out.append(text)
-    return "\n".join(out)
+            shown.append((b, text))
+    main = sum(len(text) for b, text in shown if b.main)
+    # an article that holds little of the page is a teaser: then branches outside are judged too
+    main_only = main >= MAIN_SHARE * sum(len(text) for _, text in shown) > 0
+    return "\n".join(text for b, text in shown if b.main or not main_only and not _is_low(b.path, low))
+
+
+def _is_low(path: str, low: set[int]) -> bool:
+    """Whether a branch of low importance leads to the path; html, body and the page as a whole are no branches."""
+    steps = path.split("/") if low else []
+    return any(_hash("/".join(steps[:k])) in low for k in range(2, len(steps) + 1) if steps[k - 1].split(".")[0] not in ("html", "body"))
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Site style tree: (host, node, pages, importance).
 
-    Counts are summed before the shuffle; a hot host's rows are spread by what is at the node.
+    Equal pages of a host count once: copies say nothing about a template.  What is shuffled are
+    hashes, a few for each page, without repeats of a task; a hot host's rows are spread by what is at the node.
     """
     ship()
 
@@ -239,8 +245,8 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         for batch in batches:
             yield pd.Series([[dict(zip(("node", "kind", "what"), r)) for r in style_rows(h)] for h in batch])
 
-    seen = (pages.select(host_of(F.col(url_col)).alias("host"), F.explode(rows(F.col(html_col))).alias("s"))
-            .groupBy("host", "s.node", "s.kind", "s.what").agg(F.count("*").alias("c")))
+    seen = (pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("page"), F.explode(rows(F.col(html_col))).alias("s"))
+            .select("host", "page", "s.*").distinct().groupBy("host", "node", "kind", "what").agg(F.count("*").alias("c")))
     m = F.sum("c")
     entropy = F.when(m <= 1, 1.0).otherwise((F.log(m) - F.sum(F.col("c") * F.log("c")) / m) / F.log(m))
     by_kind = seen.groupBy("host", "node", "kind").agg(m.alias("n"), entropy.alias("h"))

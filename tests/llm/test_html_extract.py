@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter, defaultdict
+
 from rowtide.llm import html_extract as H
 
 from .helpers import frame, with_clashes
@@ -34,6 +38,44 @@ def test_site_style_tree_removes_templates_only(spark):
     assert {got[i].text for i in range(20, 25)} == {"Copied text"} and got[20].n_chars == 11
 
 
+def test_copies_are_no_template(spark):
+    def page(i):
+        return f'<html><body><div class="top">Same on all pages</div><div class="x"><p>Text {i} of its own</p></div></body></html>'
+
+    two = [(i, "http://two.org/", page(0)) for i in range(2)]
+    many = [(100 + i, "http://many.org/", page(0 if i < 90 else i)) for i in range(100)]
+    got = {r.page_id: r.text for r in H.extract_pages(frame(spark, two + many, SCHEMA)).collect()}
+    assert {got[0], got[1]} == {"Same on all pages\nText 0 of its own"}
+    assert [got[100 + i] for i in range(100)] == [f"Text {0 if i < 90 else i} of its own" for i in range(100)]
+
+
+def test_tree_against_entropies_by_hand(spark):
+    """Every node's importance, from the pages' own paths and texts."""
+    rng = random.Random(3)
+    pages = []
+    for i in range(60):
+        parts = "".join(f'<div class="{c}"><p>{rng.choice(["same", f"own {i}", f"some {i % 4}"])}</p></div>' for c in rng.sample("abcde", 3))
+        pages.append((i, f"http://h{i % 2}.org/", f"<html><body>{parts}</body></html>"))
+    pages += pages[:20] * 3
+    got = {(r.host, r.node): (r.pages, round(r.importance, 9)) for r in H.style_tree(frame(spark, pages, SCHEMA)).collect()}
+    seen = defaultdict(lambda: defaultdict(Counter))
+    for url, html in {(u, h) for _, u, h in pages}:
+        for node, kind, what in set(H.style_rows(html)):
+            seen[url.split("/")[2], node][kind][what] += 1
+
+    def entropy(c):
+        m = sum(c.values())
+        return 1.0 if m <= 1 else -sum(n / m * math.log(n / m) for n in c.values()) / math.log(m)
+
+    assert got == {k: (max(sum(c.values()) for c in v.values()), round(max(map(entropy, v.values())), 9)) for k, v in seen.items()}
+
+
+def test_teaser_in_an_article_is_not_the_page():
+    page = '<body><article>teaser</article><div class="story"><p>' + "A long story. " * 20 + "</p></div></body>"
+    assert H.extract(page, set()) == "teaser\n" + ("A long story. " * 20).strip()
+    assert H.extract('<body><article>' + "A long story. " * 20 + '</article><div>elsewhere</div>', set()) == ("A long story. " * 20).strip()
+
+
 def test_repeats_clashes_and_empty_table(spark):
     df = with_clashes(frame(spark, [(1, "http://a.org", "<article>x</article>")] * 2 + [(None, None, None)], SCHEMA))
     assert sorted((str(r.page_id), r.text) for r in H.extract_pages(df).collect()) == [("1", "x"), ("1", "x"), ("None", "")]

@@ -5,12 +5,13 @@ at least one shard, at least its share of them: ``min_count`` times the shard's
 So the first pass counts every phrase of every shard, by 64-bit hash, and keeps those that reach
 their shard's lowered support; a shard is counted by as many tasks as it has, and few shards
 keep the lowered support above one.  The hashes kept by any shard go into a bit table of
-fixed size (hashes may meet, which only adds candidates).  The second pass reads the texts again
+fixed size (hashes may meet, which only adds candidates), the only thing that reaches the driver
+and is broadcast.  The second pass reads the texts again
 and counts the phrases in the table, by their words, exactly; those under ``min_count`` go.  A
 table that is full lets more through and changes no result.
 
-Tasks count phrases of a block of words as packed numbers, so what they shuffle is one row for
-each distinct phrase of a block.  Scores, containment and the best phrases of a language are joins
+Tasks count phrases of a block of words as packed numbers; the first pass shuffles them as arrays
+of hashes, dealt to as many groups as the bytes of text ask for.  Scores, containment and the best phrases of a language are joins
 and aggregates over the frequent phrases; a part that very many phrases share is salted.
 
 Words are what lies between spaces and tabs, pieces what lies between ``.,;:!?`` and line breaks
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from .common import ship, written
 
 TABLE_WORDS = 1 << 21     # of 64 bits: the table of candidates, 16 MB whatever the input
-BLOCK_WORDS = 1_000_000   # counted at once by a task
+BLOCK_WORDS = 1_500_000   # counted at once by a task, fewer where a block has a million different ones
+GROUP_BYTES = 64 << 20    # of packed hashes that one group of the first pass merges
 HOT = 200_000             # phrases that share a part before that part is salted
 BREAK = b"\n"
 
@@ -59,7 +61,7 @@ class Block:
 
     def __init__(self, longest: int):
         self.longest, self.bits = longest, 62 // longest
-        self.room = min(BLOCK_WORDS, (1 << self.bits) // 2)
+        self.room = min(BLOCK_WORDS, (1 << self.bits) // 2)  # words of a part: each may be a new one
         self.clear()
 
     def clear(self) -> None:
@@ -71,12 +73,12 @@ class Block:
         for at in range(0, len(tokens), step):
             part = tokens[at:at + step + self.longest - 1]  # phrases may run on into the next part
             starts = min(step, len(tokens) - at)
-            if self.size and self.size + len(part) > 2 * step - self.longest:
+            if self.size and (len(self.words) + len(part) > 1 << self.bits or self.size + len(part) > BLOCK_WORDS + step):
                 yield
             ids = np.fromiter(map(self.words.__getitem__, part), np.int64, len(part))
             self.parts.setdefault(group, []).append((ids, starts))
             self.size += len(part)
-            if self.size >= step:
+            if self.size >= BLOCK_WORDS:
                 yield
 
     def counts(self) -> Iterator[tuple[tuple, int, np.ndarray, np.ndarray]]:
@@ -109,7 +111,7 @@ def _hashes(lang: str, block: Block, word_hash: np.ndarray, phrases: np.ndarray,
     h = np.full(len(phrases), xxhash.xxh64_intdigest(lang.encode(), k), np.uint64)
     for ids in block.numbers(phrases, k):
         h = _mix(h ^ word_hash[ids])
-    return h.view(np.int64)
+    return h
 
 
 def _counted(rows: DataFrame, longest: int, schema: str, emit) -> DataFrame:
@@ -127,48 +129,97 @@ def _counted(rows: DataFrame, longest: int, schema: str, emit) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def shard_supports(rows: DataFrame, shards: int, min_count: int) -> list[int]:
-    """The lowered support of each shard: its part of all bytes, of ``min_count``, rounded up."""
+def shard_sizes(rows: DataFrame, shards: int) -> list[int]:
+    """Bytes of text of each shard."""
     size = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).collect()}
-    total = sum(size.values())
-    return [max(1, -(-min_count * size.get(s, 0) // total)) if total else 1 for s in range(shards)]
+    return [size.get(s, 0) for s in range(shards)]
 
 
-def candidates(rows: DataFrame, longest: int, supports: list[int]) -> DataFrame:
-    """First pass: hashes ``h`` of the phrases that some shard holds at its lowered support."""
-    def emit(block: Block) -> Iterator[pa.RecordBatch]:
-        word_hash = np.fromiter(map(xxhash.xxh64_intdigest, block.words), np.uint64, len(block.words))
-        for (lang, shard), k, phrases, n in block.counts():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard, np.int32)), pa.array(_hashes(lang, block, word_hash, phrases, k)),
-                                              pa.array(n.astype(np.int64))], ["shard", "h", "n"])
+def supports_of(sizes: list[int], min_count: int) -> list[int]:
+    """The lowered support of each shard: its part of all bytes, of ``min_count``, rounded up."""
+    total = sum(sizes)
+    return [max(1, -(-min_count * n // total)) if total else 1 for n in sizes]
+
+
+def buckets_for(size: int) -> int:
+    """Bits of a hash that deal the first pass's phrases to groups of about ``GROUP_BYTES`` bytes."""
+    return max(6, (5 * size // (2 * GROUP_BYTES)).bit_length())
 
-    counts = _counted(rows, longest, "shard int, h long, n long", emit).groupBy("shard", "h").agg(F.sum("n").alias("n"))
-    least = F.get(F.array(*[F.lit(s) for s in supports]), F.col("shard"))
-    return counts.where(F.col("n") >= least).select("h")
 
+def _spot(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and place in the bucket's part of the table of 64-bit hashes: the top bits, and the low 32 scaled."""
+    region = max(64, (TABLE_WORDS * 64) >> bits)
+    return (h >> np.uint64(64 - bits)).astype(np.int64), ((h & np.uint64(0xFFFFFFFF)) * np.uint64(region) >> np.uint64(32)).astype(np.int64)
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """A table of ``TABLE_WORDS`` 64-bit words in which every hash has its bit set."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("h", 58).cast("int"))
-    rows = hashes.groupBy(F.col("h").bitwiseAND(F.lit(TABLE_WORDS - 1)).alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
-    table = np.zeros(TABLE_WORDS, np.int64)
-    table[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
+
+def candidates(rows: DataFrame, longest: int, supports: list[int], bits: int) -> DataFrame:
+    """First pass: (bucket, table): the part of the bit table of the phrases that some shard holds at its lowered support.
+
+    A task hands over its phrases as one row of packed 32-bit hashes and counts for each bucket and
+    shard of a block; a group merges a bucket.  Counts are cut at the largest support: more makes no difference.
+    """
+    most = max(supports)
+    kind = np.uint8 if most < 256 else np.int64
+
+    def emit(block: Block) -> Iterator[pa.RecordBatch]:
+        word_hash = np.fromiter(map(xxhash.xxh64_intdigest, block.words), np.uint64, len(block.words))
+        by_shard: dict[int, list] = {}
+        for (lang, shard), k, phrases, n in block.counts():
+            by_shard.setdefault(shard, []).append((_hashes(lang, block, word_hash, phrases, k), np.minimum(n, most).astype(kind)))
+        for shard, parts in by_shard.items():
+            h, n = (np.concatenate(x) for x in zip(*parts))
+            bucket = (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+            order = np.argsort(bucket, kind="stable")
+            h, n, bucket = h[order].astype(np.uint32), n[order], bucket[order]
+            at = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]]) if len(h) else np.zeros(1, np.int64)
+            spans = list(zip(at[:-1].tolist(), at[1:].tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[at[:-1]].astype(np.int32)), pa.array(np.full(len(spans), shard, np.int32)),
+                 pa.array([h[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([n[x:y].tobytes() for x, y in spans], pa.binary())],
+                ["bucket", "shard", "h", "n"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket")[0].as_py()
+        shards = group.column("shard").to_numpy()
+        region = np.zeros(max(64, (TABLE_WORDS * 64) >> bits), bool)
+        for shard in np.unique(shards):
+            rows = group.take(np.flatnonzero(shards == shard))
+            h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in rows.column("h")])
+            n = np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column("n")])
+            order = np.argsort(h)
+            h = h[order]
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            found = h[starts][np.add.reduceat(n[order], starts, dtype=np.int64) >= supports[shard]]
+            region[_spot(found.astype(np.uint64), bits)[1]] = True
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "table": pa.array([np.packbits(region, bitorder="little").tobytes()], pa.binary())})
+
+    packed = _counted(rows, longest, "bucket int, shard int, h binary, n binary", emit)
+    return packed.groupBy("bucket").applyInArrow(merge, "bucket int, table binary")
+
+
+def bit_table(parts: DataFrame, bits: int) -> np.ndarray:
+    """The whole table, one byte for eight bits: ``TABLE_WORDS`` 64-bit words, or 64 bits for each of more buckets."""
+    table = np.zeros((1 << bits, max(64, (TABLE_WORDS * 64) >> bits) // 8), np.uint8)
+    rows = parts.toArrow()
+    for bucket, part in zip(rows.column("bucket").to_pylist(), rows.column("table")):
+        table[bucket] = np.frombuffer(part.as_buffer(), np.uint8)
     return table
 
 
-def count_exactly(rows: DataFrame, longest: int, table: np.ndarray, min_count: int) -> DataFrame:
+def count_exactly(rows: DataFrame, longest: int, table: np.ndarray, bits: int, min_count: int) -> DataFrame:
     """Second pass: (lang, phrase, k, f) of the phrases of ``k`` words that occur ``min_count`` times; ``k`` 0: all words."""
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def emit(block: Block) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        has = shared.value
         spelt = list(block.words)
         word_hash = np.fromiter(map(xxhash.xxh64_intdigest, spelt), np.uint64, len(spelt))
         for (lang, _), k, phrases, n in block.counts():
             if k == 1:
                 yield batch(lang, 0, [b""], [int(n.sum())])
             h = _hashes(lang, block, word_hash, phrases, k)
-            found = (bits[h & (TABLE_WORDS - 1)] >> (h.view(np.uint64) >> np.uint64(58)).astype(np.int64) & 1).astype(bool)
+            bucket, spot = _spot(h, bits)
+            found = (has[bucket, spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
             places = [[spelt[i] for i in ids.tolist()] for ids in block.numbers(phrases[found], k)]
             yield batch(lang, k, places[0] if k == 1 else list(map(b" ".join, zip(*places))), n[found])
 
@@ -222,15 +273,17 @@ def absorbed(frequent: DataFrame, percent: int) -> DataFrame:
     return inner.groupBy("lang", _span("w", F.col("at"), F.col("m")).alias("phrase")).agg(F.max("f").alias("most"))
 
 
-def collocations(docs: DataFrame, min_count: int = 10, longest: int = 3, percent: int = 50, top: int = 2000, shards: int = 4,
+def collocations(docs: DataFrame, min_count: int = 10, longest: int = 3, percent: int = 50, top: int = 2000, shards: int = 3,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's ``top`` phrases of two to ``longest`` words."""
     ship()
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.pmod(F.xxhash64(F.col(text_col)), F.lit(shards)).cast("int").alias("shard"), text.alias("text"))
-    table = bit_table(candidates(rows, longest, shard_supports(rows, shards, min_count)))
-    frequent = written(count_exactly(rows, longest, table, min_count), "frequent-phrases")
+    sizes = shard_sizes(rows, shards)
+    bits = buckets_for(sum(sizes))
+    table = bit_table(candidates(rows, longest, supports_of(sizes, min_count), bits), bits)
+    frequent = written(count_exactly(rows, longest, table, bits, min_count), "frequent-phrases")
     kept = (scored(frequent).join(absorbed(frequent, percent), ["lang", "phrase"], "left")
             .where(F.col("most").isNull() | (100 * F.col("most") < percent * F.col("a"))).drop("most"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

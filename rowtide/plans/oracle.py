@@ -764,3 +764,9 @@ b as (
   from a)
 select k as o_orderkey, f_value, d_value, odd as f_odd, odd as d_odd from b
 """
+
+SQL["stream_from_position"] = with_(CHANGELOG) + f"""
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, event_type, pos_key = (select max(pos_key) from cl) as is_newest
+from cl where pos_key > {_at(1, 2)}"""
+SQL["stream_reordered"] = SQL["ordered_delivery"]
+SQL["stream_rate_late"] = SQL["rate_tumbling"]

@@ -22,6 +22,7 @@ from ..sinks.publish import to_messages, write_change_table, write_routed
 from ..sources import feeds
 from ..sources.rawlog import raw_events
 from ..sources.tables import read_table
+from ..streaming import landing as L
 from ..streaming import stream as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -793,9 +794,9 @@ def _stage_row_changes(spark, sf, resend: bool) -> tuple[str, int]:
 def q_stream_dedup_rows(spark, sf):
     """P6 over events of several changes: everything is resent, every change comes out once."""
     src = S.envelope_stream(spark, *_stage_row_changes(spark, sf, resend=True))
-    out, ck = scratch_dir(spark, "dedup-rows"), scratch_dir(spark, "ckpt")
-    S.run_to_end(S.append_sink(S.dedup_stream(src, "36500 days").drop("before", "after"), out, ck))
-    return spark.read.parquet(out).select("binlog", "row_no", "event_type")
+    out = scratch_dir(spark, "dedup-rows")
+    S.run_to_end(L.landed_once_sink(src.drop("before", "after"), out, scratch_dir(spark, "ckpt"), bucket_bits=22))
+    return L.read_landed(spark, out).select("binlog", "row_no", "event_type")
 
 
 @query("stream_latest_rows")
@@ -854,6 +855,61 @@ def q_stream_publish_progress(spark, sf):
     return S.read_progress(spark, _published(spark, sf)[2])
 
 
+# -- streams that start at a position, keep order, late rows and one copy -------------
+
+
+def _stage_shuffled(spark, sf) -> str:
+    """The feed as message files that arrive out of order: file k holds the k-th tenth of the log, less
+    every fifth change, which comes one or two files late.  One write per file, in that order."""
+    cl = feeds.stored(feeds.changelog(spark, sf))
+    last = cl.agg(F.max("seq")).first()[0] or 0
+    seq = F.shiftright("pos_key", 32) * 1000 - 1000 + (F.col("pos_key").bitwiseAND(F.lit(POS_SHIFT - 1)) / 120).cast("long")
+    file = (seq * SHUFFLED_FILES / (last + 1)).cast("int") + F.when(seq % 5 == 0, 1 + seq % 2).otherwise(0)
+    rows = feeds.stored(shape.envelope(cl).select(shape.envelope_text().alias("value"), file.alias("file")), "shuffled")
+    stage = scratch_dir(spark, "stage-shuffled")
+    for k in range(SHUFFLED_FILES + 2):
+        rows.where(F.col("file") == k).select("value").coalesce(1).write.mode("append").text(stage)
+    return stage
+
+
+SHUFFLED_FILES = 10
+
+
+@query("stream_from_position")
+def q_stream_from_position(spark, sf):
+    """S1 + S4 + P4: a stream that starts in the middle of the log, by an index of the message files."""
+    stage, per_trigger = _stage_in_log_order(spark, sf)
+    cl = feeds.changelog(spark, sf)
+    index = L.index_messages(spark, stage, scratch_dir(spark, "index"))
+    src = L.envelopes_after(spark, stage, index, positions.at_fraction(cl, *RESUME_AT), per_trigger)
+    out = scratch_dir(spark, "from-position")
+    S.run_to_end(S.append_sink(src.drop("before", "after"), out, scratch_dir(spark, "ckpt")))
+    newest = F.lit(L.newest_label(index))
+    return spark.read.schema(src.drop("before", "after").schema).parquet(out).select("binlog", "event_type", (F.col("binlog") == newest).alias("is_newest"))
+
+
+@query("stream_reordered")
+def q_stream_reordered(spark, sf):
+    """Changes that arrive shuffled across micro-batches are delivered in log order, none lost."""
+    out = scratch_dir(spark, "reordered")
+    src = S.envelope_stream(spark, _stage_shuffled(spark, sf), 1)
+    S.run_to_end(L.reordered_sink(src, out, scratch_dir(spark, "ckpt"), lag=3))
+    L.flush_reordered(spark, out)
+    return S.delivery_order(f"{out}/delivered", spark, across_batches=True).select("db", F.col("table").alias("tbl"), "id", "n_changes", "n_out_of_order")
+
+
+@query("stream_rate_late")
+def q_stream_rate_late(spark, sf):
+    """Rates of a feed that arrives shuffled, the late rows beside them: together every change, once."""
+    out = scratch_dir(spark, "rates")
+    src = S.envelope_stream(spark, _stage_shuffled(spark, sf), 1)
+    S.run_to_end(L.rate_sink(src, out, scratch_dir(spark, "ckpt"), "10 minutes", delay="0 seconds"))
+    w = F.window("ts", "10 minutes")
+    late = L.read_late(spark, out).groupBy(w["start"].alias("window_start"), w["end"].alias("window_end"), "db").agg(F.count(F.lit(1)).alias("n_changes"))
+    both = L.read_rates(spark, out).unionByName(late).groupBy("window_start", "window_end", "db").agg(F.sum("n_changes").alias("n_changes"))
+    return both
+
+
 @query("decode_text_errors")
 def q_decode_text_errors(spark, sf):
     """Customer names in several character sets, some with bytes that are no text there."""

@@ -48,11 +48,12 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.text(path)
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
+def parse_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Envelopes of JSON messages (``value``), none lost: ``reason`` says why a message is
-    no usable envelope (then ``message`` has its text), and is null for the others."""
+    no usable envelope (then ``message`` has its text), and is null for the others.  Columns
+    ``keep`` of the messages are handed on."""
     text = F.col("value").cast("string")
-    e = messages.select(F.from_json(text, JSON_ENVELOPE).alias("e"), text.alias("message")).select("e.*", "message")
+    e = messages.select(F.from_json(text, JSON_ENVELOPE).alias("e"), text.alias("message"), *keep).select("e.*", "message", *keep)
     kind = F.col("event_type")
     row_change = ~kind.isin("query", HEARTBEAT)
     reason = (F.when(kind.isNull(), "malformed message")

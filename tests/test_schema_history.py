@@ -162,8 +162,8 @@ def versions(spark, rows):
 def test_columns_equal_a_replay(spark, seed, hot, monkeypatch):
     if hot is not None:
         monkeypatch.setattr(ordered, "HOT_ROWS", hot)
-    rows, want = history(random.Random(seed), 150)
-    assert versions(spark, rows) == want and len(want) > 300
+    rows, want = history(random.Random(seed), 110)
+    assert versions(spark, rows) == want and len(want) > 200
 
 
 def test_moved_columns_leave_their_place(spark):

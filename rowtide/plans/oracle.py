@@ -770,3 +770,5 @@ select concat(log_file, ':', cast(log_pos as varchar)) as binlog, event_type, po
 from cl where pos_key > {_at(1, 2)}"""
 SQL["stream_reordered"] = SQL["ordered_delivery"]
 SQL["stream_rate_late"] = SQL["rate_tumbling"]
+
+SQL["stream_change_table_compacted"] = SQL["stream_envelope"]

@@ -18,6 +18,7 @@ from ..functions.position import is_valid_position, parse_position, position_lab
 from ..model import POS_SHIFT
 from ..operators import consume, filters, positions, rawlog, schema, shape
 from ..session import scratch_dir
+from ..sinks import compaction
 from ..sinks.publish import to_messages, write_change_table, write_routed
 from ..sources import feeds
 from ..sources.rawlog import raw_events
@@ -595,6 +596,17 @@ def q_stream_envelope(spark, sf):
     return _change_table_columns(spark.read.parquet(out))
 
 
+@query("stream_change_table_compacted")
+def q_stream_change_table_compacted(spark, sf):
+    """K7 on a stream: the landed table after compaction, read by its manifest."""
+    src = S.envelope_stream(spark, *_stage_envelopes(spark, sf))
+    table = scratch_dir(spark, "compacted")
+    S.run_to_end(compaction.land_batches(src, table, scratch_dir(spark, "ckpt")))
+    landed = src.withColumn("dt", F.lit(None).cast("date")).schema
+    compaction.compact(spark, table, landed)
+    return _change_table_columns(compaction.read_change_table(spark, table, landed))
+
+
 @query("change_table")
 def q_change_table(spark, sf):
     """K7 (batch): land the feed as the partitioned change table, read it back."""

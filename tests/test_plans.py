@@ -11,7 +11,7 @@ from .conftest import SF_SMALL
 
 # Queries that run a stream or land a table while being built; their final reads are plain scans.
 RUNS_WHILE_BUILT = {"stream_envelope", "stream_latest", "stream_progress", "ordered_delivery", "change_table",
-                    "table_scan", "envelope_variant", "stream_from_position", "stream_reordered", "stream_rate_late"}
+                    "table_scan", "envelope_variant", "stream_from_position", "stream_reordered", "stream_rate_late", "stream_change_table_compacted"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 

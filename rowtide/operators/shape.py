@@ -183,6 +183,26 @@ def typed_images(env: DataFrame, schema: str) -> DataFrame:
     return env.withColumn("before", typed("before")).withColumn("after", typed("after"))
 
 
+def image_types(parsed: DataFrame) -> DataFrame:
+    """(db, table, image): the struct type of each table's images, learnt from all of them.
+
+    Every image is a variant; the types of a table's images are merged field by field, so a field that
+    appears in mid-feed is in the type, and one whose numbers widen gets the wider type.  A field that
+    was always null is a string, one of several kinds stays a variant.  Partial aggregation: a task
+    hands over one type for each table.
+    """
+    sides = parsed.where(~F.col("malformed") & F.col("table").isNotNull()).select("db", "table", F.explode(F.array("before", "after")).alias("image"))
+    learnt = sides.where(image_size("image") > 0).groupBy("db", "table").agg(F.schema_of_variant_agg("image").alias("image"))
+    ddl = F.regexp_replace(F.regexp_replace("image", r"\bOBJECT<", "struct<"), r"\bVOID\b", "string")
+    return learnt.select("db", "table", ddl.alias("image"))
+
+
+def typed_by_table(parsed: DataFrame, types: DataFrame) -> dict[tuple[str, str], DataFrame]:
+    """Each table's rows with typed images; ``types`` (one row a table) says how."""
+    return {(r["db"], r["table"]): typed_images(parsed.where((F.col("db") == r["db"]) & (F.col("table") == r["table"])), r["image"])
+            for r in types.collect()}
+
+
 def query_passthrough(changes: DataFrame) -> DataFrame:
     """Query events keep their SQL text and empty images."""
     return envelope(changes.filter(F.col("event_type") == "query"))

@@ -772,3 +772,11 @@ SQL["stream_reordered"] = SQL["ordered_delivery"]
 SQL["stream_rate_late"] = SQL["rate_tumbling"]
 
 SQL["stream_change_table_compacted"] = SQL["stream_envelope"]
+
+SQL["envelope_inferred"] = with_(CHANGELOG) + """
+select concat(log_file, ':', cast(log_pos as varchar)) as binlog, db, tbl, event_type, coalesce(a_id, b_id) as "key", a_value as amount, null::double as tax
+from cl
+union all
+select concat('shop-bin.000001:', cast(l_orderkey * 8 + l_linenumber as varchar)), 'shop', 'lineitem', 'insert', l_orderkey,
+       case when late then l_quantity + 0.25 else cast(trunc(l_quantity) as bigint) end, case when late then l_tax end
+from (select *, l_orderkey * 2 > (select max(l_orderkey) from lineitem) as late from lineitem)"""

@@ -7,6 +7,7 @@ all of their rows.  Column names equal those of the oracle SQL of the same name.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -316,6 +317,22 @@ def q_envelope_variant(spark, sf):
             .unionByName(common(garbled, F.lit(None).cast("bigint"), F.lit(None).cast("double"))))
 
 
+@query("envelope_inferred")
+def q_envelope_inferred(spark, sf):
+    """Two tables on one queue, their image types learnt from the feed itself."""
+    changes = shape.envelope(feeds.changelog(spark, sf)).select(shape.envelope_text().alias("value"))
+    parsed = feeds.stored(shape.parse_envelope_variant(changes.unionByName(feeds.growing_envelopes(spark, sf))), "parsed")
+    tables = shape.typed_by_table(parsed, shape.image_types(parsed))
+
+    def common(df, key, amount, more):
+        return df.select("binlog", "db", F.col("table").alias("tbl"), "event_type", key.cast("bigint").alias("key"), amount.cast("double").alias("amount"),
+                         more.cast("double").alias("tax"))
+
+    parts = [common(df, F.col("after.l_orderkey"), F.col("after.l_quantity"), F.col("after.l_tax")) if db == "shop" else
+             common(df, F.coalesce("after.id", "before.id"), F.col("after.value"), F.lit(None)) for (db, _), df in sorted(tables.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def shape_json_schema():
     from ..model import JSON_ENVELOPE
     return JSON_ENVELOPE

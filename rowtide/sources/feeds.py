@@ -228,6 +228,25 @@ def shop_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select(F.when(F.col("l_linenumber") == GARBLED_LINE, garbled).otherwise(F.col("t")).alias("value"))
 
 
+def growing_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``shop.lineitem`` as JSON envelopes whose images change in mid-feed: the later half of the orders has
+    quantities with a fraction and a field ``l_tax`` more."""
+    from ..operators.shape import envelope_text, event_seconds
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_shipdate")
+    half = (li.agg(F.max("l_orderkey")).first()[0] or 0) / 2
+
+    def text(rows: DataFrame, *fields) -> DataFrame:
+        return rows.select(
+            F.concat(F.lit(SHOP_FILE + ":"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string")).alias("binlog"),
+            F.lit("shop").alias("db"), F.lit("lineitem").alias("table"), F.lit("").alias("query"), F.lit("insert").alias("event_type"),
+            F.lit("l_orderkey").alias("primary"), F.lit(None).cast("struct<l_orderkey:bigint>").alias("before"),
+            F.struct("l_orderkey", "l_linenumber", *fields).alias("after"), event_seconds("l_shipdate").alias("timestamp")).select(envelope_text().alias("value"))
+
+    early = text(li.where(F.col("l_orderkey") <= half), F.col("l_quantity").cast("long").alias("l_quantity"))
+    late = text(li.where(F.col("l_orderkey") > half), (F.col("l_quantity") + 0.25).alias("l_quantity"), "l_tax")
+    return early.unionByName(late)
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, dt2, d3, o_orderdate): DATETIME2 (40-bit) and DATE (24-bit) cells."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")

@@ -780,3 +780,12 @@ union all
 select concat('shop-bin.000001:', cast(l_orderkey * 8 + l_linenumber as varchar)), 'shop', 'lineitem', 'insert', l_orderkey,
        case when late then l_quantity + 0.25 else cast(trunc(l_quantity) as bigint) end, case when late then l_tax end
 from (select *, l_orderkey * 2 > (select max(l_orderkey) from lineitem) as late from lineitem)"""
+
+SQL["raw_quarantine"] = with_(CHANGELOG, RAW) + f"""
+select case when ordinal % 71 = 0 then 'torn header' when ordinal % 89 = 0 then 'wrong size' when ordinal % 53 = 0 then 'bad checksum'
+            else {_event_name_case()} end as what, count(*) as n_events, min(ordinal) as first_ordinal
+from ev group by 1"""
+
+SQL["stream_publish_sinks"] = with_(CHANGELOG) + """
+select sink, event_type, count(*) as n_messages
+from (select event_type, unnest(['callback', 'json', 'text']) as sink from cl where seq % 97 <> 0 and seq % 89 <> 0) group by all"""

@@ -20,9 +20,9 @@ from ..model import POS_SHIFT
 from ..operators import consume, filters, positions, rawlog, schema, shape
 from ..session import scratch_dir
 from ..sinks import compaction
-from ..sinks.publish import to_messages, write_change_table, write_routed
+from ..sinks.publish import batch_writer, to_messages, write_change_table, write_routed
 from ..sources import feeds
-from ..sources.rawlog import raw_events
+from ..sources.rawlog import damaged_events, raw_events
 from ..sources.tables import read_table
 from ..streaming import landing as L
 from ..streaming import stream as S
@@ -532,6 +532,15 @@ def q_query_body_split(spark, sf):
         "ordinal", "q.proxy_id", "q.exec_time", "q.error_code", "q.schema", "q.query")
 
 
+@query("raw_quarantine")
+def q_raw_quarantine(spark, sf):
+    """H9: damaged raw events are set aside with a reason; the whole ones are decoded on (counted by type)."""
+    whole, bad = rawlog.whole_events(rawlog.decode_headers(feeds.stored(damaged_events(spark, sf), "damaged")))
+    reasons = bad.select(F.regexp_replace("reason", r"size .*", "wrong size").alias("what"), "ordinal")
+    kinds = whole.select(H.event_name("type_code").alias("what"), "ordinal")
+    return reasons.unionByName(kinds).groupBy("what").agg(F.count(F.lit(1)).alias("n_events"), F.min("ordinal").alias("first_ordinal"))
+
+
 @query("log_file_fill")
 def q_log_file_fill(spark, sf):
     ev = rawlog.fill_log_file(rawlog.decode_headers(feeds.stored(raw_events(spark, sf))))
@@ -852,17 +861,29 @@ def _stage_torn(spark, sf) -> tuple[str, int]:
     return stage, max(1, files // STAGE_BATCHES)
 
 
-def _published(spark, sf) -> tuple[str, str, str]:
+def _published(spark, sf, sink: str = "callback", stage: tuple[str, int] | None = None) -> tuple[str, str, str]:
     """Folders of messages, dead letters and progress of a stream over the torn feed."""
     out, dead, prog = scratch_dir(spark, "published"), scratch_dir(spark, "dead"), scratch_dir(spark, "progress")
 
-    def writer(messages: DataFrame, batch_id: int) -> None:
+    def keep(messages: DataFrame, batch_id: int) -> None:
         messages.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    S.run_to_end(S.publish_sink(S.message_stream(spark, *_stage_torn(spark, sf)), writer, dead, scratch_dir(spark, "ckpt"), prog))
+    src = S.message_stream(spark, *(stage or _stage_torn(spark, sf)))
+    S.run_to_end(S.publish_sink(src, batch_writer(sink, out, callback=keep), dead, scratch_dir(spark, "ckpt"), prog))
     return out, dead, prog
 
 
+@query("stream_publish_sinks")
+def q_stream_publish_sinks(spark, sf):
+    """K2 + K5: the same feed published by callback, as JSON and as text files; what each sink got."""
+    stage = _stage_torn(spark, sf)
+    got = {"callback": spark.read.parquet(_published(spark, sf, "callback", stage)[0]).select("value"),
+           "json": spark.read.schema("key string, value string").json(_published(spark, sf, "json", stage)[0]).select("value"),
+           "text": spark.read.schema("value string").text(_published(spark, sf, "text", stage)[0]).select("value")}
+    rows = reduce(DataFrame.unionByName, [df.withColumn("sink", F.lit(n)) for n, df in got.items()])
+    return rows.groupBy("sink", F.get_json_object("value", "$.event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("n_messages"))
+
+
 @query("stream_publish")
 def q_stream_publish(spark, sf):
     """K1-K3: follow the log, publish every usable message once."""

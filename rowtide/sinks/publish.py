@@ -53,6 +53,28 @@ def publish(messages: DataFrame, fmt: str, path_or_topic: str, options: dict | N
         raise ValueError(f"unknown sink format {fmt!r}")
 
 
+def batch_writer(fmt: str, path_or_topic: str = "", options: dict | None = None,
+                 callback: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """K2 + K5 under ``streaming.stream.publish_sink``: a writer for the chosen sink, safe to repeat.
+
+    Files go to ``path/batch_id=N``, overwritten when a batch is handed over again; a callback gets the batch id
+    to tell a repeat by; Kafka gets a repeated batch's messages twice, as its consumers expect.
+    """
+    if fmt == "callback":
+        if callback is None:
+            raise ValueError("callback sink needs a callback")
+        return callback
+    if fmt == "kafka":
+        return lambda messages, batch_id: publish(messages, fmt, path_or_topic, options)
+    if fmt not in ("json", "text"):
+        raise ValueError(f"unknown sink format {fmt!r}")
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        rows = messages.select("value") if fmt == "text" else messages
+        rows.write.mode("overwrite").options(**(options or {})).format(fmt).save(f"{path_or_topic}/batch_id={batch_id}")
+    return write
+
+
 # Log span one writer task takes of a (db, table, dt) folder: 2^26 bytes (64 MiB) of one log file.
 FILE_BUCKET_BITS = 26
 

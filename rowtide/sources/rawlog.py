@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.header import le_hex, text_hex
 from ..model import CHECKSUM_LEN, HEADER_LEN
 from ..operators.shape import event_seconds
-from .feeds import changelog
+from .feeds import changelog, stored
 
 SOURCE = "srv-2"
 # Changes of db "app" come from server 2, all others from server 3.
@@ -61,3 +61,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.unhex(F.concat(head, F.col("body")))
     return ev.select(F.lit(SOURCE).alias("source"), (F.col("seq") * 4 + F.col("k")).alias("ordinal"),
                      F.concat(body, F.unhex(le_hex(F.crc32(body), CHECKSUM_LEN))).alias("payload"))
+
+
+def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events with damage: every 71st is cut inside its header, every 89th loses its last five bytes, and of
+    every 53rd the byte before the trailer is inverted."""
+    p, n = F.col("payload"), F.length("payload")
+    byte = F.unhex(F.translate(F.hex(p.substr(n - CHECKSUM_LEN, F.lit(1))), "0123456789ABCDEF", "FEDCBA9876543210"))
+    wrong = F.concat(p.substr(F.lit(1), n - CHECKSUM_LEN - 1), byte, p.substr(n - CHECKSUM_LEN + 1, F.lit(CHECKSUM_LEN)))
+    o = F.col("ordinal")
+    damaged = (F.when(o % 71 == 0, p.substr(1, 12)).when(o % 89 == 0, p.substr(F.lit(1), n - 5)).when(o % 53 == 0, wrong).otherwise(p))
+    # the payload stands in every branch: landed, it is put together once
+    return stored(raw_events(spark, sf_dir), "raw").withColumn("payload", damaged)

@@ -10,8 +10,8 @@ on one diagonal (document position minus item position) are one alignment.
 An alignment is a re-parameterised copy only as far as its slots are consistent: what stands
 at the item's placeholders maps to what stands at the document's one to one, for
 example the same other name wherever the item repeats a name.  Windows that hold a slot
-which breaks the mapping are dropped, the others stay.  With ``meet`` only an item's name
-has to map to one value, and new numbers, units or names may coincide.  Windows that are mostly
+which breaks the mapping are dropped, the others stay.  With ``meet`` each of the item's values
+has to map to one value, and new ones may coincide.  Windows that are mostly
 placeholders don't count.  A document is contaminated by an item if the matched windows
 of its consistent alignments cover at least ``min_share`` of the item's countable windows, or,
 with ``min_run``, if one consistent alignment matches that many words in a row, whatever
@@ -45,23 +45,19 @@ NAMED = rf"([^{WHITE}.!?:][\x20\x09])[\"'(\[]{{0,2}}\p{{Lu}}[\p{{L}}\p{{N}}'’-
 NUMBERED = r"(^|[^\p{L}\p{N}.,])\p{Nd}[\p{Nd}.,:/]*(?:st|nd|rd|th)?($|[^\p{L}\p{N}])"
 MEASURED = rf"{NUMBER}([\x20\x09]+)(?:{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))})($|[^\p{{L}}\p{{N}}])"
 EDGES = rf"(^|[{WHITE}]){EDGE}+|{EDGE}+($|[{WHITE}])"
+#: the same, looking at the neighbours without taking them (the SQL has no such patterns and takes two passes)
+NAMED_HERE = rf"(?<=[^{WHITE}.!?:][\x20\x09])[\"'(\[]{{0,2}}\p{{Lu}}[\p{{L}}\p{{N}}'’-]*"
+NUMBERED_HERE = r"(?<![\p{L}\p{N}.,])\p{Nd}[\p{Nd}.,:/]*(?:st|nd|rd|th)?(?![\p{L}\p{N}])"
+EDGES_HERE = rf"(?<![^{WHITE}]){EDGE}++|{EDGE}++(?![^{WHITE}])"
+MAX_ANCHORS = 20_000  # word pairs that may be told apart inside the expression; beyond, every window is hashed
 
 
 def template(text: Column) -> Column:
-    """Template words of a text, by a few regular expressions over the whole of it.
-
-    The expressions keep every blank, so words stay in place; where two matches would
-    share a character the second pass finds the second one.
-    """
-    t = F.coalesce(text, F.lit(""))
-    for _ in range(2):
-        t = F.regexp_replace(t, NAMED, f"$1{NAME}")
-    for _ in range(2):
-        t = F.regexp_replace(t, NUMBERED, f"$1{NUMBER}$2")
+    """Template words of a text, by four regular expressions over the whole of it; they keep every blank, so words stay in place."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_HERE, NAME)
+    t = F.regexp_replace(t, NUMBERED_HERE, NUMBER)
     t = F.regexp_replace(F.lower(t), MEASURED, f"{NUMBER}$1{UNIT}$2")
-    for _ in range(2):
-        t = F.regexp_replace(t, EDGES, "$1$2")
-    return F.filter(F.split(t, rf"[{WHITE}]+"), lambda w: w != "")
+    return F.filter(F.split(F.regexp_replace(t, EDGES_HERE, ""), rf"[{WHITE}]+"), lambda w: w != "")
 
 
 def raw_words(text: Column) -> Column:
@@ -77,6 +73,20 @@ def _windows(words: Column, size: Column | int) -> Column:
         i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h"))))
 
 
+def _pair(words: Column, i: Column) -> Column:
+    return F.xxhash64(F.get(words, i), F.get(words, i + 1))
+
+
+def _anchored_windows(words: Column, size: int, anchors: list[int]) -> Column:
+    """(at, h) of the windows of ``size`` words that hold one of the given word pairs."""
+    last = F.size(words) - size
+    spots = F.filter(F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.struct(i.alias("i"), _pair(words, i).alias("h"))),
+                     lambda x: x["h"].isin(anchors))
+    around = F.flatten(F.transform(spots, lambda x: F.sequence(F.greatest(x["i"] - (size - 2), F.lit(0)), F.greatest(F.least(x["i"], last), F.lit(0)))))
+    starts = F.filter(F.array_distinct(around), lambda i: i <= last)
+    return F.when(last >= 0, F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h"))))
+
+
 def plain_words(text: Column) -> Column:
     """The words in lower case without what surrounds them; what has no letter or digit stays as it is."""
     words = F.filter(F.split(F.lower(text), rf"[{WHITE}]+"), lambda w: w != "")
@@ -97,9 +107,14 @@ def _template_windows(items: DataFrame, id_col: str, text_col: str, window: int,
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_words: int) -> DataFrame:
-    """(item, size, at, h, n) of the countable windows of each item, n the number of them."""
+    """(item, size, at, h, anchor, n) of the countable windows of each item, n the number of them.
+
+    ``anchor`` is the least hash of the window's pairs of neighbouring words: a text without that pair lacks the window.
+    """
     every = _template_windows(items, id_col, text_col, window, min_words).select("item", "size", "w", F.explode("starts").alias("at"))
-    every = every.select("item", "size", "at", F.xxhash64(F.slice("w", F.col("at") + 1, F.col("size"))).alias("h"))
+    pairs = F.transform(F.sequence(F.col("at"), F.col("at") + F.col("size") - 2), lambda i: _pair(F.col("w"), i))
+    anchor = F.when(F.col("size") > 1, F.array_min(pairs))
+    every = every.select("item", "size", "at", F.xxhash64(F.slice("w", F.col("at") + 1, F.col("size"))).alias("h"), anchor.alias("anchor"))
     return every.join(every.groupBy("item").agg(F.count("*").alias("n")), "item")
 
 
@@ -137,7 +152,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     side = bench.select("item", F.col("at").alias("b_at"), "n", F.col("size").alias("b_size"), "h")
     words = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), template(F.col(text_col)).alias("w"))
     empty = F.array().cast("array<struct<at:int,h:bigint>>")
-    all_windows = F.concat(empty, *[F.coalesce(_windows(F.col("w"), size), empty) for size in sizes])
+    pairs = [r["anchor"] for r in bench.select("anchor").distinct().limit(MAX_ANCHORS + 1).collect()]  # of the benchmark alone
+    if None in pairs or len(pairs) > MAX_ANCHORS:
+        all_windows = F.concat(empty, *[F.coalesce(_windows(F.col("w"), size), empty) for size in sizes])
+    else:
+        words = words.where(F.size("w") > 1)
+        all_windows = F.concat(empty, *[F.coalesce(_anchored_windows(F.col("w"), size, pairs), empty) for size in sizes])
     seen = words.select("id", "tk", F.explode(all_windows).alias("x")).select("id", "tk", "x.at", "x.h")
     hits = seen.join(F.broadcast(side) if small else side, "h").select(
         "id", "tk", "item", "n", "b_size", "b_at", (F.col("at") - F.col("b_at")).alias("diagonal")).distinct()
@@ -189,9 +209,8 @@ def _torn_slots(filled: DataFrame, line: list[str], meet: bool) -> DataFrame:
     Of the values that stand against one, that which is the same on both sides stays, else
     the most frequent one; where two are equally frequent none does.
     """
-    asked = filled.where(F.col("kind") == NAME) if meet else filled
     same = F.col("theirs").eqNullSafe(F.col("ours"))
-    pairs = asked.groupBy(*line, "theirs", "ours").agg(F.struct(F.max(same.cast("int")), F.count("*")).alias("c"),
+    pairs = filled.groupBy(*line, "theirs", "ours").agg(F.struct(F.max(same.cast("int")), F.count("*")).alias("c"),
                                                        F.collect_set("slot").alias("slots"))
 
     def lost(one: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -82,3 +84,38 @@ def test_items_without_countable_windows_are_found_verbatim(spark):
             (4, "the old man and the sea stands alone there"), (5, "(too few words)"), (6, "so * + ? it is"), (7, ""), (8, None)]
     for limit in (500_000, -1):
         assert found(spark, docs, items, max_broadcast=limit) == [(1, 0), (3, 1), (5, 2), (6, 3)]
+
+
+def test_a_number_maps_to_one_number(spark):
+    item = "Tom picked 12 apples from the old tree and then he sold all 12 apples to the shop for 3 coins"
+    docs = [(1, item.replace("12", "9")), (2, item.replace("12 apples from", "9 apples from").replace("12 apples to", "7 apples to")),
+            (3, item.replace("12", "3")), (4, item)]
+    assert found(spark, docs, (item,), meet=True, min_share=0.8) == [(1, 0), (3, 0), (4, 0)]
+
+
+def test_anchored_windows_are_the_windows_with_an_anchor(spark, monkeypatch):
+    rng = random.Random(3)
+    items = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(5, 30))) for _ in range(12)]
+    docs = [(i, " ".join([f"w{rng.randrange(60)}"] * rng.randrange(3) + items[i % 12].split()[rng.randrange(3):] + ["w1", "w2"])) for i in range(60)]
+    docs += [(60, "w1"), (61, "w1 w2"), (62, "")]
+    anchored = found(spark, docs, items, min_run=6, meet=True)
+    monkeypatch.setattr(D, "MAX_ANCHORS", 0)  # every window is hashed
+    assert anchored == found(spark, docs, items, min_run=6, meet=True) and len(anchored) > 20
+    monkeypatch.undo()
+
+
+def test_template_equals_two_passes(spark):
+    """The patterns that look around find what the SQL's two passes find."""
+    rng = random.Random(9)
+    bits = ["Bob", "Ann's", "x", "3", "3,50", "12th", "kg", "(", ")", "--", ".", ",", "'", "\u00c9va", "a-B", "7.", "\t", "\n", "  ", "St. ", "I", "4-5-6", "%", "!"]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", " ", "", "\t"]) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+
+    def twice(text):
+        t = text
+        for pattern, to in ((D.NAMED, f"$1{D.NAME}"), (D.NUMBERED, f"$1{D.NUMBER}$2"), (None, None), (D.MEASURED, f"{D.NUMBER}$1{D.UNIT}$2"), (D.EDGES, "$1$2")):
+            for _ in range(1 if pattern in (None, D.MEASURED) else 2):
+                t = F.regexp_replace(t, pattern, to) if pattern else F.lower(t)
+        return F.filter(F.split(t, rf"[{D.WHITE}]+"), lambda w: w != "")
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(D.template(F.col("t")) != twice(F.col("t"))).limit(5).collect() == []

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a scratch folder only where it is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; a scratch folder only for local runs that leave it unset."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="rowtide-llm-")
     spark.sparkContext.setCheckpointDir(path)
     return path

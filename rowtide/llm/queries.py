@@ -174,6 +174,13 @@ def _sql_raw(text: str) -> str:
             rf"string_split_regex({text}, '[{decontam.WHITE}]+') IF regexp_matches(w, '[\p{{L}}\p{{N}}%<>]')]")
 
 
+def _sql_plain(text: str) -> str:
+    """The words of a text in lower case without what surrounds them."""
+    edge = decontam.EDGE
+    return (rf"[CASE WHEN regexp_matches(w, '[\p{{L}}\p{{N}}%<>]') THEN regexp_replace(regexp_replace(w, '^{edge}+', ''), '(?:[''’]s)?{edge}*$', '') ELSE w END "
+            rf"FOR w IN string_split_regex(lower(coalesce({text}, '')), '[{decontam.WHITE}]+') IF w <> '']")
+
+
 LEAK_SQL = rf"""
 WITH b AS (SELECT item_id, w, v, least(len(w), 8) AS size FROM (
        SELECT item_id, {_sql_template("text")} AS w, {_sql_raw("text")} AS v FROM benchmark) WHERE len(w) >= 5),
@@ -194,12 +201,26 @@ slot AS (
   SELECT DISTINCT doc_id, item_id, diagonal, q, b.v[q + 1] AS theirs, d.v[q + diagonal + 1] AS ours
   FROM (SELECT *, unnest(range(at0, at0 + size)) AS q FROM hit) JOIN b USING (item_id) JOIN d USING (doc_id)
   WHERE b.w[q + 1] IN ('<number>', '<unit>', '<name>')),
-torn AS (
-  SELECT doc_id, item_id, diagonal FROM slot GROUP BY ALL
-  HAVING count(DISTINCT [theirs, ours]) > count(DISTINCT theirs) OR count(DISTINCT [theirs, ours]) > count(DISTINCT ours))
-SELECT doc_id, item_id, n_matched, n_matched / n.n AS share FROM (
-  SELECT doc_id, item_id, count(DISTINCT at0) AS n_matched FROM hit ANTI JOIN torn USING (doc_id, item_id, diagonal) GROUP BY ALL)
-JOIN n USING (item_id) WHERE n_matched >= 0.6 * n.n
+pairs AS (SELECT doc_id, item_id, diagonal, theirs, ours, (theirs IS NOT DISTINCT FROM ours)::INT AS same, count(*) AS c FROM slot GROUP BY ALL),
+ranked AS (SELECT *, rank() OVER (PARTITION BY doc_id, item_id, diagonal, theirs ORDER BY same DESC, c DESC) AS r FROM pairs),
+-- an item's value that meets several: the same one stays, else the most frequent, none of equally frequent ones
+torn AS (SELECT * FROM (SELECT *, count(*) FILTER (r = 1) OVER (PARTITION BY doc_id, item_id, diagonal, theirs) AS winners FROM ranked) WHERE r > 1 OR winners > 1),
+bad AS (SELECT DISTINCT s.doc_id, s.item_id, s.diagonal, s.q FROM slot s JOIN torn t ON s.doc_id = t.doc_id AND s.item_id = t.item_id AND s.diagonal = t.diagonal
+        AND s.theirs IS NOT DISTINCT FROM t.theirs AND s.ours IS NOT DISTINCT FROM t.ours),
+good AS (SELECT * FROM hit WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.doc_id = hit.doc_id AND bad.item_id = hit.item_id AND bad.diagonal = hit.diagonal
+         AND q >= at0 AND q < at0 + size)),
+steps AS (SELECT *, CASE WHEN at0 - lag(at0) OVER l <= size THEN 0 ELSE 1 END AS new FROM good WINDOW l AS (PARTITION BY doc_id, item_id, diagonal ORDER BY at0)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY at0) AS k FROM steps),
+run AS (SELECT doc_id, item_id, max(w) AS run FROM (SELECT doc_id, item_id, max(at0) + max(size) - min(at0) AS w FROM runs GROUP BY doc_id, item_id, diagonal, k) GROUP BY ALL),
+windows AS (
+  SELECT doc_id, item_id, n_matched, n_matched / n.n AS share
+  FROM (SELECT doc_id, item_id, count(DISTINCT at0) AS n_matched FROM good GROUP BY ALL) JOIN n USING (item_id) JOIN run USING (doc_id, item_id)
+  WHERE n_matched >= 0.6 * n.n OR run >= 13),
+-- items without countable windows, word by word
+bare AS (SELECT item_id, {_sql_plain("text")} AS p FROM benchmark WHERE item_id NOT IN (SELECT item_id FROM n)),
+held AS (SELECT doc_id, item_id, len(p) - least(len(p), 8) + 1 AS n_matched, 1.0 AS share FROM bare
+         JOIN (SELECT doc_id, {_sql_plain("text")} AS dp FROM documents) ON len(p) > 0 AND contains(' ' || array_to_string(dp, ' ') || ' ', ' ' || array_to_string(p, ' ') || ' '))
+SELECT doc_id, item_id, max(n_matched) AS n_matched, max(share) AS share FROM (SELECT * FROM windows UNION ALL SELECT * FROM held) GROUP BY ALL
 """
 
 

@@ -1,9 +1,11 @@
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rowtide.llm import decontam as D
+from rowtide.llm import queries
 
 from .helpers import awkward, frame, with_clashes
 
@@ -119,3 +121,22 @@ def test_template_equals_two_passes(spark):
 
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert df.where(D.template(F.col("t")) != twice(F.col("t"))).limit(5).collect() == []
+
+
+def test_the_sql_states_the_same_rule(spark, tmp_path):
+    """On texts where a run, a torn slot or a bare item decides."""
+    words = [f"word{i}" for i in range(40)]
+    long, twelve = " ".join(words), "Tom picked 12 apples from the old tree and then he sold all 12 apples to the shop for 3 coins"
+    items = [ITEM, long, twelve, "What is 12 * 7 + 3?", "too few words"]
+    docs = ["Quiz. " + ITEM, "so If Bob has 99 apples and gives 5 apples to Eve, how many apples does Bob have left at noon? ok", "a " + " ".join(words[:20]),
+            " ".join(words[:12]) + " x " + " ".join(words[20:32]), "x " + " ".join(words[27:]), twelve.replace("12", "9"),
+            twelve.replace("12 apples from", "9 apples from").replace("12 apples to", "7 apples to"), "Quiz: what is 12 * 7 + 3? Yes.", "what is 12 * 7 - 3?",
+            "(too few words)", "nothing of it", "", None]
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(list(enumerate(docs)), DOC).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    for t in ("benchmark", "documents"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = sorted((d, i, n, round(x, 9)) for d, i, n, x in con.execute("select doc_id, item_id, n_matched, share from (" + queries.LEAK_SQL + ")").fetchall())
+    got = sorted((r.doc_id, r.item_id, r.n_matched, round(r.share, 9)) for r in queries.QUERIES["op7_benchmark_decontamination"](spark, str(tmp_path)).collect())
+    assert got == want and {(0, 0), (1, 0), (2, 1), (4, 1), (5, 2), (7, 3), (9, 4)} <= {x[:2] for x in got} and not {3, 8, 10, 11, 12} & {x[0] for x in got}

@@ -264,6 +264,20 @@ def decode_by_schema(cells: DataFrame, columns: DataFrame) -> DataFrame:
                           F.col("d.error").alias("error"))
 
 
+def keys_of_versions(columns: DataFrame, sep: str = ",") -> DataFrame:
+    """R8 + C4: the key columns of every version of ``schema_columns``, key clauses, renames and drops honoured.
+
+    ``primary_keys`` in ordinal order, ``primary`` the last of them, ``n_keys`` and ``n_columns``; a version
+    without a primary key has an empty text, null and 0.  A list is bounded by a table's columns.
+    """
+    version = [*NAME, "version", "valid_from", "valid_to"]
+    found = F.array_sort(F.collect_list(F.when(F.col("key") == "PRI", F.struct("ordinal", "name"))))
+    names = F.transform("k", lambda x: x["name"])
+    return columns.groupBy(*version).agg(found.alias("k"), F.count(F.lit(1)).alias("n_columns")).select(
+        *version, F.array_join(names, sep).alias("primary_keys"), F.when(F.size("k") > 0, F.element_at(names, -1)).alias("primary"),
+        F.size("k").alias("n_keys"), "n_columns")
+
+
 def _table_actions(statements: DataFrame, lives: DataFrame, base_columns: Sequence[tuple]) -> DataFrame:
     """(table, pos_key, row_no, part, n, act): column and key actions by table, numbered in log order."""
     move = F.col("moves")[0]

@@ -789,3 +789,9 @@ from ev group by 1"""
 SQL["stream_publish_sinks"] = with_(CHANGELOG) + """
 select sink, event_type, count(*) as n_messages
 from (select event_type, unnest(['callback', 'json', 'text']) as sink from cl where seq % 97 <> 0 and seq % 89 <> 0) group by all"""
+
+SQL["primary_keys_versions"] = f"""
+with recursive {COLUMNS}
+select db, tbl, version, valid_from, valid_to, coalesce(string_agg(name, ',' order by ordinal) filter (key = 'PRI'), '') as primary_keys,
+       arg_max(name, ordinal) filter (key = 'PRI') as "primary", (count(*) filter (key = 'PRI'))::int as n_keys, count(*) as n_columns
+from cols group by all"""

@@ -359,6 +359,13 @@ def q_schema_columns(spark, sf):
     return schema.schema_columns(log, feeds.BASE_COLUMNS).drop("table")
 
 
+@query("primary_keys_versions")
+def q_primary_keys_versions(spark, sf):
+    """The key of every version of every table of the evolving log."""
+    log = feeds.stored(feeds.evolving_log(spark, sf))
+    return schema.keys_of_versions(schema.schema_columns(log, feeds.BASE_COLUMNS))
+
+
 @query("decode_by_schema")
 def q_decode_by_schema(spark, sf):
     """Stored integers of the evolving log, each decoded by the column its table had at its position."""

@@ -178,6 +178,15 @@ def test_moved_columns_leave_their_place(spark):
                       5: ["x y", "c", "ID", "b", "v"], 6: ["x y", "c", "ID", "b", "v"], 7: ["x y", "c", "ID", "b", "v"]}
 
 
+def test_keys_of_versions(spark):
+    rows = [("query", "d", "t", q, 10 * (i + 1), 0) for i, q in enumerate([
+        "ALTER TABLE t DROP PRIMARY KEY, ADD PRIMARY KEY (v, id)", "ALTER TABLE t RENAME COLUMN v TO w", "ALTER TABLE t DROP id", "ALTER TABLE t DROP PRIMARY KEY",
+        "ALTER TABLE t ADD k INT PRIMARY KEY FIRST"])]
+    got = schema.keys_of_versions(schema.schema_columns(spark.createDataFrame(rows, LOG), BASE)).orderBy("version").collect()
+    assert [(r.version, r.primary_keys, r.primary, r.n_keys, r.n_columns) for r in got] == [
+        (0, "id", "id", 1, 2), (1, "id,v", "v", 2, 2), (2, "id,w", "w", 2, 2), (3, "w", "w", 1, 1), (4, "", None, 0, 1), (5, "k", "k", 1, 2)]
+
+
 def test_identity_through_renames(spark):
     def q(sql, pos, tbl="t"):
         return ("query", "d", tbl, sql, pos, 0)

@@ -77,12 +77,11 @@ def _pair(words: Column, i: Column) -> Column:
     return F.xxhash64(F.get(words, i), F.get(words, i + 1))
 
 
-def _anchored_windows(words: Column, size: int, anchors: list[int]) -> Column:
-    """(at, h) of the windows of ``size`` words that hold one of the given word pairs."""
+def _anchored_windows(words: Column, size: int, anchors: list[int], firsts: list[str]) -> Column:
+    """(at, h) of the windows of ``size`` words that hold one of the given word pairs; ``firsts`` are the pairs' first words."""
     last = F.size(words) - size
-    spots = F.filter(F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.struct(i.alias("i"), _pair(words, i).alias("h"))),
-                     lambda x: x["h"].isin(anchors))
-    around = F.flatten(F.transform(spots, lambda x: F.sequence(F.greatest(x["i"] - (size - 2), F.lit(0)), F.greatest(F.least(x["i"], last), F.lit(0)))))
+    spots = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.get(words, i).isin(firsts) & _pair(words, i).isin(anchors))
+    around = F.flatten(F.transform(spots, lambda i: F.sequence(F.greatest(i - (size - 2), F.lit(0)), F.greatest(F.least(i, last), F.lit(0)))))
     starts = F.filter(F.array_distinct(around), lambda i: i <= last)
     return F.when(last >= 0, F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, size)).alias("h"))))
 
@@ -109,10 +108,11 @@ def _template_windows(items: DataFrame, id_col: str, text_col: str, window: int,
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_words: int) -> DataFrame:
     """(item, size, at, h, anchor, n) of the countable windows of each item, n the number of them.
 
-    ``anchor`` is the least hash of the window's pairs of neighbouring words: a text without that pair lacks the window.
+    ``anchor`` is the least hash of the window's pairs of neighbouring words, with the pair's first word: a text
+    without that pair lacks the window.
     """
     every = _template_windows(items, id_col, text_col, window, min_words).select("item", "size", "w", F.explode("starts").alias("at"))
-    pairs = F.transform(F.sequence(F.col("at"), F.col("at") + F.col("size") - 2), lambda i: _pair(F.col("w"), i))
+    pairs = F.transform(F.sequence(F.col("at"), F.col("at") + F.col("size") - 2), lambda i: F.struct(_pair(F.col("w"), i).alias("h"), F.get("w", i).alias("first")))
     anchor = F.when(F.col("size") > 1, F.array_min(pairs))
     every = every.select("item", "size", "at", F.xxhash64(F.slice("w", F.col("at") + 1, F.col("size"))).alias("h"), anchor.alias("anchor"))
     return every.join(every.groupBy("item").agg(F.count("*").alias("n")), "item")
@@ -157,7 +157,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         all_windows = F.concat(empty, *[F.coalesce(_windows(F.col("w"), size), empty) for size in sizes])
     else:
         words = words.where(F.size("w") > 1)
-        all_windows = F.concat(empty, *[F.coalesce(_anchored_windows(F.col("w"), size, pairs), empty) for size in sizes])
+        anchors, firsts = sorted({p["h"] for p in pairs}), sorted({p["first"] for p in pairs})
+        all_windows = F.concat(empty, *[F.coalesce(_anchored_windows(F.col("w"), size, anchors, firsts), empty) for size in sizes])
     seen = words.select("id", "tk", F.explode(all_windows).alias("x")).select("id", "tk", "x.at", "x.h")
     hits = seen.join(F.broadcast(side) if small else side, "h").select(
         "id", "tk", "item", "n", "b_size", "b_at", (F.col("at") - F.col("b_at")).alias("diagonal")).distinct()

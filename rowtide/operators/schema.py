@@ -28,11 +28,15 @@ def ddl_target(query) -> Column:
 def ddl_tables(query) -> Column:
     """Every (db or '', table) that a DDL statement names: all of a ``DROP TABLE a, b`` list,
     the old and the new names of a rename."""
+    return _tables(ddl.marked(query))
+
+
+def _tables(mark: Column) -> Column:
     def table(m: Column, side: str) -> Column:
         old = side == "old"
         return F.struct(m["sql_db" if old else "new_db"].alias("sql_db"), m["tbl" if old else "new_tbl"].alias("tbl"))
 
-    each = F.flatten(F.transform(ddl.table_moves(ddl.marked(query)), lambda m: F.array(table(m, "old"), table(m, "new"))))
+    each = F.flatten(F.transform(ddl.table_moves(mark), lambda m: F.array(table(m, "old"), table(m, "new"))))
     none = F.array(F.struct(F.lit("").alias("sql_db"), F.lit("").alias("tbl")))
     return ddl.let(F.array_distinct(F.filter(each, lambda t: t["tbl"] != "")), lambda named: F.when(F.size(named) > 0, named).otherwise(none))
 
@@ -43,25 +47,37 @@ def column_clauses(query) -> Column:
     Several clauses and ``ADD (a INT, b INT)`` lists count one by one; indexes, keys and
     constraints are no columns.  Other statements give an empty array.
     """
-    def of(mark: Column) -> Column:
-        columns = F.filter(ddl.actions(mark), lambda x: x["column"].isNotNull() & mark.rlike(r"(?i)^ALTER "))
+    return _column_clauses(ddl.marked(query))
+
+
+def _column_clauses(mark: Column) -> Column:
+    def of(m: Column) -> Column:
+        columns = F.filter(ddl.actions(m), lambda x: x["column"].isNotNull() & m.rlike(r"(?i)^ALTER "))
         return F.transform(columns, lambda x: F.struct(*[x[f].alias(f) for f in ("action", "column", "new_name", "type")]))
 
-    return ddl.let(ddl.marked(query), of)
+    return ddl.let(mark, of)
 
 
 def columns_added(query) -> Column:
     """Columns that a statement adds, less those it drops."""
-    c = column_clauses(query)
-    return (F.size(F.filter(c, lambda x: x["action"] == "add")) - F.size(F.filter(c, lambda x: x["action"] == "drop"))).cast("long")
+    return _net(column_clauses(query))
+
+
+def _net(clauses: Column) -> Column:
+    return ddl.let(clauses, lambda c: F.size(F.filter(c, lambda x: x["action"] == "add")) - F.size(F.filter(c, lambda x: x["action"] == "drop"))).cast("long")
 
 
 def ddl_changes(changes: DataFrame) -> DataFrame:
     """C3 + C5: DDL query events with the table they change; the event's db when the SQL names none."""
-    q = changes.filter(F.col("event_type") == "query").select(
-        "*", ddl_target("query")["kind"].alias("__kind"), F.explode(ddl_tables("query")).alias("__t"))
+    return _parsed(changes).drop("__mark")
+
+
+def _parsed(changes: DataFrame) -> DataFrame:
+    """``ddl_changes`` with the statement's marked text, which is made once for each event."""
+    q = changes.filter(F.col("event_type") == "query").select("*", ddl.marked("query").alias("__mark"))
+    q = q.select("*", ddl.target(F.col("__mark"))["kind"].alias("__kind"), F.explode(_tables(F.col("__mark"))).alias("__t"))
     q = q.filter(F.col("__t.tbl") != "")
-    return q.select(*[c for c in changes.columns if c not in ("db", "tbl")],
+    return q.select(*[c for c in changes.columns if c not in ("db", "tbl")], "__mark",
                     F.col("__kind").alias("ddl_kind"),
                     F.coalesce(F.nullif(F.col("__t.sql_db"), F.lit("")), F.col("db")).alias("db"),
                     F.col("__t.tbl").alias("tbl"))
@@ -76,8 +92,8 @@ def schema_versions(changes: DataFrame, n_base: int) -> DataFrame:
     history is not pinned to one task); version 0 of every table that has
     changes comes from one hash aggregate over changes and DDL positions.
     """
-    d0 = ddl_changes(changes).select("db", "tbl", "pos_key", "row_no",
-                                     columns_added("query").alias("__add"))
+    # landed: the window and the marks read it several times, and a statement is parsed once
+    d0 = landed(_parsed(changes).select("db", "tbl", "pos_key", "row_no", _net(_column_clauses(F.col("__mark"))).alias("__add")), "ddl-changes")
     ddl = keyed_window(d0, ["db", "tbl"], ORDER, pos_bucket(), lead=["pos_key"], sums=["__add"], seq="version")
     versions = ddl.select("db", "tbl", "version", F.col("pos_key").alias("valid_from"),
                           F.col("next_pos_key").alias("valid_to"),

@@ -32,6 +32,8 @@ def _event(offset, type_code, body_hex, log_pos, flags, ts):
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log, landed: a filter on a decoded field would otherwise be pushed below the payload
+    and put it together again for every byte that the field's expression names."""
     cl = changelog(spark, sf_dir)
     seq, et = F.col("seq"), F.col("event_type")
     secs = event_seconds("ev_ts")
@@ -59,8 +61,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat(le_hex("ts", 4), le_hex("type_code", 1), le_hex("server_id", 4),
                     le_hex(size.cast("long"), 4), le_hex("log_pos", 4), le_hex("flags", 2))
     body = F.unhex(F.concat(head, F.col("body")))
-    return ev.select(F.lit(SOURCE).alias("source"), (F.col("seq") * 4 + F.col("k")).alias("ordinal"),
-                     F.concat(body, F.unhex(le_hex(F.crc32(body), CHECKSUM_LEN))).alias("payload"))
+    return stored(ev.select(F.lit(SOURCE).alias("source"), (F.col("seq") * 4 + F.col("k")).alias("ordinal"),
+                            F.concat(body, F.unhex(le_hex(F.crc32(body), CHECKSUM_LEN))).alias("payload")), "raw")
 
 
 def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +73,5 @@ def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = F.concat(p.substr(F.lit(1), n - CHECKSUM_LEN - 1), byte, p.substr(n - CHECKSUM_LEN + 1, F.lit(CHECKSUM_LEN)))
     o = F.col("ordinal")
     damaged = (F.when(o % 71 == 0, p.substr(1, 12)).when(o % 89 == 0, p.substr(F.lit(1), n - 5)).when(o % 53 == 0, wrong).otherwise(p))
-    # the payload stands in every branch: landed, it is put together once
-    return stored(raw_events(spark, sf_dir), "raw").withColumn("payload", damaged)
+    # the payload stands in every branch: raw_events is landed, so it is put together once
+    return raw_events(spark, sf_dir).withColumn("payload", damaged)

@@ -3,6 +3,8 @@
 import struct
 import zlib
 
+from pyspark.sql import functions as F
+
 from rowtide.functions import header as H
 from rowtide.operators import rawlog
 
@@ -53,3 +55,20 @@ def test_torn_header_has_no_fields(spark):
     from rowtide.functions import header
     df = spark.createDataFrame([(bytearray(b"x" * 18),), (bytearray(b""),), (None,)], "p binary")
     assert {tuple(r["h"]) for r in df.select(header.header("p").alias("h")).collect()} == {(None,) * 6}
+
+
+def _raw_log(spark, tmp_path):
+    """The raw log of 2,000 events, and its decoded headers."""
+    from datetime import datetime
+
+    from rowtide.sources.rawlog import raw_events
+    rows = [(i, datetime(2024, 1, 1, 0, i // 60 % 60, i % 60), i % 7, ("view", "signup", "error")[i % 3], float(i), f"p{i}") for i in range(2000)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    return rawlog.decode_headers(raw_events(spark, str(tmp_path)))
+
+
+def test_dispatch_does_not_build_payloads_again(spark, tmp_path):
+    kept = rawlog.dispatch(_raw_log(spark, tmp_path))
+    assert "crc32" not in kept.select("ordinal", "type_code")._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["type_code"]: r["n"] for r in kept.groupBy("type_code").agg(F.count("*").alias("n")).collect()}
+    assert got[4] == 2 and got[2] == 8 and got[16] == 1992 and got[30] + got[31] + got[32] == 1992 and 33 not in got

@@ -72,3 +72,12 @@ def test_dispatch_does_not_build_payloads_again(spark, tmp_path):
     assert "crc32" not in kept.select("ordinal", "type_code")._jdf.queryExecution().optimizedPlan().toString()
     got = {r["type_code"]: r["n"] for r in kept.groupBy("type_code").agg(F.count("*").alias("n")).collect()}
     assert got[4] == 2 and got[2] == 8 and got[16] == 1992 and got[30] + got[31] + got[32] == 1992 and 33 not in got
+
+
+def test_server_filter_does_not_build_payloads_again(spark, tmp_path):
+    from rowtide.operators import filters
+    kept = filters.from_server(_raw_log(spark, tmp_path), 3)
+    assert "crc32" not in kept.select("ordinal", "server_id")._jdf.queryExecution().optimizedPlan().toString()
+    users = [i % 7 for i in range(2000)]
+    odd = [i for i, u in enumerate(users) if u % 2]  # users of db audit
+    assert kept.count() == sum((i % 1000 == 0) + 2 + (i % 250 != 0) for i in odd)

@@ -51,9 +51,12 @@ def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 def parse_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Envelopes of JSON messages (``value``), none lost: ``reason`` says why a message is
     no usable envelope (then ``message`` has its text), and is null for the others.  Columns
-    ``keep`` of the messages are handed on."""
+    ``keep`` of the messages are handed on.
+
+    The envelope comes out of an array of one: filters on its fields stay above that, while below a
+    plain projection each field that they name would parse the message again."""
     text = F.col("value").cast("string")
-    e = messages.select(F.from_json(text, JSON_ENVELOPE).alias("e"), text.alias("message"), *keep).select("e.*", "message", *keep)
+    e = messages.select(F.explode(F.array(F.from_json(text, JSON_ENVELOPE))).alias("e"), text.alias("message"), *keep).select("e.*", "message", *keep)
     kind = F.col("event_type")
     row_change = ~kind.isin("query", HEARTBEAT)
     reason = (F.when(kind.isNull(), "malformed message")

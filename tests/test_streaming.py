@@ -252,3 +252,10 @@ def test_every_change_of_an_event_counts(spark, tmp_path):
     assert sorted(r["row_no"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
     S.run_to_end(S.latest_state_sink(S.envelope_stream(spark, str(src)), str(tmp_path / "latest"), str(tmp_path / "ck2")))
     assert S.read_latest_state(spark, str(tmp_path / "latest")).first()["value"] == 2.0
+
+
+def test_a_message_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"binlog":"f.000001:4","event_type":"update","after":{"id":1}}',), ("torn",), (None,)], "value string")
+    parsed = S.parse_messages(df)
+    assert S.good(parsed).drop("before", "after")._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert S.good(parsed).count() == 1 and S.dead_letters(parsed).count() == 2

@@ -121,3 +121,20 @@ def test_each_change_lands_once(spark, tmp_path):
     S.run_to_end(L.landed_once_sink(S.envelope_stream(spark, f"{tmp_path}/log", 1), out, f"{tmp_path}/ck", bucket_bits=7))
     assert sorted(r[0] for r in L.read_landed(spark, out).select("log_pos").collect()) == [i * 10 + 4 for i in range(83)]
     assert spark.read.parquet(f"{out}/landed").where("batch_id >= 4").count() == 3
+
+
+def test_landed_files_do_not_grow_with_stretches(spark, tmp_path):
+    stage(f"{tmp_path}/log", [[message(i) for i in range(300)], [message(i) for i in [0, 299, 300]]])
+    out = scratch_dir(spark, "landed")
+    S.run_to_end(L.landed_once_sink(S.envelope_stream(spark, f"{tmp_path}/log", 1), out, f"{tmp_path}/ck", bucket_bits=3))
+    landed = spark.read.parquet(f"{out}/landed")
+    assert landed.select("stretch").distinct().count() > 200 and len(landed.inputFiles()) <= 8
+    assert sorted(r[0] for r in L.read_landed(spark, out).select("log_pos").collect()) == [i * 10 + 4 for i in range(301)]
+
+
+def test_ranges_hold_every_value(spark):
+    values = [-5, 3, 3, 10 ** 6, 2 ** 40, 2 ** 40 + 1]
+    ranges = L._ranges(spark.createDataFrame([(v,) for v in [*values, None]], "v long"), "v")
+    assert len(ranges) == 2 and all(any(a <= v <= b for a, b in ranges) for v in values)
+    assert L._ranges(spark.createDataFrame([], "v long"), "v") == []
+    assert L._ranges(spark.createDataFrame([(7,)], "v long"), "v") == [(7, 7)]

@@ -138,3 +138,16 @@ def test_ranges_hold_every_value(spark):
     assert len(ranges) == 2 and all(any(a <= v <= b for a, b in ranges) for v in values)
     assert L._ranges(spark.createDataFrame([], "v long"), "v") == []
     assert L._ranges(spark.createDataFrame([(7,)], "v long"), "v") == [(7, 7)]
+
+
+def test_shuffled_steps_have_as_many_files_each(spark, tmp_path, monkeypatch):
+    from rowtide.plans import queries as q
+    monkeypatch.setattr(q, "ROWS_PER_MESSAGE_FILE", 10)
+    t = datetime(2024, 1, 1)
+    rows = [(i, t, i % 5, "view", 1.0, "p") for i in range(4000)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    folder, files = q._stage_shuffled(spark, str(tmp_path))
+    text = spark.read.text(folder)
+    assert files == 4 and len(text.inputFiles()) == files * (q.SHUFFLED_STEPS + 2) and text.count() == 4000
+    order = q.q_stream_reordered(spark, str(tmp_path)).agg(F.sum("n_changes"), F.sum("n_out_of_order")).first()
+    assert tuple(order) == (4000 - 16, 0)

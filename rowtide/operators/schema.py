@@ -273,9 +273,10 @@ def decode_by_schema(cells: DataFrame, columns: DataFrame) -> DataFrame:
     ``schema_columns``.  Adds ``name``, ``type``, ``key``, the flags of ``column_flags`` and of ``by_type``
     ``kind``, ``value`` and ``error``; cells with an error are the quarantine (``sinks.publish.split_dead_letters``).
     """
-    spans = columns.select(*NAME, "ordinal", "name", "type", "key", "valid_from", "valid_to")
-    found = asof_join(cells, spans, [*NAME, "ordinal"])
-    decoded = found.withColumns({"d": D.by_type("stored", "type"), "f": D.column_flags("type", "key", F.lit(""))})
+    # type texts are taken apart once for each column of a version, not for each cell
+    spans = columns.select(*NAME, "ordinal", "name", "type", "key", "valid_from", "valid_to", D.type_parts("type").alias("__parts"),
+                           D.column_flags("type", "key", F.lit("")).alias("f"))
+    decoded = asof_join(cells, spans, [*NAME, "ordinal"]).withColumn("d", D.by_type_parts("stored", "__parts"))
     return decoded.select(*cells.columns, "name", "type", "key", F.col("f.is_bool").alias("is_bool"), F.col("f.unsigned").alias("unsigned"), "d.kind", "d.value",
                           F.col("d.error").alias("error"))
 

@@ -91,3 +91,15 @@ def test_integers_by_type_text(spark):
     assert [(r.d.value, r.d.error) for r in got] == [c[2:] for c in cases]
     flags = df.where("i = 12").select(D.column_flags("t", F.lit(""), F.lit("")).alias("f")).first().f
     assert not flags.unsigned
+
+
+def test_type_text_is_taken_apart_below_the_join(spark):
+    from rowtide.operators import schema
+    cells = spark.createDataFrame([("d", "t", 5, 1, 3), ("d", "t", 5, 2, 1), ("d", "t", 5, 3, 1), ("d", "t", 5, 1, None)], "db string, tbl string, pos_key long, ordinal int, stored long")
+    columns = spark.createDataFrame([("d", "t", 1, "a", "SET('x','y')", "", 0, None), ("d", "t", 2, "b", "int unsigned", "PRI", 0, None)],
+                                    "db string, tbl string, ordinal int, name string, type string, key string, valid_from long, valid_to long")
+    out = schema.decode_by_schema(cells, columns)
+    got = sorted(((r.ordinal, r.value, r.error, r.unsigned) for r in out.collect()), key=str)
+    assert got == sorted([(1, "x,y", None, False), (1, None, None, False), (2, "1", None, True), (3, None, "no such column", None)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower().split("join")[0]

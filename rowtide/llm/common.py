@@ -10,6 +10,10 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Join hint for a side whose size Spark can't see: it takes an exploded array for one element and a compressed
+#: file for its size, and a side it once meant to broadcast stays so, however large it turns out.
+SHUFFLED = "merge"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a scratch folder only for local runs that leave it unset."""

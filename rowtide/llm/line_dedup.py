@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import SHUFFLED, written
 
 WHITE = " \t\x0b\x0c\r"
 BLOCK = 64  # characters among which one is left out
@@ -105,7 +105,7 @@ def candidates(first: DataFrame) -> DataFrame:
     halves = first.where("halves IS NOT NULL").select("id", "no", "rk", F.explode("halves").alias("k")).select("id", "no", "rk", "k.*")
     shared = (halves.groupBy("key").agg(F.count_if(F.col("role") == 0).alias("n0"), F.count_if(F.col("role") == 1).alias("n1"))
               .where("n0 > 1 OR n0 > 0 AND n1 > 0"))
-    parts = halves.join(shared, "key").select(
+    parts = halves.join(shared.hint(SHUFFLED), "key").select(
         "id", "no", "rk", ((F.col("role") == 0) & (F.col("n0") > 1)).alias("replaced"),
         ((F.col("role") == 1) & (F.col("n0") > 0)).alias("longer"), ((F.col("role") == 0) & (F.col("n1") > 0)).alias("shorter"))
     return parts.groupBy("id", "rk", "no").agg(*[F.max(x).alias(x) for x in ("replaced", "longer", "shorter")])
@@ -114,8 +114,7 @@ def candidates(first: DataFrame) -> DataFrame:
 def near_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, max_broadcast: int) -> DataFrame:
     """(id, no, rk) of the lines of ``wanted`` that are one edit away from an earlier one."""
     by_row = wanted.groupBy("id", "rk").agg(F.collect_list(F.struct("no", "replaced", "longer", "shorter")).alias("w"))
-    if wanted.count() <= max_broadcast:  # else both sides are shuffled
-        by_row = F.broadcast(by_row)
+    by_row = F.broadcast(by_row) if wanted.count() <= max_broadcast else by_row.hint(SHUFFLED)
     texts = docs.select(F.col(id_col).alias("did"), F.xxhash64(text_col).alias("drk"), F.split(text_col, "\n").alias("lines"))
     found = (texts.join(by_row, F.col("did").eqNullSafe(F.col("id")) & (F.col("drk") == F.col("rk")))
              .select("id", "rk", F.explode(F.transform("w", lambda w: F.struct(
@@ -128,10 +127,10 @@ def near_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, m
     earliest = keys.groupBy("key").agg(*[F.min(F.when(F.col("role") == r, F.col("at"))).alias(f"m{r}") for r in (0, 1, 2)],
                                        F.count("*").alias("n")).where("n > 1")
     partner = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
-    pairs = keys.join(earliest, "key").select("at", partner.alias("with")).where("with < at").distinct()
+    pairs = keys.join(earliest.hint(SHUFFLED), "key").select("at", partner.alias("with")).where("with < at").distinct()
     line = found.select(F.col("at").alias("a"), "line")
     other = found.select(F.col("at").alias("b"), F.col("line").alias("other"))
-    checked = pairs.join(line, _same("at", "a")).join(other, _same("with", "b"))
+    checked = pairs.join(line.hint(SHUFFLED), _same("at", "a")).join(other.hint(SHUFFLED), _same("with", "b"))
     return checked.where(F.levenshtein("line", "other", 1) >= 0).select("at.*").distinct()
 
 

@@ -59,3 +59,13 @@ def test_stage_keeps_columns(spark):
     ids = sorted((str(r.doc_id), str(r.text)) for r in out.where(F.col("doc_id").isNull() | (F.col("doc_id") <= 3)).collect())
     assert [x[0] for x in ids] == ["1", "2", "3", "None", "None"]
     assert L.drop_lines(df.limit(0)).count() == 0 and L.dedup_lines(df).count() == len(awkward())
+
+
+def test_sides_of_unseen_size_are_shuffled(spark):
+    rng = random.Random(3)
+    docs = frame(spark, corpus(rng, 60), SCHEMA)
+    wanted = L.candidates(L.first_lines(docs, "doc_id", "text", 20))
+    near = L.near_lines(docs, wanted, "doc_id", "text", 0)
+    assert near.count() > 0
+    for df in (wanted, near):  # Spark takes the exploded keys for small here: they would go to every executor, however many
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

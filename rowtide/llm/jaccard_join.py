@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import SHUFFLED, ship, written
 from .components import components
 
 FIRST = -(1 << 63)  # order of null ids
@@ -151,9 +151,9 @@ def _buckets(nodes: DataFrame, small: int, least: float) -> DataFrame:
         got = r.groupBy("key").agg(F.count("*").alias("c"), F.min("n").alias("n0"), F.max("n").alias("n1"))
         return got.where((F.col("c") > 2) | (F.col("c") == 2) & (F.col("n0") + 1e-6 >= least * F.col("n1"))).select("key", "c")
 
-    level = rows.join(sizes(rows.select("key", "n")), "key")
+    level = rows.join(sizes(rows.select("key", "n")).hint(SHUFFLED), "key")
     leaf = level.where(F.col("c") > small).select("node", "n", F.explode("leaves").alias("key")).distinct()
-    leaf = leaf.join(sizes(leaf), "key")
+    leaf = leaf.join(sizes(leaf).hint(SHUFFLED), "key")
     return (level.where(F.col("c") <= small).select(F.col("key").alias("bucket"), "node", "n", F.lit(False).alias("dense"))
             .unionByName(leaf.select(F.col("key").alias("bucket"), "node", "n", (F.col("c") > small).alias("dense")))).distinct()
 

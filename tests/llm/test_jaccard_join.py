@@ -62,3 +62,10 @@ def test_repeated_rows_nulls_clashes_and_empty_table(spark):
 
 def test_runs_follow_the_recall():
     assert J.runs_for(0.9) < J.runs_for(0.999) < J.runs_for(0.99999)
+
+
+def test_picks_of_unseen_number_are_shuffled(spark):
+    nodes = frame(spark, [(i, 9, [(i // 2, [i]), (7, [i % 3, i])]) for i in range(40)], "node long, n int, paths array<struct<key:long,leaves:array<long>>>")
+    buckets = J._buckets(nodes, 8, 0.8)
+    assert buckets.count() > 0
+    assert "Broadcast" not in buckets._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,9 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.session import scratch_dir
+from rowtide.operators import shape
+from rowtide.session import CLEANUP, scratch_dir, shuffles_released
+from rowtide.sources import feeds
 from rowtide.streaming import landing as L
 from rowtide.streaming import stream as S
 
@@ -151,3 +153,32 @@ def test_shuffled_steps_have_as_many_files_each(spark, tmp_path, monkeypatch):
     assert files == 4 and len(text.inputFiles()) == files * (q.SHUFFLED_STEPS + 2) and text.count() == 4000
     order = q.q_stream_reordered(spark, str(tmp_path)).agg(F.sum("n_changes"), F.sum("n_out_of_order")).first()
     assert tuple(order) == (4000 - 16, 0)
+
+
+def test_staged_row_changes_are_compressed(spark, tmp_path):
+    from rowtide.plans import queries as q
+    rows = [(i // 3, i % 50, i % 7, i % 3, 1.0 + i % 9, 2.5 * i) for i in range(3000)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    rest = {"l_discount": F.lit(0.1), "l_tax": F.lit(0.2), "l_shipdate": F.lit(datetime(2024, 1, 1)).cast("date"), "l_returnflag": F.lit("A"), "l_linestatus": F.lit("O")}
+    spark.createDataFrame(rows, schema).withColumns(rest).write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = q._row_changes(feeds.row_events(spark, str(tmp_path))).select(shape.envelope_text(with_row_no=True).alias("value"))
+    for resend in (False, True):
+        folder, files = q._stage_row_changes(spark, str(tmp_path), resend)
+        text = spark.read.text(folder)
+        assert all(f.endswith(".lz4") for f in text.inputFiles()) and files == spark.sparkContext.defaultParallelism
+        copies = want.unionByName(want) if resend else want
+        assert text.exceptAll(copies).isEmpty() and copies.exceptAll(text).isEmpty()
+
+
+def test_shuffles_are_released_within(spark):
+    before = spark.conf.get(CLEANUP)
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> int:
+        n = folder.getAllFiles().size()
+        spark.range(1000).groupBy(F.col("id") % 7).count().write.format("noop").mode("overwrite").save()
+        return folder.getAllFiles().size() - n
+
+    with shuffles_released(spark):
+        assert spark.conf.get(CLEANUP) == "true" and shuffled() <= 0
+    assert spark.conf.get(CLEANUP) == before and shuffled() > 0

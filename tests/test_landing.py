@@ -155,6 +155,15 @@ def test_shuffled_steps_have_as_many_files_each(spark, tmp_path, monkeypatch):
     assert tuple(order) == (4000 - 16, 0)
 
 
+def test_arrived_rows_stay_for_one_batch(spark, tmp_path):
+    stage(f"{tmp_path}/log", [[message(i) for i in range(20)], [message(i) for i in range(5, 25)], [message(i) for i in (3, 30, 31)]])
+    out = scratch_dir(spark, "landed")
+    with shuffles_released(spark):
+        S.run_to_end(L.landed_once_sink(S.envelope_stream(spark, f"{tmp_path}/log", 1), out, f"{tmp_path}/ck", bucket_bits=3))
+    assert sorted(r[0] for r in L.read_landed(spark, out).select("log_pos").collect()) == [i * 10 + 4 for i in [*range(25), 30, 31]]
+    assert spark.read.parquet(f"{out}/arrived").count() == 3
+
+
 def test_staged_row_changes_are_compressed(spark, tmp_path):
     from rowtide.plans import queries as q
     rows = [(i // 3, i % 50, i % 7, i % 3, 1.0 + i % 9, 2.5 * i) for i in range(3000)]
